@@ -75,3 +75,222 @@ SELECT COUNT(*) AS total_rows, COUNT(DISTINCT shipment_date) AS n_days,
        MAX(shipment_date) AS last_date, CAST(SUM(n_shipments) AS BIGINT) AS total_shipments,
        CAST(SUM(CASE WHEN n_shipments = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_days
 FROM panel"""
+
+
+# ---------------------------------------------------------------------------
+# Calendar pieces in SQL
+# ---------------------------------------------------------------------------
+def holiday_ctes(src: str = "panel") -> str:
+    """CTEs ``hol_years``, ``easter``, ``holidays(hd)`` for min..max year of src."""
+    parts = [f"SELECT make_date(y, {m}, {d}) AS hd FROM hol_years" for m, d in C.FIXED_HOLIDAYS]
+    parts += [f"SELECT make_date(y, {m}, {d}) AS hd FROM hol_years WHERE y >= {first}"
+              for first, m, d in C.LATER_FIXED_HOLIDAYS]
+    parts += [f"SELECT CAST(e + INTERVAL ({off}) DAY AS DATE) AS hd FROM easter" for off in C.EASTER_OFFSETS]
+    union = "\n    UNION ALL ".join(parts)
+    return f"""
+hol_years AS (
+  SELECT CAST(unnest(range(MIN(year(shipment_date)), MAX(year(shipment_date)) + 1)) AS INTEGER) AS y FROM {src}
+),
+easter AS (
+  SELECT y, make_date(y, CAST((h + l - 7 * m + 114) // 31 AS INTEGER),
+                      CAST(((h + l - 7 * m + 114) % 31) + 1 AS INTEGER)) AS e
+  FROM (SELECT *, (a + 11 * h + 22 * l) // 451 AS m
+        FROM (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l
+              FROM (SELECT *, (19 * a + b - d - g + 15) % 30 AS h
+                    FROM (SELECT *, (b - f + 1) // 3 AS g
+                          FROM (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c,
+                                       (y // 100) // 4 AS d, (y // 100) % 4 AS e,
+                                       ((y // 100) + 8) // 25 AS f, (y % 100) // 4 AS i,
+                                       (y % 100) % 4 AS k FROM hol_years))))) 
+),
+holidays AS (
+  SELECT DISTINCT hd FROM (
+    {union}) WHERE hd IS NOT NULL
+)"""
+
+
+def black_friday_sql(y: str) -> str:
+    nov1 = f"make_date({y}, 11, 1)"
+    return f"CAST({nov1} + INTERVAL (((4 - isodow({nov1}) + 7) % 7) + 22) DAY AS DATE)"
+
+
+def day_flags_sql(d: str = "p.shipment_date", hol: str = "(h.hd IS NOT NULL)") -> dict[str, str]:
+    dow = f"(isodow({d}) - 1)"
+    return {
+        "is_holiday": f"CAST({hol} AS INTEGER)",
+        "is_business_day": f"CAST({dow} < 5 AND NOT {hol} AS INTEGER)",
+        "is_saturday": f"CAST({dow} = 5 AS INTEGER)",
+        "is_sunday": f"CAST({dow} = 6 AS INTEGER)",
+        "is_operational": f"CAST(({dow} < 5 AND NOT {hol}) OR {dow} = 5 AS INTEGER)",
+        "day_type": f"CASE WHEN {hol} THEN 'holiday' WHEN {dow} = 6 THEN 'sunday' "
+                    f"WHEN {dow} = 5 THEN 'saturday' ELSE 'business_day' END",
+    }
+
+
+def event_ctes(src: str = "panel") -> str:
+    """CTE ``event_days(shipment_date, days_to_black_friday, days_to_dia_dos_namorados)``."""
+    return f"""
+ev_years AS (SELECT DISTINCT CAST(year(shipment_date) AS INTEGER) AS y FROM {src}),
+ev_dates AS (SELECT y, {black_friday_sql('y')} AS bf, make_date(y, 6, 12) AS vd FROM ev_years),
+ev_days AS (SELECT DISTINCT shipment_date FROM {src}),
+ev_bf AS (
+  SELECT shipment_date, delta FROM (
+    SELECT d.shipment_date, date_diff('day', e.bf, d.shipment_date) AS delta,
+           row_number() OVER (PARTITION BY d.shipment_date
+                              ORDER BY abs(date_diff('day', e.bf, d.shipment_date)), e.y) AS rn
+    FROM ev_days d CROSS JOIN ev_dates e) WHERE rn = 1
+),
+ev_vd AS (
+  SELECT shipment_date, delta FROM (
+    SELECT d.shipment_date, date_diff('day', e.vd, d.shipment_date) AS delta,
+           row_number() OVER (PARTITION BY d.shipment_date
+                              ORDER BY abs(date_diff('day', e.vd, d.shipment_date)), e.y) AS rn
+    FROM ev_days d CROSS JOIN ev_dates e) WHERE rn = 1
+),
+event_days AS (
+  SELECT b.shipment_date,
+         CAST(b.delta AS INTEGER) AS days_to_black_friday,
+         CAST(b.delta BETWEEN -7 AND 7 AS INTEGER) AS is_black_friday_window,
+         CAST(b.delta BETWEEN 1 AND 3 AS INTEGER) AS is_post_black_friday_peak,
+         CAST(v.delta AS INTEGER) AS days_to_dia_dos_namorados,
+         CAST(v.delta BETWEEN -7 AND 7 AS INTEGER) AS is_dia_dos_namorados_window,
+         CAST(v.delta BETWEEN 1 AND 3 AS INTEGER) AS is_post_dia_dos_namorados_peak
+  FROM ev_bf b JOIN ev_vd v USING (shipment_date)
+)"""
+
+
+EVENT_COLS = ("days_to_black_friday", "is_black_friday_window", "is_post_black_friday_peak",
+              "days_to_dia_dos_namorados", "is_dia_dos_namorados_window",
+              "is_post_dia_dos_namorados_peak")
+
+ROLLING_DEV_SQL = """CASE WHEN COUNT(*) OVER (PARTITION BY b.entity ORDER BY b.shipment_date
+                                ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) >= 2
+     THEN (SELECT sqrt(avg((x - mu) * (x - mu))) FROM (
+             SELECT s2.n_shipments AS x,
+                    avg(s2.n_shipments) OVER (ORDER BY s2.shipment_date
+                                              ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mu
+             FROM panel s2
+             WHERE s2.entity = b.entity
+               AND s2.shipment_date BETWEEN b.shipment_date - INTERVAL 7 DAY
+                                        AND b.shipment_date - INTERVAL 1 DAY))
+END"""
+
+
+def sql_feature_select() -> str:
+    return f"""SELECT b.shipment_date, b.entity, b.n_shipments,
+  CAST(lag(b.n_shipments, 1) OVER w AS INTEGER) AS lag_1,
+  CAST(lag(b.n_shipments, 7) OVER w AS INTEGER) AS lag_7,
+  CAST(lag(b.n_shipments, 14) OVER w AS INTEGER) AS lag_14,
+  CAST(lag(b.n_shipments, 28) OVER w AS INTEGER) AS lag_28,
+  round(avg(b.n_shipments) OVER (PARTITION BY b.entity ORDER BY b.shipment_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_7,
+  round(avg(b.n_shipments) OVER (PARTITION BY b.entity ORDER BY b.shipment_date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_14,
+  round(avg(b.n_shipments) OVER (PARTITION BY b.entity ORDER BY b.shipment_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_28,
+  round({ROLLING_DEV_SQL}, 6) AS rolling_dev_7
+FROM panel b
+WINDOW w AS (PARTITION BY b.entity ORDER BY b.shipment_date)"""
+
+
+@oracle("features_sql_table")
+def _():
+    return f"WITH {panel_ctes()} {sql_feature_select()}"
+
+
+@oracle("feature_coverage")
+def _():
+    return f"""WITH {panel_ctes()}, f AS ({sql_feature_select()})
+SELECT COUNT(*) AS total_rows, COUNT(lag_1) AS n_lag_1, COUNT(lag_28) AS n_lag_28,
+       COUNT(rolling_mean_7) AS n_rolling_mean_7, COUNT(rolling_dev_7) AS n_rolling_dev_7 FROM f"""
+
+
+@oracle("features_rolling")
+def _():
+    cols = []
+    for w in (7, 28):
+        frame = f"(PARTITION BY entity ORDER BY shipment_date ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
+        for stat, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")):
+            cols.append(f"round(CASE WHEN count(n_shipments) OVER {frame} >= 3 THEN "
+                        f"CAST({fn}(n_shipments) OVER {frame} AS DOUBLE) END, 6) AS rolling_{stat}_{w}")
+    return f"WITH {panel_ctes()} SELECT shipment_date, entity, n_shipments, {', '.join(cols)} FROM panel"
+
+
+@oracle("features_calendar")
+def _():
+    d = "shipment_date"
+    return f"""WITH {panel_ctes()}
+SELECT shipment_date, entity, n_shipments,
+  CAST(isodow({d}) - 1 AS INTEGER) AS day_of_week, CAST(day({d}) AS INTEGER) AS day_of_month,
+  CAST(dayofyear({d}) AS INTEGER) AS day_of_year, CAST(weekofyear({d}) AS INTEGER) AS week_of_year,
+  CAST(month({d}) AS INTEGER) AS month, CAST(quarter({d}) AS INTEGER) AS quarter,
+  CAST(year({d}) AS INTEGER) AS year, CAST(isodow({d}) >= 6 AS INTEGER) AS is_weekend,
+  CAST(day({d}) = 1 AS INTEGER) AS is_month_start, CAST({d} = last_day({d}) AS INTEGER) AS is_month_end
+FROM panel"""
+
+
+@oracle("features_holidays")
+def _():
+    flags = ", ".join(f"{v} AS {k}" for k, v in day_flags_sql().items())
+    return f"""WITH {panel_ctes()}, {holiday_ctes()}
+SELECT p.shipment_date, p.entity, p.n_shipments, {flags}
+FROM panel p LEFT JOIN holidays h ON h.hd = p.shipment_date"""
+
+
+@oracle("features_events")
+def _():
+    return f"""WITH {panel_ctes()}, {event_ctes()}
+SELECT p.*, {', '.join('e.' + c for c in EVENT_COLS)}
+FROM panel p JOIN event_days e USING (shipment_date)"""
+
+
+@oracle("features_trend")
+def _():
+    return f"""WITH {panel_ctes()}
+SELECT shipment_date, entity, n_shipments,
+  CAST(date_diff('day', DATE '1995-01-01', shipment_date) AS INTEGER) AS days_since_start,
+  CAST(year(shipment_date) * 12 + month(shipment_date) - (1995 * 12 + 1) AS INTEGER) AS month_index,
+  round(CAST(CAST((dayofyear(shipment_date) - 1) / 365.0 AS FLOAT) AS DOUBLE), 6) AS year_progress
+FROM panel"""
+
+
+def volume_ctes(src: str = "panel", train_end: str = "DATE '2000-06-30'") -> str:
+    return f"""
+vol_stats AS (SELECT entity, avg(n_shipments) AS v FROM {src} WHERE shipment_date <= {train_end} GROUP BY entity)"""
+
+
+def volume_cols(lo: float = 0.55, hi: float = 0.70, alias: str = "s") -> str:
+    v = f"COALESCE({alias}.v, 0.0)"
+    return (f"round(CAST(CAST({v} AS FLOAT) AS DOUBLE), 6) AS state_avg_volume, "
+            f"CASE WHEN {v} < {lo} THEN 'tail' WHEN {v} >= {hi} THEN 'core' ELSE 'mid' END AS volume_tier")
+
+
+@oracle("features_volume")
+def _():
+    return f"""WITH {panel_ctes()}, {volume_ctes()}
+SELECT p.shipment_date, p.entity, p.n_shipments, {volume_cols()}
+FROM panel p LEFT JOIN vol_stats s ON s.entity = p.entity"""
+
+
+@oracle("features_default")
+def _():
+    flags = ", ".join(f"{v} AS {k}" for k, v in day_flags_sql().items())
+    frame = "(PARTITION BY p.entity ORDER BY p.shipment_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)"
+    return f"""WITH {panel_ctes()}, {holiday_ctes()}, {event_ctes()}, {volume_ctes()}
+SELECT p.shipment_date, p.entity, p.n_shipments,
+  CAST(lag(p.n_shipments, 7) OVER w AS INTEGER) AS lag_7,
+  CAST(lag(p.n_shipments, 14) OVER w AS INTEGER) AS lag_14,
+  round(avg(p.n_shipments) OVER {frame}, 6) AS rolling_mean_7,
+  round(stddev_samp(p.n_shipments) OVER {frame}, 6) AS rolling_std_7,
+  CAST(isodow(p.shipment_date) - 1 AS INTEGER) AS day_of_week,
+  CAST(month(p.shipment_date) AS INTEGER) AS month,
+  CAST(isodow(p.shipment_date) >= 6 AS INTEGER) AS is_weekend,
+  CAST(day(p.shipment_date) = 1 AS INTEGER) AS is_month_start,
+  CAST(p.shipment_date = last_day(p.shipment_date) AS INTEGER) AS is_month_end,
+  {flags},
+  {', '.join('e.' + c for c in EVENT_COLS)},
+  CAST(date_diff('day', DATE '1995-01-01', p.shipment_date) AS INTEGER) AS days_since_start,
+  round(CAST(CAST((dayofyear(p.shipment_date) - 1) / 365.0 AS FLOAT) AS DOUBLE), 6) AS year_progress,
+  {volume_cols()}
+FROM panel p
+LEFT JOIN holidays h ON h.hd = p.shipment_date
+JOIN event_days e ON e.shipment_date = p.shipment_date
+LEFT JOIN vol_stats s ON s.entity = p.entity
+WINDOW w AS (PARTITION BY p.entity ORDER BY p.shipment_date)"""

@@ -45,3 +45,107 @@ def q_panel_region(spark, sf_dir):
 @query("panel_summary")
 def q_panel_summary(spark, sf_dir):
     return P.panel_summary(nation_panel(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Window and calendar features
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from demandgrid import constants as K  # noqa: E402
+from demandgrid.operators import features as X  # noqa: E402
+from demandgrid.operators import windows as W  # noqa: E402
+
+TREND_ANCHOR = _dt.date(1995, 1, 1)
+NATION_TIERS = (0.55, 0.70)   # nation means at sf0.01 span 0.43..0.81 per day
+FIRST_TRAIN_END = K.FOLD_SPEC[0][1]
+
+
+def _r6(c):
+    return F.round(F.col(c).cast("double"), 6).alias(c)
+
+
+def _ints(df, cols):
+    return df.withColumns({c: F.col(c).cast("int") for c in cols})
+
+
+@query("features_sql_table")
+def q_features_sql_table(spark, sf_dir):
+    """Lags 1/7/14/28, trailing means, the SQL-style rolling deviation."""
+    out = W.sql_feature_table(nation_panel(spark, sf_dir))
+    dbl = ["rolling_mean_7", "rolling_mean_14", "rolling_mean_28", "rolling_dev_7"]
+    return out.select("shipment_date", "entity", "n_shipments", "lag_1", "lag_7", "lag_14", "lag_28",
+                      *[_r6(c) for c in dbl])
+
+
+@query("feature_coverage")
+def q_feature_coverage(spark, sf_dir):
+    out = W.sql_feature_table(nation_panel(spark, sf_dir))
+    return W.feature_coverage(out, ["lag_1", "lag_28", "rolling_mean_7", "rolling_dev_7"])
+
+
+@query("features_rolling")
+def q_features_rolling(spark, sf_dir):
+    """Trailing mean/std/min/max over 7 and 28 rows, at least 3 rows."""
+    out = W.add_rolling(nation_panel(spark, sf_dir), (7, 28), W.ROLLING_STATS, min_periods=3)
+    names = [f"rolling_{s}_{w}" for w in (7, 28) for s in W.ROLLING_STATS]
+    return out.select("shipment_date", "entity", "n_shipments", *[_r6(c) for c in names])
+
+
+@query("features_calendar")
+def q_features_calendar(spark, sf_dir):
+    out = X.calendar_step(X.CALENDAR_FEATURES)(nation_panel(spark, sf_dir))
+    return _ints(out, X.CALENDAR_FEATURES)
+
+
+@query("features_holidays")
+def q_features_holidays(spark, sf_dir):
+    out = X.holiday_step()(nation_panel(spark, sf_dir))
+    return _ints(out, [c for c in X.HOLIDAY_FEATURES if c != "day_type"])
+
+
+@query("features_events")
+def q_features_events(spark, sf_dir):
+    out = X.event_step()(nation_panel(spark, sf_dir))
+    return _ints(out, X.event_feature_names())
+
+
+@query("features_trend")
+def q_features_trend(spark, sf_dir):
+    out = X.trend_step(TREND_ANCHOR)(nation_panel(spark, sf_dir))
+    return out.withColumns({"month_index": F.col("month_index").cast("int"),
+                            "year_progress": F.round(F.col("year_progress").cast("double"), 6)})
+
+
+def _train_stats(panel):
+    return X.volume_stats(panel.where(F.col("shipment_date") <= F.lit(FIRST_TRAIN_END)))
+
+
+@query("features_volume")
+def q_features_volume(spark, sf_dir):
+    panel = nation_panel(spark, sf_dir)
+    out = X.volume_step(_train_stats(panel), thresholds=NATION_TIERS)(panel)
+    return out.withColumn("state_avg_volume", F.round(F.col("state_avg_volume").cast("double"), 6))
+
+
+DEFAULT_FEATURES = ("lag_7", "lag_14", "rolling_mean_7", "rolling_std_7", "day_of_week", "month",
+                    "is_weekend", "is_month_start", "is_month_end", "is_holiday", "is_business_day",
+                    "is_saturday", "is_sunday", "is_operational", "day_type",
+                    *X.event_feature_names(), "days_since_start", "year_progress",
+                    "state_avg_volume", "volume_tier")
+
+
+@query("features_default")
+def q_features_default(spark, sf_dir):
+    """The canonical 23-feature table (+ is_operational, day_type)."""
+    panel = nation_panel(spark, sf_dir)
+    pipe = X.default_pipeline(_train_stats(panel), thresholds=NATION_TIERS,
+                              reference_date=TREND_ANCHOR)
+    out = pipe.transform(panel)
+    dbl = ("rolling_mean_7", "rolling_std_7", "year_progress", "state_avg_volume")
+    ints = [c for c in DEFAULT_FEATURES if c not in dbl and c not in ("day_type", "volume_tier")]
+    out = _ints(out, ints).withColumns(
+        {c: F.round(F.col(c).cast("double"), 6) for c in dbl})
+    return out.select("shipment_date", "entity", "n_shipments", *DEFAULT_FEATURES)
