@@ -294,3 +294,200 @@ LEFT JOIN holidays h ON h.hd = p.shipment_date
 JOIN event_days e ON e.shipment_date = p.shipment_date
 LEFT JOIN vol_stats s ON s.entity = p.entity
 WINDOW w AS (PARTITION BY p.entity ORDER BY p.shipment_date)"""
+
+
+# ---------------------------------------------------------------------------
+# Folds, baselines, evaluation
+# ---------------------------------------------------------------------------
+def folds_values() -> str:
+    rows = ", ".join(f"({f}, {_date(a)}, {_date(b)}, {_date(c)})" for f, a, b, c, _ in C.FOLD_SPEC)
+    return f"SELECT * FROM (VALUES {rows}) t(fold_id, train_end, test_start, test_end)"
+
+
+def backtest_ctes(src: str = "panel", season: int = 7) -> str:
+    """CTEs ending in ``bt(model, fold_id, shipment_date, entity, n_shipments, y_pred, y_lower, y_upper)``."""
+    return f"""
+folds AS ({folds_values()}),
+assigned AS (
+  SELECT f.fold_id, p.shipment_date, p.entity, p.n_shipments,
+         CASE WHEN p.shipment_date <= f.train_end THEN 'train' ELSE 'test' END AS split
+  FROM {src} p CROSS JOIN folds f CROSS JOIN (SELECT MIN(shipment_date) AS ts FROM {src}) b
+  WHERE (p.shipment_date BETWEEN b.ts AND f.train_end)
+     OR (p.shipment_date BETWEEN f.test_start AND f.test_end)
+),
+tr AS (SELECT * FROM assigned WHERE split = 'train'),
+te AS (SELECT fold_id, shipment_date, entity, CAST(n_shipments AS DOUBLE) AS n_shipments FROM assigned WHERE split = 'test'),
+hz AS (SELECT fold_id, COUNT(DISTINCT shipment_date) AS horizon FROM te GROUP BY fold_id),
+nv_state AS (
+  SELECT fold_id, entity, CAST(arg_max(n_shipments, shipment_date) AS DOUBLE) AS last_value,
+         CASE WHEN COUNT(d1) > 1 THEN stddev_samp(d1) ELSE 0.0 END AS resid_std
+  FROM (SELECT *, n_shipments - lag(n_shipments) OVER (PARTITION BY fold_id, entity ORDER BY shipment_date) AS d1 FROM tr)
+  GROUP BY fold_id, entity
+),
+tr_last AS (SELECT fold_id, MAX(shipment_date) AS last_date FROM tr GROUP BY fold_id),
+steps AS (SELECT fold_id, unnest(range(0, horizon)) AS k FROM hz),
+nv_pred AS (
+  SELECT 'naive' AS model, s.fold_id, CAST(l.last_date + INTERVAL (st.k + 1) DAY AS DATE) AS shipment_date,
+         s.entity, s.last_value AS y_pred,
+         greatest(0.0, s.last_value - 1.28 * s.resid_std) AS y_lower, s.last_value + 1.28 * s.resid_std AS y_upper
+  FROM nv_state s JOIN tr_last l USING (fold_id) JOIN steps st USING (fold_id)
+),
+sn_hist AS (
+  SELECT *, n_shipments - lag(n_shipments, {season}) OVER (PARTITION BY fold_id, entity ORDER BY shipment_date) AS ds,
+         row_number() OVER (PARTITION BY fold_id, entity ORDER BY shipment_date DESC) AS rn_desc
+  FROM tr
+),
+sn_std AS (
+  SELECT fold_id, entity, CASE WHEN COUNT(ds) > 1 THEN stddev_samp(ds) ELSE 0.0 END AS resid_std
+  FROM sn_hist GROUP BY fold_id, entity
+),
+sn_vals AS (SELECT fold_id, entity, {season} - rn_desc AS pos, CAST(n_shipments AS DOUBLE) AS v FROM sn_hist WHERE rn_desc <= {season}),
+sn_pred AS (
+  SELECT 'seasonal_naive' AS model, s.fold_id, CAST(l.last_date + INTERVAL (st.k + 1) DAY AS DATE) AS shipment_date,
+         s.entity, v.v AS y_pred,
+         greatest(0.0, v.v - 1.28 * s.resid_std) AS y_lower, v.v + 1.28 * s.resid_std AS y_upper
+  FROM sn_std s JOIN tr_last l USING (fold_id) JOIN steps st USING (fold_id)
+  JOIN sn_vals v ON v.fold_id = s.fold_id AND v.entity = s.entity AND v.pos = st.k % {season}
+),
+bt AS (
+  SELECT pr.model, pr.fold_id, pr.shipment_date, pr.entity, te.n_shipments, pr.y_pred, pr.y_lower, pr.y_upper
+  FROM (SELECT * FROM nv_pred UNION ALL SELECT * FROM sn_pred) pr
+  JOIN te ON te.fold_id = pr.fold_id AND te.entity = pr.entity AND te.shipment_date = pr.shipment_date
+)"""
+
+
+def _bt(body: str, extra: str = "") -> str:
+    return f"WITH {panel_ctes()}, {backtest_ctes()}{extra} {body}"
+
+
+WAPE = "sum(abs(n_shipments - y_pred)) / NULLIF(sum(abs(n_shipments)), 0)"
+METRICS = (f"round({WAPE}, 6) AS wape, round(avg(abs(n_shipments - y_pred)), 6) AS mae, "
+           "round(sqrt(avg(power(n_shipments - y_pred, 2))), 6) AS rmse, "
+           "round(avg(y_pred - n_shipments), 6) AS bias, COUNT(*) AS n_rows")
+
+
+@oracle("fold_sizes")
+def _():
+    return _bt("""SELECT fold_id, split, COUNT(*) AS n_rows, COUNT(DISTINCT shipment_date) AS n_days,
+       MIN(shipment_date) AS first_date, MAX(shipment_date) AS last_date FROM assigned GROUP BY fold_id, split""")
+
+
+def _bt_rows(model: str) -> str:
+    return _bt(f"""SELECT model, fold_id, shipment_date, entity, round(n_shipments, 6) AS n_shipments,
+       round(y_pred, 6) AS y_pred, round(y_lower, 6) AS y_lower, round(y_upper, 6) AS y_upper
+FROM bt WHERE model = '{model}'""")
+
+
+@oracle("backtest_naive")
+def _():
+    return _bt_rows("naive")
+
+
+@oracle("backtest_seasonal_naive")
+def _():
+    return _bt_rows("seasonal_naive")
+
+
+@oracle("backtest_metrics")
+def _():
+    return _bt(f"SELECT model, fold_id, {METRICS} FROM bt GROUP BY model, fold_id")
+
+
+def _bt_days() -> str:
+    flags = ", ".join(f"{v} AS {k}" for k, v in day_flags_sql("b.shipment_date").items())
+    return f""", {holiday_ctes('bt')},
+btd AS (SELECT b.*, {flags} FROM bt b LEFT JOIN holidays h ON h.hd = b.shipment_date)"""
+
+
+@oracle("backtest_metrics_operational")
+def _():
+    return _bt(f"SELECT model, fold_id, {METRICS} FROM btd WHERE is_operational = 1 GROUP BY model, fold_id",
+               _bt_days())
+
+
+@oracle("wape_by_entity")
+def _():
+    return _bt(f"""SELECT model, fold_id, entity, round(sum(abs(n_shipments - y_pred)) / sum(abs(n_shipments)), 6) AS wape
+FROM bt GROUP BY model, fold_id, entity HAVING sum(abs(n_shipments)) > 0""")
+
+
+@oracle("wape_by_day_type")
+def _():
+    return _bt(f"""SELECT model, day_type, round(sum(abs(n_shipments - y_pred)) / sum(abs(n_shipments)), 6) AS wape
+FROM btd GROUP BY model, day_type HAVING sum(abs(n_shipments)) > 0""", _bt_days())
+
+
+@oracle("wape_near_events")
+def _():
+    return _bt(f"""SELECT model, round({WAPE}, 6) AS wape, COUNT(*) AS n_rows FROM bt
+WHERE abs(date_diff('day', DATE '2000-11-24', shipment_date)) <= 3
+   OR abs(date_diff('day', DATE '2001-11-23', shipment_date)) <= 3
+GROUP BY model""")
+
+
+def named_windows_values() -> str:
+    rows = ", ".join(f"('{n}', {_date(a)}, {_date(b)})" for n, a, b in C.EVENT_WINDOWS)
+    return f"SELECT * FROM (VALUES {rows}) t(event, ws, we)"
+
+
+@oracle("event_window_wape")
+def _():
+    return _bt(f"""SELECT model, 'overall' AS event, round({WAPE}, 6) AS wape, COUNT(*) AS n_rows FROM bt GROUP BY model
+UNION ALL
+SELECT model, w.event, round({WAPE}, 6) AS wape, COUNT(*) AS n_rows
+FROM bt JOIN ({named_windows_values()}) w ON bt.shipment_date BETWEEN w.ws AND w.we
+GROUP BY model, w.event""")
+
+
+@oracle("entity_performance")
+def _():
+    return _bt(f"""SELECT model, fold_id, entity, round({WAPE}, 6) AS wape, round(sum(n_shipments), 6) AS total,
+       round(avg(n_shipments), 6) AS daily_mean FROM bt GROUP BY model, fold_id, entity""")
+
+
+HOLDOUT_PERF = f""", perf AS (
+  SELECT entity, {WAPE} AS wape, sum(n_shipments) AS total, avg(n_shipments) AS daily_mean
+  FROM bt WHERE model = 'seasonal_naive' AND fold_id = 4 GROUP BY entity)"""
+
+
+@oracle("best_worst_entities")
+def _():
+    return _bt("""SELECT entity, round(wape, 6) AS wape, round(total, 6) AS total, round(daily_mean, 6) AS daily_mean, rank_group FROM (
+  (SELECT *, 'best' AS rank_group FROM perf WHERE wape IS NOT NULL ORDER BY wape ASC, entity ASC LIMIT 5)
+  UNION ALL
+  (SELECT *, 'worst' AS rank_group FROM perf WHERE wape IS NOT NULL ORDER BY wape DESC, entity ASC LIMIT 5))""",
+               HOLDOUT_PERF)
+
+
+MET = f""", met AS (SELECT model, fold_id, {WAPE} AS wape, avg(abs(n_shipments - y_pred)) AS mae,
+  sqrt(avg(power(n_shipments - y_pred, 2))) AS rmse FROM bt GROUP BY model, fold_id)"""
+
+
+@oracle("fold_winner")
+def _():
+    return _bt("""SELECT fold_id, round(n, 6) AS naive_wape, round(s, 6) AS seasonal_naive_wape,
+       round(100.0 * (n - s) / s, 2) AS delta_pct, CASE WHEN n < s THEN 'naive' ELSE 'seasonal_naive' END AS winner
+FROM (SELECT fold_id, max(CASE WHEN model = 'naive' THEN wape END) AS n,
+             max(CASE WHEN model = 'seasonal_naive' THEN wape END) AS s FROM met GROUP BY fold_id)""", MET)
+
+
+@oracle("metric_mean_std")
+def _():
+    cols = ", ".join(f"round({f}({c}), 6) AS {c}_{n}" for c in ("wape", "mae", "rmse")
+                     for n, f in (("mean", "avg"), ("std", "stddev_samp")))
+    return _bt(f"SELECT model, {cols} FROM met GROUP BY model", MET)
+
+
+@oracle("wape_pivot_uplift")
+def _():
+    return _bt("""SELECT fold_id, round(n, 6) AS naive, round(s, 6) AS seasonal_naive, round(n - s, 6) AS uplift
+FROM (SELECT fold_id, max(CASE WHEN model = 'naive' THEN wape END) AS n,
+             max(CASE WHEN model = 'seasonal_naive' THEN wape END) AS s FROM met GROUP BY fold_id)""", MET)
+
+
+@oracle("spearman_volume_wape")
+def _():
+    return _bt("""SELECT round(corr(rx, ry), 6) AS spearman, COUNT(*) AS n FROM (
+  SELECT (rank() OVER (ORDER BY total) + (COUNT(*) OVER (PARTITION BY total) - 1) / 2.0) AS rx,
+         (rank() OVER (ORDER BY wape) + (COUNT(*) OVER (PARTITION BY wape) - 1) / 2.0) AS ry FROM perf)""",
+               HOLDOUT_PERF)

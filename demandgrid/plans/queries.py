@@ -149,3 +149,127 @@ def q_features_default(spark, sf_dir):
     out = _ints(out, ints).withColumns(
         {c: F.round(F.col(c).cast("double"), 6) for c in dbl})
     return out.select("shipment_date", "entity", "n_shipments", *DEFAULT_FEATURES)
+
+
+# ---------------------------------------------------------------------------
+# Folds, baselines, evaluation
+# ---------------------------------------------------------------------------
+from demandgrid.operators import evaluation as E  # noqa: E402
+from demandgrid.operators import folds as FO  # noqa: E402
+
+HOLDOUT_FOLD = 4
+
+
+def _round_cols(df, cols, nd=6):
+    return df.withColumns({c: F.round(F.col(c).cast("double"), nd) for c in cols})
+
+
+def nation_backtest(spark, sf_dir):
+    return E.backtest(nation_panel(spark, sf_dir), ("naive", "seasonal_naive"))
+
+
+@query("fold_sizes")
+def q_fold_sizes(spark, sf_dir):
+    return FO.fold_sizes(FO.assign_folds(nation_panel(spark, sf_dir)))
+
+
+@query("backtest_naive")
+def q_backtest_naive(spark, sf_dir):
+    out = E.backtest(nation_panel(spark, sf_dir), ("naive",))
+    return _round_cols(out, ["n_shipments", "y_pred", "y_lower", "y_upper"])
+
+
+@query("backtest_seasonal_naive")
+def q_backtest_seasonal(spark, sf_dir):
+    out = E.backtest(nation_panel(spark, sf_dir), ("seasonal_naive",))
+    return _round_cols(out, ["n_shipments", "y_pred", "y_lower", "y_upper"])
+
+
+@query("backtest_metrics")
+def q_backtest_metrics(spark, sf_dir):
+    out = E.metrics_by(nation_backtest(spark, sf_dir), ["model", "fold_id"])
+    return _round_cols(out, ["wape", "mae", "rmse", "bias"])
+
+
+@query("backtest_metrics_operational")
+def q_backtest_metrics_operational(spark, sf_dir):
+    preds = X.add_holiday_features(nation_backtest(spark, sf_dir))
+    out = E.metrics_by(preds.where(F.col("is_operational") == 1), ["model", "fold_id"])
+    return _round_cols(out, ["wape", "mae", "rmse", "bias"])
+
+
+@query("wape_by_entity")
+def q_wape_by_entity(spark, sf_dir):
+    out = E.wape_by_segment(nation_backtest(spark, sf_dir), "entity", extra_keys=["model", "fold_id"])
+    return _round_cols(out, ["wape"])
+
+
+@query("wape_by_day_type")
+def q_wape_by_day_type(spark, sf_dir):
+    preds = X.add_holiday_features(nation_backtest(spark, sf_dir))
+    return _round_cols(E.wape_by_segment(preds, "day_type", extra_keys=["model"]), ["wape"])
+
+
+@query("wape_near_events")
+def q_wape_near_events(spark, sf_dir):
+    """WAPE within +/-3 days of any Black Friday of the test years."""
+    events = [_dt.date(2000, 11, 24), _dt.date(2001, 11, 23)]
+    out = E.wape_in_event_window(nation_backtest(spark, sf_dir), events, 3, ["model"])
+    return _round_cols(out, ["wape"])
+
+
+@query("event_window_wape")
+def q_event_window_wape(spark, sf_dir):
+    """Overall and per named event window WAPE per model."""
+    preds = nation_backtest(spark, sf_dir)
+    overall = preds.groupBy("model").agg(E.M.wape().alias("wape"), F.count(F.lit(1)).alias("n_rows")) \
+        .withColumn("event", F.lit("overall"))
+    named = E.tag_named_windows(preds, K.EVENT_WINDOWS).groupBy("model", "event").agg(
+        E.M.wape().alias("wape"), F.count(F.lit(1)).alias("n_rows"))
+    return _round_cols(overall.unionByName(named), ["wape"])
+
+
+def _holdout_perf(spark, sf_dir):
+    preds = nation_backtest(spark, sf_dir).where(
+        (F.col("model") == "seasonal_naive") & (F.col("fold_id") == HOLDOUT_FOLD))
+    return E.entity_performance(preds)
+
+
+@query("entity_performance")
+def q_entity_performance(spark, sf_dir):
+    out = E.entity_performance(nation_backtest(spark, sf_dir), ["model", "fold_id"])
+    return _round_cols(out, ["wape", "total", "daily_mean"])
+
+
+@query("best_worst_entities")
+def q_best_worst(spark, sf_dir):
+    out = E.best_worst(_holdout_perf(spark, sf_dir), 5)
+    return _round_cols(out, ["wape", "total", "daily_mean"])
+
+
+@query("fold_winner")
+def q_fold_winner(spark, sf_dir):
+    m = E.metrics_by(nation_backtest(spark, sf_dir), ["model", "fold_id"])
+    return _round_cols(E.fold_winner(m, "naive", "seasonal_naive"), ["naive_wape", "seasonal_naive_wape"])
+
+
+@query("metric_mean_std")
+def q_metric_mean_std(spark, sf_dir):
+    m = E.metrics_by(nation_backtest(spark, sf_dir), ["model", "fold_id"])
+    out = m.groupBy("model").agg(*[f(c).alias(f"{c}_{n}") for c in ("wape", "mae", "rmse")
+                                   for n, f in (("mean", F.avg), ("std", F.stddev_samp))])
+    return _round_cols(out, [c for c in out.columns if c != "model"])
+
+
+@query("wape_pivot_uplift")
+def q_wape_pivot(spark, sf_dir):
+    """WAPE pivoted to one column per model, plus the difference."""
+    m = E.metrics_by(nation_backtest(spark, sf_dir), ["model", "fold_id"])
+    wide = m.groupBy("fold_id").pivot("model", ["naive", "seasonal_naive"]).agg(F.first("wape"))
+    wide = wide.withColumn("uplift", F.col("naive") - F.col("seasonal_naive"))
+    return _round_cols(wide, ["naive", "seasonal_naive", "uplift"])
+
+
+@query("spearman_volume_wape")
+def q_spearman(spark, sf_dir):
+    return _round_cols(E.spearman(_holdout_perf(spark, sf_dir), "total", "wape"), ["spearman"])
