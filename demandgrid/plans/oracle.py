@@ -491,3 +491,100 @@ def _():
   SELECT (rank() OVER (ORDER BY total) + (COUNT(*) OVER (PARTITION BY total) - 1) / 2.0) AS rx,
          (rank() OVER (ORDER BY wape) + (COUNT(*) OVER (PARTITION BY wape) - 1) / 2.0) AS ry FROM perf)""",
                HOLDOUT_PERF)
+
+
+# ---------------------------------------------------------------------------
+# Costs
+# ---------------------------------------------------------------------------
+def grid_values() -> str:
+    rows = ", ".join(f"({i}, {a})" for i, a in enumerate(C.ALPHA_GRID))
+    return f"SELECT pos, CAST(alpha AS DOUBLE) AS alpha FROM (VALUES {rows}) t(pos, alpha)"
+
+
+def ratio_values() -> str:
+    rows = ", ".join(f"({r})" for r in C.COST_RATIOS)
+    return f"SELECT CAST(cost_ratio AS DOUBLE) AS cost_ratio FROM (VALUES {rows}) t(cost_ratio)"
+
+
+PAIRED = f""", {holiday_ctes('bt')},
+paired AS (
+  SELECT p.*, {day_flags_sql('p.shipment_date')['is_operational']} AS is_operational FROM (
+    SELECT fold_id, shipment_date, entity, max(n_shipments) AS n_shipments,
+           max(CASE WHEN model = 'naive' THEN y_pred END) AS ym,
+           max(CASE WHEN model = 'seasonal_naive' THEN y_pred END) AS yb
+    FROM bt GROUP BY fold_id, shipment_date, entity) p
+  LEFT JOIN holidays h ON h.hd = p.shipment_date
+)"""
+
+
+def gain_sql(group: str, source: str) -> str:
+    """``source`` has columns {group}, n_shipments, ym, yb, shipment_date."""
+    return f"""
+src AS ({source}),
+per_alpha AS (
+  SELECT s.{group}, r.cost_ratio, g.pos, g.alpha,
+         sum(r.cost_ratio * greatest(s.n_shipments - greatest(s.ym * (1 + g.alpha), 0), 0)
+             + greatest(greatest(s.ym * (1 + g.alpha), 0) - s.n_shipments, 0)) AS cost
+  FROM src s CROSS JOIN ({ratio_values()}) r CROSS JOIN ({grid_values()}) g
+  GROUP BY s.{group}, r.cost_ratio, g.pos, g.alpha
+),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {group}, cost_ratio ORDER BY round(cost, 6), pos) AS rn
+                 FROM per_alpha) WHERE rn = 1
+),
+raw AS (
+  SELECT s.{group}, r.cost_ratio,
+         sum(r.cost_ratio * greatest(s.n_shipments - s.ym, 0) + greatest(s.ym - s.n_shipments, 0)) AS cm,
+         sum(r.cost_ratio * greatest(s.n_shipments - s.yb, 0) + greatest(s.yb - s.n_shipments, 0)) AS cb,
+         COUNT(*) AS n_rows, COUNT(DISTINCT s.shipment_date) AS n_days
+  FROM src s CROSS JOIN ({ratio_values()}) r GROUP BY s.{group}, r.cost_ratio
+),
+gains AS (
+  SELECT raw.{group}, raw.cost_ratio, raw.cost_ratio AS c_under, CAST(1.0 AS DOUBLE) AS c_over,
+         raw.cb - raw.cm AS gain_no_tuning, raw.cb - best.cost AS gain_tuned, best.alpha AS best_alpha,
+         raw.cm AS cost_model_no_tuning, best.cost AS cost_model_tuned, raw.cb AS cost_baseline,
+         (raw.cb - best.cost) - (raw.cb - raw.cm) AS tuning_uplift, raw.n_rows, raw.n_days
+  FROM raw JOIN best ON best.{group} = raw.{group} AND best.cost_ratio = raw.cost_ratio
+)"""
+
+
+GAIN_SELECT = ", ".join(f"round({c}, 6) AS {c}" for c in (
+    "gain_no_tuning", "gain_tuned", "best_alpha", "cost_model_no_tuning", "cost_model_tuned",
+    "cost_baseline", "tuning_uplift"))
+
+
+@oracle("gain_by_fold")
+def _():
+    src = "SELECT fold_id, n_shipments, ym, yb, shipment_date FROM paired WHERE is_operational = 1"
+    return _bt(f"SELECT fold_id, cost_ratio, c_under, c_over, {GAIN_SELECT}, n_rows, n_days FROM gains",
+               PAIRED + "," + gain_sql("fold_id", src))
+
+
+@oracle("gain_in_events")
+def _():
+    src = (f"SELECT w.event, p.n_shipments, p.ym, p.yb, p.shipment_date FROM paired p "
+           f"JOIN ({named_windows_values()}) w ON p.shipment_date BETWEEN w.ws AND w.we "
+           f"WHERE p.is_operational = 1")
+    return _bt(f"SELECT event, cost_ratio, c_under, c_over, {GAIN_SELECT}, n_rows, n_days FROM gains",
+               PAIRED + "," + gain_sql("event", src))
+
+
+@oracle("gain_totals")
+def _():
+    src = "SELECT fold_id, n_shipments, ym, yb, shipment_date FROM paired WHERE is_operational = 1"
+    return _bt("""SELECT cost_ratio, round(sum(gain_no_tuning), 6) AS total_gain_no_tuning,
+       round(sum(gain_tuned), 6) AS total_gain_tuned,
+       COUNT(*) FILTER (WHERE gain_no_tuning > 0) AS folds_won_no_tuning,
+       COUNT(*) FILTER (WHERE gain_tuned > 0) AS folds_won_tuned, COUNT(*) AS n_folds
+FROM gains GROUP BY cost_ratio""", PAIRED + "," + gain_sql("fold_id", src))
+
+
+@oracle("best_multiplier_by_entity")
+def _():
+    return _bt(f"""SELECT fold_id, entity, round(alpha, 6) AS best_alpha, round(cost, 6) AS best_cost FROM (
+  SELECT *, row_number() OVER (PARTITION BY fold_id, entity ORDER BY round(cost, 6), pos) AS rn FROM (
+    SELECT b.fold_id, b.entity, g.pos, g.alpha,
+           sum(3.0 * greatest(b.n_shipments - greatest(b.y_pred * (1 + g.alpha), 0), 0)
+               + 1.0 * greatest(greatest(b.y_pred * (1 + g.alpha), 0) - b.n_shipments, 0)) AS cost
+    FROM bt b CROSS JOIN ({grid_values()}) g WHERE b.model = 'seasonal_naive'
+    GROUP BY b.fold_id, b.entity, g.pos, g.alpha)) WHERE rn = 1""")

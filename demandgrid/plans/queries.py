@@ -273,3 +273,42 @@ def q_wape_pivot(spark, sf_dir):
 @query("spearman_volume_wape")
 def q_spearman(spark, sf_dir):
     return _round_cols(E.spearman(_holdout_perf(spark, sf_dir), "total", "wape"), ["spearman"])
+
+
+# ---------------------------------------------------------------------------
+# Costs
+# ---------------------------------------------------------------------------
+from demandgrid.operators import costs as CO  # noqa: E402
+
+GAIN_COLS = ["gain_no_tuning", "gain_tuned", "best_alpha", "cost_model_no_tuning",
+             "cost_model_tuned", "cost_baseline", "tuning_uplift"]
+
+
+def nation_paired(spark, sf_dir):
+    """Naive (model) vs seasonal naive (baseline) per fold, with day flags."""
+    paired = CO.paired_predictions(nation_backtest(spark, sf_dir), "naive", "seasonal_naive")
+    return X.add_holiday_features(paired)
+
+
+@query("gain_by_fold")
+def q_gain_by_fold(spark, sf_dir):
+    return _round_cols(CO.gain_by_fold(nation_paired(spark, sf_dir)), GAIN_COLS)
+
+
+@query("gain_in_events")
+def q_gain_in_events(spark, sf_dir):
+    return _round_cols(CO.gain_in_events(nation_paired(spark, sf_dir), K.EVENT_WINDOWS), GAIN_COLS)
+
+
+@query("gain_totals")
+def q_gain_totals(spark, sf_dir):
+    out = CO.totals_by_ratio(CO.gain_by_fold(nation_paired(spark, sf_dir)))
+    return _round_cols(out, ["total_gain_no_tuning", "total_gain_tuned"])
+
+
+@query("best_multiplier_by_entity")
+def q_best_multiplier(spark, sf_dir):
+    """Cost-minimising multiplier per (fold, entity) at 3x under-cost."""
+    preds = nation_backtest(spark, sf_dir).where(F.col("model") == "seasonal_naive")
+    return _round_cols(CO.best_multiplier(preds, ["fold_id", "entity"], 3.0, 1.0),
+                       ["best_alpha", "best_cost"])
