@@ -588,3 +588,216 @@ def _():
                + 1.0 * greatest(greatest(b.y_pred * (1 + g.alpha), 0) - b.n_shipments, 0)) AS cost
     FROM bt b CROSS JOIN ({grid_values()}) g WHERE b.model = 'seasonal_naive'
     GROUP BY b.fold_id, b.entity, g.pos, g.alpha)) WHERE rn = 1""")
+
+
+# ---------------------------------------------------------------------------
+# Conformal intervals and batch scoring
+# ---------------------------------------------------------------------------
+def sn_ctes(name: str, src: str, keys: str, horizon_src: str, season: int = 7) -> str:
+    """Seasonal naive keyed by ``keys`` (comma list, at least one column):
+    ``src(keys, shipment_date, entity, n_shipments)`` and
+    ``horizon_src(keys, horizon)`` -> ``{name}_pred(keys, shipment_date,
+    entity, y_pred, y_lower, y_upper)``."""
+    kl = [k.strip() for k in keys.split(",")]
+    on = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in kl)
+    return f"""
+{name}_hist AS (
+  SELECT *, n_shipments - lag(n_shipments, {season}) OVER (PARTITION BY {keys}, entity ORDER BY shipment_date) AS ds,
+         row_number() OVER (PARTITION BY {keys}, entity ORDER BY shipment_date DESC) AS rn_desc
+  FROM {src}
+),
+{name}_std AS (
+  SELECT {keys}, entity, CASE WHEN COUNT(ds) > 1 THEN stddev_samp(ds) ELSE 0.0 END AS resid_std
+  FROM {name}_hist GROUP BY {keys}, entity
+),
+{name}_last AS (SELECT {keys}, MAX(shipment_date) AS last_date FROM {src} GROUP BY {keys}),
+{name}_vals AS (SELECT {keys}, entity, {season} - rn_desc AS pos, CAST(n_shipments AS DOUBLE) AS v
+                FROM {name}_hist WHERE rn_desc <= {season}),
+{name}_steps AS (SELECT {keys}, unnest(range(0, horizon)) AS k FROM {horizon_src}),
+{name}_pred AS (
+  SELECT {', '.join('s.' + k for k in kl)}, CAST(l.last_date + INTERVAL (st.k + 1) DAY AS DATE) AS shipment_date,
+         s.entity, v.v AS y_pred, greatest(0.0, v.v - 1.28 * s.resid_std) AS y_lower, v.v + 1.28 * s.resid_std AS y_upper
+  FROM {name}_std s JOIN {name}_last l ON {on('l', 's')} JOIN {name}_steps st ON {on('st', 's')}
+  JOIN {name}_vals v ON {on('v', 's')} AND v.entity = s.entity AND v.pos = st.k % {season}
+)"""
+
+
+TRAIN_END_SQL = _date(C.FOLD_SPEC[-1][1])
+HOLDOUT_SQL = (_date(C.FOLD_SPEC[-1][2]), _date(C.FOLD_SPEC[-1][3]))
+
+
+def calib_lengths_values(lengths=None) -> str:
+    rows = ", ".join(f"({c})" for c in (lengths or C.CALIBRATION_LENGTHS))
+    return f"SELECT * FROM (VALUES {rows}) t(calib_days)"
+
+
+def conformal_ctes(lengths_sql: str) -> str:
+    """CTEs ``hist`` (panel up to the training end) and ``offs(calib_days,
+    lower_offset, upper_offset, n_residuals, coverage)``."""
+    return f"""
+hist AS (SELECT * FROM panel WHERE shipment_date <= {TRAIN_END_SQL}),
+cal AS ({lengths_sql}),
+hk AS (
+  SELECT c.calib_days, h.*,
+         h.shipment_date >= CAST((SELECT MAX(shipment_date) FROM hist) - INTERVAL (c.calib_days - 1) DAY AS DATE) AS is_cal
+  FROM hist h CROSS JOIN cal c
+),
+fitp AS (SELECT calib_days, shipment_date, entity, n_shipments FROM hk WHERE NOT is_cal),
+calp AS (SELECT calib_days, shipment_date, entity, n_shipments FROM hk WHERE is_cal),
+cal_hz AS (SELECT calib_days, COUNT(DISTINCT shipment_date) AS horizon FROM calp GROUP BY calib_days),
+{sn_ctes('cf', 'fitp', 'calib_days', 'cal_hz')},
+{holiday_ctes('calp')},
+resid AS (
+  SELECT c.calib_days, c.n_shipments - p.y_pred AS residual
+  FROM calp c JOIN cf_pred p ON p.calib_days = c.calib_days AND p.entity = c.entity AND p.shipment_date = c.shipment_date
+  LEFT JOIN holidays h ON h.hd = c.shipment_date
+  WHERE {day_flags_sql('c.shipment_date')['is_operational']} = 1
+),
+q AS (
+  SELECT calib_days, quantile_cont(residual, 0.05) AS lower_offset, quantile_cont(residual, 0.95) AS upper_offset,
+         COUNT(*) AS n_residuals FROM resid GROUP BY calib_days
+),
+offs AS (
+  SELECT q.*, (SELECT avg(CAST(r.residual BETWEEN q.lower_offset AND q.upper_offset AS DOUBLE))
+               FROM resid r WHERE r.calib_days = q.calib_days) AS coverage FROM q
+),
+hist1 AS (SELECT 0 AS g, shipment_date, entity, n_shipments FROM hist)"""
+
+
+def full_forecast_ctes(horizon: int) -> str:
+    return f"""
+fc_hz AS (SELECT 0 AS g, {horizon} AS horizon),
+{sn_ctes('fc', 'hist1', 'g', 'fc_hz')},
+fc AS (
+  SELECT p.shipment_date, p.entity, p.y_pred, o.calib_days,
+         greatest(0.0, p.y_pred + o.lower_offset) AS y_lower, p.y_pred + o.upper_offset AS y_upper
+  FROM fc_pred p CROSS JOIN offs o
+)"""
+
+
+@oracle("conformal_offsets")
+def _():
+    return f"""WITH {panel_ctes()}, {conformal_ctes(calib_lengths_values([60]))}
+SELECT round(lower_offset, 6) AS lower_offset, round(upper_offset, 6) AS upper_offset, n_residuals,
+       round(coverage, 6) AS coverage FROM offs"""
+
+
+@oracle("conformal_coverage_by_calibration")
+def _():
+    return f"""WITH {panel_ctes()}, {conformal_ctes(calib_lengths_values())}, {full_forecast_ctes(91)},
+truth AS (SELECT * FROM panel WHERE shipment_date BETWEEN {HOLDOUT_SQL[0]} AND {HOLDOUT_SQL[1]}),
+cov AS (
+  SELECT f.calib_days, avg(CAST(t.n_shipments BETWEEN f.y_lower AND f.y_upper AS DOUBLE)) AS holdout_coverage,
+         avg(f.y_upper - f.y_lower) AS mean_width, COUNT(*) AS n_rows
+  FROM fc f JOIN truth t ON t.shipment_date = f.shipment_date AND t.entity = f.entity GROUP BY f.calib_days
+)
+SELECT o.calib_days, round(o.lower_offset, 6) AS lower_offset, round(o.upper_offset, 6) AS upper_offset,
+       o.n_residuals, round(o.coverage, 6) AS calib_coverage, round(c.holdout_coverage, 6) AS holdout_coverage,
+       round(c.mean_width, 6) AS mean_width, c.n_rows
+FROM offs o JOIN cov c USING (calib_days)"""
+
+
+@oracle("conformal_forecast")
+def _():
+    return f"""WITH {panel_ctes()}, {conformal_ctes(calib_lengths_values([60]))}, {full_forecast_ctes(91)}
+SELECT shipment_date, entity, round(y_pred, 6) AS y_pred, round(y_lower, 6) AS y_lower,
+       round(y_upper, 6) AS y_upper FROM fc"""
+
+
+def requests_sql() -> str:
+    from demandgrid.plans.queries import REQUESTS
+
+    def v(x):
+        if x is None:
+            return "NULL"
+        if isinstance(x, bool):
+            return "TRUE" if x else "FALSE"
+        if isinstance(x, (int, float)):
+            return f"CAST({x} AS DOUBLE)"
+        if isinstance(x, list):
+            return "CAST([" + ", ".join(f"'{e}'" for e in x) + "] AS VARCHAR[])"
+        if hasattr(x, "isoformat"):
+            return _date(x)
+        return f"'{x}'"
+    rows = ", ".join("(" + ", ".join(v(x) for x in r) + ")" for r in REQUESTS)
+    return (f"SELECT * FROM (VALUES {rows}) t(request_id, start_date, end_date, entities, alpha, "
+            f"cost_ratio, include_intervals, include_cost_aware)")
+
+
+REQ_CHECK = f"""
+req AS ({requests_sql()}),
+known AS (SELECT DISTINCT entity FROM panel),
+unknown AS (
+  SELECT request_id, string_agg(e, ',' ORDER BY e) AS u FROM (
+    SELECT DISTINCT request_id, unnest(entities) AS e FROM req) x
+  WHERE e NOT IN (SELECT entity FROM known) GROUP BY request_id
+),
+checked AS (
+  SELECT r.*, CASE
+    WHEN r.end_date < r.start_date THEN 'end_date before start_date'
+    WHEN date_diff('day', r.start_date, r.end_date) > {C.MAX_WINDOW_DAYS} THEN 'window longer than {C.MAX_WINDOW_DAYS} days'
+    WHEN r.alpha IS NOT NULL AND NOT (r.alpha BETWEEN {C.ALPHA_RANGE[0]} AND {C.ALPHA_RANGE[1]}) THEN 'alpha out of range'
+    WHEN r.cost_ratio IS NOT NULL AND NOT (r.cost_ratio BETWEEN {C.COST_RATIO_RANGE[0]} AND {C.COST_RATIO_RANGE[1]}) THEN 'cost_ratio out of range'
+    WHEN r.start_date <= {TRAIN_END_SQL} THEN 'start_date not after last training date'
+    WHEN u.u IS NOT NULL THEN 'unknown entities: ' || u.u
+  END AS reason
+  FROM req r LEFT JOIN unknown u USING (request_id)
+)"""
+
+
+@oracle("request_checks")
+def _():
+    return f"WITH {panel_ctes()}, {REQ_CHECK} SELECT request_id, reason FROM checked"
+
+
+def scored_ctes(horizon: int) -> str:
+    da, dr = C.DEFAULT_ALPHA, C.DEFAULT_COST_RATIO
+    return f"""{REQ_CHECK}, {conformal_ctes(calib_lengths_values([60]))}, {full_forecast_ctes(horizon)},
+days AS (
+  SELECT c.*, CAST(unnest(range(CAST(start_date AS TIMESTAMP), CAST(end_date AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d
+  FROM checked c WHERE reason IS NULL
+),
+scored AS (
+  SELECT d.request_id, f.shipment_date AS date, f.entity, f.y_pred AS point,
+         CASE WHEN d.include_intervals THEN f.y_lower END AS lower_90,
+         CASE WHEN d.include_intervals THEN f.y_upper END AS upper_90,
+         CASE WHEN d.include_cost_aware THEN greatest(0.0, f.y_pred + COALESCE(d.alpha, {da}) *
+              CASE WHEN COALESCE(d.alpha, {da}) >= 0 THEN f.y_upper - f.y_pred ELSE f.y_pred - f.y_lower END) END AS recommended,
+         CASE WHEN d.include_cost_aware THEN COALESCE(d.alpha, {da}) END AS alpha_used,
+         CASE WHEN d.include_cost_aware THEN COALESCE(d.cost_ratio, {dr}) END AS cost_ratio_used,
+         CASE WHEN d.include_cost_aware THEN CASE WHEN d.alpha IS NOT NULL THEN 'request' ELSE 'server_default' END END AS alpha_source,
+         CASE WHEN d.include_cost_aware THEN CASE WHEN d.cost_ratio IS NOT NULL THEN 'request' ELSE 'server_default' END END AS cost_ratio_source
+  FROM days d JOIN fc f ON f.shipment_date = d.d
+  WHERE len(d.entities) = 0 OR list_contains(d.entities, f.entity)
+)"""
+
+
+def _scoring_horizon() -> int:
+    from demandgrid.plans.queries import REQUESTS
+    te = C.FOLD_SPEC[-1][1]
+    return max((r[2] - te).days for r in REQUESTS if r[2] > te and r[2] >= r[1]
+               and (r[2] - r[1]).days <= C.MAX_WINDOW_DAYS)
+
+
+@oracle("batch_scoring")
+def _():
+    return f"""WITH {panel_ctes()}, {scored_ctes(_scoring_horizon())}
+SELECT request_id, date, entity, round(point, 6) AS point, round(lower_90, 6) AS lower_90,
+       round(upper_90, 6) AS upper_90, round(recommended, 6) AS recommended, alpha_used, cost_ratio_used,
+       alpha_source, cost_ratio_source FROM scored"""
+
+
+@oracle("alpha_sweep")
+def _():
+    return f"""WITH {panel_ctes()}, {conformal_ctes(calib_lengths_values([60]))}, {full_forecast_ctes(14)}
+SELECT f.shipment_date, f.entity, a.alpha, round(f.y_pred, 6) AS y_pred,
+       round(greatest(0.0, f.y_pred + a.alpha * CASE WHEN a.alpha >= 0 THEN f.y_upper - f.y_pred
+                                                  ELSE f.y_pred - f.y_lower END), 6) AS recommended
+FROM fc f CROSS JOIN (SELECT CAST(alpha AS DOUBLE) AS alpha FROM (VALUES (-0.5), (0.0), (0.5), (1.0)) t(alpha)) a"""
+
+
+@oracle("day_snapshot")
+def _():
+    return f"""WITH {panel_ctes()}, {scored_ctes(_scoring_horizon())}
+SELECT entity, round(point, 6) AS point, round(recommended, 6) AS recommended FROM scored
+WHERE request_id = 'r1' AND date = DATE '2001-04-02' ORDER BY recommended DESC, entity"""

@@ -312,3 +312,113 @@ def q_best_multiplier(spark, sf_dir):
     preds = nation_backtest(spark, sf_dir).where(F.col("model") == "seasonal_naive")
     return _round_cols(CO.best_multiplier(preds, ["fold_id", "entity"], 3.0, 1.0),
                        ["best_alpha", "best_cost"])
+
+
+# ---------------------------------------------------------------------------
+# Conformal intervals and batch scoring
+# ---------------------------------------------------------------------------
+from demandgrid.operators import conformal as CF  # noqa: E402
+from demandgrid.operators import scoring as SC  # noqa: E402
+
+TRAIN_END = K.FOLD_SPEC[-1][1]          # 2001-03-31: last training day
+HOLDOUT = (K.FOLD_SPEC[-1][2], K.FOLD_SPEC[-1][3])
+
+
+def _history(spark, sf_dir):
+    return nation_panel(spark, sf_dir).where(F.col("shipment_date") <= F.lit(TRAIN_END))
+
+
+def _offsets_60(hist):
+    return CF.conformal_offsets(CF.calibration_residuals(hist, 60), 0.1)
+
+
+@query("conformal_offsets")
+def q_conformal_offsets(spark, sf_dir):
+    """Seasonal-naive base, 60 calibration days, alpha 0.1."""
+    out = _offsets_60(_history(spark, sf_dir))
+    return _round_cols(out, ["lower_offset", "upper_offset", "coverage"])
+
+
+@query("conformal_coverage_by_calibration")
+def q_conformal_coverage(spark, sf_dir):
+    """Offsets and holdout coverage for 30/45/60/90/120 calibration days."""
+    panel = nation_panel(spark, sf_dir)
+    hist = panel.where(F.col("shipment_date") <= F.lit(TRAIN_END))
+    keyed = hist.withColumn("calib_days", F.explode(F.array(*[F.lit(c) for c in K.CALIBRATION_LENGTHS])))
+    offs = CF.conformal_offsets(
+        CF.calibration_residuals(keyed, None, keys=["calib_days"], calib_col="calib_days"),
+        0.1, keys=["calib_days"])
+    horizon = (HOLDOUT[1] - HOLDOUT[0]).days + 1
+    base = CF.base_fit_predict(hist, horizon, "seasonal_naive", 7, (), "shipment_date", "entity",
+                               "n_shipments")
+    truth = P.date_window(panel, *HOLDOUT).select("shipment_date", "entity", "n_shipments")
+    per_len = base.withColumn("calib_days", F.explode(F.array(*[F.lit(c) for c in K.CALIBRATION_LENGTHS])))
+    scored = CF.apply_offsets(per_len, offs, ["calib_days"]).join(truth, ["shipment_date", "entity"])
+    cov = CF.interval_coverage(scored, keys=["calib_days"]).withColumnRenamed("coverage", "holdout_coverage")
+    out = offs.withColumnRenamed("coverage", "calib_coverage").join(cov, "calib_days")
+    return _round_cols(out, ["lower_offset", "upper_offset", "calib_coverage", "holdout_coverage",
+                             "mean_width"])
+
+
+@query("conformal_forecast")
+def q_conformal_forecast(spark, sf_dir):
+    """91 days past the training end with the calibrated interval."""
+    hist = _history(spark, sf_dir)
+    out = CF.conformal_forecast(hist, 91, _offsets_60(hist))
+    return _round_cols(out, ["y_pred", "y_lower", "y_upper"])
+
+
+# Fixed scoring requests (parameters; the forecast rows come from the data).
+REQUESTS = (
+    ("r1", _dt.date(2001, 4, 1), _dt.date(2001, 4, 30), [], None, None, True, True),
+    ("r2", _dt.date(2001, 5, 1), _dt.date(2001, 5, 14), ["NATION_1", "NATION_7"], 1.0, 5.0, True, True),
+    ("r3", _dt.date(2001, 4, 10), _dt.date(2001, 4, 20), [], -0.5, None, False, True),
+    ("r4", _dt.date(2001, 6, 1), _dt.date(2001, 6, 30), ["NATION_3"], None, None, True, False),
+    ("bad_order", _dt.date(2001, 5, 10), _dt.date(2001, 5, 1), [], None, None, True, True),
+    ("bad_long", _dt.date(2001, 4, 1), _dt.date(2001, 8, 1), [], None, None, True, True),
+    ("bad_alpha", _dt.date(2001, 4, 1), _dt.date(2001, 4, 2), [], 3.0, None, True, True),
+    ("bad_ratio", _dt.date(2001, 4, 1), _dt.date(2001, 4, 2), [], None, 20.0, True, True),
+    ("bad_start", _dt.date(2001, 3, 1), _dt.date(2001, 4, 2), [], None, None, True, True),
+    ("bad_entity", _dt.date(2001, 4, 1), _dt.date(2001, 4, 2), ["NOWHERE"], None, None, True, True),
+)
+
+
+def _checked_requests(spark, sf_dir):
+    panel = nation_panel(spark, sf_dir)
+    return SC.validate_requests(SC.requests_frame(spark, REQUESTS), TRAIN_END, panel), panel
+
+
+@query("request_checks")
+def q_request_checks(spark, sf_dir):
+    req, _ = _checked_requests(spark, sf_dir)
+    return req.select("request_id", "reason")
+
+
+def _scored(spark, sf_dir):
+    req, panel = _checked_requests(spark, sf_dir)
+    hist = panel.where(F.col("shipment_date") <= F.lit(TRAIN_END))
+    horizon = max((r[2] - TRAIN_END).days for r in REQUESTS if r[2] > TRAIN_END and r[2] >= r[1]
+                  and (r[2] - r[1]).days <= K.MAX_WINDOW_DAYS)
+    fc = CF.conformal_forecast(hist, horizon, _offsets_60(hist))
+    return SC.score_requests(fc, req)
+
+
+@query("batch_scoring")
+def q_batch_scoring(spark, sf_dir):
+    return _round_cols(_scored(spark, sf_dir), ["point", "lower_90", "upper_90", "recommended"])
+
+
+@query("alpha_sweep")
+def q_alpha_sweep(spark, sf_dir):
+    hist = _history(spark, sf_dir)
+    fc = CF.conformal_forecast(hist, 14, _offsets_60(hist))
+    out = SC.alpha_sweep(fc, (-0.5, 0.0, 0.5, 1.0))
+    return _round_cols(out.select("shipment_date", "entity", "alpha", "y_pred", "recommended"),
+                       ["y_pred", "recommended"])
+
+
+@query("day_snapshot")
+def q_day_snapshot(spark, sf_dir):
+    scored = _scored(spark, sf_dir).where(F.col("request_id") == "r1")
+    out = SC.day_snapshot(scored, _dt.date(2001, 4, 2)).select("entity", "point", "recommended")
+    return _round_cols(out, ["point", "recommended"])
