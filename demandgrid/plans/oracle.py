@@ -24,15 +24,16 @@ def _date(d) -> str:
     return f"DATE '{d.isoformat()}'"
 
 
-def panel_ctes(grain: str = "nation") -> str:
-    """CTE chain ending in ``panel(shipment_date, entity, n_shipments)``."""
+def panel_ctes(grain: str = "nation", name: str = "panel") -> str:
+    """CTE chain ending in ``{name}(shipment_date, entity, n_shipments)``."""
     statuses = ", ".join(f"'{s}'" for s in C.SHIPPED_STATUSES)
     if grain == "nation":
         ent, extra = "n.n_name", ""
     else:
         ent, extra = "r.r_name", "JOIN region r ON r.r_regionkey = n.n_regionkey"
+    x = "" if name == "panel" else f"{name}_"
     return f"""
-valid AS (
+{x}valid AS (
   SELECT CAST(l.l_shipdate AS DATE) AS shipment_date, {ent} AS entity
   FROM lineitem l
   JOIN orders o ON o.o_orderkey = l.l_orderkey
@@ -41,19 +42,19 @@ valid AS (
   {extra}
   WHERE o.o_orderstatus IN ({statuses}) AND l.l_shipdate IS NOT NULL
 ),
-raw_counts AS (
-  SELECT shipment_date, entity, COUNT(*) AS n_shipments FROM valid GROUP BY 1, 2
+{x}raw_counts AS (
+  SELECT shipment_date, entity, COUNT(*) AS n_shipments FROM {x}valid GROUP BY 1, 2
 ),
-bounds AS (SELECT MIN(shipment_date) AS lo, MAX(shipment_date) AS hi FROM raw_counts),
-date_spine AS (
+{x}bounds AS (SELECT MIN(shipment_date) AS lo, MAX(shipment_date) AS hi FROM {x}raw_counts),
+{x}date_spine AS (
   SELECT CAST(d AS DATE) AS shipment_date
-  FROM bounds, range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)
+  FROM {x}bounds, range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)
 ),
-entity_spine AS (SELECT DISTINCT entity FROM raw_counts),
-panel AS (
+{x}entity_spine AS (SELECT DISTINCT entity FROM {x}raw_counts),
+{name} AS (
   SELECT g.shipment_date, g.entity, CAST(COALESCE(r.n_shipments, 0) AS BIGINT) AS n_shipments
-  FROM (SELECT * FROM date_spine CROSS JOIN entity_spine) g
-  LEFT JOIN raw_counts r ON r.shipment_date = g.shipment_date AND r.entity = g.entity
+  FROM (SELECT * FROM {x}date_spine CROSS JOIN {x}entity_spine) g
+  LEFT JOIN {x}raw_counts r ON r.shipment_date = g.shipment_date AND r.entity = g.entity
 )"""
 
 
@@ -801,3 +802,192 @@ def _():
     return f"""WITH {panel_ctes()}, {scored_ctes(_scoring_horizon())}
 SELECT entity, round(point, 6) AS point, round(recommended, 6) AS recommended FROM scored
 WHERE request_id = 'r1' AND date = DATE '2001-04-02' ORDER BY recommended DESC, entity"""
+
+
+# ---------------------------------------------------------------------------
+# Exploratory aggregates, checks, profiles, second panel
+# ---------------------------------------------------------------------------
+NATIONAL = """, national AS (SELECT shipment_date, CAST(SUM(n_shipments) AS BIGINT) AS total FROM panel GROUP BY shipment_date)"""
+
+
+def national_days_ctes() -> str:
+    dow = "(isodow(n.shipment_date) - 1)"
+    hol = "(h.hd IS NOT NULL)"
+    dt = (f"CASE WHEN {dow} = 6 THEN 'sunday' WHEN {hol} THEN 'holiday' WHEN {dow} = 5 THEN 'saturday' "
+          f"ELSE 'business_day' END")
+    return f"""{NATIONAL}, {holiday_ctes('national')},
+nd AS (
+  SELECT n.*, {dt} AS day_type FROM national n LEFT JOIN holidays h ON h.hd = n.shipment_date
+),
+ndays AS (
+  SELECT *, CAST(day_type = 'business_day' AS INTEGER) AS is_business_day,
+         CAST(day_type IN ('business_day', 'saturday') AS INTEGER) AS is_operational FROM nd
+)"""
+
+
+def _p(body: str, extra: str = "") -> str:
+    return f"WITH {panel_ctes()}{extra} {body}"
+
+
+@oracle("national_daily_total")
+def _():
+    return _p("SELECT * FROM national", NATIONAL)
+
+
+@oracle("monthly_summary")
+def _():
+    return _p("""SELECT strftime(shipment_date, '%Y-%m') AS year_month, COUNT(*) AS n_days,
+       round(avg(total), 1) AS mean_per_day, CAST(sum(total) AS BIGINT) AS total
+FROM national GROUP BY 1""", NATIONAL)
+
+
+@oracle("weekday_stats")
+def _():
+    return _p("""SELECT *, round(100.0 * a / max(a) OVER (), 6) AS pct_of_peak FROM (
+  SELECT CAST(isodow(shipment_date) - 1 AS INTEGER) AS dow_num, dayname(shipment_date) AS dow_name,
+         round(avg(total), 6) AS avg_value, round(quantile_cont(total::DOUBLE, 0.5), 6) AS median_value,
+         round(stddev_samp(total), 6) AS std_value, COUNT(*) AS n_days, avg(total) AS a
+  FROM ndays WHERE is_business_day = 1 GROUP BY 1, 2) x""".replace("SELECT *,", "SELECT dow_num, dow_name, avg_value, median_value, std_value, n_days,"),
+              national_days_ctes())
+
+
+@oracle("day_type_stats")
+def _():
+    return _p("""SELECT day_type, COUNT(*) AS n_days, round(avg(total), 6) AS avg_value,
+       round(quantile_cont(total::DOUBLE, 0.5), 6) AS median_value, min(total) AS min_value, max(total) AS max_value
+FROM ndays GROUP BY day_type""", national_days_ctes())
+
+
+@oracle("day_type_counts")
+def _():
+    return _p("SELECT day_type, COUNT(*) AS count FROM ndays GROUP BY day_type", national_days_ctes())
+
+
+@oracle("describe_daily_total")
+def _():
+    return _p("""SELECT COUNT(total) AS count, round(avg(total), 6) AS mean, round(stddev_samp(total), 6) AS std,
+       round(CAST(min(total) AS DOUBLE), 6) AS min, round(quantile_cont(total::DOUBLE, 0.25), 6) AS p25,
+       round(quantile_cont(total::DOUBLE, 0.5), 6) AS p50, round(quantile_cont(total::DOUBLE, 0.75), 6) AS p75,
+       round(CAST(max(total) AS DOUBLE), 6) AS max FROM national""", NATIONAL)
+
+
+@oracle("operational_share")
+def _():
+    return _p("""SELECT round(CAST(sum(CASE WHEN is_operational = 1 THEN total ELSE 0 END) AS DOUBLE) / sum(total), 6) AS share,
+       COUNT(*) FILTER (WHERE is_operational = 1) AS n_kept, COUNT(*) AS n_total FROM ndays""", national_days_ctes())
+
+
+@oracle("month_weekday_matrix")
+def _():
+    cols = ", ".join(f"round(avg(CASE WHEN dayname(shipment_date) = '{d}' THEN total END), 6) AS {d}"
+                     for d in ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"))
+    return _p(f"SELECT strftime(shipment_date, '%Y-%m') AS year_month, {cols} FROM ndays "
+              f"WHERE is_business_day = 1 GROUP BY 1", national_days_ctes())
+
+
+@oracle("zero_business_days")
+def _():
+    flags = day_flags_sql()
+    return _p(f"""SELECT p.entity, COUNT(*) AS n_zero_business_days FROM panel p
+LEFT JOIN holidays h ON h.hd = p.shipment_date
+WHERE p.n_shipments = 0 AND {flags['is_business_day']} = 1 GROUP BY p.entity""", ", " + holiday_ctes())
+
+
+@oracle("panel_density_check")
+def _():
+    return f"""WITH {panel_ctes('nation')}, {panel_ctes('region', 'rpanel')}
+SELECT COUNT(DISTINCT shipment_date) * COUNT(DISTINCT entity) AS expected, COUNT(*) AS actual,
+       'panel_nation' AS table_name,
+       CASE WHEN COUNT(DISTINCT shipment_date) * COUNT(DISTINCT entity) = COUNT(*) THEN 'ok' ELSE 'MISMATCH' END AS status
+FROM panel
+UNION ALL
+SELECT COUNT(DISTINCT shipment_date) * COUNT(DISTINCT entity), COUNT(*), 'panel_region',
+       CASE WHEN COUNT(DISTINCT shipment_date) * COUNT(DISTINCT entity) = COUNT(*) THEN 'ok' ELSE 'MISMATCH' END
+FROM rpanel"""
+
+
+@oracle("table_row_counts")
+def _():
+    from demandgrid.sources.tables import TABLES
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in TABLES)
+
+
+@oracle("table_checks")
+def _():
+    def nulls(t, cols):
+        return " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, 'not_null' AS \"check\", '{c}' AS column_name, "
+            f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_violations FROM {t}" for c in cols)
+
+    def rule(t, name, pred, src=None):
+        return (f"SELECT '{t}' AS table_name, 'rule' AS \"check\", '{name}' AS column_name, "
+                f"CAST(COUNT(*) FILTER (WHERE NOT ({pred})) AS BIGINT) AS n_violations FROM {src or t}")
+
+    def dup(t, key):
+        return (f"SELECT '{t}' AS table_name, 'primary_key' AS \"check\", '{key.replace(' ', '')}' AS column_name, "
+                f"CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS n_violations FROM "
+                f"(SELECT COUNT(*) AS n FROM {t} GROUP BY {key} HAVING COUNT(*) > 1) d")
+
+    def fk(t, ck, p, pk):
+        return (f"SELECT '{t}' AS table_name, 'foreign_key' AS \"check\", '{ck}->{pk}' AS column_name, "
+                f"CAST(COUNT(*) AS BIGINT) AS n_violations FROM {t} c "
+                f"WHERE c.{ck} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} WHERE {p}.{pk} = c.{ck})")
+    parts = [nulls("lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"]),
+             nulls("orders", ["o_orderkey", "o_custkey", "o_orderstatus"]),
+             rule("lineitem", "l_quantity_positive", "l_quantity > 0"),
+             rule("lineitem", "l_discount_0_1", "l_discount BETWEEN 0 AND 1"),
+             rule("panel_nation", "n_shipments_nonneg", "n_shipments >= 0", "panel"),
+             dup("lineitem", "l_orderkey, l_linenumber"), dup("orders", "o_orderkey"),
+             dup("customer", "c_custkey"),
+             fk("orders", "o_custkey", "customer", "c_custkey"),
+             fk("lineitem", "l_orderkey", "orders", "o_orderkey"),
+             fk("lineitem", "l_partkey", "part", "p_partkey"),
+             fk("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+             fk("customer", "c_nationkey", "nation", "n_nationkey")]
+    return f"WITH {panel_ctes()} " + "\nUNION ALL ".join(parts)
+
+
+@oracle("column_profile")
+def _():
+    spec = {"orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                       ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
+            "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
+                         ("c_acctbal", "double"), ("c_mktsegment", "string")],
+            "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")]}
+    parts = []
+    for t, cols in spec.items():
+        for c, ty in cols:
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{ty}' AS data_type, "
+                         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_nulls, "
+                         f"round(100.0 * COUNT(*) FILTER (WHERE {c} IS NULL) / COUNT(*), 2) AS pct_nulls, "
+                         f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct FROM {t}")
+    return "\nUNION ALL ".join(parts)
+
+
+EVENTS_PANEL = """
+ev_raw AS (SELECT CAST(ts AS DATE) AS shipment_date, event_type AS entity, COUNT(*) AS n
+           FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL GROUP BY 1, 2),
+ev_b AS (SELECT MIN(shipment_date) AS lo, MAX(shipment_date) AS hi FROM ev_raw),
+ev_spine AS (SELECT CAST(d AS DATE) AS shipment_date FROM ev_b,
+             range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)),
+ev_panel AS (
+  SELECT g.shipment_date, g.entity, CAST(COALESCE(r.n, 0) AS BIGINT) AS n_shipments
+  FROM (SELECT * FROM ev_spine CROSS JOIN (SELECT DISTINCT entity FROM ev_raw)) g
+  LEFT JOIN ev_raw r ON r.shipment_date = g.shipment_date AND r.entity = g.entity
+)"""
+
+
+@oracle("events_panel")
+def _():
+    return f"WITH {EVENTS_PANEL} SELECT * FROM ev_panel"
+
+
+@oracle("events_panel_features")
+def _():
+    frame = "(PARTITION BY entity ORDER BY shipment_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)"
+    return f"""WITH {EVENTS_PANEL}
+SELECT shipment_date, entity, n_shipments,
+  CAST(lag(n_shipments, 1) OVER w AS INTEGER) AS lag_1, CAST(lag(n_shipments, 7) OVER w AS INTEGER) AS lag_7,
+  round(CASE WHEN count(n_shipments) OVER {frame} >= 2 THEN avg(n_shipments) OVER {frame} END, 6) AS rolling_mean_7,
+  round(CASE WHEN count(n_shipments) OVER {frame} >= 2 THEN stddev_samp(n_shipments) OVER {frame} END, 6) AS rolling_std_7
+FROM ev_panel WINDOW w AS (PARTITION BY entity ORDER BY shipment_date)"""

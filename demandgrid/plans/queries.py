@@ -422,3 +422,146 @@ def q_day_snapshot(spark, sf_dir):
     scored = _scored(spark, sf_dir).where(F.col("request_id") == "r1")
     out = SC.day_snapshot(scored, _dt.date(2001, 4, 2)).select("entity", "point", "recommended")
     return _round_cols(out, ["point", "recommended"])
+
+
+# ---------------------------------------------------------------------------
+# Exploratory aggregates, contract checks, profiles, second panel
+# ---------------------------------------------------------------------------
+from demandgrid.operators import checks as CH  # noqa: E402
+from demandgrid.operators import eda as EDA  # noqa: E402
+from demandgrid.sources import profile as PR  # noqa: E402
+
+
+def national_days(spark, sf_dir, sunday_first=True):
+    daily = EDA.national_total(nation_panel(spark, sf_dir))
+    return X.add_holiday_features(daily, sunday_first=sunday_first)
+
+
+@query("national_daily_total")
+def q_national_total(spark, sf_dir):
+    return EDA.national_total(nation_panel(spark, sf_dir))
+
+
+@query("monthly_summary")
+def q_monthly_summary(spark, sf_dir):
+    return EDA.monthly_summary(EDA.national_total(nation_panel(spark, sf_dir)))
+
+
+@query("weekday_stats")
+def q_weekday_stats(spark, sf_dir):
+    days = national_days(spark, sf_dir).where(F.col("is_business_day") == 1)
+    out = EDA.share_of_peak(EDA.weekday_stats(days))
+    return _round_cols(out, ["avg_value", "median_value", "std_value", "pct_of_peak"])
+
+
+@query("day_type_stats")
+def q_day_type_stats(spark, sf_dir):
+    out = EDA.group_stats(national_days(spark, sf_dir), "day_type")
+    return _round_cols(out, ["avg_value", "median_value"])
+
+
+@query("day_type_counts")
+def q_day_type_counts(spark, sf_dir):
+    return EDA.value_counts(national_days(spark, sf_dir), "day_type")
+
+
+@query("describe_daily_total")
+def q_describe(spark, sf_dir):
+    out = EDA.describe(EDA.national_total(nation_panel(spark, sf_dir)), "total")
+    return _round_cols(out, ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
+@query("operational_share")
+def q_operational_share(spark, sf_dir):
+    out = EDA.retained_share(national_days(spark, sf_dir), F.col("is_operational") == 1)
+    return _round_cols(out, ["share"])
+
+
+@query("month_weekday_matrix")
+def q_month_weekday(spark, sf_dir):
+    days = national_days(spark, sf_dir).where(F.col("is_business_day") == 1)
+    out = EDA.month_weekday_matrix(days)
+    return _round_cols(out, list(EDA.WEEKDAYS[:6]))
+
+
+@query("zero_business_days")
+def q_zero_business_days(spark, sf_dir):
+    """Zero-shipment business days per entity (anomaly count)."""
+    feats = X.add_holiday_features(nation_panel(spark, sf_dir))
+    z = EDA.zero_days(feats).where(F.col("is_business_day") == 1)
+    return z.groupBy("entity").agg(F.count(F.lit(1)).alias("n_zero_business_days"))
+
+
+@query("panel_density_check")
+def q_panel_density(spark, sf_dir):
+    """Expected rows (days x entities) vs stored rows of both panels."""
+    parts = []
+    for name, pnl in (("panel_nation", nation_panel(spark, sf_dir)), ("panel_region", region_panel(spark, sf_dir))):
+        parts.append(pnl.agg(
+            (F.count_distinct("shipment_date") * F.count_distinct("entity")).alias("expected"),
+            F.count(F.lit(1)).alias("actual")).withColumn("table_name", F.lit(name)))
+    out = parts[0].unionByName(parts[1])
+    return out.withColumn("status", F.when(F.col("expected") == F.col("actual"), "ok").otherwise("MISMATCH"))
+
+
+@query("table_row_counts")
+def q_row_counts(spark, sf_dir):
+    return PR.row_counts({t: S.read_table(spark, sf_dir, t) for t in S.TABLES})
+
+
+@query("table_checks")
+def q_table_checks(spark, sf_dir):
+    """NOT NULL, value rules, key uniqueness and foreign keys of the facts."""
+    rd = lambda t, cols=None: S.read_table(spark, sf_dir, t, cols)
+    li, od, cu, na = rd("lineitem"), rd("orders"), rd("customer"), rd("nation")
+    nulls = CH.null_counts(li, ["l_orderkey", "l_linenumber", "l_shipdate"], "lineitem").unionByName(
+        CH.null_counts(od, ["o_orderkey", "o_custkey", "o_orderstatus"], "orders"))
+    rules = CH.rule_violations(li, {"l_quantity_positive": F.col("l_quantity") > 0,
+                                    "l_discount_0_1": F.col("l_discount").between(0, 1)}, "lineitem") \
+        .unionByName(CH.rule_violations(nation_panel(spark, sf_dir),
+                                        {"n_shipments_nonneg": F.col("n_shipments") >= 0}, "panel_nation"))
+    a = nulls.unionByName(rules).select("table_name", "check", "column_name",
+                                        F.col("n_violations").cast("long").alias("n_violations"))
+    dups = [CH.duplicate_keys(li, ["l_orderkey", "l_linenumber"], "lineitem"),
+            CH.duplicate_keys(od, ["o_orderkey"], "orders"),
+            CH.duplicate_keys(cu, ["c_custkey"], "customer")]
+    b = dups[0]
+    for d in dups[1:]:
+        b = b.unionByName(d)
+    b = b.select("table_name", F.lit("primary_key").alias("check"), F.col("key").alias("column_name"),
+                 F.col("n_extra_rows").alias("n_violations"))
+    fks = [CH.orphans(od, cu, "o_custkey", "c_custkey", "orders"),
+           CH.orphans(li, od, "l_orderkey", "o_orderkey", "lineitem"),
+           CH.orphans(li, rd("part"), "l_partkey", "p_partkey", "lineitem"),
+           CH.orphans(li, rd("supplier"), "l_suppkey", "s_suppkey", "lineitem"),
+           CH.orphans(cu, na, "c_nationkey", "n_nationkey", "customer")]
+    c = fks[0]
+    for f in fks[1:]:
+        c = c.unionByName(f)
+    c = c.select("table_name", F.lit("foreign_key").alias("check"), F.col("fk").alias("column_name"),
+                 F.col("n_orphans").alias("n_violations"))
+    return a.unionByName(b).unionByName(c)
+
+
+@query("column_profile")
+def q_column_profile(spark, sf_dir):
+    parts = [PR.column_profile(S.read_table(spark, sf_dir, t), t) for t in ("orders", "customer", "nation")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("events_panel")
+def q_events_panel(spark, sf_dir):
+    """Second panel: events per day and event type, dense."""
+    return P.build_panel(S.event_rows(spark, sf_dir))
+
+
+@query("events_panel_features")
+def q_events_panel_features(spark, sf_dir):
+    """Lags and trailing stats on the events panel (entity = event type)."""
+    pnl = P.build_panel(S.event_rows(spark, sf_dir))
+    out = W.add_rolling(W.add_lags(pnl, (1, 7)), (7,), ("mean", "std"), min_periods=2)
+    return _round_cols(out, ["rolling_mean_7", "rolling_std_7"]).withColumns(
+        {c: F.col(c).cast("int") for c in ("lag_1", "lag_7")})
