@@ -51,6 +51,25 @@ def valentine(year) -> Column:
     return F.make_date(_c(year).cast("int"), F.lit(m), F.lit(d))
 
 
+def is_holiday(d) -> Column:
+    """True when ``d`` is a non-operational holiday of its own year.
+
+    Every holiday of year Y falls in year Y, so testing the row's own year
+    equals testing membership in the set built for a range of years — and
+    needs no join, no subquery and no pass over the data.
+    """
+    d = _c(d)
+    y, m, dd = F.year(d), F.month(d), F.dayofmonth(d)
+    fixed = [(m == mm) & (dd == x) for mm, x in FIXED_HOLIDAYS]
+    fixed += [(y >= first) & (m == mm) & (dd == x) for first, mm, x in LATER_FIXED_HOLIDAYS]
+    delta = F.datediff(d, easter(y))
+    movable = delta.isin(list(EASTER_OFFSETS))
+    out = movable
+    for f in fixed:
+        out = out | f
+    return out
+
+
 def holiday_dates_for_years(years: DataFrame, year_col: str = "year",
                             out_col: str = "holiday_date") -> DataFrame:
     """Non-operational holidays of each year in ``years``: the fixed-date

@@ -67,8 +67,19 @@ def build_panel(rows: DataFrame, date_col: str = DATE_COL, entity_col: str = ENT
 
 def panel_from_counts(counts: DataFrame, date_col: str = DATE_COL, entity_col: str = ENTITY_COL,
                       target_col: str = TARGET_COL) -> DataFrame:
-    """Sparse counts -> dense panel, the counts materialized once."""
-    return densify(materialize(counts), date_col, entity_col, target_col)
+    """Sparse counts -> dense panel, materialized once.
+
+    The counts are persisted while the three grid branches (bounds, entity
+    spine, join) read them, so the fact scan and join run once; the dense
+    panel is then checkpointed, so every downstream branch (folds, models,
+    calendars) reads the small materialized panel instead of re-deriving it.
+    """
+    from pyspark import StorageLevel
+    cached = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return materialize(densify(cached, date_col, entity_col, target_col))
+    finally:
+        cached.unpersist()
 
 
 def panel_summary(panel: DataFrame, date_col: str = DATE_COL, entity_col: str = ENTITY_COL,

@@ -991,3 +991,8 @@ SELECT shipment_date, entity, n_shipments,
   round(CASE WHEN count(n_shipments) OVER {frame} >= 2 THEN avg(n_shipments) OVER {frame} END, 6) AS rolling_mean_7,
   round(CASE WHEN count(n_shipments) OVER {frame} >= 2 THEN stddev_samp(n_shipments) OVER {frame} END, 6) AS rolling_std_7
 FROM ev_panel WINDOW w AS (PARTITION BY entity ORDER BY shipment_date)"""
+
+
+@oracle("holiday_calendar")
+def _():
+    return f"WITH {panel_ctes()}, {holiday_ctes()} SELECT hd AS holiday_date FROM holidays"

@@ -565,3 +565,11 @@ def q_events_panel_features(spark, sf_dir):
     out = W.add_rolling(W.add_lags(pnl, (1, 7)), (7,), ("mean", "std"), min_periods=2)
     return _round_cols(out, ["rolling_mean_7", "rolling_std_7"]).withColumns(
         {c: F.col(c).cast("int") for c in ("lag_1", "lag_7")})
+
+
+@query("holiday_calendar")
+def q_holiday_calendar(spark, sf_dir):
+    """Holiday dates (fixed list U Easter-relative, deduplicated) for every
+    year from the panel's first to last year."""
+    from demandgrid.functions import calendar as cal
+    return cal.holiday_dates(nation_panel(spark, sf_dir), "shipment_date")
