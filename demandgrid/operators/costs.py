@@ -98,6 +98,12 @@ def best_multiplier(df: DataFrame, group_cols: Sequence[str], c_under: float, c_
                        best["c"].alias("best_cost"))
 
 
+def paired_from_wide(wide: DataFrame, model: str, baseline: str) -> DataFrame:
+    """Wide backtest -> ``y_pred_model`` / ``y_pred_base`` columns (narrow)."""
+    return wide.withColumns({"y_pred_model": F.col(f"y_pred_{model}"),
+                             "y_pred_base": F.col(f"y_pred_{baseline}")})
+
+
 def paired_predictions(preds: DataFrame, model: str, baseline: str,
                        keys: Sequence[str] = ("fold_id",), date_col: str = DATE_COL,
                        entity_col: str = ENTITY_COL, y: str = TARGET_COL) -> DataFrame:

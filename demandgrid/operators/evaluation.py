@@ -20,38 +20,50 @@ from demandgrid.operators import folds as FO
 from demandgrid.operators import forecast as FC
 
 
-def backtest(panel: DataFrame, models: Sequence[str] = ("naive", "seasonal_naive"),
+def backtest_wide(panel: DataFrame, spec=FOLD_SPEC, season: int = 7,
+                  models: Sequence[str] = FC.BASELINES, date_col: str = DATE_COL,
+                  entity_col: str = ENTITY_COL, target_col: str = TARGET_COL) -> DataFrame:
+    """One row per (fold_id, test date, entity): the truth and every
+    model's prediction and interval (``y_pred_<model>`` ...).
+
+    Plan: rows are tagged with their folds (narrow), hash-partitioned ONCE
+    on (fold_id, entity); the train side's window + state aggregate and the
+    test side's join reuse that partitioning. Per-fold last training date
+    and horizon (distinct test dates) come from one tiny aggregate that is
+    broadcast. Forecast = test-row scoring, no grid materialised.
+    """
+    assigned = FO.assign_folds(panel, spec, date_col=date_col).repartition("fold_id", entity_col)
+    is_train = F.col("split") == "train"
+    train = assigned.where(is_train)
+    test = assigned.where(~is_train).select(
+        "fold_id", date_col, entity_col, F.col(target_col).cast("double").alias(target_col))
+    info = assigned.groupBy("fold_id").agg(
+        F.max(F.when(is_train, F.col(date_col))).alias("last_date"),
+        F.count_distinct(F.when(~is_train, F.col(date_col))).cast("int").alias("horizon"))
+    state = FC.fit_baselines(train, season, ["fold_id"], date_col, entity_col, target_col)
+    return FC.score_rows(test, state, info, season, ["fold_id"], models, date_col=date_col,
+                         entity_col=entity_col)
+
+
+def wide_to_long(wide: DataFrame, models: Sequence[str] = FC.BASELINES,
+                 keys: Sequence[str] = ("fold_id",), date_col: str = DATE_COL,
+                 entity_col: str = ENTITY_COL, target_col: str = TARGET_COL) -> DataFrame:
+    """Unpivot per-model columns to ``(model, ..., y_pred, y_lower, y_upper)``
+    (a narrow generate, no shuffle)."""
+    arr = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"y_pred_{m}").alias("y_pred"),
+                             F.col(f"y_lower_{m}").alias("y_lower"),
+                             F.col(f"y_upper_{m}").alias("y_upper")) for m in models])
+    return wide.select(*keys, date_col, entity_col, target_col, F.explode(arr).alias("__m")).select(
+        "__m.model", *keys, date_col, entity_col, target_col, "__m.y_pred", "__m.y_lower", "__m.y_upper")
+
+
+def backtest(panel: DataFrame, models: Sequence[str] = FC.BASELINES,
              spec=FOLD_SPEC, season: int = 7, date_col: str = DATE_COL,
              entity_col: str = ENTITY_COL, target_col: str = TARGET_COL) -> DataFrame:
     """Long prediction table ``(model, fold_id, date, entity, y, y_pred,
-    y_lower, y_upper)`` for every model and fold.
-
-    Horizon per fold = distinct test dates; forecasts join the test truth on
-    (fold_id, entity, date).
-    """
-    assigned = FO.assign_folds(panel, spec, date_col=date_col)
-    train = assigned.where(F.col("split") == "train")
-    test = assigned.where(F.col("split") == "test").select(
-        "fold_id", date_col, entity_col, F.col(target_col).cast("double").alias(target_col))
-    hz = FO.horizons(assigned, date_col)
-    keys = ("fold_id",)
-    kw = dict(date_col=date_col, entity_col=entity_col)
-    outs = []
-    for m in models:
-        if m == "naive":
-            st = FC.naive_fit(train, keys, target_col=target_col, **kw).join(hz, "fold_id")
-            pr = FC.naive_predict(st, F.col("horizon"), keys, **kw)
-        elif m == "seasonal_naive":
-            st = FC.seasonal_naive_fit(train, season, keys, target_col=target_col, **kw).join(hz, "fold_id")
-            pr = FC.seasonal_naive_predict(st, F.col("horizon"), season, keys, **kw)
-        else:
-            raise ValueError(f"unknown model {m!r}")
-        outs.append(pr.withColumn("model", F.lit(m)))
-    preds = outs[0]
-    for o in outs[1:]:
-        preds = preds.unionByName(o)
-    return preds.join(test, ["fold_id", date_col, entity_col]).select(
-        "model", "fold_id", date_col, entity_col, target_col, "y_pred", "y_lower", "y_upper")
+    y_lower, y_upper)`` for every model and fold (see ``backtest_wide``)."""
+    wide = backtest_wide(panel, spec, season, models, date_col, entity_col, target_col)
+    return wide_to_long(wide, models, ("fold_id",), date_col, entity_col, target_col)
 
 
 def metrics_by(preds: DataFrame, group_cols: Sequence[str], y: str = TARGET_COL,

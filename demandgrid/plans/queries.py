@@ -286,8 +286,8 @@ GAIN_COLS = ["gain_no_tuning", "gain_tuned", "best_alpha", "cost_model_no_tuning
 
 def nation_paired(spark, sf_dir):
     """Naive (model) vs seasonal naive (baseline) per fold, with day flags."""
-    paired = CO.paired_predictions(nation_backtest(spark, sf_dir), "naive", "seasonal_naive")
-    return X.add_holiday_features(paired)
+    wide = E.backtest_wide(nation_panel(spark, sf_dir))
+    return X.add_holiday_features(CO.paired_from_wide(wide, "naive", "seasonal_naive"))
 
 
 @query("gain_by_fold")
