@@ -52,25 +52,34 @@ def calibration_residuals(history: DataFrame, calibration_days: int | None = 60,
     """Signed residuals on operational calibration days, per key group.
 
     The calibration length is ``calibration_days`` or, when ``calib_col``
-    names a key column, that column's value per group.
+    names a key column, that column's value per group. Plan: one shuffle on
+    (keys, entity); the fit rows' window + state aggregate and the
+    calibration rows' scoring both run on that partitioning; per-group last
+    fit date and horizon come from one tiny broadcast aggregate.
     """
     if calib_col is None and (calibration_days is None or calibration_days <= 0):
         raise ValueError(f"calibration_days must be positive, got {calibration_days}")
+    if base not in FC.BASELINES:
+        raise ValueError(f"unknown base model {base!r}")
     days = F.col(calib_col) if calib_col else F.lit(int(calibration_days))
     h = _last_date(history, keys, date_col).withColumn(
-        "__calib_start", F.date_sub(F.col("__last"), days - 1))
-    fit = h.where(F.col(date_col) < F.col("__calib_start")).drop("__last", "__calib_start")
-    calib = h.where(F.col(date_col) >= F.col("__calib_start")).drop("__last", "__calib_start")
-    if keys:
-        horizon = calib.groupBy(*keys).agg(F.count_distinct(date_col).cast("int").alias("horizon"))
-    else:
-        horizon = calib.agg(F.count_distinct(date_col).cast("int")).scalar()
-    preds = base_fit_predict(fit, horizon, base, season, keys, date_col, entity_col, target_col)
-    merged = calib.select(*keys, date_col, entity_col, target_col).join(
-        preds.select(*keys, date_col, entity_col, "y_pred"), [*keys, date_col, entity_col])
-    merged = X.add_holiday_features(merged, date_col).where(F.col("is_operational") == 1)
-    return merged.select(*keys, date_col, entity_col,
-                         (F.col(target_col) - F.col("y_pred")).alias("residual"))
+        "__fit", F.col(date_col) < F.date_sub(F.col("__last"), days - 1)).drop("__last")
+    gk = list(keys) if keys else []
+    if not keys:
+        h = h.withColumn("__g", F.lit(0))
+        gk = ["__g"]
+    h = h.repartition(*gk, entity_col)
+    fit, calib = h.where(F.col("__fit")), h.where(~F.col("__fit"))
+    info = h.groupBy(*gk).agg(
+        F.max(F.when(F.col("__fit"), F.col(date_col))).alias("last_date"),
+        F.count_distinct(F.when(~F.col("__fit"), F.col(date_col))).cast("int").alias("horizon"))
+    state = FC.fit_baselines(fit, season, gk, date_col, entity_col, target_col)
+    rows = calib.select(*gk, date_col, entity_col, target_col)
+    scored = FC.score_rows(rows, state, info, season, gk, [base], date_col=date_col,
+                           entity_col=entity_col)
+    scored = X.add_holiday_features(scored, date_col).where(F.col("is_operational") == 1)
+    return scored.select(*keys, date_col, entity_col,
+                         (F.col(target_col) - F.col(f"y_pred_{base}")).alias("residual"))
 
 
 def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
