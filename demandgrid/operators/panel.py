@@ -47,14 +47,8 @@ def materialize(df: DataFrame) -> DataFrame:
     the fact scan and join run once. Never a local checkpoint: the files
     live in the shared folder and survive a lost executor.
     """
-    from demandgrid.session import checkpoint_dir
-    import tempfile
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None and not spark.conf.get(
-            "spark.checkpoint.dir", None):
-        checkpoint_dir(spark, tempfile.mkdtemp(prefix="demandgrid-ckpt-"))
-    else:
-        checkpoint_dir(spark)
+    from demandgrid.session import shared_folder
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

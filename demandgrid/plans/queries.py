@@ -598,3 +598,74 @@ def q_holiday_calendar(spark, sf_dir):
     year from the panel's first to last year."""
     from demandgrid.functions import calendar as cal
     return cal.holiday_dates(nation_panel(spark, sf_dir), "shipment_date")
+
+
+# ---------------------------------------------------------------------------
+# Boosted trees (rows-only checks: Spark ML fits have no SQL oracle)
+# ---------------------------------------------------------------------------
+from demandgrid.operators import trees as TR  # noqa: E402
+from demandgrid.operators import tuning as TU  # noqa: E402
+from demandgrid.session import shared_folder  # noqa: E402
+
+GBT_PARAMS = TR.GBTParams(max_iter=20, max_depth=4, step_size=0.1)
+_MODELS: dict[tuple, object] = {}
+
+
+def holdout_model(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, _input_stamp(sf_dir), "holdout")
+    if key not in _MODELS:
+        _MODELS[key] = TR.fit(_history(spark, sf_dir), GBT_PARAMS, NATION_TIERS, TREND_ANCHOR)
+    return _MODELS[key]
+
+
+@query("gbt_holdout_eval")
+def q_gbt_holdout(spark, sf_dir):
+    """Fit on history up to the training end, recursive 91-day forecast,
+    holdout WAPE / MAE / RMSE rounded to 4 places."""
+    fc = holdout_model(spark, sf_dir)
+    hist = _history(spark, sf_dir)
+    pred = TR.recursive_forecast(fc, hist, (HOLDOUT[1] - HOLDOUT[0]).days + 1, shared_folder(spark))
+    truth = P.date_window(nation_panel(spark, sf_dir), *HOLDOUT)
+    j = pred.join(truth, ["shipment_date", "entity"])
+    out = j.agg(F.min("shipment_date").alias("window_start"), F.max("shipment_date").alias("window_end"),
+                F.count_distinct("shipment_date").alias("n_days"), F.count(F.lit(1)).alias("n_rows"),
+                *[F.round(c, 4).alias(n) for n, c in (("wape", E.M.wape()), ("mae", E.M.mae()),
+                                                      ("rmse", E.M.rmse()))])
+    return out
+
+
+@query("gbt_feature_importance")
+def q_gbt_importance(spark, sf_dir):
+    """Top 15 features by importance with their share of the total."""
+    imp = TR.feature_importance(holdout_model(spark, sf_dir), spark)
+    return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(15)
+
+
+@query("gbt_gain_by_fold")
+def q_gbt_gain(spark, sf_dir):
+    """Trees vs seasonal naive: gain per fold and cost ratio (operational days)."""
+    panel = nation_panel(spark, sf_dir)
+    wide = E.backtest_wide(panel)
+    params = TR.GBTParams(max_iter=10, max_depth=4)
+    parts = []
+    for fid, te, ts, tend, _ in K.FOLD_SPEC:
+        train = panel.where(F.col("shipment_date") <= F.lit(te))
+        fc = TR.fit(train, params, NATION_TIERS, TREND_ANCHOR)
+        h = (tend - ts).days + 1
+        parts.append(TR.recursive_forecast(fc, train, h, shared_folder(spark)).withColumn("fold_id", F.lit(fid)))
+    trees = parts[0]
+    for p in parts[1:]:
+        trees = trees.unionByName(p)
+    paired = (wide.join(trees, ["fold_id", "shipment_date", "entity"])
+              .withColumns({"y_pred_model": F.col("y_pred"), "y_pred_base": F.col("y_pred_seasonal_naive")}))
+    paired = X.add_holiday_features(paired)
+    return _round_cols(CO.gain_by_fold(paired), GAIN_COLS)
+
+
+@query("gbt_search")
+def q_gbt_search(spark, sf_dir):
+    """Three sampled parameter sets on folds 1-3, median stopping after the
+    first trial; summary of the best trial."""
+    trials = TU.search(nation_panel(spark, sf_dir), 3, K.FOLD_SPEC[:3], max_iter=8, seed=42,
+                       startup_trials=1, warmup_steps=1, thresholds=NATION_TIERS, reference_date=TREND_ANCHOR)
+    return TU.summarize(trials)

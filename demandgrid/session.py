@@ -62,3 +62,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     os.makedirs(fallback, exist_ok=True)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder (shared on a cluster); a temporary one is
+    installed only when the session names none (local runs and tests)."""
+    import tempfile
+    if spark.sparkContext.getCheckpointDir() is None and not spark.conf.get("spark.checkpoint.dir", None):
+        return checkpoint_dir(spark, tempfile.mkdtemp(prefix="demandgrid-ckpt-"))
+    return checkpoint_dir(spark)
