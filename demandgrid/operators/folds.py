@@ -82,3 +82,20 @@ def horizons(assigned: DataFrame, date_col: str = DATE_COL) -> DataFrame:
     """Forecast horizon per fold = distinct test dates."""
     return (assigned.where(F.col("split") == "test").groupBy("fold_id")
             .agg(F.count_distinct(date_col).cast("int").alias("horizon")))
+
+
+def modelling_table(assigned, keys=("fold_id",), thresholds=None, reference_date=None,
+                    filter_operational: bool = True):
+    """Fold-keyed modelling rows: the default features on train U test of
+    each fold (windows keyed by fold), volume statistics from train rows
+    only, optional operational filter, rows with a NULL feature dropped."""
+    from demandgrid import constants as K
+    from demandgrid.operators import features as X
+    stats = X.volume_stats(assigned.where(F.col("split") == "train"), keys)
+    pipe = X.default_pipeline(stats, keys, thresholds or K.DEFAULT_TIER_THRESHOLDS,
+                              reference_date or K.TREND_REFERENCE_DATE)
+    out = pipe.transform(assigned)
+    if filter_operational:
+        out = out.where(F.col("is_operational") == 1)
+    feats = [c for c in pipe.feature_names if c not in ("is_operational", "day_type")]
+    return out.na.drop(subset=feats)

@@ -996,3 +996,41 @@ FROM ev_panel WINDOW w AS (PARTITION BY entity ORDER BY shipment_date)"""
 @oracle("holiday_calendar")
 def _():
     return f"WITH {panel_ctes()}, {holiday_ctes()} SELECT hd AS holiday_date FROM holidays"
+
+
+@oracle("fold_feature_table")
+def _():
+    flags = ", ".join(f"{v} AS {k}" for k, v in day_flags_sql("a.shipment_date").items())
+    frame = "(PARTITION BY a.fold_id, a.entity ORDER BY a.shipment_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)"
+    feats = f"""
+feat AS (
+  SELECT a.fold_id, a.split, a.shipment_date, a.entity, a.n_shipments,
+    CAST(lag(a.n_shipments, 7) OVER w AS INTEGER) AS lag_7,
+    CAST(lag(a.n_shipments, 14) OVER w AS INTEGER) AS lag_14,
+    round(avg(a.n_shipments) OVER {frame}, 6) AS rolling_mean_7,
+    round(stddev_samp(a.n_shipments) OVER {frame}, 6) AS rolling_std_7,
+    CAST(isodow(a.shipment_date) - 1 AS INTEGER) AS day_of_week,
+    CAST(month(a.shipment_date) AS INTEGER) AS month,
+    CAST(isodow(a.shipment_date) >= 6 AS INTEGER) AS is_weekend,
+    CAST(day(a.shipment_date) = 1 AS INTEGER) AS is_month_start,
+    CAST(a.shipment_date = last_day(a.shipment_date) AS INTEGER) AS is_month_end,
+    {flags},
+    {', '.join('e.' + c for c in EVENT_COLS)},
+    CAST(date_diff('day', DATE '1995-01-01', a.shipment_date) AS INTEGER) AS days_since_start,
+    round(CAST(CAST((dayofyear(a.shipment_date) - 1) / 365.0 AS FLOAT) AS DOUBLE), 6) AS year_progress,
+    {volume_cols()}
+  FROM assigned a
+  LEFT JOIN holidays h ON h.hd = a.shipment_date
+  JOIN event_days e ON e.shipment_date = a.shipment_date
+  LEFT JOIN (SELECT fold_id, entity, avg(n_shipments) AS v FROM assigned WHERE split = 'train'
+             GROUP BY fold_id, entity) s ON s.fold_id = a.fold_id AND s.entity = a.entity
+  WINDOW w AS (PARTITION BY a.fold_id, a.entity ORDER BY a.shipment_date)
+)"""
+    cols = ("lag_7, lag_14, rolling_mean_7, rolling_std_7, day_of_week, month, is_weekend, is_month_start, "
+            "is_month_end, is_holiday, is_business_day, is_saturday, is_sunday, is_operational, day_type, "
+            + ", ".join(EVENT_COLS) + ", days_since_start, year_progress, state_avg_volume, volume_tier")
+    notnull = " AND ".join(f"{c.strip()} IS NOT NULL" for c in cols.split(",")
+                           if c.strip() not in ("is_operational", "day_type"))
+    return _bt(f"SELECT fold_id, split, shipment_date, entity, n_shipments, {cols} FROM feat "
+               f"WHERE is_operational = 1 AND {notnull}",
+               f", {holiday_ctes('assigned')}, {event_ctes('assigned')}, {feats}")

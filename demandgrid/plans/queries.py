@@ -664,8 +664,24 @@ def q_gbt_gain(spark, sf_dir):
 
 @query("gbt_search")
 def q_gbt_search(spark, sf_dir):
-    """Three sampled parameter sets on folds 1-3, median stopping after the
+    """Two sampled parameter sets on folds 1-3, median stopping after the
     first trial; summary of the best trial."""
-    trials = TU.search(nation_panel(spark, sf_dir), 3, K.FOLD_SPEC[:3], max_iter=8, seed=42,
+    trials = TU.search(nation_panel(spark, sf_dir), 2, K.FOLD_SPEC[:3], max_iter=5, seed=42,
                        startup_trials=1, warmup_steps=1, thresholds=NATION_TIERS, reference_date=TREND_ANCHOR)
     return TU.summarize(trials)
+
+
+# ---------------------------------------------------------------------------
+# Per-fold modelling table
+# ---------------------------------------------------------------------------
+@query("fold_feature_table")
+def q_fold_feature_table(spark, sf_dir):
+    """Every fold's modelling rows in one plan: features on train U test
+    with windows partitioned by (fold_id, entity), volume statistics from
+    the fold's train rows only, operational rows, no NULL feature."""
+    assigned = FO.assign_folds(nation_panel(spark, sf_dir))
+    out = FO.modelling_table(assigned, thresholds=NATION_TIERS, reference_date=TREND_ANCHOR)
+    dbl = ("rolling_mean_7", "rolling_std_7", "year_progress", "state_avg_volume")
+    ints = [c for c in DEFAULT_FEATURES if c not in dbl and c not in ("day_type", "volume_tier")]
+    out = _ints(out, ints).withColumns({c: F.round(F.col(c).cast("double"), 6) for c in dbl})
+    return out.select("fold_id", "split", "shipment_date", "entity", "n_shipments", *DEFAULT_FEATURES)

@@ -1,0 +1,7 @@
+"""Structured Streaming.
+
+The workflow this package rebuilds has no streaming operator (no watermark,
+window over event time, state store or late-data rule); its event windows and
+trailing frames are batch operators (``operators.evaluation`` and
+``operators.windows``). Nothing is built here by design.
+"""
