@@ -647,12 +647,19 @@ def q_gbt_gain(spark, sf_dir):
     panel = nation_panel(spark, sf_dir)
     wide = E.backtest_wide(panel)
     params = TR.GBTParams(max_iter=10, max_depth=4)
-    parts = []
-    for fid, te, ts, tend, _ in K.FOLD_SPEC:
+
+    def one_fold(spec):
+        fid, te, ts, tend, _ = spec
         train = panel.where(F.col("shipment_date") <= F.lit(te))
         fc = TR.fit(train, params, NATION_TIERS, TREND_ANCHOR)
         h = (tend - ts).days + 1
-        parts.append(TR.recursive_forecast(fc, train, h, shared_folder(spark)).withColumn("fold_id", F.lit(fid)))
+        return TR.recursive_forecast(fc, train, h, shared_folder(spark)).withColumn("fold_id", F.lit(fid))
+
+    # The folds' fits are independent Spark ML jobs: submit them concurrently
+    # so their many small boosting stages share the executors.
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(K.FOLD_SPEC)) as pool:
+        parts = list(pool.map(one_fold, K.FOLD_SPEC))
     trees = parts[0]
     for p in parts[1:]:
         trees = trees.unionByName(p)
@@ -685,3 +692,16 @@ def q_fold_feature_table(spark, sf_dir):
     ints = [c for c in DEFAULT_FEATURES if c not in dbl and c not in ("day_type", "volume_tier")]
     out = _ints(out, ints).withColumns({c: F.round(F.col(c).cast("double"), 6) for c in dbl})
     return out.select("fold_id", "split", "shipment_date", "entity", "n_shipments", *DEFAULT_FEATURES)
+
+
+# ---------------------------------------------------------------------------
+# Additive decomposition (grouped numpy fits: rows-only)
+# ---------------------------------------------------------------------------
+from demandgrid.operators import decomposition as DC  # noqa: E402
+
+
+@query("decomposition_backtest_metrics")
+def q_decomposition_metrics(spark, sf_dir):
+    """Decomposition forecaster on the four folds: metrics per fold."""
+    out = E.metrics_by(DC.backtest(nation_panel(spark, sf_dir)), ["model", "fold_id"])
+    return _round_cols(out, ["wape", "mae", "rmse", "bias"])
