@@ -31,9 +31,9 @@ def rule_violations(df: DataFrame, rules: dict[str, Column], table: str) -> Data
 
 def duplicate_keys(df: DataFrame, key: Sequence[str], table: str) -> DataFrame:
     """Count of key values occurring more than once (and the extra rows)."""
-    dup = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    dup = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
     return dup.agg(F.count(F.lit(1)).alias("n_duplicate_keys"),
-                   F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("n_extra_rows")) \
+                   F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("n_extra_rows")) \
         .withColumns({"table_name": F.lit(table), "key": F.lit(",".join(key))})
 
 

@@ -1034,3 +1034,23 @@ feat AS (
     return _bt(f"SELECT fold_id, split, shipment_date, entity, n_shipments, {cols} FROM feat "
                f"WHERE is_operational = 1 AND {notnull}",
                f", {holiday_ctes('assigned')}, {event_ctes('assigned')}, {feats}")
+
+
+@oracle("model_info")
+def _():
+    return f"""WITH {panel_ctes()}, {conformal_ctes(calib_lengths_values([60]))}, {full_forecast_ctes(91)},
+truth AS (SELECT * FROM panel WHERE shipment_date BETWEEN {HOLDOUT_SQL[0]} AND {HOLDOUT_SQL[1]}),
+ev AS (
+  SELECT MIN(f.shipment_date) AS ws, MAX(f.shipment_date) AS we,
+         round(sum(abs(t.n_shipments - f.y_pred)) / NULLIF(sum(abs(t.n_shipments)), 0), 4) AS wape,
+         round(avg(abs(t.n_shipments - f.y_pred)), 4) AS mae,
+         round(sqrt(avg(power(t.n_shipments - f.y_pred, 2))), 4) AS rmse
+  FROM fc f JOIN truth t ON t.shipment_date = f.shipment_date AND t.entity = f.entity
+),
+g AS (SELECT list_sort(list(DISTINCT entity)) AS groups, MAX(shipment_date) AS ltd FROM hist)
+SELECT '1' AS version, g.ltd AS last_train_date, g.ltd AS data_cutoff, 1 AS n_features,
+       CAST(len(g.groups) AS INTEGER) AS n_groups, g.groups, ev.ws AS eval_window_start, ev.we AS eval_window_end,
+       ev.wape AS eval_wape, ev.mae AS eval_mae, ev.rmse AS eval_rmse,
+       'holdout after the last training date' AS evaluation_note,
+       round(o.lower_offset, 6) AS lower_offset, round(o.upper_offset, 6) AS upper_offset
+FROM g CROSS JOIN ev CROSS JOIN offs o"""

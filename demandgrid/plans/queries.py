@@ -705,3 +705,33 @@ def q_decomposition_metrics(spark, sf_dir):
     """Decomposition forecaster on the four folds: metrics per fold."""
     out = E.metrics_by(DC.backtest(nation_panel(spark, sf_dir)), ["model", "fold_id"])
     return _round_cols(out, ["wape", "mae", "rmse", "bias"])
+
+
+# ---------------------------------------------------------------------------
+# Model information row
+# ---------------------------------------------------------------------------
+@query("model_info")
+def q_model_info(spark, sf_dir):
+    """Metadata row of the production interval model (seasonal-naive base,
+    60-day calibration) with its holdout evaluation, projected for reporting."""
+    from demandgrid.sources import state as ST
+    panel = nation_panel(spark, sf_dir)
+    hist = panel.where(F.col("shipment_date") <= F.lit(TRAIN_END))
+    off = _offsets_60(hist)
+    fc = CF.conformal_forecast(hist, (HOLDOUT[1] - HOLDOUT[0]).days + 1, off)
+    ev = fc.join(P.date_window(panel, *HOLDOUT), ["shipment_date", "entity"]).agg(
+        F.struct(F.min("shipment_date").alias("window_start"), F.max("shipment_date").alias("window_end"),
+                 F.count_distinct("shipment_date").cast("int").alias("n_days"),
+                 F.round(E.M.wape(), 4).alias("wape"), F.round(E.M.mae(), 4).alias("mae"),
+                 F.round(E.M.rmse(), 4).alias("rmse")).alias("evaluation_metrics"))
+    groups = hist.agg(F.sort_array(F.collect_set("entity")).alias("groups"),
+                      F.max("shipment_date").alias("last_train_date"))
+    # Three one-row tables: attach them by a literal key (no cartesian product).
+    one = lambda df: df.withColumn("__g", F.lit(0))
+    meta = one(groups).join(one(ev), "__g").join(one(off), "__g").select(
+        F.lit("1").alias("version"), F.lit(None).cast("timestamp").alias("trained_at"),
+        "last_train_date", F.col("last_train_date").alias("data_cutoff"),
+        F.lit(1).alias("n_features"), F.size("groups").alias("n_groups"), "groups",
+        "evaluation_metrics", F.lit("holdout after the last training date").alias("evaluation_note"),
+        F.round("lower_offset", 6).alias("lower_offset"), F.round("upper_offset", 6).alias("upper_offset"))
+    return ST.model_info(meta, ("lower_offset", "upper_offset")).drop("trained_at")

@@ -28,17 +28,14 @@ def write_state(state: DataFrame, path: str) -> None:
 
 def write_metadata(spark: SparkSession, path: str, model_name: str, meta: dict[str, Any],
                    extra: dict[str, Any] | None = None) -> DataFrame:
-    """One-row metadata table; ``extra`` keys override ``meta`` keys."""
+    """One-row metadata table written as JSON; ``extra`` keys override
+    ``meta`` keys, and keys outside the schema are kept as a JSON string."""
     merged = {**meta, **(extra or {})}
-    known = {f.split()[0] for f in METADATA_SCHEMA.split(", ") if f.split()[0] not in ("mae:", "rmse:")}
-    row = {k: merged.get(k) for k in ("version", "trained_at", "last_train_date", "data_cutoff",
-                                      "n_features", "n_groups", "groups", "evaluation_metrics",
-                                      "evaluation_note")}
-    rest = {k: v for k, v in merged.items() if k not in row and k in merged and k not in known}
-    df = spark.createDataFrame([(model_name, row["version"], row["trained_at"], row["last_train_date"],
-                                 row["data_cutoff"], row["n_features"], row["n_groups"], row["groups"],
-                                 row["evaluation_metrics"], row["evaluation_note"],
-                                 json.dumps(rest, default=str) if rest else None)], METADATA_SCHEMA)
+    fields = ("version", "trained_at", "last_train_date", "data_cutoff", "n_features", "n_groups",
+              "groups", "evaluation_metrics", "evaluation_note")
+    rest = {k: v for k, v in merged.items() if k not in fields}
+    row = (model_name, *[merged.get(k) for k in fields], json.dumps(rest, default=str) if rest else None)
+    df = spark.createDataFrame([row], METADATA_SCHEMA)
     df.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
     return df
 
@@ -52,8 +49,9 @@ def read_model(spark: SparkSession, path: str, expected_model: str) -> tuple[Dat
     return spark.read.parquet(f"{path}/state"), meta
 
 
-def model_info(meta: DataFrame) -> DataFrame:
-    """Projection of the metadata row for reporting (nested fields flattened)."""
+def model_info(meta: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Projection of the metadata row for reporting (nested fields flattened);
+    ``extra`` columns are carried along."""
     return meta.select("version", "trained_at", "last_train_date", "data_cutoff", "n_features",
                        "n_groups", "groups",
                        F.col("evaluation_metrics.window_start").alias("eval_window_start"),
@@ -61,7 +59,7 @@ def model_info(meta: DataFrame) -> DataFrame:
                        F.col("evaluation_metrics.wape").alias("eval_wape"),
                        F.col("evaluation_metrics.mae").alias("eval_mae"),
                        F.col("evaluation_metrics.rmse").alias("eval_rmse"),
-                       "evaluation_note")
+                       "evaluation_note", *extra)
 
 
 def read_params(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> dict[str, Any]:

@@ -192,3 +192,36 @@ def raw_shipments(orders: DataFrame, customers: DataFrame,
     return valid.join(customers, "customer_id").select(
         F.to_date("order_delivered_carrier_date").alias(date_col),
         F.col("customer_state").alias(entity_col))
+
+
+# ---------------------------------------------------------------------------
+# Sinks
+# ---------------------------------------------------------------------------
+def write_panel(panel: DataFrame, path: str, date_col: str = DATE_COL) -> None:
+    """Full rebuild of the panel table: overwrite, partitioned by month so
+    date-window reads prune partitions."""
+    (panel.withColumn("month", F.date_format(date_col, "yyyy-MM"))
+     .write.mode("overwrite").partitionBy("month").parquet(path))
+
+
+def read_panel(spark: SparkSession, path: str, date_col: str = DATE_COL,
+               entity_col: str = ENTITY_COL, target_col: str = "n_shipments") -> DataFrame:
+    """Panel read: the three panel columns (a missing table is a clear error)."""
+    try:
+        df = spark.read.parquet(path)
+    except Exception as e:  # noqa: BLE001
+        raise FileNotFoundError(f"Panel table not found at {path}; build it first") from e
+    return df.select(date_col, entity_col, target_col)
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace a table (overwrite; the original appended, see the README)."""
+    writer = df.write.mode("overwrite")
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    writer.format(fmt).save(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """CSV result scan with an explicit schema."""
+    return spark.read.schema(schema).option("header", True).csv(path)
