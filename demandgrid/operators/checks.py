@@ -57,3 +57,17 @@ def assert_clean(report: DataFrame, count_col: str) -> None:
     bad = report.where(F.col(count_col) > 0).limit(5).collect()
     if bad:
         raise ValueError(f"Contract violations: {[r.asDict() for r in bad]}")
+
+
+def one_to_one_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join that must be one-to-one and cover both sides: duplicate
+    keys on either side or unmatched rows raise (small aggregate / anti-join
+    jobs), otherwise the join is returned."""
+    for side, df in (("left", left), ("right", right)):
+        d = duplicate_keys(df, list(keys), side).first()
+        if d.n_duplicate_keys:
+            raise ValueError(f"{side} side has {d.n_duplicate_keys} duplicate keys on {list(keys)}")
+    for a, b, name in ((left, right, "left"), (right, left, "right")):
+        if not a.select(*keys).join(b.select(*keys), list(keys), "left_anti").isEmpty():
+            raise ValueError(f"{name} side has rows without a match on {list(keys)}")
+    return left.join(right, list(keys))

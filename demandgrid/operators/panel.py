@@ -111,3 +111,19 @@ def entity_filter(df: DataFrame, entities, entity_col: str = ENTITY_COL) -> Data
     if not entities:
         return df
     return df.where(F.col(entity_col).isin(list(entities)))
+
+
+def split_train_holdout(df: DataFrame, train_end, holdout_start, holdout_end,
+                        date_col: str = DATE_COL) -> DataFrame:
+    """``split`` = train (date <= train_end) / holdout ([start, end]); the
+    holdout must start the day after the training end; other rows drop."""
+    import datetime as _dt
+    as_date = lambda x: x if isinstance(x, _dt.date) else _dt.date.fromisoformat(str(x))
+    te, hs, he = as_date(train_end), as_date(holdout_start), as_date(holdout_end)
+    if hs != te + _dt.timedelta(days=1):
+        raise ValueError(f"holdout_start ({hs}) must be the day after train_end ({te})")
+    if he < hs:
+        raise ValueError(f"holdout_end ({he}) before holdout_start ({hs})")
+    d = F.col(date_col)
+    return (df.where(d <= F.lit(he))
+            .withColumn("split", F.when(d <= F.lit(te), "train").otherwise("holdout")))

@@ -1054,3 +1054,33 @@ SELECT '1' AS version, g.ltd AS last_train_date, g.ltd AS data_cutoff, 1 AS n_fe
        'holdout after the last training date' AS evaluation_note,
        round(o.lower_offset, 6) AS lower_offset, round(o.upper_offset, 6) AS upper_offset
 FROM g CROSS JOIN ev CROSS JOIN offs o"""
+
+
+@oracle("wape_spread")
+def _():
+    return _bt("""SELECT model, fold_id, round(max(wape), 6) AS worst_wape, round(min(wape), 6) AS best_wape,
+       round(max(wape) / NULLIF(min(wape), 0), 6) AS worst_over_best FROM (
+  SELECT model, fold_id, entity, sum(abs(n_shipments - y_pred)) / sum(abs(n_shipments)) AS wape
+  FROM bt GROUP BY model, fold_id, entity HAVING sum(abs(n_shipments)) > 0) GROUP BY model, fold_id""")
+
+
+@oracle("event_gain_ratio")
+def _():
+    src = (f"SELECT w.event, p.n_shipments, p.ym, p.yb, p.shipment_date FROM paired p "
+           f"JOIN ({named_windows_values()}) w ON p.shipment_date BETWEEN w.ws AND w.we "
+           f"WHERE p.is_operational = 1")
+    a, b = C.EVENT_WINDOWS[0][0], C.EVENT_WINDOWS[1][0]
+    return _bt(f"""SELECT cost_ratio, round(max(CASE WHEN event = '{a}' THEN gain_tuned END)
+                    / NULLIF(max(CASE WHEN event = '{b}' THEN gain_tuned END), 0), 6) AS gain_ratio
+FROM gains GROUP BY cost_ratio""", PAIRED + "," + gain_sql("event", src))
+
+
+@oracle("fold_spec")
+def _():
+    rows = ", ".join(f"({f}, {_date(a)}, {_date(b)}, {_date(c)}, '{lbl}')" for f, a, b, c, lbl in C.FOLD_SPEC)
+    return _bt(f"""SELECT s.fold_id, s.train_end, s.test_start, s.test_end, s.label,
+       split_part(s.label, ': ', 2) AS label_short, d.train_start, d.horizon
+FROM (SELECT * FROM (VALUES {rows}) t(fold_id, train_end, test_start, test_end, label)) s
+JOIN (SELECT fold_id, MIN(CASE WHEN split = 'train' THEN shipment_date END) AS train_start,
+             COUNT(DISTINCT CASE WHEN split = 'test' THEN shipment_date END) AS horizon
+      FROM assigned GROUP BY fold_id) d USING (fold_id)""")

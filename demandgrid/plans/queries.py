@@ -735,3 +735,35 @@ def q_model_info(spark, sf_dir):
         "evaluation_metrics", F.lit("holdout after the last training date").alias("evaluation_note"),
         F.round("lower_offset", 6).alias("lower_offset"), F.round("upper_offset", 6).alias("upper_offset"))
     return ST.model_info(meta, ("lower_offset", "upper_offset")).drop("trained_at")
+
+
+# ---------------------------------------------------------------------------
+# Spreads, ratios and fold labels
+# ---------------------------------------------------------------------------
+@query("wape_spread")
+def q_wape_spread(spark, sf_dir):
+    """Worst / best entity WAPE per model and fold."""
+    seg = E.wape_by_segment(nation_backtest(spark, sf_dir), "entity", extra_keys=["model", "fold_id"])
+    out = seg.groupBy("model", "fold_id").agg(
+        F.max("wape").alias("worst_wape"), F.min("wape").alias("best_wape"),
+        F.try_divide(F.max("wape"), F.nullif(F.min("wape"), F.lit(0.0))).alias("worst_over_best"))
+    return _round_cols(out, ["worst_wape", "best_wape", "worst_over_best"])
+
+
+@query("event_gain_ratio")
+def q_event_gain_ratio(spark, sf_dir):
+    """Tuned gain in the Black Friday window over the June 12 window, per ratio."""
+    g = CO.gain_in_events(nation_paired(spark, sf_dir), K.EVENT_WINDOWS)
+    out = CO.event_gain_ratio(g, K.EVENT_WINDOWS[0][0], K.EVENT_WINDOWS[1][0])
+    return _round_cols(out, ["gain_ratio"])
+
+
+@query("fold_spec")
+def q_fold_spec(spark, sf_dir):
+    """Fold bounds with the label suffix and the horizon found in the data."""
+    assigned = FO.assign_folds(nation_panel(spark, sf_dir))
+    spec = FO.spec_frame(spark).withColumn("label_short", F.split_part("label", F.lit(": "), F.lit(2)))
+    data = assigned.groupBy("fold_id").agg(
+        F.min(F.when(F.col("split") == "train", F.col("shipment_date"))).alias("train_start"),
+        F.count_distinct(F.when(F.col("split") == "test", F.col("shipment_date"))).alias("horizon"))
+    return F.broadcast(spec.drop("train_start")).join(data, "fold_id")
