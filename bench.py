@@ -29,6 +29,9 @@ HEADLINE = (
     "table_checks",              # contract checks over the fact tables
     "column_profile",
     "events_panel_features",
+    "decomposition_backtest_metrics",    # grouped ridge fits, 4 folds
+    "gbt_holdout_eval",          # tree fit + 91-day recursive forecast
+    "gbt_gain_by_fold",          # cost analysis: trees vs seasonal naive, 4 folds
 )
 
 

@@ -4,7 +4,8 @@ import __spark_entry__ as entry
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
-    assert df.columns == ["shipment_date", "entity", "n_shipments"]
+    assert df.columns[:3] == ["shipment_date", "entity", "n_shipments"]
+    assert len(df.columns) == 3 + 25          # 23 model features + is_operational + day_type
 
 
 def test_every_oracle_has_a_query():
