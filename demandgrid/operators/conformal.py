@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandgrid.constants import DATE_COL, ENTITY_COL, TARGET_COL
+from demandgrid.functions.quantiles import exact_quantiles
 from demandgrid.operators import features as X
 from demandgrid.operators import forecast as FC
 
@@ -94,24 +95,28 @@ def conformal_offsets(residuals: DataFrame, alpha: float = 0.1, keys: Sequence[s
                       approx_accuracy: int | None = None) -> DataFrame:
     """Per key group: lower/upper offsets, calibration coverage, residual count.
 
-    Exact quantiles (Spark ``percentile``: linear interpolation, partial
-    aggregation with memory per distinct residual value; count residuals
-    have few). For residuals with very many distinct values pass
-    ``approx_accuracy`` to use ``percentile_approx``. The offsets table has
+    Exact quantiles with linear interpolation (``functions.quantiles``: a
+    sketch brackets the order statistics, only a narrow band of values is
+    collected, so no task holds a whole group). ``approx_accuracy`` switches
+    to plain ``percentile_approx``. The offsets table has
     one row per key group (folds x calibration lengths: a parameter bound),
     so it is broadcast back for the coverage.
     """
     if not 0 < alpha < 1:
         raise ValueError(f"alpha must be in (0, 1), got {alpha}")
-    res, ks = _keyed(residuals, keys)
-    ps = F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2))
+    # Residuals are read three times (sketch, band, coverage): materialize
+    # them once (small: calibration rows per key group) and cut the lineage.
+    from demandgrid.operators.panel import materialize
+    res, ks = _keyed(materialize(residuals), keys)
     if approx_accuracy:
-        q = F.percentile_approx("residual", ps, approx_accuracy)
+        ps = F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2))
+        off = res.groupBy(*ks).agg(F.percentile_approx("residual", ps, approx_accuracy).alias("__q"),
+                                   F.count(F.lit(1)).alias("n_residuals"))
+        off = off.select(*ks, F.col("__q")[0].alias("lower_offset"), F.col("__q")[1].alias("upper_offset"),
+                         "n_residuals")
     else:
-        q = F.percentile(F.col("residual").cast("double"), ps)
-    off = res.groupBy(*ks).agg(q.alias("__q"), F.count(F.lit(1)).alias("n_residuals"))
-    off = off.select(*ks, F.col("__q")[0].alias("lower_offset"), F.col("__q")[1].alias("upper_offset"),
-                     "n_residuals")
+        off = exact_quantiles(res, "residual", [alpha / 2, 1 - alpha / 2], ks,
+                              out_cols=["lower_offset", "upper_offset"], count_col="n_residuals")
     cov = res.join(F.broadcast(off), ks).groupBy(*ks).agg(F.avg(F.col("residual").between(
         F.col("lower_offset"), F.col("upper_offset")).cast("double")).alias("coverage"))
     out = off.join(cov, ks)

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 import random
 
@@ -47,3 +48,20 @@ def test_keyed_calibration_lengths(spark):
     res = CF.calibration_residuals(df, None, keys=["calib_days"], calib_col="calib_days")
     off = {r.calib_days: r for r in CF.conformal_offsets(res, 0.1, ["calib_days"]).collect()}
     assert set(off) == {30, 60} and off[60].n_residuals > off[30].n_residuals
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    from demandgrid.functions.quantiles import exact_quantiles
+    rng = np.random.default_rng(0)
+    vals = {g: rng.normal(size=n) for g, n in (("a", 1), ("b", 2), ("c", 1000), ("d", 20000))}
+    rows = [(g, float(v)) for g, vs in vals.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, residual double")
+    probs = [0.0, 0.05, 0.5, 0.95, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, "residual", probs, ["g"], accuracy=1000).collect()}
+    for g, vs in vals.items():
+        want = np.quantile(vs, probs)
+        assert [got[g][f"q_{i}"] for i in range(5)] == pytest.approx(list(want), abs=1e-12)
+    ints = spark.createDataFrame([(float(i % 7),) for i in range(5000)], "residual double")
+    one = exact_quantiles(ints, "residual", [0.05, 0.95]).first()
+    assert (one.q_0, one.q_1) == tuple(np.quantile([i % 7 for i in range(5000)], [0.05, 0.95]))
