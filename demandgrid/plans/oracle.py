@@ -1084,3 +1084,15 @@ FROM (SELECT * FROM (VALUES {rows}) t(fold_id, train_end, test_start, test_end,
 JOIN (SELECT fold_id, MIN(CASE WHEN split = 'train' THEN shipment_date END) AS train_start,
              COUNT(DISTINCT CASE WHEN split = 'test' THEN shipment_date END) AS horizon
       FROM assigned GROUP BY fold_id) d USING (fold_id)""")
+
+
+@oracle("gain_pivot")
+def _():
+    src = "SELECT fold_id, n_shipments, ym, yb, shipment_date FROM paired WHERE is_operational = 1"
+    cols = ", ".join(
+        f"round(max(CASE WHEN fold_id = {f} THEN {expr} END), 6) AS \"{f}_{name}\""
+        for f, *_ in C.FOLD_SPEC
+        for name, expr in (("tuned", "gain_tuned"), ("raw", "gain_no_tuning"),
+                           ("uplift", "gain_tuned - gain_no_tuning")))
+    return _bt(f"SELECT cost_ratio, {cols} FROM gains GROUP BY cost_ratio",
+               PAIRED + "," + gain_sql("fold_id", src))

@@ -767,3 +767,16 @@ def q_fold_spec(spark, sf_dir):
         F.min(F.when(F.col("split") == "train", F.col("shipment_date"))).alias("train_start"),
         F.count_distinct(F.when(F.col("split") == "test", F.col("shipment_date"))).alias("horizon"))
     return F.broadcast(spec.drop("train_start")).join(data, "fold_id")
+
+
+@query("gain_pivot")
+def q_gain_pivot(spark, sf_dir):
+    """Tuned gain, raw gain and their difference pivoted to one column per
+    fold, one row per cost ratio (difference computed in long form first)."""
+    g = CO.gain_by_fold(nation_paired(spark, sf_dir)).withColumn(
+        "diff", F.col("gain_tuned") - F.col("gain_no_tuning"))
+    folds = [f for f, *_ in K.FOLD_SPEC]
+    wide = g.groupBy("cost_ratio").pivot("fold_id", folds).agg(
+        F.first("gain_tuned").alias("tuned"), F.first("gain_no_tuning").alias("raw"),
+        F.first("diff").alias("uplift"))
+    return _round_cols(wide, [c for c in wide.columns if c != "cost_ratio"])
