@@ -71,3 +71,18 @@ def one_to_one_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
         if not a.select(*keys).join(b.select(*keys), list(keys), "left_anti").isEmpty():
             raise ValueError(f"{name} side has rows without a match on {list(keys)}")
     return left.join(right, list(keys))
+
+
+def contract_report(df: DataFrame, table: str, not_null: Sequence[str] = (),
+                    rules: dict[str, Column] | None = None) -> DataFrame:
+    """NOT NULL counts and rule violations of one table in ONE aggregation
+    pass, as rows ``(table_name, check, column_name, n_violations)``."""
+    rules = rules or {}
+    aggs = [F.count_if(F.col(c).isNull()).alias(f"nn__{c}") for c in not_null]
+    aggs += [F.count_if(~r).alias(f"rule__{n}") for n, r in rules.items()]
+    agg = df.agg(*aggs)
+    items = [("not_null", c, f"nn__{c}") for c in not_null] + [("rule", n, f"rule__{n}") for n in rules]
+    stack = ", ".join(f"'{k}', '{c}', `{a}`" for k, c, a in items)
+    return agg.selectExpr(f"stack({len(items)}, {stack}) as (check, column_name, n_violations)") \
+        .select(F.lit(table).alias("table_name"), "check", "column_name",
+                F.col("n_violations").cast("long").alias("n_violations"))

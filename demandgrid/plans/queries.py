@@ -539,14 +539,13 @@ def q_table_checks(spark, sf_dir):
     """NOT NULL, value rules, key uniqueness and foreign keys of the facts."""
     rd = lambda t, cols=None: S.read_table(spark, sf_dir, t, cols)
     li, od, cu, na = rd("lineitem"), rd("orders"), rd("customer"), rd("nation")
-    nulls = CH.null_counts(li, ["l_orderkey", "l_linenumber", "l_shipdate"], "lineitem").unionByName(
-        CH.null_counts(od, ["o_orderkey", "o_custkey", "o_orderstatus"], "orders"))
-    rules = CH.rule_violations(li, {"l_quantity_positive": F.col("l_quantity") > 0,
-                                    "l_discount_0_1": F.col("l_discount").between(0, 1)}, "lineitem") \
-        .unionByName(CH.rule_violations(nation_panel(spark, sf_dir),
-                                        {"n_shipments_nonneg": F.col("n_shipments") >= 0}, "panel_nation"))
-    a = nulls.unionByName(rules).select("table_name", "check", "column_name",
-                                        F.col("n_violations").cast("long").alias("n_violations"))
+    # One aggregation pass per table for NOT NULL and value rules.
+    a = CH.contract_report(li, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"],
+                           {"l_quantity_positive": F.col("l_quantity") > 0,
+                            "l_discount_0_1": F.col("l_discount").between(0, 1)}) \
+        .unionByName(CH.contract_report(od, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])) \
+        .unionByName(CH.contract_report(nation_panel(spark, sf_dir), "panel_nation",
+                                        rules={"n_shipments_nonneg": F.col("n_shipments") >= 0}))
     dups = [CH.duplicate_keys(li, ["l_orderkey", "l_linenumber"], "lineitem"),
             CH.duplicate_keys(od, ["o_orderkey"], "orders"),
             CH.duplicate_keys(cu, ["c_custkey"], "customer")]

@@ -68,3 +68,10 @@ def test_contract_checks(spark):
     rec = {r.table_name: r.status for r in PR.reconcile(spark, {"t": 3, "u": 1},
                                                           PR.row_counts({"t": df, "u": parent.limit(0)})).collect()}
     assert rec == {"t": "ok", "u": "MISMATCH"}
+
+
+def test_contract_report_one_pass(spark):
+    df = spark.createDataFrame([(1, 5.0), (None, -1.0), (3, None)], "k long, q double")
+    rep = {(r.check, r.column_name): r.n_violations for r in
+           CH.contract_report(df, "t", ["k", "q"], {"q_pos": F.col("q") > 0}).collect()}
+    assert rep == {("not_null", "k"): 1, ("not_null", "q"): 1, ("rule", "q_pos"): 1}
