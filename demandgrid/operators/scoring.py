@@ -82,8 +82,9 @@ def score_requests(forecast: DataFrame, requests: DataFrame, date_col: str = DAT
     parameters used and their source."""
     req = resolve_cost_params(requests.where(F.col("reason").isNull()), default_alpha, default_ratio)
     days = req.withColumn(date_col, F.explode(F.sequence("start_date", "end_date")))
-    # Requests are few (a parameter table); the forecast carries the rows.
-    j = forecast.join(F.broadcast(days), date_col)
+    # No broadcast hint: the request table has no proven size bound, so
+    # Spark's measured-size rule (and AQE at run time) picks the strategy.
+    j = forecast.join(days, date_col)
     j = j.where((F.size(F.coalesce("entities", F.array())) == 0)
                 | F.array_contains(F.col("entities"), F.col(entity_col)))
     iv = F.col("include_intervals")

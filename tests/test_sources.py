@@ -75,3 +75,25 @@ def test_contract_report_one_pass(spark):
     rep = {(r.check, r.column_name): r.n_violations for r in
            CH.contract_report(df, "t", ["k", "q"], {"q_pos": F.col("q") > 0}).collect()}
     assert rep == {("not_null", "k"): 1, ("not_null", "q"): 1, ("rule", "q_pos"): 1}
+
+
+def test_csv_sink_and_scan(spark, two_entity_panel):
+    path = os.path.join(tempfile.mkdtemp(prefix="dg-csv-"), "preds")
+    S.write_table(two_entity_panel, path, fmt="csv")
+    back = S.read_csv(spark, path, "shipment_date date, entity string, n_shipments long")
+    assert sorted(back.collect()) == sorted(two_entity_panel.collect())
+
+
+def test_products_rename_and_category_join(spark):
+    path = tempfile.mkdtemp(prefix="dg-raw-")
+    with open(os.path.join(path, "products.csv"), "w") as f:
+        f.write("product_id,product_category_name,product_name_lenght,product_description_lenght,"
+                "product_photos_qty,product_weight_g,product_length_cm,product_height_cm,product_width_cm\n"
+                "p1,beleza,10,100,1,200,10,10,10\np2,,12,80,2,300,20,5,5\np3,outra,5,50,1,100,5,5,5\n")
+    with open(os.path.join(path, "translation.csv"), "w") as f:
+        f.write("product_category_name,product_category_name_english\nbeleza,beauty\n")
+    prods = S.read_raw_csv(spark, os.path.join(path, "products.csv"), "products")
+    assert "product_name_length" in prods.columns and "product_name_lenght" not in prods.columns
+    tr = S.read_raw_csv(spark, os.path.join(path, "translation.csv"), "translation")
+    got = {r.product_id: r.product_category_name_english for r in S.products_with_category(prods, tr).collect()}
+    assert got == {"p1": "beauty", "p2": None, "p3": None}       # unmatched kept, NULL never matches
