@@ -153,14 +153,16 @@ def score_table(table: dict, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _recursive_fn(table: dict, feature_order: Sequence[str], date_col: str, entity_col: str,
+def _recursive_fn(table_bc, feature_order: Sequence[str], date_col: str, entity_col: str,
                   target_col: str):
     """Per group of entities: walk the forecast days, vectorised over the
-    entities of the group (all share the same future dates)."""
+    entities of the group (all share the same future dates). The node
+    table arrives as a broadcast variable (shipped once per executor)."""
     idx = {c: i for i, c in enumerate(feature_order)}
     rec = [idx[c] for c in RECURSIVE]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = table_bc.value
         pdf = pdf.sort_values([entity_col, date_col])
         hist = pdf[pdf["__future"] == 0]
         fut = pdf[pdf["__future"] == 1]
@@ -219,7 +221,7 @@ def recursive_forecast(fc: TreeForecaster, history: DataFrame, horizon: int, fol
     feats = X.add_volume_features(feats, fc.stats, (), fc.thresholds, 0.0, entity_col)
     feats = numeric_features(feats.withColumns({c: F.lit(None).cast("double") for c in RECURSIVE}))
     cols = [date_col, entity_col, target_col, "__future", "is_operational", *MODEL_FEATURES]
-    fn = _recursive_fn(table, MODEL_FEATURES, date_col, entity_col, target_col)
+    fn = _recursive_fn(spark.sparkContext.broadcast(table), MODEL_FEATURES, date_col, entity_col, target_col)
     # Entities are hashed into buckets (one group per bucket): a group holds
     # about entities / buckets x (TAIL + horizon) rows, bounded by the bucket
     # count, and each day is scored for the whole bucket at once.
