@@ -936,6 +936,7 @@ def _():
              nulls("orders", ["o_orderkey", "o_custkey", "o_orderstatus"]),
              rule("lineitem", "l_quantity_positive", "l_quantity > 0"),
              rule("lineitem", "l_discount_0_1", "l_discount BETWEEN 0 AND 1"),
+             rule("orders", "o_orderstatus_len_1", "length(o_orderstatus) = 1"),
              rule("panel_nation", "n_shipments_nonneg", "n_shipments >= 0", "panel"),
              dup("lineitem", "l_orderkey, l_linenumber"), dup("orders", "o_orderkey"),
              dup("customer", "c_custkey"),

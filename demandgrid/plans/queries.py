@@ -543,7 +543,8 @@ def q_table_checks(spark, sf_dir):
     a = CH.contract_report(li, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"],
                            {"l_quantity_positive": F.col("l_quantity") > 0,
                             "l_discount_0_1": F.col("l_discount").between(0, 1)}) \
-        .unionByName(CH.contract_report(od, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])) \
+        .unionByName(CH.contract_report(od, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"],
+                                        {"o_orderstatus_len_1": F.length("o_orderstatus") == 1})) \
         .unionByName(CH.contract_report(nation_panel(spark, sf_dir), "panel_nation",
                                         rules={"n_shipments_nonneg": F.col("n_shipments") >= 0}))
     dups = [CH.duplicate_keys(li, ["l_orderkey", "l_linenumber"], "lineitem"),
