@@ -71,3 +71,40 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None and not spark.conf.get("spark.checkpoint.dir", None):
         return checkpoint_dir(spark, tempfile.mkdtemp(prefix="demandgrid-ckpt-"))
     return checkpoint_dir(spark)
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only,
+    read on the driver; no data is scanned)."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def scale_conf(input_size: int, total_cores: int, shuffle_fraction: float = 0.1,
+               partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a large run, from the input size and the cores.
+
+    * scans: ``maxPartitionBytes`` = ``partition_bytes`` (about 400k scan
+      tasks for 100 TB, some 50 waves on 8,000 cores);
+    * shuffles: the widest shuffle is the fact join on the pruned key and
+      date columns, about ``shuffle_fraction`` of the input; it starts with
+      one partition per ``partition_bytes`` of it (at least 3 per core) and
+      AQE coalesces small ones to the same advisory size and splits skewed
+      ones (a hot key holding a third of the rows).
+    """
+    if input_size < 0 or total_cores < 1:
+        raise ValueError("input_size must be >= 0 and total_cores >= 1")
+    shuffle_bytes = int(input_size * shuffle_fraction)
+    n = max(3 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }

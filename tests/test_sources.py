@@ -97,3 +97,17 @@ def test_products_rename_and_category_join(spark):
     tr = S.read_raw_csv(spark, os.path.join(path, "translation.csv"), "translation")
     got = {r.product_id: r.product_category_name_english for r in S.products_with_category(prods, tr).collect()}
     assert got == {"p1": "beauty", "p2": None, "p3": None}       # unmatched kept, NULL never matches
+
+
+def test_scale_conf_sizes_partitions(spark):
+    from demandgrid.session import input_bytes, scale_conf
+    path = S.table_path("/root/testdata/sf0.001", "lineitem")
+    n = input_bytes(spark, [path])
+    assert n == (os.path.getsize(path) if os.path.isfile(path) else n) and n > 0
+    small = scale_conf(n, 8)
+    assert small["spark.sql.shuffle.partitions"] == "24"           # floor: 3 per core
+    big = scale_conf(100 << 40, 8000)                               # 100 TB on 8,000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 40960        # 10 TB shuffled / 256 MB
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)
+    with pytest.raises(ValueError):
+        scale_conf(1, 0)
