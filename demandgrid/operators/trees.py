@@ -100,24 +100,48 @@ class TreeForecaster:
     reference_date: dt.date
 
 
-def fit(history: DataFrame, params: GBTParams = GBTParams(), thresholds=K.DEFAULT_TIER_THRESHOLDS,
-        reference_date=K.TREND_REFERENCE_DATE, validation: DataFrame | None = None) -> TreeForecaster:
-    """Train on ``history``; ``validation`` rows (featurised with the same
-    train statistics) drive early stopping."""
+@dataclass
+class TrainingData:
+    """Assembled, materialized training rows of one history (+ the inputs a
+    forecaster needs besides the fitted model). Independent of the tree
+    parameters, so a search prepares it once per fold for all its trials."""
+    table: DataFrame
+    stats: DataFrame
+    last_train_date: object
+    thresholds: tuple
+    reference_date: dt.date
+    validation: bool
+
+
+def prepare(history: DataFrame, thresholds=K.DEFAULT_TIER_THRESHOLDS,
+            reference_date=K.TREND_REFERENCE_DATE, validation: DataFrame | None = None) -> TrainingData:
+    """Featurise and assemble ``history``; ``validation`` rows (featurised
+    with the same train statistics) are flagged for early stopping."""
     stats = X.volume_stats(history)
-    train = training_table(history, (), thresholds, reference_date, stats)
     if validation is not None:
         both = history.withColumn("__val", F.lit(False)).unionByName(validation.withColumn("__val", F.lit(True)))
         table = training_table(both, (), thresholds, reference_date, stats)
-        est = params.estimator("__val")
     else:
-        table, est = train, params.estimator()
+        table = training_table(history, (), thresholds, reference_date, stats)
     # Materialize the assembled table once: boosting scans it every round.
     from demandgrid.operators.panel import materialize
     cols = ["features", K.TARGET_COL] + (["__val"] if validation is not None else [])
-    model = est.fit(materialize(assembler().transform(table).select(*cols)))
+    data = materialize(assembler().transform(table).select(*cols))
     last = history.agg(F.max(K.DATE_COL)).first()[0]
-    return TreeForecaster(model, stats, last, thresholds, reference_date)
+    return TrainingData(data, stats, last, thresholds, reference_date, validation is not None)
+
+
+def fit_prepared(data: TrainingData, params: GBTParams = GBTParams()) -> TreeForecaster:
+    est = params.estimator("__val" if data.validation else None)
+    return TreeForecaster(est.fit(data.table), data.stats, data.last_train_date, data.thresholds,
+                          data.reference_date)
+
+
+def fit(history: DataFrame, params: GBTParams = GBTParams(), thresholds=K.DEFAULT_TIER_THRESHOLDS,
+        reference_date=K.TREND_REFERENCE_DATE, validation: DataFrame | None = None) -> TreeForecaster:
+    """Train on ``history``; ``validation`` rows (featurised with the same
+    train statistics) drive early stopping."""
+    return fit_prepared(prepare(history, thresholds, reference_date, validation), params)
 
 
 def tree_table(model: GBTRegressionModel, spark: SparkSession, folder: str) -> dict:
@@ -198,14 +222,15 @@ def _recursive_fn(table_bc, feature_order: Sequence[str], date_col: str, entity_
     return run
 
 
-def recursive_forecast(fc: TreeForecaster, history: DataFrame, horizon: int, folder: str,
-                       date_col: str = K.DATE_COL, entity_col: str = K.ENTITY_COL,
-                       target_col: str = K.TARGET_COL, buckets: int | None = None) -> DataFrame:
-    """``horizon`` days after the last date of ``history`` for every entity."""
+def forecast_inputs(source, history: DataFrame, horizon: int, date_col: str = K.DATE_COL,
+                    entity_col: str = K.ENTITY_COL, target_col: str = K.TARGET_COL) -> DataFrame:
+    """Each entity's last ``TAIL`` days plus the ``horizon`` future days with
+    every non-recursive feature computed by Spark. ``source`` (a
+    :class:`TreeForecaster` or :class:`TrainingData`) gives the volume stats,
+    thresholds and trend anchor; the tree parameters play no part, so a
+    search builds this once per fold."""
     if horizon < 1:
         raise ValueError(f"horizon must be positive, got {horizon}")
-    spark = history.sparkSession
-    table = tree_table(fc.model, spark, folder)
     future = FC.future_grid(history, horizon, date_col=date_col, entity_col=entity_col, target_col=target_col)
     w = Window.partitionBy(entity_col).orderBy(F.col(date_col).desc())
     tail = (history.select(date_col, entity_col, target_col)
@@ -216,17 +241,32 @@ def recursive_forecast(fc: TreeForecaster, history: DataFrame, horizon: int, fol
     yrs = years.agg(F.sort_array(F.collect_set(F.year(date_col)))).scalar()
     feats = X.add_holiday_features(both, date_col)
     feats = X.add_event_features(feats, date_col=date_col, years=yrs)
-    feats = feats.withColumns(X.trend_columns(fc.reference_date, date_col))
+    feats = feats.withColumns(X.trend_columns(source.reference_date, date_col))
     feats = feats.withColumns(X.calendar_columns(date_col))
-    feats = X.add_volume_features(feats, fc.stats, (), fc.thresholds, 0.0, entity_col)
+    feats = X.add_volume_features(feats, source.stats, (), source.thresholds, 0.0, entity_col)
     feats = numeric_features(feats.withColumns({c: F.lit(None).cast("double") for c in RECURSIVE}))
-    cols = [date_col, entity_col, target_col, "__future", "is_operational", *MODEL_FEATURES]
+    return feats.select(date_col, entity_col, target_col, "__future", "is_operational", *MODEL_FEATURES)
+
+
+def recursive_forecast(fc: TreeForecaster, history: DataFrame, horizon: int, folder: str,
+                       date_col: str = K.DATE_COL, entity_col: str = K.ENTITY_COL,
+                       target_col: str = K.TARGET_COL, buckets: int | None = None,
+                       inputs: DataFrame | None = None) -> DataFrame:
+    """``horizon`` days after the last date of ``history`` for every entity
+    (``inputs``: a prebuilt :func:`forecast_inputs` frame for this history
+    and horizon)."""
+    if horizon < 1:
+        raise ValueError(f"horizon must be positive, got {horizon}")
+    spark = history.sparkSession
+    table = tree_table(fc.model, spark, folder)
+    feats = inputs if inputs is not None else forecast_inputs(fc, history, horizon, date_col, entity_col,
+                                                              target_col)
     fn = _recursive_fn(spark.sparkContext.broadcast(table), MODEL_FEATURES, date_col, entity_col, target_col)
     # Entities are hashed into buckets (one group per bucket): a group holds
     # about entities / buckets x (TAIL + horizon) rows, bounded by the bucket
     # count, and each day is scored for the whole bucket at once.
     n_buckets = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    return (feats.select(*cols).withColumn("__bucket", F.pmod(F.xxhash64(entity_col), F.lit(n_buckets)))
+    return (feats.withColumn("__bucket", F.pmod(F.xxhash64(entity_col), F.lit(n_buckets)))
             .groupBy("__bucket")
             .applyInPandas(lambda pdf: fn(pdf.drop(columns="__bucket")),
                            schema=f"{date_col} date, {entity_col} string, y_pred double"))

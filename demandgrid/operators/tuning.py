@@ -13,7 +13,8 @@ from __future__ import annotations
 import json
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from statistics import median
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,18 +53,47 @@ def sample_params(rng: random.Random, max_iter: int) -> T.GBTParams:
                        feature_subset=f"{p['feature_fraction']:.3f}", min_instances=p["min_instances"])
 
 
-def evaluate_fold(panel: DataFrame, params: T.GBTParams, train_end, test_start, test_end,
-                  thresholds=K.DEFAULT_TIER_THRESHOLDS, reference_date=K.TREND_REFERENCE_DATE,
-                  early_stopping: bool = True) -> float:
-    """Fit on the fold's train rows (test rows drive early stopping, as in
-    the tuning loop), forecast the test window recursively, WAPE on all days."""
+@dataclass
+class FoldContext:
+    """A tuning fold's parameter-free inputs: the assembled training rows
+    (with the test rows flagged for early stopping), the test rows, the
+    horizon and the recursive forecast's feature frame. Built once per fold
+    and shared by every trial."""
+    train: DataFrame
+    test: DataFrame
+    data: T.TrainingData
+    horizon: int
+    inputs: DataFrame
+
+
+def fold_context(panel: DataFrame, train_end, test_start, test_end,
+                 thresholds=K.DEFAULT_TIER_THRESHOLDS, reference_date=K.TREND_REFERENCE_DATE,
+                 early_stopping: bool = True) -> FoldContext:
+    from demandgrid.operators.panel import materialize
     d = F.col(K.DATE_COL)
     train = panel.where(d <= F.lit(train_end))
     test = panel.where(d.between(F.lit(test_start), F.lit(test_end)))
-    fc = T.fit(train, params, thresholds, reference_date, validation=test if early_stopping else None)
+    data = T.prepare(train, thresholds, reference_date, validation=test if early_stopping else None)
     horizon = test.select(K.DATE_COL).distinct().count()
-    pred = T.recursive_forecast(fc, train, horizon, shared_folder(panel.sparkSession))
-    j = pred.join(test, [K.DATE_COL, K.ENTITY_COL])
+    inputs = materialize(T.forecast_inputs(data, train, horizon))
+    return FoldContext(train, test, data, horizon, inputs)
+
+
+def evaluate_fold(panel: DataFrame, params: T.GBTParams, train_end, test_start, test_end,
+                  thresholds=K.DEFAULT_TIER_THRESHOLDS, reference_date=K.TREND_REFERENCE_DATE,
+                  early_stopping: bool = True,
+                  context: FoldContext | Callable[[], FoldContext] | None = None) -> float:
+    """Fit on the fold's train rows (test rows drive early stopping, as in
+    the tuning loop), forecast the test window recursively, WAPE on all days.
+    ``context`` (from :func:`fold_context`, or a function returning it)
+    skips the parameter-free work."""
+    ctx = context() if callable(context) else context
+    ctx = ctx or fold_context(panel, train_end, test_start, test_end, thresholds, reference_date,
+                                  early_stopping)
+    fc = T.fit_prepared(ctx.data, params)
+    pred = T.recursive_forecast(fc, ctx.train, ctx.horizon, shared_folder(panel.sparkSession),
+                                inputs=ctx.inputs)
+    j = pred.join(ctx.test, [K.DATE_COL, K.ENTITY_COL])
     return float(j.agg(M.wape().alias("w")).first().w)
 
 
@@ -84,22 +114,32 @@ def search(panel: DataFrame, n_trials: int, folds: Sequence = K.FOLD_SPEC[:3], m
     rng = random.Random(seed)
     history: list[list[float]] = []
     rows = []
+    # Parameter-free fold inputs, built on first use and shared by all trials.
+    contexts: dict[int, FoldContext] = {}
+
+    def context(i: int) -> FoldContext:
+        if i not in contexts:
+            _, te, ts, tend, _ = folds[i]
+            contexts[i] = fold_context(panel, te, ts, tend, thresholds, reference_date)
+        return contexts[i]
+
     for trial in range(n_trials):
         params = sample_params(rng, max_iter)
 
-        def run_fold(f, params=params):
-            _, te, ts, tend, _ = f
-            return evaluate_fold(panel, params, te, ts, tend, thresholds, reference_date)
+        def run_fold(i, params=params):
+            _, te, ts, tend, _ = folds[i]
+            return evaluate_fold(panel, params, te, ts, tend, thresholds, reference_date,
+                                 context=lambda: context(i))
 
         if parallel_folds:
             with ThreadPoolExecutor(max_workers=len(folds)) as pool:
-                all_w = list(pool.map(run_fold, folds))
+                all_w = list(pool.map(run_fold, range(len(folds))))
         else:
             all_w = None
         wapes: list[float] = []
         state = "complete"
-        for step, f in enumerate(folds):
-            w = all_w[step] if all_w is not None else run_fold(f)
+        for step in range(len(folds)):
+            w = all_w[step] if all_w is not None else run_fold(step)
             wapes.append(w)
             if trial >= startup_trials and step >= warmup_steps:
                 prior = [h[step] for h in history if len(h) > step]

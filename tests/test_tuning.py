@@ -30,3 +30,27 @@ def test_median_stopping_rule(spark, two_entity_panel, monkeypatch):
         best = TU.summarize(spark.createDataFrame(list(trials.values()))).first()
         assert best.best_trial == 2 and best.n_complete == 2 and best.n_pruned == 1
         assert json.loads(best.best_params)["max_iter"] == 2
+
+
+def test_shared_fold_context_equals_fresh_preparation(spark, monkeypatch):
+    """A trial scored on the shared fold context gets the same WAPE as one
+    that featurises the fold itself; a search builds each context once."""
+    from tests.test_training import _panel
+    from tests.conftest import D
+    panel = _panel(spark, days=120)
+    params = TU.T.GBTParams(max_iter=3, max_depth=3, seed=7)
+    args = (D("2023-04-10"), D("2023-04-11"), D("2023-04-30"), (5.0, 20.0), D("2023-01-01"))
+    ctx = TU.fold_context(panel, *args)
+    fresh = TU.evaluate_fold(panel, params, *args)
+    shared = TU.evaluate_fold(panel, params, *args, context=ctx)
+    assert shared == pytest.approx(fresh, rel=1e-12)
+
+    built = []
+    real = TU.fold_context
+    monkeypatch.setattr(TU, "fold_context", lambda *a, **k: built.append(a[1]) or real(*a, **k))
+    folds = [(1, D("2023-03-31"), D("2023-04-01"), D("2023-04-15"), "f1"),
+             (2, D("2023-04-15"), D("2023-04-16"), D("2023-04-30"), "f2")]
+    trials = TU.search(panel, 2, folds, max_iter=2, startup_trials=5, thresholds=(5.0, 20.0),
+                       reference_date=D("2023-01-01")).collect()
+    assert len(trials) == 2 and all(t.state == "complete" for t in trials)
+    assert sorted(built) == [D("2023-03-31"), D("2023-04-15")]      # once per fold, not per trial
