@@ -84,3 +84,19 @@ def test_training_flow_both(spark):
     assert info.eval_wape == ev["wape"] and info.n_groups == 3
     with pytest.raises(ValueError):
         TRN.run(panel, "bogus", out)
+
+
+def test_recursive_forecast_does_not_collapse(spark):
+    """Over a 28-day horizon the recursion keeps each entity's level and
+    weekly shape: no drift to zero or to one constant."""
+    panel = _panel(spark, days=200)
+    fc = T.fit(panel, T.GBTParams(max_iter=15, max_depth=4), (5.0, 20.0), D("2023-01-01"))
+    pred = T.recursive_forecast(fc, panel, 28, shared_folder(spark)).toPandas()
+    assert len(pred) == 3 * 28 and pred.y_pred.notna().all() and (pred.y_pred >= 0).all()
+    pred["dow"] = [d.weekday() for d in pred.shipment_date]
+    for ent, level in (("SP", 50), ("RJ", 10)):
+        p = pred[(pred.entity == ent) & (pred.dow != 6)]
+        last_week = p[p.shipment_date >= max(p.shipment_date) - dt.timedelta(days=6)].y_pred
+        assert 0.6 * level <= last_week.mean() <= 1.4 * level
+    assert (pred[pred.dow == 6].y_pred == 0).all()                 # Sundays: not operational
+    assert pred[pred.entity == "SP"].y_pred.round(6).nunique() > 1

@@ -54,3 +54,18 @@ def test_shared_fold_context_equals_fresh_preparation(spark, monkeypatch):
                        reference_date=D("2023-01-01")).collect()
     assert len(trials) == 2 and all(t.state == "complete" for t in trials)
     assert sorted(built) == [D("2023-03-31"), D("2023-04-15")]      # once per fold, not per trial
+
+
+def test_sampled_parameters_stay_in_the_search_space():
+    import random
+    rng = random.Random(3)
+    for _ in range(200):
+        p = TU.sample_params(rng, max_iter=7)
+        assert p.max_iter == 7 and p.max_depth in TU.SPACE["max_depth"][1]
+        assert TU.SPACE["step_size"][1] <= p.step_size <= TU.SPACE["step_size"][2]
+        assert TU.SPACE["subsampling_rate"][1] <= p.subsampling_rate <= TU.SPACE["subsampling_rate"][2]
+        assert 0.5 <= float(p.feature_subset) <= 1.0
+        assert TU.SPACE["min_instances"][1] <= p.min_instances <= TU.SPACE["min_instances"][2]
+    # Same seed, same sequence: the search is reproducible.
+    a, b = random.Random(11), random.Random(11)
+    assert [vars(TU.sample_params(a, 5)) for _ in range(5)] == [vars(TU.sample_params(b, 5)) for _ in range(5)]
