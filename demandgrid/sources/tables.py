@@ -74,12 +74,21 @@ def shipment_counts(spark: SparkSession, sf_dir: str, grain: str = "nation",
     side, so a hot nation or day never reaches one task as raw rows); only
     the small aggregate is mapped to nation or region names.
     """
-    orders = (read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
-              .where(F.col("o_orderstatus").isin(list(statuses)))
-              .select("o_orderkey", "o_custkey"))
+    lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_shipdate"])
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    return counts_from_facts(spark, sf_dir, lines, orders, grain, statuses, date_col, entity_col, target_col)
+
+
+def counts_from_facts(spark: SparkSession, sf_dir: str, lines: DataFrame, orders: DataFrame,
+                      grain: str = "nation", statuses: Sequence[str] = SHIPPED_STATUSES,
+                      date_col: str = DATE_COL, entity_col: str = ENTITY_COL,
+                      target_col: str = "n_shipments") -> DataFrame:
+    """:func:`shipment_counts` on given ``lineitem`` / ``orders`` frames
+    (Parquet scans, or the order-key bucketed tables of
+    :func:`write_bucketed_facts`); dimensions are read from ``sf_dir``."""
+    orders = orders.where(F.col("o_orderstatus").isin(list(statuses))).select("o_orderkey", "o_custkey")
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-    lines = (read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_shipdate"])
-             .where(F.col("l_shipdate").isNotNull()))
+    lines = lines.where(F.col("l_shipdate").isNotNull())
     order_nation = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
         "o_orderkey", "c_nationkey")
     by_key = (lines.join(order_nation, lines.l_orderkey == order_nation.o_orderkey)
@@ -99,6 +108,37 @@ def shipment_counts(spark: SparkSession, sf_dir: str, grain: str = "nation",
     raise ValueError(f"grain must be 'nation' or 'region', got {grain!r}")
 
 
+def write_bucketed_facts(spark: SparkSession, sf_dir: str, folder: str, n_buckets: int,
+                         names: tuple[str, str] = ("facts_lineitem", "facts_orders")) -> tuple[str, str]:
+    """Write the join columns of ``lineitem`` and ``orders`` once, both
+    bucketed by order key into ``n_buckets`` (external tables under
+    ``folder``, a shared location on a cluster).
+
+    Every later panel rebuild (:func:`bucketed_shipment_counts`) then joins
+    line items to orders bucket by bucket: the line items, the widest input,
+    are not shuffled again; only the (smaller) orders-with-nation side is
+    hash-partitioned to the same bucket count. Use ``n_buckets`` >=
+    ``spark.sql.shuffle.partitions`` so the planner keeps the bucketing.
+    All rows are kept (no filter), so the copy answers any status choice.
+    """
+    if n_buckets < 1:
+        raise ValueError(f"n_buckets must be positive, got {n_buckets}")
+    parts = ((names[0], read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_shipdate"]), "l_orderkey"),
+             (names[1], read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"]),
+              "o_orderkey"))
+    for name, df, key in parts:
+        (df.write.mode("overwrite").format("parquet").bucketBy(n_buckets, key)
+         .option("path", f"{folder.rstrip('/')}/{name}").saveAsTable(name))
+    return names
+
+
+def bucketed_shipment_counts(spark: SparkSession, sf_dir: str,
+                             names: tuple[str, str] = ("facts_lineitem", "facts_orders"),
+                             grain: str = "nation", **kw) -> DataFrame:
+    """:func:`shipment_counts` over the bucketed fact tables (same result)."""
+    return counts_from_facts(spark, sf_dir, spark.table(names[0]), spark.table(names[1]), grain, **kw)
+
+
 def event_rows(spark: SparkSession, sf_dir: str, date_col: str = DATE_COL,
                entity_col: str = ENTITY_COL) -> DataFrame:
     """The ``events`` stream table as ``(date_col, entity_col=event_type)``."""

@@ -12,7 +12,8 @@ from demandgrid.session import checkpoint_dir, get_spark  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark("local[4]", app="demandgrid-tests", shuffle_partitions=8)
+    s = get_spark("local[4]", app="demandgrid-tests", shuffle_partitions=8,
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="demandgrid-test-wh-")})
     checkpoint_dir(s, tempfile.mkdtemp(prefix="demandgrid-test-ckpt-"))
     yield s
 

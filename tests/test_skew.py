@@ -61,3 +61,26 @@ def test_hot_keys_exact_counts_and_split_join(spark):
     assert got == dict(expect)
     assert "skew=true" in plan.replace(" ", "").lower() or "isskewjoin=true" in plan.replace(" ", "").lower(), plan
     assert os.path.isdir(root)
+
+
+def test_bucketed_facts_skip_the_line_item_shuffle(spark):
+    import uuid
+    sf = "/root/testdata/sf0.001"
+    tag = uuid.uuid4().hex[:8]
+    names = (f"facts_lineitem_{tag}", f"facts_orders_{tag}")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    S.write_bucketed_facts(spark, sf, tempfile.mkdtemp(prefix="dg-bucketed-"), n, names)
+    want = {tuple(r) for r in S.shipment_counts(spark, sf, "nation").collect()}
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = S.bucketed_shipment_counts(spark, sf, names, "nation")
+        got = {tuple(r) for r in df.collect()}
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == want
+    assert "Bucketed: true" in plan
+    assert "hashpartitioning(l_orderkey" not in plan              # line items are not shuffled
