@@ -70,3 +70,11 @@ EVENT_WINDOWS: tuple[tuple[str, _dt.date, _dt.date], ...] = (
 )
 # Calibration lengths for the interval-coverage study.
 CALIBRATION_LENGTHS: tuple[int, ...] = (30, 45, 60, 90, 120)
+# Fast retrain (fixed values of the original workflow): the last 180 days
+# and a small boosted-tree model (50 trees, about 15 leaves, rate 0.1, at
+# least 20 rows per leaf).
+FAST_RETRAIN_DAYS = 180
+FAST_RETRAIN_TREES = 50
+FAST_RETRAIN_DEPTH = 4
+FAST_RETRAIN_RATE = 0.1
+FAST_RETRAIN_MIN_LEAF = 20

@@ -1,4 +1,5 @@
-"""Split-conformal intervals around a seasonal-naive (or naive) base.
+"""Split-conformal intervals around a seasonal-naive (or naive) base, or
+around the boosted-tree forecaster (``tree_calibration_residuals``).
 
 Fit: hold out the last ``calibration_days`` days of each key group, fit the
 base on the rest, forecast the held-out days, take signed residuals
@@ -10,6 +11,7 @@ calibrations one plan.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -83,6 +85,35 @@ def calibration_residuals(history: DataFrame, calibration_days: int | None = 60,
                          (F.col(target_col) - F.col(f"y_pred_{base}")).alias("residual"))
 
 
+def tree_calibration_residuals(history: DataFrame, calibration_days: int = 60, params=None,
+                               thresholds=None, reference_date=None, date_col: str = DATE_COL,
+                               entity_col: str = ENTITY_COL, target_col: str = TARGET_COL) -> DataFrame:
+    """Signed residuals of the boosted-tree forecaster on the operational
+    days of the last ``calibration_days`` days: the trees are fitted on the
+    rows before that window and forecast it recursively from the end of the
+    fit rows (Spark ML fit + bucketed recursive walk; no row reaches the
+    driver)."""
+    from demandgrid import constants as K
+    from demandgrid.operators import trees as T
+    from demandgrid.session import shared_folder
+    if calibration_days <= 0:
+        raise ValueError(f"calibration_days must be positive, got {calibration_days}")
+    last = history.agg(F.max(date_col)).first()[0]
+    calib_start = last - dt.timedelta(days=calibration_days - 1)
+    d = F.col(date_col)
+    fit, calib = history.where(d < F.lit(calib_start)), history.where(d >= F.lit(calib_start))
+    if fit.isEmpty():
+        raise ValueError(f"After reserving {calibration_days} calibration days no rows remain to fit")
+    horizon = calib.select(date_col).distinct().count()
+    fc = T.fit(fit, params or T.GBTParams(), thresholds or K.DEFAULT_TIER_THRESHOLDS,
+               reference_date or K.TREND_REFERENCE_DATE)
+    pred = T.recursive_forecast(fc, fit, horizon, shared_folder(history.sparkSession),
+                                date_col=date_col, entity_col=entity_col, target_col=target_col)
+    scored = X.add_holiday_features(calib.join(pred, [date_col, entity_col]), date_col)
+    scored = scored.where(F.col("is_operational") == 1)
+    return scored.select(date_col, entity_col, (F.col(target_col) - F.col("y_pred")).alias("residual"))
+
+
 def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Without keys, one literal group key, so the single offsets row joins
     by a broadcast hash join instead of a cartesian product."""

@@ -47,13 +47,32 @@ def evaluate_holdout(panel: DataFrame, train_end: dt.date, holdout_end: dt.date,
             "rmse": round(r.rmse, 4)}
 
 
+BASES = ("seasonal_naive", "trees")
+
+
+def fast_retrain_params() -> T.GBTParams:
+    return T.GBTParams(max_iter=K.FAST_RETRAIN_TREES, max_depth=K.FAST_RETRAIN_DEPTH,
+                       step_size=K.FAST_RETRAIN_RATE, min_instances=K.FAST_RETRAIN_MIN_LEAF)
+
+
 def run(panel: DataFrame, mode: str, out_dir: str, train_end: dt.date | None = None,
         holdout_end: dt.date | None = None, params: T.GBTParams = T.GBTParams(),
         calibration_days: int = 60, alpha: float = 0.1, thresholds=K.DEFAULT_TIER_THRESHOLDS,
-        reference_date=K.TREND_REFERENCE_DATE) -> dict:
+        reference_date=K.TREND_REFERENCE_DATE, base: str = "seasonal_naive",
+        fast_retrain: bool = False) -> dict:
+    """``base="trees"`` stores the boosted-tree forecaster wrapped in
+    split-conformal offsets (model, per-entity volume state, metadata);
+    ``base="seasonal_naive"`` the seasonal-naive state with its offsets.
+    ``fast_retrain`` keeps the last ``FAST_RETRAIN_DAYS`` days and uses the
+    small fast-retrain tree parameters."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    if base not in BASES:
+        raise ValueError(f"base must be one of {BASES}, got {base!r}")
     spark = panel.sparkSession
+    if fast_retrain:
+        panel = P.trailing_days(panel, K.FAST_RETRAIN_DAYS)
+        params = fast_retrain_params()
     result: dict = {}
     if mode in ("evaluation", "both"):
         if train_end is None or holdout_end is None:
@@ -61,9 +80,24 @@ def run(panel: DataFrame, mode: str, out_dir: str, train_end: dt.date | None = N
         result["evaluation"] = evaluate_holdout(panel, train_end, holdout_end, params, thresholds,
                                                 reference_date)
     if mode in ("production", "both"):
-        offsets = CF.conformal_offsets(CF.calibration_residuals(panel, calibration_days), alpha)
-        ST.write_state(FC.seasonal_naive_fit(panel, 7), out_dir)
-        off = offsets.first()
+        extra: dict = {"alpha": alpha, "calibration_days": calibration_days, "fast_retrain": fast_retrain}
+        if base == "trees":
+            residuals = CF.tree_calibration_residuals(panel, calibration_days, params, thresholds,
+                                                      reference_date)
+            # The stored model is refitted on the whole history (calibration
+            # days included) and forecasts from its end.
+            fc = T.fit(panel, params, thresholds, reference_date)
+            fc.model.write().overwrite().save(f"{out_dir.rstrip('/')}/trees")
+            ST.write_state(fc.stats, out_dir)
+            name = "conformal_trees"
+            extra.update({"feature_names": list(T.MODEL_FEATURES), "thresholds": list(thresholds),
+                          "reference_date": reference_date.isoformat(),
+                          "params": {k: v for k, v in vars(params).items() if k != "extra"}})
+        else:
+            residuals = CF.calibration_residuals(panel, calibration_days)
+            ST.write_state(FC.seasonal_naive_fit(panel, 7), out_dir)
+            name = "conformal_seasonal_naive"
+        off = CF.conformal_offsets(residuals, alpha).first()
         info = panel.agg(F.max(K.DATE_COL).alias("last"), F.sort_array(F.collect_set(K.ENTITY_COL)).alias("g")).first()
         ev = result.get("evaluation")
         meta = {"version": "1", "trained_at": ST.utc_now(), "last_train_date": info["last"],
@@ -72,10 +106,34 @@ def run(panel: DataFrame, mode: str, out_dir: str, train_end: dt.date | None = N
                 "evaluation_metrics": (ev["window_start"], ev["window_end"], ev["n_days"], ev["wape"],
                                        ev["mae"], ev["rmse"]) if ev else None,
                 "evaluation_note": "holdout of a sibling model trained up to train_end" if ev else None}
-        ST.write_metadata(spark, out_dir, "conformal_seasonal_naive", meta,
-                          extra={"lower_offset": off.lower_offset, "upper_offset": off.upper_offset,
-                                 "coverage": off.coverage, "alpha": alpha,
-                                 "calibration_days": calibration_days})
+        extra.update({"lower_offset": off.lower_offset, "upper_offset": off.upper_offset,
+                      "coverage": off.coverage})
+        ST.write_metadata(spark, out_dir, name, meta, extra=extra)
         result["production"] = {"lower_offset": off.lower_offset, "upper_offset": off.upper_offset,
-                                "coverage": off.coverage, "path": out_dir}
+                                "coverage": off.coverage, "path": out_dir, "model": name}
     return result
+
+
+def load_tree_forecaster(spark, out_dir: str) -> tuple[T.TreeForecaster, dict]:
+    """The stored conformal tree model: forecaster + metadata extras
+    (offsets, thresholds, trend anchor, parameters)."""
+    import json
+    from pyspark.ml.regression import GBTRegressionModel
+    state, meta = ST.read_model(spark, out_dir, "conformal_trees")
+    row = meta.first()
+    extra = json.loads(row.extra)
+    model = GBTRegressionModel.load(f"{out_dir.rstrip('/')}/trees")
+    fc = T.TreeForecaster(model, state, row.last_train_date, tuple(extra["thresholds"]),
+                          dt.date.fromisoformat(extra["reference_date"]))
+    return fc, extra
+
+
+def tree_interval_forecast(fc: T.TreeForecaster, history: DataFrame, horizon: int,
+                           lower_offset: float, upper_offset: float) -> DataFrame:
+    """Recursive tree forecast with the conformal interval (lower clipped
+    at 0, upper not)."""
+    pred = T.recursive_forecast(fc, history, horizon, shared_folder(history.sparkSession))
+    return pred.withColumns({
+        "y_lower": F.greatest(F.lit(0.0), F.col("y_pred") + F.lit(float(lower_offset))),
+        "y_upper": F.col("y_pred") + F.lit(float(upper_offset)),
+    })

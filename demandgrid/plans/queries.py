@@ -634,6 +634,15 @@ def q_gbt_holdout(spark, sf_dir):
     return out
 
 
+@query("gbt_conformal_offsets")
+def q_gbt_conformal_offsets(spark, sf_dir):
+    """Production interval of the tree model: trees fitted before the last
+    60 days of the history forecast them recursively; offsets (alpha 0.1)
+    and calibration coverage from the operational-day residuals."""
+    res = CF.tree_calibration_residuals(_history(spark, sf_dir), 60, GBT_PARAMS, NATION_TIERS, TREND_ANCHOR)
+    return _round_cols(CF.conformal_offsets(res, 0.1), ["lower_offset", "upper_offset", "coverage"])
+
+
 @query("gbt_feature_importance")
 def q_gbt_importance(spark, sf_dir):
     """Top 15 features by importance with their share of the total."""

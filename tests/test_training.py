@@ -100,3 +100,55 @@ def test_recursive_forecast_does_not_collapse(spark):
         assert 0.6 * level <= last_week.mean() <= 1.4 * level
     assert (pred[pred.dow == 6].y_pred == 0).all()                 # Sundays: not operational
     assert pred[pred.entity == "SP"].y_pred.round(6).nunique() > 1
+
+
+def test_conformal_trees_production_and_reload(spark):
+    """Tree base: residuals on operational calibration days only; stored
+    model reloads and forecasts the same values with the stored interval."""
+    from demandgrid.operators import conformal as CF
+    out = tempfile.mkdtemp(prefix="dg-train-trees-")
+    panel = _panel(spark, days=160)
+    params = T.GBTParams(max_iter=4, max_depth=3)
+    res = CF.tree_calibration_residuals(panel, 21, params, (5.0, 20.0), D("2023-01-01")).collect()
+    last = D("2023-01-01") + dt.timedelta(days=159)
+    assert res and all(last - dt.timedelta(days=20) <= r.shipment_date <= last for r in res)
+    assert all(r.shipment_date.weekday() != 6 for r in res)                # Sundays excluded
+    corpus_christi = D("2023-06-08")                                     # Easter 2023 + 60: holiday
+    assert all(r.shipment_date != corpus_christi for r in res)
+    days = [last - dt.timedelta(days=i) for i in range(21)]
+    assert len(res) == 3 * sum(1 for d in days if d.weekday() != 6 and d != corpus_christi)
+    prod = TRN.run(panel, "production", out, params=params, calibration_days=21, thresholds=(5.0, 20.0),
+                   reference_date=D("2023-01-01"), base="trees")["production"]
+    assert prod["model"] == "conformal_trees" and prod["lower_offset"] <= prod["upper_offset"]
+    fc, extra = TRN.load_tree_forecaster(spark, out)
+    assert extra["calibration_days"] == 21 and fc.last_train_date == last
+    a = {(r.shipment_date, r.entity): r for r in TRN.tree_interval_forecast(
+        fc, panel, 5, extra["lower_offset"], extra["upper_offset"]).collect()}
+    refit = T.fit(panel, params, (5.0, 20.0), D("2023-01-01"))
+    b = {(r.shipment_date, r.entity): r.y_pred
+         for r in T.recursive_forecast(refit, panel, 5, shared_folder(spark)).collect()}
+    assert a.keys() == b.keys() and len(a) == 15
+    for k, r in a.items():
+        assert r.y_pred == pytest.approx(b[k], abs=1e-9)
+        assert r.y_lower == pytest.approx(max(0.0, r.y_pred + extra["lower_offset"]))
+        assert r.y_upper == pytest.approx(r.y_pred + extra["upper_offset"])
+    with pytest.raises(ValueError):
+        TRN.run(panel, "production", out, base="prophet")
+
+
+def test_fast_retrain_uses_last_180_days(spark, monkeypatch):
+    seen = {}
+    real_fit = T.fit
+
+    def spy(history, params, *a, **k):
+        seen["min"] = history.agg(F.min("shipment_date")).first()[0]
+        seen["params"] = params
+        return real_fit(history, T.GBTParams(max_iter=2, max_depth=2), *a, **k)
+    monkeypatch.setattr(T, "fit", spy)
+    panel = _panel(spark, days=200)
+    TRN.run(panel, "evaluation", tempfile.mkdtemp(prefix="dg-fast-"), train_end=D("2023-07-01"),
+            holdout_end=D("2023-07-10"), thresholds=(5.0, 20.0), reference_date=D("2023-01-01"),
+            fast_retrain=True)
+    last = D("2023-01-01") + dt.timedelta(days=199)
+    assert seen["min"] == last - dt.timedelta(days=180)
+    assert seen["params"].max_iter == 50 and seen["params"].min_instances == 20
