@@ -639,8 +639,29 @@ def q_gbt_conformal_offsets(spark, sf_dir):
     """Production interval of the tree model: trees fitted before the last
     60 days of the history forecast them recursively; offsets (alpha 0.1)
     and calibration coverage from the operational-day residuals."""
-    res = CF.tree_calibration_residuals(_history(spark, sf_dir), 60, GBT_PARAMS, NATION_TIERS, TREND_ANCHOR)
-    return _round_cols(CF.conformal_offsets(res, 0.1), ["lower_offset", "upper_offset", "coverage"])
+    return _round_cols(_tree_offsets(spark, sf_dir), ["lower_offset", "upper_offset", "coverage"])
+
+
+def _tree_offsets(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, _input_stamp(sf_dir), "tree_offsets")
+    if key not in _MODELS:
+        res = CF.tree_calibration_residuals(_history(spark, sf_dir), 60, GBT_PARAMS, NATION_TIERS,
+                                            TREND_ANCHOR)
+        _MODELS[key] = P.materialize(CF.conformal_offsets(res, 0.1))
+    return _MODELS[key]
+
+
+@query("gbt_batch_scoring")
+def q_gbt_batch_scoring(spark, sf_dir):
+    """The scoring requests served by the production model of the original:
+    the tree forecast past the training end with its conformal interval."""
+    req, panel = _checked_requests(spark, sf_dir)
+    hist = panel.where(F.col("shipment_date") <= F.lit(TRAIN_END))
+    horizon = max((r[2] - TRAIN_END).days for r in REQUESTS if r[2] > TRAIN_END and r[2] >= r[1]
+                  and (r[2] - r[1]).days <= K.MAX_WINDOW_DAYS)
+    pred = TR.recursive_forecast(holdout_model(spark, sf_dir), hist, horizon, shared_folder(spark))
+    fc = CF.apply_offsets(pred, _tree_offsets(spark, sf_dir))
+    return _round_cols(SC.score_requests(fc, req), ["point", "lower_90", "upper_90", "recommended"])
 
 
 @query("gbt_feature_importance")

@@ -18,3 +18,13 @@ def test_queries_run_on_smallest_data(spark):
     qs = entry.queries()
     for name in ("features_default", "backtest_metrics", "gain_by_fold", "conformal_offsets", "table_checks"):
         assert qs[name](spark, "/root/testdata/sf0.001").count() >= 1
+
+
+def test_tree_scoring_serves_the_same_request_rows(spark):
+    qs = entry.queries()
+    sf = "/root/testdata/sf0.001"
+    keys = lambda df: {(r.request_id, r.date, r.entity) for r in df.collect()}
+    tree = qs["gbt_batch_scoring"](spark, sf)
+    assert keys(tree) == keys(qs["batch_scoring"](spark, sf))
+    rows = tree.where("lower_90 IS NOT NULL").collect()
+    assert rows and all(0 <= r.lower_90 and r.lower_90 <= r.upper_90 + 1e-9 for r in rows)
