@@ -671,9 +671,13 @@ def q_gbt_importance(spark, sf_dir):
     return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(15)
 
 
-@query("gbt_gain_by_fold")
-def q_gbt_gain(spark, sf_dir):
-    """Trees vs seasonal naive: gain per fold and cost ratio (operational days)."""
+def gbt_paired(spark, sf_dir):
+    """Trees vs seasonal naive on the four folds, one row per (fold, date,
+    entity) with day flags; fitted once per session and input, shared by
+    the cost queries (materialized in the shared folder)."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, _input_stamp(sf_dir), "gbt_paired")
+    if key in _MODELS:
+        return _MODELS[key]
     panel = nation_panel(spark, sf_dir)
     wide = E.backtest_wide(panel)
     params = TR.GBTParams(max_iter=10, max_depth=4)
@@ -695,8 +699,20 @@ def q_gbt_gain(spark, sf_dir):
         trees = trees.unionByName(p)
     paired = (wide.join(trees, ["fold_id", "shipment_date", "entity"])
               .withColumns({"y_pred_model": F.col("y_pred"), "y_pred_base": F.col("y_pred_seasonal_naive")}))
-    paired = X.add_holiday_features(paired)
-    return _round_cols(CO.gain_by_fold(paired), GAIN_COLS)
+    _MODELS[key] = P.materialize(X.add_holiday_features(paired))
+    return _MODELS[key]
+
+
+@query("gbt_gain_by_fold")
+def q_gbt_gain(spark, sf_dir):
+    """Trees vs seasonal naive: gain per fold and cost ratio (operational days)."""
+    return _round_cols(CO.gain_by_fold(gbt_paired(spark, sf_dir)), GAIN_COLS)
+
+
+@query("gbt_gain_in_events")
+def q_gbt_gain_in_events(spark, sf_dir):
+    """Trees vs seasonal naive inside the named event windows, per cost ratio."""
+    return _round_cols(CO.gain_in_events(gbt_paired(spark, sf_dir), K.EVENT_WINDOWS), GAIN_COLS)
 
 
 @query("gbt_search")
