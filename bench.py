@@ -33,6 +33,7 @@ HEADLINE = (
     "gbt_holdout_eval",          # tree fit + 91-day recursive forecast
     "gbt_gain_by_fold",          # cost analysis: trees vs seasonal naive, 4 folds
     "gbt_gain_in_events",        # same fits (shared within the session), event windows
+    "gbt_backtest_metrics",      # trees vs seasonal naive WAPE per fold (same fits)
     "gbt_search",                # 2 sampled trials x 3 folds, fold inputs prepared once
 )
 

@@ -715,6 +715,18 @@ def q_gbt_gain_in_events(spark, sf_dir):
     return _round_cols(CO.gain_in_events(gbt_paired(spark, sf_dir), K.EVENT_WINDOWS), GAIN_COLS)
 
 
+@query("gbt_backtest_metrics")
+def q_gbt_backtest_metrics(spark, sf_dir):
+    """WAPE / MAE / RMSE / bias per fold for the trees and the seasonal-naive
+    baseline on the same rows (all days), from the shared pairing."""
+    paired = gbt_paired(spark, sf_dir)
+    long = paired.select("fold_id", "n_shipments", F.explode(F.array(
+        F.struct(F.lit("gbt").alias("model"), F.col("y_pred_model").alias("y_pred")),
+        F.struct(F.lit("seasonal_naive").alias("model"), F.col("y_pred_base").alias("y_pred")))).alias("m"))
+    out = E.metrics_by(long.select("fold_id", "n_shipments", "m.model", "m.y_pred"), ["model", "fold_id"])
+    return _round_cols(out, ["wape", "mae", "rmse", "bias"])
+
+
 @query("gbt_search")
 def q_gbt_search(spark, sf_dir):
     """Two sampled parameter sets on folds 1-3, median stopping after the

@@ -28,3 +28,17 @@ def test_tree_scoring_serves_the_same_request_rows(spark):
     assert keys(tree) == keys(qs["batch_scoring"](spark, sf))
     rows = tree.where("lower_90 IS NOT NULL").collect()
     assert rows and all(0 <= r.lower_90 and r.lower_90 <= r.upper_90 + 1e-9 for r in rows)
+
+
+def test_tree_backtest_baseline_rows_equal_the_checked_backtest(spark):
+    """The seasonal-naive rows of the tree comparison are the oracle-checked
+    backtest's (same folds, same rows): the pairing loses no test row."""
+    qs = entry.queries()
+    sf = "/root/testdata/sf0.001"
+    tree = {r.fold_id: r for r in qs["gbt_backtest_metrics"](spark, sf).collect() if r.model == "seasonal_naive"}
+    base = {r.fold_id: r for r in qs["backtest_metrics"](spark, sf).collect() if r.model == "seasonal_naive"}
+    assert tree.keys() == base.keys() and len(tree) == 4
+    for f in tree:
+        assert tree[f].n_rows == base[f].n_rows
+        for c in ("wape", "mae", "rmse", "bias"):
+            assert (tree[f][c] is None and base[f][c] is None) or abs(tree[f][c] - base[f][c]) < 1e-6
