@@ -651,6 +651,35 @@ def _tree_offsets(spark, sf_dir):
     return _MODELS[key]
 
 
+@query("gbt_conformal_coverage_by_calibration")
+def q_gbt_conformal_coverage(spark, sf_dir):
+    """Tree-based intervals for 30/45/60/90/120 calibration days: offsets and
+    calibration coverage per length (one calibration fit per length, run
+    concurrently), holdout coverage of the holdout model's forecast."""
+    from concurrent.futures import ThreadPoolExecutor
+    panel = nation_panel(spark, sf_dir)
+    hist = _history(spark, sf_dir)
+
+    def offsets_for(days):
+        res = CF.tree_calibration_residuals(hist, days, GBT_PARAMS, NATION_TIERS, TREND_ANCHOR)
+        return P.materialize(CF.conformal_offsets(res, 0.1).withColumn("calib_days", F.lit(days)))
+
+    with ThreadPoolExecutor(max_workers=len(K.CALIBRATION_LENGTHS)) as pool:
+        parts = list(pool.map(offsets_for, K.CALIBRATION_LENGTHS))
+    offs = parts[0]
+    for p in parts[1:]:
+        offs = offs.unionByName(p)
+    horizon = (HOLDOUT[1] - HOLDOUT[0]).days + 1
+    pred = TR.recursive_forecast(holdout_model(spark, sf_dir), hist, horizon, shared_folder(spark))
+    truth = P.date_window(panel, *HOLDOUT).select("shipment_date", "entity", "n_shipments")
+    per_len = pred.withColumn("calib_days", F.explode(F.array(*[F.lit(c) for c in K.CALIBRATION_LENGTHS])))
+    scored = CF.apply_offsets(per_len, offs, ["calib_days"]).join(truth, ["shipment_date", "entity"])
+    cov = CF.interval_coverage(scored, keys=["calib_days"]).withColumnRenamed("coverage", "holdout_coverage")
+    out = offs.withColumnRenamed("coverage", "calib_coverage").join(cov, "calib_days")
+    return _round_cols(out, ["lower_offset", "upper_offset", "calib_coverage", "holdout_coverage",
+                             "mean_width"])
+
+
 @query("gbt_batch_scoring")
 def q_gbt_batch_scoring(spark, sf_dir):
     """The scoring requests served by the production model of the original:
