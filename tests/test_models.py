@@ -93,3 +93,50 @@ def test_decomposition_contract(spark):
     assert all(r.y_pred >= 0 and r.y_lower <= r.y_pred <= r.y_upper for r in got)
     err = sum(abs(r.n_shipments - r.y_pred) for r in got) / sum(r.n_shipments for r in got)
     assert err < 0.05                                  # weekly shape and drift recovered
+
+
+def test_decomposition_equals_a_driver_side_fit(spark):
+    """The grouped fit equals a plain numpy ridge fit of each entity's
+    series (brute force on the driver): hinge trend, weekly terms, holiday
+    flag, unpenalised intercept, residual-quantile interval."""
+    import numpy as np
+    from demandgrid.functions import calendar as cal
+    from demandgrid.operators import decomposition as DC
+    start, n, h = dt.date(2023, 1, 1), 200, 10
+    rows = []
+    for i in range(n):
+        d = start + dt.timedelta(days=i)
+        for e, b in (("SP", 40.0), ("RJ", 8.0)):
+            rows.append((d, e, int(b + (i % 7) * (2 if e == "SP" else 1) + (i * 37 % 11))))
+    hist = spark.createDataFrame(rows, "shipment_date date, entity string, n_shipments long")
+    fut = spark.createDataFrame([(start + dt.timedelta(days=n + j), e) for j in range(h) for e in ("SP", "RJ")],
+                                "shipment_date date, entity string")
+    got = {(r.shipment_date, r.entity): r for r in DC.fit_predict(hist, fut).collect()}
+    days_all = [start + dt.timedelta(days=i) for i in range(n + h)]
+    hol = {r.d: r.h for r in spark.createDataFrame([(d,) for d in days_all], "d date")
+           .select("d", cal.is_holiday(F.col("d")).cast("int").alias("h")).collect()}
+
+    def design(t_days, span, cps):
+        t = t_days / span
+        cols = [np.ones_like(t), t] + [np.maximum(t - c, 0) for c in cps]
+        for k in (1, 2, 3):
+            cols += [np.sin(2 * np.pi * k * t_days / 7), np.cos(2 * np.pi * k * t_days / 7)]
+        return np.column_stack(cols)
+
+    for ent in ("SP", "RJ"):
+        y = np.array([v for d, e, v in rows if e == ent], float)
+        td, tf = np.arange(n, dtype=float), np.arange(n, n + h, dtype=float)
+        span, n_cp = float(n - 1), min(25, n // 10)
+        cps = np.linspace(0, 0.8, n_cp + 2)[1:-1]
+        xh = np.column_stack([design(td, span, cps), [hol[d] for d in days_all[:n]]])
+        xf = np.column_stack([design(tf, span, cps), [hol[d] for d in days_all[n:]]])
+        pen = np.eye(xh.shape[1])
+        pen[0, 0] = 0.0
+        beta = np.linalg.solve(xh.T @ xh + pen, xh.T @ y)
+        lo, hi = np.quantile(y - xh @ beta, [0.1, 0.9])
+        for j, d in enumerate(days_all[n:]):
+            yhat = max(float(xf[j] @ beta), 0.0)
+            r = got[(d, ent)]
+            assert r.y_pred == pytest.approx(yhat, abs=1e-6)
+            assert r.y_lower == pytest.approx(max(yhat + lo, 0.0), abs=1e-6)
+            assert r.y_upper == pytest.approx(max(yhat + hi, 0.0), abs=1e-6)
