@@ -18,7 +18,9 @@ shared folder) is bounded by ``maxIter x 2^(maxDepth+1)`` nodes.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
+from collections import OrderedDict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -144,8 +146,31 @@ def fit(history: DataFrame, params: GBTParams = GBTParams(), thresholds=K.DEFAUL
     return fit_prepared(prepare(history, thresholds, reference_date, validation), params)
 
 
+# Recently used node tables per fitted model object (a fitted model shares
+# its estimator's uid, so the uid is no key). The entry holds the model, so
+# its id cannot be reused while cached.
+_TREE_TABLES: OrderedDict[int, tuple[GBTRegressionModel, dict]] = OrderedDict()
+_TREE_TABLES_MAX = 32
+_TREE_TABLES_LOCK = threading.Lock()     # fold fits call this from several threads
+
+
 def tree_table(model: GBTRegressionModel, spark: SparkSession, folder: str) -> dict:
-    """Node arrays of every tree (+ weights), read from the saved model."""
+    """Node arrays of every tree (+ weights), read from the saved model; a
+    model that serves several forecasts is saved and read once."""
+    key = id(model)
+    with _TREE_TABLES_LOCK:
+        if key in _TREE_TABLES:
+            _TREE_TABLES.move_to_end(key)
+            return _TREE_TABLES[key][1]
+    table = _read_tree_table(model, spark, folder)
+    with _TREE_TABLES_LOCK:
+        _TREE_TABLES[key] = (model, table)
+        while len(_TREE_TABLES) > _TREE_TABLES_MAX:
+            _TREE_TABLES.popitem(last=False)
+    return table
+
+
+def _read_tree_table(model: GBTRegressionModel, spark: SparkSession, folder: str) -> dict:
     path = f"{folder.rstrip('/')}/gbt-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(

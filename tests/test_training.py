@@ -152,3 +152,16 @@ def test_fast_retrain_uses_last_180_days(spark, monkeypatch):
     last = D("2023-01-01") + dt.timedelta(days=199)
     assert seen["min"] == last - dt.timedelta(days=180)
     assert seen["params"].max_iter == 50 and seen["params"].min_instances == 20
+
+
+def test_tree_table_is_read_once_per_model(spark, monkeypatch):
+    panel = _panel(spark, days=60)
+    a = T.fit(panel, T.GBTParams(max_iter=2, max_depth=2), (5.0, 20.0), D("2023-01-01"))
+    b = T.fit(panel, T.GBTParams(max_iter=3, max_depth=2), (5.0, 20.0), D("2023-01-01"))
+    reads = []
+    real = T._read_tree_table
+    monkeypatch.setattr(T, "_read_tree_table", lambda m, *x: reads.append(m) or real(m, *x))
+    folder = shared_folder(spark)
+    ta, ta2, tb = T.tree_table(a.model, spark, folder), T.tree_table(a.model, spark, folder), \
+        T.tree_table(b.model, spark, folder)
+    assert ta is ta2 and len(reads) == 2 and len(tb["trees"]) == 3 and len(ta["trees"]) == 2
