@@ -7,15 +7,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandgrid.llm import simhash
+from demandgrid.llm import quality_rules, simhash
 from demandgrid.llm.common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents"), "doc_id", "text", iterations=20)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, max_distance=4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": quality_rules.oracle_sql(iterations=20),
+}
