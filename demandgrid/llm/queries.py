@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandgrid.llm import classifier, quality_rules, simhash
+from demandgrid.llm import classifier, quality_rules, simhash, substring
 from demandgrid.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, max_distance=4)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
                                classifier.Settings(max_train=3000))
@@ -27,6 +31,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_classifier": op5_quality_classifier,
 }
 ORACLE: dict[str, str] = {
