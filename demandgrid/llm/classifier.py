@@ -14,8 +14,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandgrid.llm.common import crc_fold, map_texts
@@ -129,14 +130,22 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
     return train([bags[i] for i in kept], np.array([rows[i]["label"] for i in kept], dtype=np.int64), s)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, score`` per row of ``docs``, from the whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def score_column(spark: SparkSession, model: Model, text_col: str, block_bytes: int = 4 << 20) -> Column:
+    """Score of each row's whole text, as a column."""
+    shared = spark.sparkContext.broadcast(model)
 
-    def block(ids: list, texts: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(shared.value.scores(texts))], ["id", "score"])
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        values, out, part, size = texts.tolist(), [], [], 0
+        for k, t in enumerate(values):
+            part.append(t)
+            size += len(t or b"")
+            if size >= block_bytes or k + 1 == len(values):
+                out.append(shared.value.scores(part))
+                part, size = [], 0
+        return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
-    return map_texts(docs, id_col, text_col, "id long, score double", block)
+    return score(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
@@ -146,6 +155,7 @@ def classify(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_co
     Null, empty and blank texts have no features and score as the bias alone;
     null ids are never learned from; repeated rows each get a row; other
     columns of either table are ignored; an empty table gives no rows."""
-    out = score(docs, fit(docs, labels, s, id_col, text_col, label_col), id_col, text_col)
+    model = fit(docs, labels, s, id_col, text_col, label_col)
+    out = docs.select(F.col(id_col).cast("long").alias("id"), score_column(docs.sparkSession, model, text_col).alias("score"))
     return out.select(F.col("id").alias(id_col), (crc_fold("id", 3) == 1).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -54,6 +54,11 @@ def _repeat_words(codes: Column) -> Column:
     return let(windows, count)
 
 
+def word_count(text_col: str) -> Column:
+    """Words of a whole text (null: none)."""
+    return F.size(F.array_remove(F.split(F.coalesce(F.col(text_col), F.lit("")), SPACE), "")).cast("long")
+
+
 def features(docs: DataFrame, text_col: str = "text", name: str = "stats") -> DataFrame:
     """``docs`` with one more struct column ``name`` of text statistics: n_words,
     word_chars, n_symbols, n_lines (lines with a word), n_dup_lines,

@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandgrid.llm import classifier, quality_rules, simhash, substring
+from demandgrid.llm import classifier, packing, quality_rules, simhash, substring
 from demandgrid.llm.common import table
 
 
@@ -15,6 +16,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"), "doc_id", "text", iterations=20)
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2,048 words; exact copies (of the text in lower case) are one
+    duplicate cluster."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", quality_rules.word_count("text").alias("n_words"),
+        F.xxhash64(F.lower("text")).alias("copies"))
+    return packing.pack(docs, "n_words", "copies", s=packing.Settings(capacity=2048))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, max_distance=4)
 
@@ -30,6 +40,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_classifier": op5_quality_classifier,

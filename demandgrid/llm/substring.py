@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from math import ceil, log
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -280,14 +281,18 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def without_repeats(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, text`` of all documents with removed passages cut from the whole
-    text (null ids and null texts stay as they are)."""
+    """``docs``, all its columns, with the removed passages cut from the whole
+    texts (null ids and null texts stay as they are)."""
     spans = (repeated(docs, s, id_col, text_col).where("removed")
-             .groupBy(F.col(id_col).alias("id")).agg(F.collect_set(F.struct("start_word", "n_words")).alias("spans")))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(spans, "id", "left")
-
-    def block(ids: list, texts: list, spans: list) -> pa.RecordBatch:
-        out = [t if t is None or not x else cut_words(t, [(y["start_word"], y["n_words"]) for y in x]) for t, x in zip(texts, spans)]
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary()).cast(pa.string())], ["id", "text"])
-
-    return map_texts(texts, "id", "text", "id long, text string", block, extra=("spans",))
+             .groupBy(F.col(id_col).alias("__id"))
+             .agg(F.collect_set(F.struct(F.col("start_word").alias("s"), F.col("n_words").alias("n"))).alias("__spans")))
+
+    @F.pandas_udf("string")
+    def cut_out(texts: pd.Series, starts: pd.Series, sizes: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None or x is None else cut_words(t.encode(), list(zip(x, n))).decode()
+                          for t, x, n in zip(texts, starts, sizes)], dtype=object)
+
+    joined = docs.join(spans, docs[id_col] == spans["__id"], "left")
+    marks = F.col("__spans")
+    new = F.when(marks.isNull(), F.col(text_col)).otherwise(cut_out(F.col(text_col), marks["s"], marks["n"]))
+    return joined.withColumn(text_col, new).select(*docs.columns)
