@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import classifier, packing, quality_rules, simhash, substring
+from demandgrid.llm import classifier, langid, packing, quality_rules, simhash, substring
 from demandgrid.llm.common import table
 
 
@@ -38,12 +38,17 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                                classifier.Settings(max_train=3000))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), langid.Settings())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_classifier": op5_quality_classifier,
+    "op8_language_id": op8_language_id,
 }
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(iterations=20),
