@@ -6,6 +6,8 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+import numpy as np
+
 
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in vocabulary files: printable
@@ -77,6 +79,69 @@ class ByteBPE:
                     heappush(heap, (ranks[q][0], a, q))
         return [p for p in parts if p >= 0]
 
+    def merge_many(self, found: list[bytes]) -> list[list[int]]:
+        """Ids of many words, merged side by side: in each round every word that
+        still has a pair merges its leftmost one of lowest rank. Words of over
+        32 bytes are merged one by one."""
+        if not hasattr(self, "_keys"):
+            pairs = sorted(self.ranks)
+            self._keys = np.array([a << 20 | b for a, b in pairs], np.int64)
+            self._rank = np.array([self.ranks[p][0] for p in pairs], np.int64)
+            self._to = np.array([self.ranks[p][1] for p in pairs], np.int64)
+            self._byte = np.array([self.ids[bytes((b,))] for b in range(256)], np.int64)
+        out: list[list[int]] = [[]] * len(found)
+        size = np.array([len(w) for w in found], np.int64)
+        low = 0
+        for high in (4, 8, 12, 16, 32):
+            which = np.flatnonzero((size > low) & (size <= high))
+            low = high
+            for k in range(0, len(which), 1 << 15):
+                part = which[k:k + (1 << 15)]
+                for i, ids in zip(part.tolist(), self._side_by_side([found[i] for i in part], size[part], high)):
+                    out[i] = ids
+        for i in np.flatnonzero(size > low).tolist():
+            out[i] = self.merge(found[i])
+        return out
+
+    def _side_by_side(self, found: list[bytes], size: np.ndarray, width: int) -> list[list[int]]:
+        none = np.int64(len(self._keys))                # rank of what does not merge
+
+        def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Where a pair is among the merges, or ``none``."""
+            key = a << 20 | b
+            at = np.minimum(np.searchsorted(self._keys, key), none - 1)
+            return np.where((b >= 0) & (self._keys[at] == key), at, none)
+
+        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in found), np.uint8).reshape(len(found), width)
+        tokens = np.where(np.arange(width) < size[:, None], self._byte[raw], -1)
+        tokens = np.concatenate([tokens, np.full((len(found), 1), -1)], axis=1)
+        spot = pair(tokens[:, :-1], tokens[:, 1:])
+        rank = np.append(self._rank, none)
+        order = rank[spot]
+        left = size.copy()
+        live = np.arange(len(found))
+        columns = np.arange(width + 1)
+        while len(live):
+            best = order[live].argmin(axis=1)
+            ok = order[live, best] < none
+            live, best = live[ok], best[ok]
+            if not len(live):
+                break
+            merged = self._to[spot[live, best]]
+            shift = np.minimum(columns + (columns > best[:, None]), width)
+            row = np.take_along_axis(tokens[live], shift, axis=1)
+            row[np.arange(len(live)), best] = merged
+            tokens[live] = row
+            own = np.take_along_axis(spot[live], np.minimum(shift[:, :width], width - 1), axis=1)
+            own[:, -1] = none
+            here = np.arange(len(live))
+            own[here, best] = pair(merged, row[here, best + 1])
+            before = np.flatnonzero(best > 0)
+            own[before, best[before] - 1] = pair(row[before, best[before] - 1], merged[before])
+            spot[live], order[live] = own, rank[own]
+            left[live] -= 1
+        return [t[:n] for t, n in zip(tokens.tolist(), left.tolist())]
+
     def split_special(self, text: bytes) -> list[bytes]:
         """Ordinary stretches and special tokens of a text, in turn."""
         if not self.special or not any(s in text for s in self.special):

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import classifier, langid, packing, quality_rules, simhash, substring, token_count
+from demandgrid.llm import bpe, classifier, langid, packing, quality_rules, simhash, substring, token_count
 from demandgrid.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"), langid.Settings())
 
 
+def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), lexicon=1 << 17)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_language_id": op8_language_id,
+    "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE: dict[str, str] = {
