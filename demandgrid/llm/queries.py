@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import bpe, classifier, langid, ngram_lm, packing, quality_rules, simhash, substring, token_count
+from demandgrid.llm import bpe, classifier, hnsw, langid, ngram_lm, packing, quality_rules, simhash, substring, token_count
 from demandgrid.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                                classifier.Settings(max_train=3000))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", hnsw.Settings(threshold=0.9))
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(table(spark, sf_dir, "documents"), folds=5, held_out=1)
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_language_id": op8_language_id,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
