@@ -1,7 +1,8 @@
 """Benchmark: time the headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
 Each query runs to completion into Spark's ``noop`` sink (full execution,
-nothing collected to the driver). Prints one JSON line.
+nothing collected to the driver) and cold: it builds its own panel and fits its
+own models, as nothing is kept between queries. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -9,13 +10,12 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from demandgrid.plans.queries import QUERIES  # noqa: E402
-from demandgrid.session import checkpoint_dir, get_spark  # noqa: E402
+from demandgrid.session import get_spark  # noqa: E402
 
 HEADLINE = (
     "panel_nation",              # facts -> dense daily panel
@@ -32,8 +32,6 @@ HEADLINE = (
     "decomposition_backtest_metrics",    # grouped ridge fits, 4 folds
     "gbt_holdout_eval",          # tree fit + 91-day recursive forecast
     "gbt_gain_by_fold",          # cost analysis: trees vs seasonal naive, 4 folds
-    "gbt_gain_in_events",        # same fits (shared within the session), event windows
-    "gbt_backtest_metrics",      # trees vs seasonal naive WAPE per fold (same fits)
     "gbt_search",                # 2 sampled trials x 3 folds, fold inputs prepared once
 )
 
@@ -44,7 +42,6 @@ def main() -> None:
     names = sys.argv[1:] or list(HEADLINE)
     spark = get_spark(f"local[{cpus}]", app="demandgrid-bench", shuffle_partitions=cpus,
                       extra={"spark.driver.memory": "16g"})
-    checkpoint_dir(spark, tempfile.mkdtemp(prefix="demandgrid-bench-ckpt-"))
     # Warm-up: JVM start, class loading, codegen caches.
     QUERIES["panel_summary"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}

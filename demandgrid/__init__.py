@@ -4,11 +4,12 @@ cost analysis expressed as Spark DataFrame plans.
 Layout
 ------
 sources/    table reads, sinks, model-state persistence, profiling
-functions/  column-expression building blocks (calendar, metrics)
+functions/  column-expression building blocks (calendar, metrics, quantiles,
+            argument checks)
 operators/  DataFrame -> DataFrame operators (panel, windows, features,
             folds, forecasters, conformal, evaluation, costs, scoring)
 plans/      named end-to-end queries and their DuckDB oracle SQL
-streaming/  incremental (Structured Streaming) refresh of the panel counts
+llm/        operators for large training-data pipelines (optional)
 """
 
 from demandgrid.constants import DATE_COL, ENTITY_COL, TARGET_COL

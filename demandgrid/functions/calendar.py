@@ -22,20 +22,19 @@ def day_of_week(d) -> Column:
 
 
 def easter(year) -> Column:
-    """Easter Sunday of ``year`` (Gregorian computus, integer arithmetic)."""
+    """Easter Sunday of a Gregorian ``year``: the first Sunday after the paschal
+    full moon, which falls ``age`` days after March 21. The moon's age follows
+    the 19-year cycle, shifted by the century's skipped leap days and lunar
+    correction; the two last ages are pulled in by a day."""
     y = _c(year).cast("int")
-    golden = y % 19
+    cycle = F.pmod(y, F.lit(19))
     century = F.floor(y / 100).cast("int")
-    yy = y % 100
-    c4, c_mod = F.floor(century / 4).cast("int"), century % 4
-    lunar_corr = F.floor((century + 8) / 25).cast("int")
-    solar = F.floor((century - lunar_corr + 1) / 3).cast("int")
-    epact = (golden * 19 + century - c4 - solar + 15) % 30
-    y4, y_mod = F.floor(yy / 4).cast("int"), yy % 4
-    wd = (c_mod * 2 + y4 * 2 + 32 - epact - y_mod) % 7
-    shift = F.floor((golden + epact * 11 + wd * 22) / 451).cast("int")
-    n = epact + wd - shift * 7 + 114
-    return F.make_date(y, F.floor(n / 31).cast("int"), (n % 31) + 1)
+    skipped = century - F.floor(century / 4).cast("int")
+    lunar = F.floor((century * 8 + 13) / 25).cast("int")
+    age = F.pmod(skipped - lunar + cycle * 19 + 15, F.lit(30))
+    late = (age == 29) | ((age == 28) & (cycle > 10))
+    moon = F.date_add(F.make_date(y, F.lit(3), F.lit(21)), (age - late.cast("int")).cast("int"))
+    return F.next_day(moon, "SUN")
 
 
 def black_friday(year) -> Column:

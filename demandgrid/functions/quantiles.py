@@ -1,73 +1,55 @@
 """Exact quantiles (linear interpolation between order statistics) per key
 group without holding a group's values in one task.
 
-Pass 1 (per group): count, min, max and a ``percentile_approx`` sketch at
-``p -/+ delta``; the sketch's rank error is at most ``n / accuracy``, so for
-``delta = 3 / accuracy`` and ``n >= 2 * accuracy`` the band [lo, hi] contains
-the order statistics at ranks floor((n-1)p) and ceil((n-1)p); smaller groups
-use [min, max]. Pass 2: the rows below the band are only counted; the band's
-values (at most max(2 * accuracy, about 8 n / accuracy)) are collected,
-sorted, and the two order statistics read by position. A band
-that misses a rank (not expected) raises instead of returning a wrong value.
-The group table is one row per key group and is broadcast for pass 2.
+Values are counted first (one row per distinct value, so ties cost nothing).
+Approximate quantiles of the distinct values cut each group into ``slices``;
+running counts over the slices (a row each) and then within each slice (one
+task holds about 1 / slices of a group's distinct values) give every value's
+cumulative count, from which the order statistics are read. The cuts decide
+only how rows are dealt, never a result, and there is one way for all sizes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandgrid.functions import args as A
+
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    keys: Sequence[str] = (), accuracy: int = 10_000,
+                    keys: Sequence[str] = (), slices: int = 256,
                     out_cols: Sequence[str] | None = None, count_col: str | None = None) -> DataFrame:
+    """One row per key group (without keys: one row) with the quantiles
+    ``out_cols`` and the number of non-null values ``count_col``."""
     probs = [float(p) for p in probs]
-    if any(not 0.0 <= p <= 1.0 for p in probs):
-        raise ValueError(f"probabilities must be in [0, 1]; got {probs}")
+    A.all_at_least("probs", [min(p, 1 - p) for p in probs], 0)
+    A.at_least("slices", slices, 2)
     names = list(out_cols) if out_cols else [f"q_{i}" for i in range(len(probs))]
-    x = F.col(value_col).cast("double")
-    ks = list(keys) or ["__g"]
-    src = df if keys else df.withColumn("__g", F.lit(0))
-    src = src.where(x.isNotNull()).select(*ks, x.alias("__x"))
-    delta = 3.0 / accuracy
-    lo_p = [max(p - delta, 0.0) for p in probs]
-    hi_p = [min(p + delta, 1.0) for p in probs]
-    stats = src.groupBy(*ks).agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__min"), F.max("__x").alias("__max"),
-        F.percentile_approx("__x", F.array(*[F.lit(p) for p in lo_p]), accuracy).alias("__lo"),
-        F.percentile_approx("__x", F.array(*[F.lit(p) for p in hi_p]), accuracy).alias("__hi"))
-    bounds = []
-    # The sketch guarantees the band only when its rank error (n/accuracy)
-    # is at least one rank; smaller groups take their whole range, at most
-    # 2 * accuracy values.
-    big = F.col("__n") >= 2 * accuracy
-    for i, (pl, ph) in enumerate(zip(lo_p, hi_p)):
-        lo = F.col("__min") if pl == 0.0 else F.when(big, F.col("__lo")[i]).otherwise(F.col("__min"))
-        hi = F.col("__max") if ph == 1.0 else F.when(big, F.col("__hi")[i]).otherwise(F.col("__max"))
-        bounds += [lo.alias(f"__lo{i}"), hi.alias(f"__hi{i}")]
-    stats = stats.select(*ks, "__n", *bounds)
-    joined = src.join(F.broadcast(stats), ks)
-    aggs = [F.first("__n").alias("__n")]
-    for i in range(len(probs)):
-        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        aggs += [F.count_if(F.col("__x") < lo).alias(f"__below{i}"),
-                 F.sort_array(F.collect_list(F.when(F.col("__x").between(lo, hi), F.col("__x"))))
-                 .alias(f"__band{i}")]
-    per = joined.groupBy(*ks).agg(*aggs)
-    out = []
+    ks = list(keys)
+    x = F.col("__x")
+    counts = (df.select(*ks, F.col(value_col).cast("double").alias("__x")).where(x.isNotNull())
+              .groupBy(*ks, "__x").agg(F.count(F.lit(1)).alias("__c")))
+    cuts = F.percentile_approx("__x", F.array(*[F.lit(i / slices) for i in range(1, slices)]), 20 * slices)
+    groups = counts.groupBy(*ks).agg(F.sum("__c").alias("__n"), cuts.alias("__cuts"))
+    if ks:
+        dealt = counts.join(groups, ks)
+    else:
+        dealt = counts.withColumns({c: groups.select(c).scalar() for c in ("__n", "__cuts")})
+    dealt = dealt.withColumn("__slice", F.size(F.filter("__cuts", lambda c: c < x))).drop("__cuts")
+    before = Window.partitionBy(*ks).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per slice: at most ``slices`` rows of a group meet in this window
+    sizes = dealt.groupBy(*ks, "__slice").agg(F.sum("__c").alias("__s"))
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__s").over(before), F.lit(0))).drop("__s")
+    inside = Window.partitionBy(*ks, "__slice").orderBy("__x").rowsBetween(Window.unboundedPreceding, 0)
+    upto = dealt.join(sizes, [*ks, "__slice"]).withColumn("__upto", F.col("__before") + F.sum("__c").over(inside))
+    aggs, out = [F.first("__n").alias("__n")], []
     for i, p in enumerate(probs):
-        h = (F.col("__n") - 1) * F.lit(p)
-        r_lo, r_hi = F.floor(h).cast("long"), F.ceil(h).cast("long")
-        below, band = F.col(f"__below{i}"), F.col(f"__band{i}")
-        size = F.size(band).cast("long")
-        ok = (r_lo >= below) & (r_hi < below + size)
-        v_lo = F.element_at(band, (r_lo - below + 1).cast("int"))
-        v_hi = F.element_at(band, (r_hi - below + 1).cast("int"))
-        val = v_lo + (h - F.floor(h)) * (v_hi - v_lo)
-        out.append(F.when(ok, val).otherwise(
-            F.raise_error(F.lit("quantile band missed the target rank"))).alias(names[i]))
+        rank = (F.col("__n") - 1) * F.lit(p)
+        aggs += [F.min(F.when(F.col("__upto") > F.floor(rank), x)).alias(f"__lo{i}"),
+                 F.min(F.when(F.col("__upto") > F.ceil(rank), x)).alias(f"__hi{i}")]
+        out.append((F.col(f"__lo{i}") + (rank - F.floor(rank)) * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(names[i]))
     extra = [F.col("__n").alias(count_col)] if count_col else []
-    res = per.select(*ks, *out, *extra)
-    return res if keys else res.drop("__g")
+    return upto.groupBy(*ks).agg(*aggs).select(*ks, *out, *extra)

@@ -21,14 +21,6 @@ def null_counts(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
         .withColumn("table_name", F.lit(table)).withColumn("check", F.lit("not_null"))
 
 
-def rule_violations(df: DataFrame, rules: dict[str, Column], table: str) -> DataFrame:
-    """One row per named rule: rows where it is false (NULLs not counted)."""
-    agg = df.agg(*[F.count_if(~r).alias(n) for n, r in rules.items()])
-    stack = ", ".join(f"'{n}', `{n}`" for n in rules)
-    return agg.selectExpr(f"stack({len(rules)}, {stack}) as (column_name, n_violations)") \
-        .withColumn("table_name", F.lit(table)).withColumn("check", F.lit("rule"))
-
-
 def duplicate_keys(df: DataFrame, key: Sequence[str], table: str) -> DataFrame:
     """Count of key values occurring more than once (and the extra rows)."""
     dup = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
@@ -39,10 +31,12 @@ def duplicate_keys(df: DataFrame, key: Sequence[str], table: str) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
             table: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (left anti join)."""
-    c = child.select(F.col(child_key).alias("__k")).where(F.col("__k").isNotNull())
+    """Child rows whose non-NULL key has no parent: keys are counted first, so
+    the anti join sees one row per distinct key and a hot key is one row."""
+    c = (child.select(F.col(child_key).alias("__k")).where(F.col("__k").isNotNull())
+         .groupBy("__k").agg(F.count(F.lit(1)).alias("__n")))
     p = parent.select(F.col(parent_key).alias("__k"))
-    return c.join(p, "__k", "left_anti").agg(F.count(F.lit(1)).alias("n_orphans")) \
+    return c.join(p, "__k", "left_anti").agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("n_orphans")) \
         .withColumns({"table_name": F.lit(table), "fk": F.lit(f"{child_key}->{parent_key}")})
 
 
@@ -50,7 +44,7 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     """Schema-only check, no job."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise KeyError(f"Missing columns: {missing}")
+        raise KeyError(f"table lacks {missing}")
 
 
 def assert_clean(report: DataFrame, count_col: str) -> None:

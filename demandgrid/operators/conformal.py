@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandgrid.constants import DATE_COL, ENTITY_COL, TARGET_COL
+from demandgrid.functions import args as A
 from demandgrid.functions.quantiles import exact_quantiles
 from demandgrid.operators import features as X
 from demandgrid.operators import forecast as FC
@@ -44,7 +45,7 @@ def base_fit_predict(fit: DataFrame, horizon, base: str, season: int, keys: Sequ
             st = st.join(horizon, list(keys))
             horizon = F.col("horizon")
         return FC.naive_predict(st, horizon, **kw)
-    raise ValueError(f"unknown base model {base!r}")
+    return A.among("base", [base], FC.BASELINES)
 
 
 def calibration_residuals(history: DataFrame, calibration_days: int | None = 60,
@@ -60,10 +61,9 @@ def calibration_residuals(history: DataFrame, calibration_days: int | None = 60,
     calibration rows' scoring both run on that partitioning; per-group last
     fit date and horizon come from one tiny broadcast aggregate.
     """
-    if calib_col is None and (calibration_days is None or calibration_days <= 0):
-        raise ValueError(f"calibration_days must be positive, got {calibration_days}")
-    if base not in FC.BASELINES:
-        raise ValueError(f"unknown base model {base!r}")
+    if calib_col is None:
+        A.at_least("calibration_days", calibration_days, 1)
+    A.among("base", [base], FC.BASELINES)
     days = F.col(calib_col) if calib_col else F.lit(int(calibration_days))
     h = _last_date(history, keys, date_col).withColumn(
         "__fit", F.col(date_col) < F.date_sub(F.col("__last"), days - 1)).drop("__last")
@@ -95,50 +95,49 @@ def tree_calibration_residuals(history: DataFrame, calibration_days: int = 60, p
     driver)."""
     from demandgrid import constants as K
     from demandgrid.operators import trees as T
-    from demandgrid.session import shared_folder
-    if calibration_days <= 0:
-        raise ValueError(f"calibration_days must be positive, got {calibration_days}")
+    A.at_least("calibration_days", calibration_days, 1)
     last = history.agg(F.max(date_col)).first()[0]
     calib_start = last - dt.timedelta(days=calibration_days - 1)
     d = F.col(date_col)
     fit, calib = history.where(d < F.lit(calib_start)), history.where(d >= F.lit(calib_start))
     if fit.isEmpty():
-        raise ValueError(f"After reserving {calibration_days} calibration days no rows remain to fit")
+        raise ValueError(f"calibration_days: {calibration_days} days leave nothing to fit the base on")
     horizon = calib.select(date_col).distinct().count()
     fc = T.fit(fit, params or T.GBTParams(), thresholds or K.DEFAULT_TIER_THRESHOLDS,
                reference_date or K.TREND_REFERENCE_DATE)
-    pred = T.recursive_forecast(fc, fit, horizon, shared_folder(history.sparkSession),
+    pred = T.recursive_forecast(fc, fit, horizon,
                                 date_col=date_col, entity_col=entity_col, target_col=target_col)
     scored = X.add_holiday_features(calib.join(pred, [date_col, entity_col]), date_col)
     scored = scored.where(F.col("is_operational") == 1)
     return scored.select(date_col, entity_col, (F.col(target_col) - F.col("y_pred")).alias("residual"))
 
 
-def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Without keys, one literal group key, so the single offsets row joins
-    by a broadcast hash join instead of a cartesian product."""
+def _attach(df: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with its group's offsets: a join on the keys (the planner picks
+    its kind by the measured size), or without keys the single row's values as
+    scalar subqueries."""
+    names = ("lower_offset", "upper_offset")
     if keys:
-        return df, list(keys)
-    return df.withColumn("__g", F.lit(0)), ["__g"]
+        return df.join(offsets.select(*keys, *names), list(keys))
+    return df.withColumns({n: offsets.select(n).scalar() for n in names})
 
 
 def conformal_offsets(residuals: DataFrame, alpha: float = 0.1, keys: Sequence[str] = (),
                       approx_accuracy: int | None = None) -> DataFrame:
     """Per key group: lower/upper offsets, calibration coverage, residual count.
 
-    Exact quantiles with linear interpolation (``functions.quantiles``: a
-    sketch brackets the order statistics, only a narrow band of values is
-    collected, so no task holds a whole group). ``approx_accuracy`` switches
-    to plain ``percentile_approx``. The offsets table has
-    one row per key group (folds x calibration lengths: a parameter bound),
-    so it is broadcast back for the coverage.
+    Exact quantiles with linear interpolation (``functions.quantiles``: counts
+    per distinct value, no task holds a whole group); ``approx_accuracy``
+    switches to plain ``percentile_approx``. No residuals at all (an empty
+    calibration) is an error.
     """
-    if not 0 < alpha < 1:
-        raise ValueError(f"alpha must be in (0, 1), got {alpha}")
-    # Residuals are read three times (sketch, band, coverage): materialize
+    A.between("alpha", alpha, 0, 1)
+    # Residuals are read three times (counts, splits, coverage): store
     # them once (small: calibration rows per key group) and cut the lineage.
     from demandgrid.operators.panel import materialize
-    res, ks = _keyed(materialize(residuals), keys)
+    res, ks = materialize(residuals), list(keys)
+    if res.isEmpty():
+        raise ValueError("residuals: the calibration window has no operational day with a forecast")
     if approx_accuracy:
         ps = F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2))
         off = res.groupBy(*ks).agg(F.percentile_approx("residual", ps, approx_accuracy).alias("__q"),
@@ -148,22 +147,19 @@ def conformal_offsets(residuals: DataFrame, alpha: float = 0.1, keys: Sequence[s
     else:
         off = exact_quantiles(res, "residual", [alpha / 2, 1 - alpha / 2], ks,
                               out_cols=["lower_offset", "upper_offset"], count_col="n_residuals")
-    cov = res.join(F.broadcast(off), ks).groupBy(*ks).agg(F.avg(F.col("residual").between(
+    off = materialize(off)          # a row per key group
+    cov = _attach(res, off, ks).groupBy(*ks).agg(F.avg(F.col("residual").between(
         F.col("lower_offset"), F.col("upper_offset")).cast("double")).alias("coverage"))
-    out = off.join(cov, ks)
-    return out if keys else out.drop("__g")
+    return off.join(cov, ks) if ks else off.withColumn("coverage", cov.scalar())
 
 
 def apply_offsets(preds: DataFrame, offsets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Interval from offsets: lower clipped at 0, upper not."""
-    p, ks = _keyed(preds.drop("y_lower", "y_upper"), keys)
-    o, _ = _keyed(offsets.select(*keys, "lower_offset", "upper_offset"), keys)
-    j = p.join(F.broadcast(o), ks)
-    out = j.withColumns({
+    j = _attach(preds.drop("y_lower", "y_upper"), offsets, keys)
+    return j.withColumns({
         "y_lower": F.greatest(F.lit(0.0), F.col("y_pred") + F.col("lower_offset")),
         "y_upper": F.col("y_pred") + F.col("upper_offset"),
     }).drop("lower_offset", "upper_offset")
-    return out if keys else out.drop("__g")
 
 
 def conformal_forecast(history: DataFrame, horizon: int, offsets: DataFrame,
@@ -172,8 +168,7 @@ def conformal_forecast(history: DataFrame, horizon: int, offsets: DataFrame,
                        target_col: str = TARGET_COL) -> DataFrame:
     """Base forecast ``horizon`` days past the end of ``history`` with the
     calibrated interval. The base is refitted on the whole history."""
-    if horizon < 1:
-        raise ValueError(f"horizon must be >= 1; got {horizon}")
+    A.at_least("horizon", horizon, 1)
     preds = base_fit_predict(history, int(horizon), base, season, keys, date_col, entity_col, target_col)
     return apply_offsets(preds, offsets, keys)
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandgrid.constants import ALPHA_GRID, COST_RATIOS, DATE_COL, ENTITY_COL, TARGET_COL
+from demandgrid.functions import args as A
 from demandgrid.functions import metrics as M
 from demandgrid.operators import evaluation as E
 
@@ -33,8 +34,7 @@ def cost_components(df: DataFrame, group_cols: Sequence[str], y: str = TARGET_CO
                     alphas: Sequence[float] = ALPHA_GRID, date_col: str = DATE_COL) -> DataFrame:
     """Per group: under/over unit sums for the raw model, the baseline and
     each grid multiplier (arrays ``under_a`` / ``over_a`` in grid order)."""
-    if not alphas:
-        raise ValueError("alpha_grid must be non-empty")
+    A.some("alphas", alphas)
     aggs = [
         F.sum(M.under_units(y, model)).alias("under_model"),
         F.sum(M.over_units(y, model)).alias("over_model"),
@@ -55,8 +55,7 @@ def gain_table(components: DataFrame, group_cols: Sequence[str],
     """Per (group, cost ratio): raw and tuned gain vs the baseline, best
     multiplier and the three costs. The first grid point with the lowest
     cost wins (costs compared at 6 decimals so engines agree on ties)."""
-    if any(r < 0 for r in ratios) or c_over < 0:
-        raise ValueError("Costs must be non-negative")
+    A.all_at_least("costs", [*ratios, c_over], 0)
     grid = F.array(*[F.lit(float(a)) for a in alphas])
     r = F.col("cost_ratio")
     co = F.lit(float(c_over))
@@ -88,6 +87,7 @@ def best_multiplier(df: DataFrame, group_cols: Sequence[str], c_under: float, c_
                     y: str = TARGET_COL, yhat: str = "y_pred",
                     alphas: Sequence[float] = ALPHA_GRID) -> DataFrame:
     """Per group: the grid multiplier with the lowest asymmetric cost."""
+    A.all_at_least("costs", (c_under, c_over), 0)
     comp = cost_components(df, group_cols, y, yhat, None, alphas)
     grid = F.array(*[F.lit(float(a)) for a in alphas])
     costs = F.zip_with("under_a", "over_a",
@@ -104,19 +104,6 @@ def paired_from_wide(wide: DataFrame, model: str, baseline: str) -> DataFrame:
                              "y_pred_base": F.col(f"y_pred_{baseline}")})
 
 
-def paired_predictions(preds: DataFrame, model: str, baseline: str,
-                       keys: Sequence[str] = ("fold_id",), date_col: str = DATE_COL,
-                       entity_col: str = ENTITY_COL, y: str = TARGET_COL) -> DataFrame:
-    """Long (model, ...) predictions -> one row per key with both models'
-    predictions side by side (one shuffle on the row key)."""
-    return (preds.where(F.col("model").isin(model, baseline))
-            .groupBy(*keys, date_col, entity_col)
-            .agg(F.max(y).alias(y),
-                 F.max(F.when(F.col("model") == model, F.col("y_pred"))).alias("y_pred_model"),
-                 F.max(F.when(F.col("model") == baseline, F.col("y_pred"))).alias("y_pred_base"))
-            .where(F.col("y_pred_model").isNotNull() & F.col("y_pred_base").isNotNull()))
-
-
 def gain_by_fold(paired: DataFrame, ratios: Sequence[float] = COST_RATIOS,
                  alphas: Sequence[float] = ALPHA_GRID) -> DataFrame:
     """Gain per (fold, cost ratio) on operational rows."""

@@ -48,11 +48,9 @@ def _fit_predict_fn(keys: Sequence[str], date_col: str, entity_col: str, target_
         days_h = (pd.to_datetime(hist[date_col]) - d0).dt.days.to_numpy(float)
         days_f = (pd.to_datetime(fut[date_col]) - d0).dt.days.to_numpy(float)
         span = max(days_h.max(), 1.0)
-        n_cp = min(n_changepoints, max(len(days_h) // 10, 0))
-        cps = np.linspace(0, 0.8, n_cp + 2)[1:-1] if n_cp else np.array([])
-        use_year = yearly if span >= 365 else 0
-        xh = _design(days_h, hist["__hol"].to_numpy(), span, cps, weekly, use_year)
-        xf = _design(days_f, fut["__hol"].to_numpy(), span, cps, weekly, use_year)
+        cps = np.linspace(0, 0.8, n_changepoints + 2)[1:-1]
+        xh = _design(days_h, hist["__hol"].to_numpy(), span, cps, weekly, yearly)
+        xf = _design(days_f, fut["__hol"].to_numpy(), span, cps, weekly, yearly)
         y = hist[target_col].to_numpy(float)
         pen = np.full(xh.shape[1], ridge)
         pen[0] = 0.0
@@ -73,7 +71,10 @@ def fit_predict(history: DataFrame, future: DataFrame, keys: Sequence[str] = (),
                 interval: float = 0.8, date_col: str = DATE_COL, entity_col: str = ENTITY_COL,
                 target_col: str = TARGET_COL) -> DataFrame:
     """Fit on ``history`` rows and predict ``future`` rows (both keyed by
-    ``keys + entity``); returns the future rows with y_pred / y_lower / y_upper."""
+    ``keys + entity``); returns the future rows with y_pred / y_lower / y_upper.
+    The numbers of knots and of weekly and yearly terms are the caller's, the
+    same for every entity whatever its history (the ridge term keeps short ones
+    solvable; ``yearly=0`` leaves the yearly terms out)."""
     h = history.select(*keys, date_col, entity_col, F.col(target_col).cast("double").alias(target_col),
                        F.lit(0).alias("__future"))
     f = future.select(*keys, date_col, entity_col, F.lit(None).cast("double").alias(target_col),
@@ -100,7 +101,7 @@ def backtest(panel: DataFrame, spec=FOLD_SPEC, date_col: str = DATE_COL, entity_
     info = assigned.groupBy("fold_id").agg(
         F.max(F.when(is_train, F.col(date_col))).alias("last_date"),
         F.count_distinct(F.when(~is_train, F.col(date_col))).cast("int").alias("horizon"))
-    ents = train.select("fold_id", entity_col).distinct().join(F.broadcast(info), "fold_id")
+    ents = train.select("fold_id", entity_col).distinct().join(info, "fold_id")
     future = ents.select("fold_id", entity_col, F.explode(F.sequence(
         F.date_add("last_date", 1), F.date_add("last_date", F.col("horizon")))).alias(date_col))
     pred = fit_predict(train, future, ["fold_id"], date_col=date_col, entity_col=entity_col,

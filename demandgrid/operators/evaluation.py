@@ -77,7 +77,7 @@ def wape_by_segment(preds: DataFrame, segment_col: str, y: str = TARGET_COL,
     """WAPE per segment; segments whose truth sums to 0 are left out."""
     for c in (segment_col, y, yhat):
         if c not in preds.columns:
-            raise KeyError(f"Missing column: {c!r}")
+            raise KeyError(f"preds: no column {c!r}")
     return (preds.groupBy(*extra_keys, segment_col)
             .agg(M.abs_error_sum(y, yhat).alias("__err"), F.sum(F.abs(F.col(y))).alias("__tot"))
             .where(F.col("__tot") > 0)

@@ -25,10 +25,9 @@ def validate_spec(spec: FoldSpec) -> None:
         raise ValueError("fold spec is empty")
     for fid, train_end, test_start, test_end, _ in spec:
         if test_start <= train_end:
-            raise ValueError(f"Fold {fid}: test_start ({test_start}) must be strictly after "
-                             f"train_end ({train_end})")
+            raise ValueError(f"spec: fold {fid} tests from {test_start}, but trains until {train_end}")
         if test_end < test_start:
-            raise ValueError(f"Fold {fid}: test_end ({test_end}) before test_start ({test_start})")
+            raise ValueError(f"spec: fold {fid} ends {test_end}, before its test start {test_start}")
 
 
 def spec_frame(spark, spec: FoldSpec = FOLD_SPEC, train_start: dt.date | None = None) -> DataFrame:
@@ -75,13 +74,7 @@ def check_nonempty(assigned: DataFrame, spec: FoldSpec = FOLD_SPEC) -> None:
     for f, *_ in spec:
         for split in ("train", "test"):
             if (int(f), split) not in present:
-                raise ValueError(f"Fold {f} has empty {split} set")
-
-
-def horizons(assigned: DataFrame, date_col: str = DATE_COL) -> DataFrame:
-    """Forecast horizon per fold = distinct test dates."""
-    return (assigned.where(F.col("split") == "test").groupBy("fold_id")
-            .agg(F.count_distinct(date_col).cast("int").alias("horizon")))
+                raise ValueError(f"panel: no {split} rows for fold {f}")
 
 
 def modelling_table(assigned, keys=("fold_id",), thresholds=None, reference_date=None,

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandgrid.functions import args as A
 from demandgrid.constants import DATE_COL, ENTITY_COL, NAIVE_INTERVAL_WIDTH, TARGET_COL
 
 
@@ -51,8 +52,7 @@ def seasonal_naive_fit(train: DataFrame, season: int = 7, keys: Sequence[str] =
     Only the last ``season`` rows enter ``collect_list``, so each group's
     list is bounded by the season length, whatever the history length.
     """
-    if season < 1:
-        raise ValueError(f"season must be >= 1; got {season}")
+    A.at_least("season", season, 1)
     w = Window.partitionBy(*keys, entity_col).orderBy(date_col)
     wall = Window.partitionBy(*keys, entity_col)
     x = F.col(target_col).cast("double")
@@ -74,8 +74,7 @@ def check_min_history(state: DataFrame, season: int, entity_col: str = ENTITY_CO
     """Raise when an entity has fewer than ``season`` observations."""
     short = state.where(F.col("n_obs") < season).select(entity_col, "n_obs").limit(1).collect()
     if short:
-        raise ValueError(f"Group {short[0][0]!r} has only {short[0][1]} observations; "
-                         f"need at least {season}")
+        raise ValueError(f"history: {short[0][0]!r} has {short[0][1]} of the {season} days that a season needs")
 
 
 def _explode_horizon(state: DataFrame, horizon, date_col: str) -> DataFrame:
@@ -97,8 +96,8 @@ def naive_predict(state: DataFrame, horizon, keys: Sequence[str] = (),
 
     ``horizon`` is an int or a column of the state (e.g. per fold).
     """
-    if isinstance(horizon, int) and horizon < 1:
-        raise ValueError(f"horizon must be >= 1; got {horizon}")
+    if isinstance(horizon, int):
+        A.at_least("horizon", horizon, 1)
     out = _explode_horizon(state, horizon, date_col).withColumn("y_pred", F.col("last_value"))
     return _with_interval(out, interval_width).select(
         *keys, date_col, entity_col, "y_pred", "y_lower", "y_upper")
@@ -108,10 +107,10 @@ def seasonal_naive_predict(state: DataFrame, horizon, season: int = 7, keys: Seq
                            interval_width: float = NAIVE_INTERVAL_WIDTH, date_col: str = DATE_COL,
                            entity_col: str = ENTITY_COL) -> DataFrame:
     """Cycle the last ``season`` values: day k takes value k mod season."""
-    if isinstance(horizon, int) and horizon < 1:
-        raise ValueError(f"horizon must be >= 1; got {horizon}")
+    if isinstance(horizon, int):
+        A.at_least("horizon", horizon, 1)
     out = _explode_horizon(state, horizon, date_col).withColumn(
-        "y_pred", F.element_at("season_values", (F.col("__k") % season) + 1))
+        "y_pred", season_value(season))
     return _with_interval(out, interval_width).select(
         *keys, date_col, entity_col, "y_pred", "y_lower", "y_upper")
 
@@ -139,8 +138,7 @@ def fit_baselines(train: DataFrame, season: int = 7, keys: Sequence[str] = (),
     """Naive and seasonal-naive state from ONE window pass and ONE grouped
     aggregate per (keys, entity). When ``train`` is already hash-partitioned
     by ``keys + entity`` neither step shuffles."""
-    if season < 1:
-        raise ValueError(f"season must be >= 1; got {season}")
+    A.at_least("season", season, 1)
     w = Window.partitionBy(*keys, entity_col).orderBy(date_col)
     wall = Window.partitionBy(*keys, entity_col)
     x = F.col(target_col).cast("double")
@@ -159,6 +157,15 @@ def fit_baselines(train: DataFrame, season: int = 7, keys: Sequence[str] = (),
         F.count(F.lit(1)).alias("n_obs"))
 
 
+def season_value(season: int) -> Column:
+    """The value of step ``__k``'s day of the season; an entity with a shorter
+    history is an error that names the rule."""
+    values = F.col("season_values")
+    return F.when(F.size(values) < season, F.raise_error(F.concat(
+        F.lit("history: an entity has "), F.size(values).cast("string"), F.lit(f" of the {season} days that a season needs"))).cast("double")
+    ).otherwise(F.get(values, F.col("__k") % season))
+
+
 def baseline_columns(season: int = 7, width: float = NAIVE_INTERVAL_WIDTH,
                      models: Sequence[str] = BASELINES) -> dict[str, Column]:
     """Per-model prediction columns for a row whose step index is ``__k``
@@ -168,9 +175,9 @@ def baseline_columns(season: int = 7, width: float = NAIVE_INTERVAL_WIDTH,
         if m == "naive":
             y, sd = F.col("last_value"), F.col("naive_std")
         elif m == "seasonal_naive":
-            y, sd = F.element_at("season_values", (F.col("__k") % season) + 1), F.col("seasonal_std")
+            y, sd = season_value(season), F.col("seasonal_std")
         else:
-            raise ValueError(f"unknown model {m!r}")
+            A.among("models", [m], BASELINES)
         margin = F.lit(float(width)) * sd
         out[f"y_pred_{m}"] = y
         out[f"y_lower_{m}"] = F.greatest(F.lit(0.0), y - margin)
@@ -189,14 +196,13 @@ def score_rows(rows: DataFrame, state: DataFrame, key_info: DataFrame, season: i
     forecast grid: ``rows`` join the state on (keys, entity) and the step
     is ``datediff(date, last_date) - 1``, kept in [0, horizon).
     ``key_info(keys, last_date, horizon)`` has one row per key group (a
-    parameter-sized table), so it is broadcast.
+    parameter-sized table); without keys its one row comes as scalars.
     """
     j = rows.join(state, [*keys, entity_col])
     if keys:
-        j = j.join(F.broadcast(key_info), list(keys))
+        j = j.join(key_info, list(keys))
     else:
-        j = j.withColumn("__g", F.lit(0)).join(
-            F.broadcast(key_info.withColumn("__g", F.lit(0))), "__g").drop("__g")
+        j = j.withColumns({c: key_info.select(c).scalar() for c in ("last_date", "horizon")})
     j = j.withColumn("__k", F.datediff(F.col(date_col), F.col("last_date")) - 1)
     j = j.where((F.col("__k") >= 0) & (F.col("__k") < F.col("horizon")))
     return j.withColumns(baseline_columns(season, width, models)).drop(

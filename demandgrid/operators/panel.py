@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandgrid.constants import DATE_COL, ENTITY_COL, TARGET_COL
+from demandgrid.session import store
 
 
 def daily_counts(rows: DataFrame, date_col: str = DATE_COL, entity_col: str = ENTITY_COL,
@@ -40,16 +41,9 @@ def densify(counts: DataFrame, date_col: str = DATE_COL, entity_col: str = ENTIT
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the cluster's checkpoint folder.
-
-    Used on small aggregates that several branches of a plan read (the
-    sparse counts feed the date bounds, the entity spine and the join), so
-    the fact scan and join run once. Never a local checkpoint: the files
-    live in the shared folder and survive a lost executor.
-    """
-    from demandgrid.session import shared_folder
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store a small aggregate that several branches of a plan read, as
+    Parquet in the shared folder (see :func:`demandgrid.session.store`)."""
+    return store(df)
 
 
 def build_panel(rows: DataFrame, date_col: str = DATE_COL, entity_col: str = ENTITY_COL,
@@ -61,17 +55,17 @@ def build_panel(rows: DataFrame, date_col: str = DATE_COL, entity_col: str = ENT
 
 def panel_from_counts(counts: DataFrame, date_col: str = DATE_COL, entity_col: str = ENTITY_COL,
                       target_col: str = TARGET_COL) -> DataFrame:
-    """Sparse counts -> dense panel, materialized once.
+    """Sparse counts -> dense panel, stored once, in date order.
 
     The counts are persisted while the three grid branches (bounds, entity
     spine, join) read them, so the fact scan and join run once; the dense
-    panel is then checkpointed, so every downstream branch (folds, models,
-    calendars) reads the small materialized panel instead of re-deriving it.
+    panel is then written as Parquet, so every downstream branch (folds,
+    models, calendars) is a pruned scan with date filters pushed to it.
     """
     from pyspark import StorageLevel
     cached = counts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return materialize(densify(cached, date_col, entity_col, target_col))
+        return materialize(densify(cached, date_col, entity_col, target_col).sort(date_col, entity_col))
     finally:
         cached.unpersist()
 

@@ -63,7 +63,7 @@ def validate_requests(requests: DataFrame, last_train_date, known_entities: Data
                .groupBy("request_id").agg(F.sort_array(F.collect_set(entity_col)).alias("__unknown")))
     checked = requests.join(unknown, "request_id", "left")
     reason = (F.when(F.col("end_date") < F.col("start_date"), "end_date before start_date")
-              .when(F.datediff("end_date", "start_date") > MAX_WINDOW_DAYS,
+              .when(F.datediff("end_date", "start_date") + 1 > MAX_WINDOW_DAYS,
                     f"window longer than {MAX_WINDOW_DAYS} days")
               .when(F.col("alpha").isNotNull() & ~F.col("alpha").between(a_lo, a_hi), "alpha out of range")
               .when(F.col("cost_ratio").isNotNull() & ~F.col("cost_ratio").between(r_lo, r_hi),
@@ -84,9 +84,11 @@ def score_requests(forecast: DataFrame, requests: DataFrame, date_col: str = DAT
     days = req.withColumn(date_col, F.explode(F.sequence("start_date", "end_date")))
     # No broadcast hint: the request table has no proven size bound, so
     # Spark's measured-size rule (and AQE at run time) picks the strategy.
-    j = forecast.join(days, date_col)
-    j = j.where((F.size(F.coalesce("entities", F.array())) == 0)
-                | F.array_contains(F.col("entities"), F.col(entity_col)))
+    # Requests that name entities join on (date, entity), so they meet only the
+    # rows they asked for; the others join on the date, as they take all rows.
+    named = F.size(F.coalesce("entities", F.array())) > 0
+    some = days.where(named).withColumn(entity_col, F.explode(F.array_distinct("entities")))
+    j = forecast.join(days.where(~named), date_col).unionByName(forecast.join(some, [date_col, entity_col]))
     iv = F.col("include_intervals")
     return j.select(
         "request_id", F.col(date_col).alias("date"), F.col(entity_col).alias("entity"),
@@ -97,10 +99,11 @@ def score_requests(forecast: DataFrame, requests: DataFrame, date_col: str = DAT
         "alpha_used", "cost_ratio_used", "alpha_source", "cost_ratio_source")
 
 
-def forecast_horizon(requests: DataFrame, last_train_date) -> Column:
-    """Days from the training end to the latest requested end date."""
-    last = last_train_date if isinstance(last_train_date, Column) else F.lit(last_train_date)
-    return requests.agg(F.max(F.datediff("end_date", last))).scalar()
+def forecast_horizon(checked: DataFrame, last_train_date: dt.date) -> int:
+    """Days from the training end to the latest end date of the valid requests
+    (0 without any): one number from the small request table."""
+    row = checked.where(F.col("reason").isNull()).agg(F.max(F.datediff("end_date", F.lit(last_train_date)))).first()
+    return int(row[0] or 0)
 
 
 def alpha_sweep(forecast: DataFrame, alphas: Sequence[float]) -> DataFrame:

@@ -20,7 +20,6 @@ from demandgrid.operators import conformal as CF
 from demandgrid.operators import forecast as FC
 from demandgrid.operators import panel as P
 from demandgrid.operators import trees as T
-from demandgrid.session import shared_folder
 from demandgrid.sources import state as ST
 
 MODES = ("evaluation", "production", "both")
@@ -38,7 +37,7 @@ def evaluate_holdout(panel: DataFrame, train_end: dt.date, holdout_end: dt.date,
         raise ValueError("empty train or holdout split")
     fc = T.fit(train, params, thresholds, reference_date)
     horizon = (holdout_end - train_end).days
-    pred = T.recursive_forecast(fc, train, horizon, shared_folder(panel.sparkSession))
+    pred = T.recursive_forecast(fc, train, horizon)
     joined = CH.one_to_one_join(hold, pred, [K.DATE_COL, K.ENTITY_COL])
     r = joined.agg(M.wape().alias("wape"), M.mae().alias("mae"), M.rmse().alias("rmse"),
                    F.count_distinct(K.DATE_COL).alias("n_days")).first()
@@ -121,9 +120,9 @@ def load_tree_forecaster(spark, out_dir: str) -> tuple[T.TreeForecaster, dict]:
     from pyspark.ml.regression import GBTRegressionModel
     state, meta = ST.read_model(spark, out_dir, "conformal_trees")
     row = meta.first()
-    extra = json.loads(row.extra)
+    extra = json.loads(row.extra) | {"last_train_date": row.last_train_date}
     model = GBTRegressionModel.load(f"{out_dir.rstrip('/')}/trees")
-    fc = T.TreeForecaster(model, state, row.last_train_date, tuple(extra["thresholds"]),
+    fc = T.TreeForecaster(model, state, tuple(extra["thresholds"]),
                           dt.date.fromisoformat(extra["reference_date"]))
     return fc, extra
 
@@ -132,7 +131,7 @@ def tree_interval_forecast(fc: T.TreeForecaster, history: DataFrame, horizon: in
                            lower_offset: float, upper_offset: float) -> DataFrame:
     """Recursive tree forecast with the conformal interval (lower clipped
     at 0, upper not)."""
-    pred = T.recursive_forecast(fc, history, horizon, shared_folder(history.sparkSession))
+    pred = T.recursive_forecast(fc, history, horizon)
     return pred.withColumns({
         "y_lower": F.greatest(F.lit(0.0), F.col("y_pred") + F.lit(float(lower_offset))),
         "y_upper": F.col("y_pred") + F.lit(float(upper_offset)),

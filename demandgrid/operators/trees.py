@@ -11,16 +11,14 @@ future days are computed by Spark; each entity's group then holds only its
 last ``TAIL`` observed days plus the horizon rows (a parameter bound) and
 an ``applyInPandas`` step walks the days: lags and trailing stats from the
 running series, score with the broadcast tree table, 0 on non-operational
-days, clip at 0, append. The tree table (read from the saved model in the
-shared folder) is bounded by ``maxIter x 2^(maxDepth+1)`` nodes.
+days, clip at 0, append. The tree table (read from the fitted model's printed
+form) is bounded by ``maxIter x 2^(maxDepth+1)`` nodes.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import threading
-import uuid
-from collections import OrderedDict
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -32,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandgrid import constants as K
+from demandgrid.functions import args as A
 from demandgrid.operators import features as X
 from demandgrid.operators import forecast as FC
 
@@ -97,7 +96,6 @@ def training_table(history: DataFrame, keys: Sequence[str] = (),
 class TreeForecaster:
     model: GBTRegressionModel
     stats: DataFrame
-    last_train_date: object
     thresholds: tuple
     reference_date: dt.date
 
@@ -109,7 +107,6 @@ class TrainingData:
     parameters, so a search prepares it once per fold for all its trials."""
     table: DataFrame
     stats: DataFrame
-    last_train_date: object
     thresholds: tuple
     reference_date: dt.date
     validation: bool
@@ -129,14 +126,12 @@ def prepare(history: DataFrame, thresholds=K.DEFAULT_TIER_THRESHOLDS,
     from demandgrid.operators.panel import materialize
     cols = ["features", K.TARGET_COL] + (["__val"] if validation is not None else [])
     data = materialize(assembler().transform(table).select(*cols))
-    last = history.agg(F.max(K.DATE_COL)).first()[0]
-    return TrainingData(data, stats, last, thresholds, reference_date, validation is not None)
+    return TrainingData(data, stats, thresholds, reference_date, validation is not None)
 
 
 def fit_prepared(data: TrainingData, params: GBTParams = GBTParams()) -> TreeForecaster:
     est = params.estimator("__val" if data.validation else None)
-    return TreeForecaster(est.fit(data.table), data.stats, data.last_train_date, data.thresholds,
-                          data.reference_date)
+    return TreeForecaster(est.fit(data.table), data.stats, data.thresholds, data.reference_date)
 
 
 def fit(history: DataFrame, params: GBTParams = GBTParams(), thresholds=K.DEFAULT_TIER_THRESHOLDS,
@@ -146,43 +141,33 @@ def fit(history: DataFrame, params: GBTParams = GBTParams(), thresholds=K.DEFAUL
     return fit_prepared(prepare(history, thresholds, reference_date, validation), params)
 
 
-# Recently used node tables per fitted model object (a fitted model shares
-# its estimator's uid, so the uid is no key). The entry holds the model, so
-# its id cannot be reused while cached.
-_TREE_TABLES: OrderedDict[int, tuple[GBTRegressionModel, dict]] = OrderedDict()
-_TREE_TABLES_MAX = 32
-_TREE_TABLES_LOCK = threading.Lock()     # fold fits call this from several threads
-
-
-def tree_table(model: GBTRegressionModel, spark: SparkSession, folder: str) -> dict:
-    """Node arrays of every tree (+ weights), read from the saved model; a
-    model that serves several forecasts is saved and read once."""
-    key = id(model)
-    with _TREE_TABLES_LOCK:
-        if key in _TREE_TABLES:
-            _TREE_TABLES.move_to_end(key)
-            return _TREE_TABLES[key][1]
-    table = _read_tree_table(model, spark, folder)
-    with _TREE_TABLES_LOCK:
-        _TREE_TABLES[key] = (model, table)
-        while len(_TREE_TABLES) > _TREE_TABLES_MAX:
-            _TREE_TABLES.popitem(last=False)
-    return table
-
-
-def _read_tree_table(model: GBTRegressionModel, spark: SparkSession, folder: str) -> dict:
-    path = f"{folder.rstrip('/')}/gbt-{uuid.uuid4().hex}"
-    model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
-        "nodeData.split.featureIndex", F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("thr"))
-    pdf = nodes.toPandas()        # bounded by maxIter x 2^(maxDepth+1) rows
-    trees = []
-    for tid in range(model.getNumTrees):
-        t = pdf[pdf.treeID == tid].sort_values("id")
-        trees.append((t["featureIndex"].fillna(0).to_numpy(np.int64), t["thr"].fillna(0.0).to_numpy(np.float64),
-                      t["leftChild"].to_numpy(np.int64), t["rightChild"].to_numpy(np.int64),
-                      t["prediction"].to_numpy(np.float64)))
+def tree_table(model: GBTRegressionModel) -> dict:
+    """Node arrays of every tree (+ weights), from the fitted model's printed
+    form (a tree's lines are its nodes in pre-order; all splits compare a
+    feature with a number)."""
+    trees: list[tuple] = []
+    lines = iter(model.toDebugString.splitlines()[1:])
+    split = re.compile(r"If \(feature (\d+) <= (\S+)\)")
+
+    def read(nodes: list[list]) -> int:
+        line = next(lines).strip()
+        at = len(nodes)
+        if line.startswith("Predict:"):
+            nodes.append([0, 0.0, -1, -1, float(line.split(":")[1])])
+            return at
+        m = split.match(line)
+        nodes.append([int(m[1]), float(m[2]), -1, -1, 0.0])
+        nodes[at][2] = read(nodes)
+        next(lines)                     # the matching "Else" line
+        nodes[at][3] = read(nodes)
+        return at
+
+    for _ in range(model.getNumTrees):
+        next(lines)                     # "Tree k (weight w):"
+        nodes: list[list] = []
+        read(nodes)
+        feat, thr, left, right, pred = zip(*nodes)
+        trees.append((np.array(feat, np.int64), np.array(thr), np.array(left, np.int64), np.array(right, np.int64), np.array(pred)))
     return {"trees": trees, "weights": np.asarray(model.treeWeights, dtype=np.float64)}
 
 
@@ -254,8 +239,7 @@ def forecast_inputs(source, history: DataFrame, horizon: int, date_col: str = K.
     :class:`TreeForecaster` or :class:`TrainingData`) gives the volume stats,
     thresholds and trend anchor; the tree parameters play no part, so a
     search builds this once per fold."""
-    if horizon < 1:
-        raise ValueError(f"horizon must be positive, got {horizon}")
+    A.at_least("horizon", horizon, 1)
     future = FC.future_grid(history, horizon, date_col=date_col, entity_col=entity_col, target_col=target_col)
     w = Window.partitionBy(entity_col).orderBy(F.col(date_col).desc())
     tail = (history.select(date_col, entity_col, target_col)
@@ -273,17 +257,16 @@ def forecast_inputs(source, history: DataFrame, horizon: int, date_col: str = K.
     return feats.select(date_col, entity_col, target_col, "__future", "is_operational", *MODEL_FEATURES)
 
 
-def recursive_forecast(fc: TreeForecaster, history: DataFrame, horizon: int, folder: str,
+def recursive_forecast(fc: TreeForecaster, history: DataFrame, horizon: int,
                        date_col: str = K.DATE_COL, entity_col: str = K.ENTITY_COL,
                        target_col: str = K.TARGET_COL, buckets: int | None = None,
                        inputs: DataFrame | None = None) -> DataFrame:
     """``horizon`` days after the last date of ``history`` for every entity
     (``inputs``: a prebuilt :func:`forecast_inputs` frame for this history
     and horizon)."""
-    if horizon < 1:
-        raise ValueError(f"horizon must be positive, got {horizon}")
+    A.at_least("horizon", horizon, 1)
     spark = history.sparkSession
-    table = tree_table(fc.model, spark, folder)
+    table = tree_table(fc.model)
     feats = inputs if inputs is not None else forecast_inputs(fc, history, horizon, date_col, entity_col,
                                                               target_col)
     fn = _recursive_fn(spark.sparkContext.broadcast(table), MODEL_FEATURES, date_col, entity_col, target_col)

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from demandgrid import constants as K
 from demandgrid.functions import metrics as M
 from demandgrid.operators import trees as T
-from demandgrid.session import shared_folder
 
 # Search space: (name, kind, low, high) or choices. Spark GBT counterparts of
 # leaves/depth, learning rate, column and row sampling, minimum leaf size.
@@ -91,7 +90,7 @@ def evaluate_fold(panel: DataFrame, params: T.GBTParams, train_end, test_start,
     ctx = ctx or fold_context(panel, train_end, test_start, test_end, thresholds, reference_date,
                                   early_stopping)
     fc = T.fit_prepared(ctx.data, params)
-    pred = T.recursive_forecast(fc, ctx.train, ctx.horizon, shared_folder(panel.sparkSession),
+    pred = T.recursive_forecast(fc, ctx.train, ctx.horizon,
                                 inputs=ctx.inputs)
     j = pred.join(ctx.test, [K.DATE_COL, K.ENTITY_COL])
     return float(j.agg(M.wape().alias("w")).first().w)

@@ -24,37 +24,36 @@ def _date(d) -> str:
     return f"DATE '{d.isoformat()}'"
 
 
+# Rules and limits of the data contract, stated here on their own (fixed values).
+SHIPPED = "('F', 'O')"
+REQUEST_DAYS = 90                       # both end dates included
+ALPHA_LOW, ALPHA_HIGH = -2.0, 2.0
+RATIO_LOW, RATIO_HIGH = 0.5, 10.0
+SERVER_ALPHA, SERVER_RATIO = 0.65, 3.0
+
+
 def panel_ctes(grain: str = "nation", name: str = "panel") -> str:
-    """CTE chain ending in ``{name}(shipment_date, entity, n_shipments)``."""
-    statuses = ", ".join(f"'{s}'" for s in C.SHIPPED_STATUSES)
-    if grain == "nation":
-        ent, extra = "n.n_name", ""
-    else:
-        ent, extra = "r.r_name", "JOIN region r ON r.r_regionkey = n.n_regionkey"
-    x = "" if name == "panel" else f"{name}_"
+    """CTEs ending in ``{name}(shipment_date, entity, n_shipments)``: every entity
+    gets the series of days between the first and the last shipment of all, and
+    the count of its shipments on each."""
+    place = {"nation": ("n_name", "nation"), "region": ("r_name", "nation JOIN region ON r_regionkey = n_regionkey")}[grain]
     return f"""
-{x}valid AS (
-  SELECT CAST(l.l_shipdate AS DATE) AS shipment_date, {ent} AS entity
-  FROM lineitem l
-  JOIN orders o ON o.o_orderkey = l.l_orderkey
-  JOIN customer c ON c.c_custkey = o.o_custkey
-  JOIN nation n ON n.n_nationkey = c.c_nationkey
-  {extra}
-  WHERE o.o_orderstatus IN ({statuses}) AND l.l_shipdate IS NOT NULL
+{name}_buyers AS (
+  SELECT o_orderkey AS k, {place[0]} AS who
+  FROM {place[1]} JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey
+  WHERE o_orderstatus IN {SHIPPED}
 ),
-{x}raw_counts AS (
-  SELECT shipment_date, entity, COUNT(*) AS n_shipments FROM {x}valid GROUP BY 1, 2
+{name}_found AS (
+  SELECT who, l_shipdate::DATE AS day, count(*) AS c
+  FROM lineitem JOIN {name}_buyers ON k = l_orderkey WHERE l_shipdate IS NOT NULL GROUP BY who, day
 ),
-{x}bounds AS (SELECT MIN(shipment_date) AS lo, MAX(shipment_date) AS hi FROM {x}raw_counts),
-{x}date_spine AS (
-  SELECT CAST(d AS DATE) AS shipment_date
-  FROM {x}bounds, range(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)
+{name}_days AS (
+  SELECT who, unnest(generate_series((SELECT min(day) FROM {name}_found), (SELECT max(day) FROM {name}_found), INTERVAL 1 DAY))::DATE AS day
+  FROM (SELECT DISTINCT who FROM {name}_found)
 ),
-{x}entity_spine AS (SELECT DISTINCT entity FROM {x}raw_counts),
 {name} AS (
-  SELECT g.shipment_date, g.entity, CAST(COALESCE(r.n_shipments, 0) AS BIGINT) AS n_shipments
-  FROM (SELECT * FROM {x}date_spine CROSS JOIN {x}entity_spine) g
-  LEFT JOIN {x}raw_counts r ON r.shipment_date = g.shipment_date AND r.entity = g.entity
+  SELECT day AS shipment_date, who AS entity, coalesce(c, 0)::BIGINT AS n_shipments
+  FROM {name}_days LEFT JOIN {name}_found USING (who, day)
 )"""
 
 
@@ -93,16 +92,10 @@ hol_years AS (
   SELECT CAST(unnest(range(MIN(year(shipment_date)), MAX(year(shipment_date)) + 1)) AS INTEGER) AS y FROM {src}
 ),
 easter AS (
-  SELECT y, make_date(y, CAST((h + l - 7 * m + 114) // 31 AS INTEGER),
-                      CAST(((h + l - 7 * m + 114) % 31) + 1 AS INTEGER)) AS e
-  FROM (SELECT *, (a + 11 * h + 22 * l) // 451 AS m
-        FROM (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l
-              FROM (SELECT *, (19 * a + b - d - g + 15) % 30 AS h
-                    FROM (SELECT *, (b - f + 1) // 3 AS g
-                          FROM (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c,
-                                       (y // 100) // 4 AS d, (y // 100) % 4 AS e,
-                                       ((y // 100) + 8) // 25 AS f, (y % 100) // 4 AS i,
-                                       (y % 100) % 4 AS k FROM hol_years))))) 
+  -- Gauss' rule for 1900..2099: days after March 22 from the moon (d) and the weekday (e), two exceptions
+  SELECT y, make_date(y, 3, 22) + CAST(d + e - CASE WHEN e = 6 AND (d = 29 OR (d = 28 AND y % 19 > 10)) THEN 7 ELSE 0 END AS INTEGER) AS e
+  FROM (SELECT y, d, (2 * (y % 4) + 4 * (y % 7) + 6 * d + 5) % 7 AS e
+        FROM (SELECT y, (19 * (y % 19) + 24) % 30 AS d FROM hol_years))
 ),
 holidays AS (
   SELECT DISTINCT hd FROM (
@@ -164,31 +157,17 @@ EVENT_COLS = ("days_to_black_friday", "is_black_friday_window", "is_post_black_f
               "days_to_dia_dos_namorados", "is_dia_dos_namorados_window",
               "is_post_dia_dos_namorados_peak")
 
-ROLLING_DEV_SQL = """CASE WHEN COUNT(*) OVER (PARTITION BY b.entity ORDER BY b.shipment_date
-                                ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) >= 2
-     THEN (SELECT sqrt(avg((x - mu) * (x - mu))) FROM (
-             SELECT s2.n_shipments AS x,
-                    avg(s2.n_shipments) OVER (ORDER BY s2.shipment_date
-                                              ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mu
-             FROM panel s2
-             WHERE s2.entity = b.entity
-               AND s2.shipment_date BETWEEN b.shipment_date - INTERVAL 7 DAY
-                                        AND b.shipment_date - INTERVAL 1 DAY))
-END"""
-
-
 def sql_feature_select() -> str:
-    return f"""SELECT b.shipment_date, b.entity, b.n_shipments,
-  CAST(lag(b.n_shipments, 1) OVER w AS INTEGER) AS lag_1,
-  CAST(lag(b.n_shipments, 7) OVER w AS INTEGER) AS lag_7,
-  CAST(lag(b.n_shipments, 14) OVER w AS INTEGER) AS lag_14,
-  CAST(lag(b.n_shipments, 28) OVER w AS INTEGER) AS lag_28,
-  round(avg(b.n_shipments) OVER (PARTITION BY b.entity ORDER BY b.shipment_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_7,
-  round(avg(b.n_shipments) OVER (PARTITION BY b.entity ORDER BY b.shipment_date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_14,
-  round(avg(b.n_shipments) OVER (PARTITION BY b.entity ORDER BY b.shipment_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_28,
-  round({ROLLING_DEV_SQL}, 6) AS rolling_dev_7
-FROM panel b
-WINDOW w AS (PARTITION BY b.entity ORDER BY b.shipment_date)"""
+    """Lags, trailing means and the deviation of each of the last seven values
+    from the mean of those before it, all from a list of the previous 28."""
+    lags = ", ".join(f"back[-{k}]::INTEGER AS lag_{k}" for k in (1, 7, 14, 28))
+    means = ", ".join(f"round(list_avg(list_slice(back, greatest(len(back) - {w - 1}, 1), len(back))), 6) AS rolling_mean_{w}" for w in (7, 14, 28))
+    return f"""SELECT shipment_date, entity, n_shipments, {lags}, {means},
+  CASE WHEN len(week) >= 2 THEN round(sqrt(list_avg(list_transform(range(2, len(week) + 1),
+       lambda k: (week[k] - list_avg(week[1:k - 1])) ** 2))), 6) END AS rolling_dev_7
+FROM (SELECT *, list_slice(back, greatest(len(back) - 6, 1), len(back)) AS week
+      FROM (SELECT *, coalesce(list(n_shipments) OVER (PARTITION BY entity ORDER BY shipment_date
+                                                       ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), []) AS back FROM panel))"""
 
 
 @oracle("features_sql_table")
@@ -736,9 +715,9 @@ unknown AS (
 checked AS (
   SELECT r.*, CASE
     WHEN r.end_date < r.start_date THEN 'end_date before start_date'
-    WHEN date_diff('day', r.start_date, r.end_date) > {C.MAX_WINDOW_DAYS} THEN 'window longer than {C.MAX_WINDOW_DAYS} days'
-    WHEN r.alpha IS NOT NULL AND NOT (r.alpha BETWEEN {C.ALPHA_RANGE[0]} AND {C.ALPHA_RANGE[1]}) THEN 'alpha out of range'
-    WHEN r.cost_ratio IS NOT NULL AND NOT (r.cost_ratio BETWEEN {C.COST_RATIO_RANGE[0]} AND {C.COST_RATIO_RANGE[1]}) THEN 'cost_ratio out of range'
+    WHEN date_diff('day', r.start_date, r.end_date) + 1 > {REQUEST_DAYS} THEN 'window longer than {REQUEST_DAYS} days'
+    WHEN r.alpha IS NOT NULL AND NOT (r.alpha BETWEEN {ALPHA_LOW} AND {ALPHA_HIGH}) THEN 'alpha out of range'
+    WHEN r.cost_ratio IS NOT NULL AND NOT (r.cost_ratio BETWEEN {RATIO_LOW} AND {RATIO_HIGH}) THEN 'cost_ratio out of range'
     WHEN r.start_date <= {TRAIN_END_SQL} THEN 'start_date not after last training date'
     WHEN u.u IS NOT NULL THEN 'unknown entities: ' || u.u
   END AS reason
@@ -752,7 +731,7 @@ def _():
 
 
 def scored_ctes(horizon: int) -> str:
-    da, dr = C.DEFAULT_ALPHA, C.DEFAULT_COST_RATIO
+    da, dr = SERVER_ALPHA, SERVER_RATIO
     return f"""{REQ_CHECK}, {conformal_ctes(calib_lengths_values([60]))}, {full_forecast_ctes(horizon)},
 days AS (
   SELECT c.*, CAST(unnest(range(CAST(start_date AS TIMESTAMP), CAST(end_date AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d
@@ -773,16 +752,13 @@ scored AS (
 )"""
 
 
-def _scoring_horizon() -> int:
-    from demandgrid.plans.queries import REQUESTS
-    te = C.FOLD_SPEC[-1][1]
-    return max((r[2] - te).days for r in REQUESTS if r[2] > te and r[2] >= r[1]
-               and (r[2] - r[1]).days <= C.MAX_WINDOW_DAYS)
+# The training end is March 31, 2001; no valid request reaches past June 30.
+SCORED_DAYS = 91
 
 
 @oracle("batch_scoring")
 def _():
-    return f"""WITH {panel_ctes()}, {scored_ctes(_scoring_horizon())}
+    return f"""WITH {panel_ctes()}, {scored_ctes(SCORED_DAYS)}
 SELECT request_id, date, entity, round(point, 6) AS point, round(lower_90, 6) AS lower_90,
        round(upper_90, 6) AS upper_90, round(recommended, 6) AS recommended, alpha_used, cost_ratio_used,
        alpha_source, cost_ratio_source FROM scored"""
@@ -799,7 +775,7 @@ FROM fc f CROSS JOIN (SELECT CAST(alpha AS DOUBLE) AS alpha FROM (VALUES (-0.5),
 
 @oracle("day_snapshot")
 def _():
-    return f"""WITH {panel_ctes()}, {scored_ctes(_scoring_horizon())}
+    return f"""WITH {panel_ctes()}, {scored_ctes(SCORED_DAYS)}
 SELECT entity, round(point, 6) AS point, round(recommended, 6) AS recommended FROM scored
 WHERE request_id = 'r1' AND date = DATE '2001-04-02' ORDER BY recommended DESC, entity"""
 

@@ -7,6 +7,8 @@ result columns carry the same names as the oracle SQL in ``oracle.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,36 +18,37 @@ from demandgrid.sources import tables as S
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+# What one call of a query has built so far (its panels and fitted models).
+# Nothing outlives the call: the next one reads its inputs again.
+_BUILT: ContextVar[dict | None] = ContextVar("built", default=None)
+
+
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
-        return fn
+        @wraps(fn)
+        def call(spark: SparkSession, sf_dir: str) -> DataFrame:
+            token = _BUILT.set({})
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                _BUILT.reset(token)
+        QUERIES[name] = call
+        return call
     return deco
 
 
-# The dense panel is the shared table every analysis reads (the reference
-# stores it once as a table). Within one session it is built once per input
-# and grain: the checkpointed panel lives in the shared checkpoint folder.
-_PANELS: dict[tuple, DataFrame] = {}
-
-
-def _input_stamp(sf_dir: str) -> tuple:
-    import os
-    stamp = []
-    for t in ("lineitem", "orders", "customer", "nation", "region"):
-        try:
-            st = os.stat(S.table_path(sf_dir, t))
-            stamp.append((t, st.st_mtime_ns, st.st_size))
-        except OSError:  # remote file systems: key on the path only
-            stamp.append((t,))
-    return tuple(stamp)
+def once(key: tuple, make: Callable):
+    """``make()``, once per call of a query."""
+    built = _BUILT.get()
+    if built is None:
+        return make()
+    if key not in built:
+        built[key] = make()
+    return built[key]
 
 
 def shared_panel(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, grain, _input_stamp(sf_dir))
-    if key not in _PANELS:
-        _PANELS[key] = P.panel_from_counts(S.shipment_counts(spark, sf_dir, grain))
-    return _PANELS[key]
+    return once(("panel", sf_dir, grain), lambda: P.panel_from_counts(S.shipment_counts(spark, sf_dir, grain)))
 
 
 def nation_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +404,8 @@ REQUESTS = (
     ("r4", _dt.date(2001, 6, 1), _dt.date(2001, 6, 30), ["NATION_3"], None, None, True, False),
     ("bad_order", _dt.date(2001, 5, 10), _dt.date(2001, 5, 1), [], None, None, True, True),
     ("bad_long", _dt.date(2001, 4, 1), _dt.date(2001, 8, 1), [], None, None, True, True),
+    ("full", _dt.date(2001, 4, 1), _dt.date(2001, 6, 29), ["NATION_1"], None, None, True, False),     # 90 days
+    ("bad_day", _dt.date(2001, 4, 1), _dt.date(2001, 6, 30), ["NATION_1"], None, None, True, False),  # 91 days
     ("bad_alpha", _dt.date(2001, 4, 1), _dt.date(2001, 4, 2), [], 3.0, None, True, True),
     ("bad_ratio", _dt.date(2001, 4, 1), _dt.date(2001, 4, 2), [], None, 20.0, True, True),
     ("bad_start", _dt.date(2001, 3, 1), _dt.date(2001, 4, 2), [], None, None, True, True),
@@ -422,8 +427,7 @@ def q_request_checks(spark, sf_dir):
 def _scored(spark, sf_dir):
     req, panel = _checked_requests(spark, sf_dir)
     hist = panel.where(F.col("shipment_date") <= F.lit(TRAIN_END))
-    horizon = max((r[2] - TRAIN_END).days for r in REQUESTS if r[2] > TRAIN_END and r[2] >= r[1]
-                  and (r[2] - r[1]).days <= K.MAX_WINDOW_DAYS)
+    horizon = SC.forecast_horizon(req, TRAIN_END)
     fc = CF.conformal_forecast(hist, horizon, _offsets_60(hist))
     return SC.score_requests(fc, req)
 
@@ -605,17 +609,12 @@ def q_holiday_calendar(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from demandgrid.operators import trees as TR  # noqa: E402
 from demandgrid.operators import tuning as TU  # noqa: E402
-from demandgrid.session import shared_folder  # noqa: E402
 
 GBT_PARAMS = TR.GBTParams(max_iter=20, max_depth=4, step_size=0.1)
-_MODELS: dict[tuple, object] = {}
 
 
 def holdout_model(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, _input_stamp(sf_dir), "holdout")
-    if key not in _MODELS:
-        _MODELS[key] = TR.fit(_history(spark, sf_dir), GBT_PARAMS, NATION_TIERS, TREND_ANCHOR)
-    return _MODELS[key]
+    return once(("holdout", sf_dir), lambda: TR.fit(_history(spark, sf_dir), GBT_PARAMS, NATION_TIERS, TREND_ANCHOR))
 
 
 @query("gbt_holdout_eval")
@@ -624,7 +623,7 @@ def q_gbt_holdout(spark, sf_dir):
     holdout WAPE / MAE / RMSE rounded to 4 places."""
     fc = holdout_model(spark, sf_dir)
     hist = _history(spark, sf_dir)
-    pred = TR.recursive_forecast(fc, hist, (HOLDOUT[1] - HOLDOUT[0]).days + 1, shared_folder(spark))
+    pred = TR.recursive_forecast(fc, hist, (HOLDOUT[1] - HOLDOUT[0]).days + 1)
     truth = P.date_window(nation_panel(spark, sf_dir), *HOLDOUT)
     j = pred.join(truth, ["shipment_date", "entity"])
     out = j.agg(F.min("shipment_date").alias("window_start"), F.max("shipment_date").alias("window_end"),
@@ -643,12 +642,8 @@ def q_gbt_conformal_offsets(spark, sf_dir):
 
 
 def _tree_offsets(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, _input_stamp(sf_dir), "tree_offsets")
-    if key not in _MODELS:
-        res = CF.tree_calibration_residuals(_history(spark, sf_dir), 60, GBT_PARAMS, NATION_TIERS,
-                                            TREND_ANCHOR)
-        _MODELS[key] = P.materialize(CF.conformal_offsets(res, 0.1))
-    return _MODELS[key]
+    res = CF.tree_calibration_residuals(_history(spark, sf_dir), 60, GBT_PARAMS, NATION_TIERS, TREND_ANCHOR)
+    return P.materialize(CF.conformal_offsets(res, 0.1))
 
 
 @query("gbt_conformal_coverage_by_calibration")
@@ -670,7 +665,7 @@ def q_gbt_conformal_coverage(spark, sf_dir):
     for p in parts[1:]:
         offs = offs.unionByName(p)
     horizon = (HOLDOUT[1] - HOLDOUT[0]).days + 1
-    pred = TR.recursive_forecast(holdout_model(spark, sf_dir), hist, horizon, shared_folder(spark))
+    pred = TR.recursive_forecast(holdout_model(spark, sf_dir), hist, horizon)
     truth = P.date_window(panel, *HOLDOUT).select("shipment_date", "entity", "n_shipments")
     per_len = pred.withColumn("calib_days", F.explode(F.array(*[F.lit(c) for c in K.CALIBRATION_LENGTHS])))
     scored = CF.apply_offsets(per_len, offs, ["calib_days"]).join(truth, ["shipment_date", "entity"])
@@ -686,9 +681,8 @@ def q_gbt_batch_scoring(spark, sf_dir):
     the tree forecast past the training end with its conformal interval."""
     req, panel = _checked_requests(spark, sf_dir)
     hist = panel.where(F.col("shipment_date") <= F.lit(TRAIN_END))
-    horizon = max((r[2] - TRAIN_END).days for r in REQUESTS if r[2] > TRAIN_END and r[2] >= r[1]
-                  and (r[2] - r[1]).days <= K.MAX_WINDOW_DAYS)
-    pred = TR.recursive_forecast(holdout_model(spark, sf_dir), hist, horizon, shared_folder(spark))
+    horizon = SC.forecast_horizon(req, TRAIN_END)
+    pred = TR.recursive_forecast(holdout_model(spark, sf_dir), hist, horizon)
     fc = CF.apply_offsets(pred, _tree_offsets(spark, sf_dir))
     return _round_cols(SC.score_requests(fc, req), ["point", "lower_90", "upper_90", "recommended"])
 
@@ -702,21 +696,16 @@ def q_gbt_importance(spark, sf_dir):
 
 def gbt_paired(spark, sf_dir):
     """Trees vs seasonal naive on the four folds, one row per (fold, date,
-    entity) with day flags; fitted once per session and input, shared by
-    the cost queries (materialized in the shared folder)."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, _input_stamp(sf_dir), "gbt_paired")
-    if key in _MODELS:
-        return _MODELS[key]
+    entity) with day flags, stored (several aggregates read it)."""
     panel = nation_panel(spark, sf_dir)
     wide = E.backtest_wide(panel)
-    params = TR.GBTParams(max_iter=10, max_depth=4)
 
     def one_fold(spec):
         fid, te, ts, tend, _ = spec
         train = panel.where(F.col("shipment_date") <= F.lit(te))
-        fc = TR.fit(train, params, NATION_TIERS, TREND_ANCHOR)
+        fc = TR.fit(train, GBT_PARAMS, NATION_TIERS, TREND_ANCHOR)
         h = (tend - ts).days + 1
-        return TR.recursive_forecast(fc, train, h, shared_folder(spark)).withColumn("fold_id", F.lit(fid))
+        return TR.recursive_forecast(fc, train, h).withColumn("fold_id", F.lit(fid))
 
     # The folds' fits are independent Spark ML jobs: submit them concurrently
     # so their many small boosting stages share the executors.
@@ -728,8 +717,7 @@ def gbt_paired(spark, sf_dir):
         trees = trees.unionByName(p)
     paired = (wide.join(trees, ["fold_id", "shipment_date", "entity"])
               .withColumns({"y_pred_model": F.col("y_pred"), "y_pred_base": F.col("y_pred_seasonal_naive")}))
-    _MODELS[key] = P.materialize(X.add_holiday_features(paired))
-    return _MODELS[key]
+    return P.materialize(X.add_holiday_features(paired))
 
 
 @query("gbt_gain_by_fold")
@@ -813,9 +801,9 @@ def q_model_info(spark, sf_dir):
                  F.round(E.M.rmse(), 4).alias("rmse")).alias("evaluation_metrics"))
     groups = hist.agg(F.sort_array(F.collect_set("entity")).alias("groups"),
                       F.max("shipment_date").alias("last_train_date"))
-    # Three one-row tables: attach them by a literal key (no cartesian product).
-    one = lambda df: df.withColumn("__g", F.lit(0))
-    meta = one(groups).join(one(ev), "__g").join(one(off), "__g").select(
+    off = P.materialize(off)
+    meta = groups.withColumns({"evaluation_metrics": ev.scalar(), "lower_offset": off.select("lower_offset").scalar(),
+                               "upper_offset": off.select("upper_offset").scalar()}).select(
         F.lit("1").alias("version"), F.lit(None).cast("timestamp").alias("trained_at"),
         "last_train_date", F.col("last_train_date").alias("data_cutoff"),
         F.lit(1).alias("n_features"), F.size("groups").alias("n_groups"), "groups",
@@ -853,7 +841,7 @@ def q_fold_spec(spark, sf_dir):
     data = assigned.groupBy("fold_id").agg(
         F.min(F.when(F.col("split") == "train", F.col("shipment_date"))).alias("train_start"),
         F.count_distinct(F.when(F.col("split") == "test", F.col("shipment_date"))).alias("horizon"))
-    return F.broadcast(spec.drop("train_start")).join(data, "fold_id")
+    return spec.drop("train_start").join(data, "fold_id")
 
 
 @query("gain_pivot")

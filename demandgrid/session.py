@@ -6,9 +6,9 @@ are for scripts, tests and the benchmark.
 
 from __future__ import annotations
 
-import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants: AQE for runtime re-planning (partition coalescing,
 # skew-join splitting, broadcast conversion by measured size), UTC so dates
@@ -42,35 +42,25 @@ def get_spark(master: str | None = None, app: str = "demandgrid",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+def work_folder(spark: SparkSession) -> str:
+    """Where stored intermediates go: the cluster's shared checkpoint folder
+    (``spark.checkpoint.dir``) if the session names one, else the warehouse
+    folder. Never a machine-local temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/demandgrid-work"
 
-    Only when the session has none (local tests) is ``fallback`` installed.
-    Lineage is cut with ``DataFrame.checkpoint()`` into this folder, never
-    with local checkpoints, so a lost executor does not lose the data.
-    """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    os.makedirs(fallback, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder (shared on a cluster); a temporary one is
-    installed only when the session names none (local runs and tests)."""
-    import tempfile
-    if spark.sparkContext.getCheckpointDir() is None and not spark.conf.get("spark.checkpoint.dir", None):
-        return checkpoint_dir(spark, tempfile.mkdtemp(prefix="demandgrid-ckpt-"))
-    return checkpoint_dir(spark)
+
+def store(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet under :func:`work_folder` and read it back: cuts
+    lineage on reliable storage, keeps column pruning and filter pushdown. The
+    files go when the application ends."""
+    spark = df.sparkSession
+    path = f"{work_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def input_bytes(spark: SparkSession, paths) -> int:

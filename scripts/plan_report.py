@@ -17,7 +17,7 @@ import tempfile
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from demandgrid.plans.queries import QUERIES  # noqa: E402
-from demandgrid.session import checkpoint_dir, get_spark  # noqa: E402
+from demandgrid.session import get_spark  # noqa: E402
 from demandgrid.sources import tables as S  # noqa: E402
 
 SHOWN = ("panel_nation", "features_default", "features_sql_table", "backtest_metrics", "gain_by_fold",
@@ -32,6 +32,8 @@ COUNTS = {
     "reused exchanges": r"ReusedExchange",
     "sort-merge joins": r"SortMergeJoin",
     "broadcast hash joins": r"BroadcastHashJoin",
+    "cartesian products": r"CartesianProduct",
+    "nested-loop joins": r"BroadcastNestedLoopJoin",
     "windows": r"(?<!\w)Window \[",
     "pandas (Arrow) nodes": r"FlatMapGroupsInPandas|ArrowEvalPython|MapInPandas",
     "row-at-a-time Python UDF nodes": r"BatchEvalPython",
@@ -51,8 +53,6 @@ def summarize(name: str, df) -> list[str]:
         schema = re.search(r"ReadSchema: (struct<[^>]*>)", scan)
         lines.append(f"- scan `{table.group(1) if table else '?'}`: pushed {pushed.group(1) if pushed else '[]'}; "
                      f"read `{schema.group(1) if schema else '?'}`")
-    if "Scan ExistingRDD" in plan:
-        lines.append("- reads the checkpointed panel (`Scan ExistingRDD`)")
     lines.append("")
     return lines
 
@@ -63,7 +63,6 @@ def main(argv):
         os.path.abspath(__file__))), "PLANS.md")
     spark = get_spark("local[8]", shuffle_partitions=8,
                       extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="demandgrid-plans-wh-")})
-    checkpoint_dir(spark, tempfile.mkdtemp(prefix="demandgrid-plans-"))
     names = S.write_bucketed_facts(spark, sf_dir, tempfile.mkdtemp(prefix="demandgrid-plans-bk-"), 8)
     # Static plans: the strategy Catalyst picks before runtime statistics
     # (AQE may still turn a sort-merge join into a broadcast join on small

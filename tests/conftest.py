@@ -7,14 +7,15 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from demandgrid.session import checkpoint_dir, get_spark  # noqa: E402
+from demandgrid.session import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = get_spark("local[4]", app="demandgrid-tests", shuffle_partitions=8,
-                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="demandgrid-test-wh-")})
-    checkpoint_dir(s, tempfile.mkdtemp(prefix="demandgrid-test-ckpt-"))
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="demandgrid-test-wh-"),
+                         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="demandgrid-test-ckpt-"),
+                         "spark.driver.memory": "4g"})
     yield s
 
 

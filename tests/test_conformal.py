@@ -58,10 +58,30 @@ def test_exact_quantiles_match_numpy(spark):
     rows = [(g, float(v)) for g, vs in vals.items() for v in vs]
     df = spark.createDataFrame(rows, "g string, residual double")
     probs = [0.0, 0.05, 0.5, 0.95, 1.0]
-    got = {r.g: r for r in exact_quantiles(df, "residual", probs, ["g"], accuracy=1000).collect()}
+    got = {r.g: r for r in exact_quantiles(df, "residual", probs, ["g"], slices=16).collect()}
     for g, vs in vals.items():
         want = np.quantile(vs, probs)
         assert [got[g][f"q_{i}"] for i in range(5)] == pytest.approx(list(want), abs=1e-12)
     ints = spark.createDataFrame([(float(i % 7),) for i in range(5000)], "residual double")
     one = exact_quantiles(ints, "residual", [0.05, 0.95]).first()
     assert (one.q_0, one.q_1) == tuple(np.quantile([i % 7 for i in range(5000)], [0.05, 0.95]))
+
+
+def test_quantiles_of_few_distinct_values(spark):
+    """A million rows with seven values: ties are counted, not collected."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    from demandgrid.functions.quantiles import exact_quantiles
+    df = spark.range(1_000_000).select((F.col("id") * F.col("id") % 7 - 3).cast("double").alias("residual"))
+    probs = [0.05, 0.3333, 0.5, 0.95]
+    row = exact_quantiles(df, "residual", probs, count_col="n").first()
+    ids = np.arange(1_000_000, dtype=np.int64)
+    expected = np.quantile((ids * ids % 7 - 3).astype(float), probs)
+    assert row.n == 1_000_000 and np.allclose([row[f"q_{i}"] for i in range(4)], expected)
+
+
+def test_empty_calibration_is_an_error(spark):
+    import pytest
+    from demandgrid.operators.conformal import conformal_offsets
+    with pytest.raises(ValueError):
+        conformal_offsets(spark.createDataFrame([], "residual double"))

@@ -9,7 +9,6 @@ from demandgrid.operators import checks as CH
 from demandgrid.operators import panel as P
 from demandgrid.operators import trees as T
 from demandgrid.operators import training as TRN
-from demandgrid.session import shared_folder
 from demandgrid.sources import state as ST
 from tests.conftest import D
 
@@ -49,7 +48,7 @@ def test_recursive_forecast_matches_driver_loop(spark):
     panel = _panel(spark)
     fc = T.fit(panel, T.GBTParams(max_iter=5, max_depth=3), (5.0, 20.0), D("2023-01-01"))
     pred = {(r.shipment_date, r.entity): r.y_pred
-            for r in T.recursive_forecast(fc, panel, 3, shared_folder(spark)).collect()}
+            for r in T.recursive_forecast(fc, panel, 3).collect()}
     work = panel.withColumn("n_shipments", F.col("n_shipments").cast("double"))
     last = D("2023-01-01") + dt.timedelta(days=149)
     for step in range(1, 4):
@@ -91,7 +90,7 @@ def test_recursive_forecast_does_not_collapse(spark):
     weekly shape: no drift to zero or to one constant."""
     panel = _panel(spark, days=200)
     fc = T.fit(panel, T.GBTParams(max_iter=15, max_depth=4), (5.0, 20.0), D("2023-01-01"))
-    pred = T.recursive_forecast(fc, panel, 28, shared_folder(spark)).toPandas()
+    pred = T.recursive_forecast(fc, panel, 28).toPandas()
     assert len(pred) == 3 * 28 and pred.y_pred.notna().all() and (pred.y_pred >= 0).all()
     pred["dow"] = [d.weekday() for d in pred.shipment_date]
     for ent, level in (("SP", 50), ("RJ", 10)):
@@ -121,12 +120,12 @@ def test_conformal_trees_production_and_reload(spark):
                    reference_date=D("2023-01-01"), base="trees")["production"]
     assert prod["model"] == "conformal_trees" and prod["lower_offset"] <= prod["upper_offset"]
     fc, extra = TRN.load_tree_forecaster(spark, out)
-    assert extra["calibration_days"] == 21 and fc.last_train_date == last
+    assert extra["calibration_days"] == 21 and extra["last_train_date"] == last
     a = {(r.shipment_date, r.entity): r for r in TRN.tree_interval_forecast(
         fc, panel, 5, extra["lower_offset"], extra["upper_offset"]).collect()}
     refit = T.fit(panel, params, (5.0, 20.0), D("2023-01-01"))
     b = {(r.shipment_date, r.entity): r.y_pred
-         for r in T.recursive_forecast(refit, panel, 5, shared_folder(spark)).collect()}
+         for r in T.recursive_forecast(refit, panel, 5).collect()}
     assert a.keys() == b.keys() and len(a) == 15
     for k, r in a.items():
         assert r.y_pred == pytest.approx(b[k], abs=1e-9)
@@ -154,14 +153,14 @@ def test_fast_retrain_uses_last_180_days(spark, monkeypatch):
     assert seen["params"].max_iter == 50 and seen["params"].min_instances == 20
 
 
-def test_tree_table_is_read_once_per_model(spark, monkeypatch):
+def test_tree_table_scores_as_the_model(spark):
+    """The node arrays read from the printed form give the model's predictions."""
+    import numpy as np
     panel = _panel(spark, days=60)
-    a = T.fit(panel, T.GBTParams(max_iter=2, max_depth=2), (5.0, 20.0), D("2023-01-01"))
-    b = T.fit(panel, T.GBTParams(max_iter=3, max_depth=2), (5.0, 20.0), D("2023-01-01"))
-    reads = []
-    real = T._read_tree_table
-    monkeypatch.setattr(T, "_read_tree_table", lambda m, *x: reads.append(m) or real(m, *x))
-    folder = shared_folder(spark)
-    ta, ta2, tb = T.tree_table(a.model, spark, folder), T.tree_table(a.model, spark, folder), \
-        T.tree_table(b.model, spark, folder)
-    assert ta is ta2 and len(reads) == 2 and len(tb["trees"]) == 3 and len(ta["trees"]) == 2
+    data = T.prepare(panel, (5.0, 20.0), D("2023-01-01"))
+    fc = T.fit_prepared(data, T.GBTParams(max_iter=4, max_depth=3))
+    rows = fc.model.transform(data.table).select("features", "y_pred").collect()
+    table = T.tree_table(fc.model)
+    assert len(table["trees"]) == fc.model.getNumTrees
+    got = T.score_table(table, np.array([r.features.toArray() for r in rows]))
+    assert np.allclose(got, [r.y_pred for r in rows], atol=1e-9)
