@@ -43,7 +43,7 @@ def char_ngrams(block: Block, n: int, bits: int) -> tuple[np.ndarray, np.ndarray
         h ^= h >> np.uint32(15)
         h *= MIX[7]
     solid = a != 32
-    ok = np.ones(m, dtype=bool)
+    ok = solid[:m] | solid[n - 1:n - 1 + m] if n <= 2 else np.ones(m, dtype=bool)
     for k in range(1, n - 1):
         ok &= solid[k:k + m]
     return (h >> np.uint32(32 - bits)).astype(np.int64), ok
