@@ -68,6 +68,10 @@ EVENT_WINDOWS: tuple[tuple[str, _dt.date, _dt.date], ...] = (
     ("black_friday_2000", _dt.date(2000, 11, 17), _dt.date(2000, 12, 1)),
     ("valentine_2001", _dt.date(2001, 6, 5), _dt.date(2001, 6, 19)),
 )
+# Event days of the per-event error table (+/- 7 days each).
+EVENT_DAYS: dict[str, _dt.date] = {
+    "black_friday": _dt.date(2000, 11, 24), "christmas": _dt.date(2000, 12, 25), "valentine": _dt.date(2001, 6, 12),
+}
 # Calibration lengths for the interval-coverage study.
 CALIBRATION_LENGTHS: tuple[int, ...] = (30, 45, 60, 90, 120)
 # Fast retrain (fixed values of the original workflow): the last 180 days

@@ -76,8 +76,3 @@ def month_weekday_matrix(daily: DataFrame, value: str = "total", date_col: str =
 
 def zero_days(panel: DataFrame, target_col: str = TARGET_COL) -> DataFrame:
     return panel.where(F.col(target_col) == 0)
-
-
-def entity_mean_tiers(panel: DataFrame, entity_col: str = ENTITY_COL,
-                      target_col: str = TARGET_COL) -> DataFrame:
-    return panel.groupBy(entity_col).agg(F.avg(target_col).alias("mean_daily"))

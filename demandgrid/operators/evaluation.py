@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandgrid.constants import DATE_COL, ENTITY_COL, FOLD_SPEC, TARGET_COL
+from demandgrid.functions import args as A
 from demandgrid.functions import metrics as M
 from demandgrid.operators import folds as FO
 from demandgrid.operators import forecast as FC
@@ -98,6 +99,22 @@ def wape_in_event_window(df: DataFrame, event_dates: Sequence[dt.date], days_aro
         M.wape(y, yhat).alias("wape"), F.count(F.lit(1)).alias("n_rows"))
 
 
+def event_table(preds: DataFrame, events: dict[str, dt.date], days_around: int = 7, keys: Sequence[str] = ("model",),
+                y: str = TARGET_COL, yhat: str = "y_pred", date_col: str = DATE_COL) -> DataFrame:
+    """WAPE overall and around each event, a column each, per ``keys`` group: one
+    pass of conditional sums. An event without rows (or truth) is NULL."""
+    A.some("events", events)
+    A.at_least("days_around", days_around, 0)
+    err, size = F.abs(F.col(y) - F.col(yhat)), F.abs(F.col(y))
+
+    def share(rows=None):
+        pick = (lambda c: c) if rows is None else (lambda c: F.when(rows, c))
+        return F.try_divide(F.sum(pick(err)), F.nullif(F.sum(pick(size)), F.lit(0.0)))
+
+    near = {n: F.abs(F.datediff(F.col(date_col), F.lit(d))) <= days_around for n, d in events.items()}
+    return preds.groupBy(*keys).agg(share().alias("overall"), *[share(rows).alias(n) for n, rows in near.items()])
+
+
 def tag_named_windows(df: DataFrame, windows: Sequence[tuple[str, dt.date, dt.date]],
                       date_col: str = DATE_COL, out_col: str = "event") -> DataFrame:
     """One row per (row, named window containing it); rows in none drop."""
@@ -119,9 +136,8 @@ def best_worst(perf: DataFrame, k: int = 5, metric: str = "wape",
                entity_col: str = ENTITY_COL) -> DataFrame:
     """The ``k`` best and ``k`` worst entities by ``metric`` (ties by entity).
 
-    A top-k report: the limit is the feature. Ranks come from two global
-    row_number windows over the per-entity table, whose size is the entity
-    count.
+    A top-k report: the limit is the feature (each side is a take-ordered of
+    ``k`` rows over the per-entity table).
     """
     valid = perf.where(F.col(metric).isNotNull())
     best = valid.orderBy(F.col(metric).asc(), F.col(entity_col).asc()).limit(k) \
@@ -145,18 +161,30 @@ def fold_winner(metrics: DataFrame, model: str, baseline: str, metric: str = "wa
     })
 
 
-def average_rank(df: DataFrame, col: str, out_col: str, partition: Sequence[str] = ()) -> DataFrame:
-    """Rank with ties sharing their average position (1-based)."""
-    w = Window.partitionBy(*partition).orderBy(col)
-    wt = Window.partitionBy(*partition, col)
-    return df.withColumn(out_col, F.rank().over(w) + (F.count(F.lit(1)).over(wt) - 1) / 2.0)
+def average_rank(df: DataFrame, col: str, out_col: str, slices: int = 256) -> DataFrame:
+    """Rank with ties sharing their average position (1-based; rows with a null
+    value drop).
+
+    Values are counted, approximate quantiles cut them into slices, and running
+    sums over the slices (a row each) and within each slice give every value's
+    place, so no task ranks more than about 1 / slices of the distinct values."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    cuts = counts.agg(F.percentile_approx(F.col("__v").cast("double"), F.array(*[F.lit(i / slices) for i in range(1, slices)]),
+                                          20 * slices)).scalar()
+    dealt = counts.withColumn("__cuts", cuts)
+    dealt = dealt.withColumn("__slice", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
+    sizes = dealt.groupBy("__slice").agg(F.sum("__c").alias("__s"))
+    # at most ``slices`` rows, as one array: no window without a partition
+    sums = sizes.agg(F.map_from_entries(F.collect_list(F.struct("__slice", "__s")))).scalar()
+    before = F.aggregate(F.map_values(F.map_filter("__sums", lambda k, _: k < F.col("__slice"))), F.lit(0).cast("long"), lambda n, x: n + x)
+    inside = F.sum("__c").over(Window.partitionBy("__slice").orderBy("__v"))
+    ranks = (dealt.withColumn("__sums", sums).withColumn("__upto", before + inside)
+             .select("__v", (F.col("__upto") - (F.col("__c") - 1) / 2.0).alias(out_col)))
+    return df.join(ranks, F.col(col) == F.col("__v")).drop("__v")
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Spearman rank correlation = Pearson correlation of average ranks.
-
-    The rank windows are global (no partition): used on per-entity summary
-    tables whose size is the entity count, not the data size.
-    """
-    ranked = average_rank(average_rank(df, x, "__rx"), y, "__ry")
+    """Spearman rank correlation = Pearson correlation of average ranks."""
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    ranked = average_rank(average_rank(both, x, "__rx"), y, "__ry")
     return ranked.agg(F.corr("__rx", "__ry").alias("spearman"), F.count(F.lit(1)).alias("n"))

@@ -32,6 +32,8 @@ SPACE = {
     "feature_fraction": ("float", 0.5, 1.0),
     "subsampling_rate": ("float", 0.5, 1.0),
     "min_instances": ("int", 5, 100),
+    # stands for the two penalties on leaf weights: a split must gain this much
+    "min_info_gain": ("log", 1e-6, 1e-1),
 }
 
 
@@ -49,7 +51,8 @@ def sample_params(rng: random.Random, max_iter: int) -> T.GBTParams:
             p[name] = rng.randint(spec[1], spec[2])
     return T.GBTParams(max_iter=max_iter, max_depth=p["max_depth"], step_size=p["step_size"],
                        subsampling_rate=p["subsampling_rate"],
-                       feature_subset=f"{p['feature_fraction']:.3f}", min_instances=p["min_instances"])
+                       feature_subset=f"{p['feature_fraction']:.3f}", min_instances=p["min_instances"],
+                       min_info_gain=p["min_info_gain"])
 
 
 @dataclass
@@ -103,11 +106,10 @@ def search(panel: DataFrame, n_trials: int, folds: Sequence = K.FOLD_SPEC[:3], m
     """Run the trials; returns one row per trial with its state, mean WAPE,
     per-fold WAPEs and parameters (JSON).
 
-    With ``parallel_folds`` a trial's folds are submitted concurrently (their
-    Spark jobs share the executors) and the median rule is then applied to
-    the results in fold order: states and reported WAPEs are the same as a
-    sequential run; a pruned trial has merely also computed the folds after
-    its stopping point, which are discarded.
+    With ``parallel_folds`` the folds that the median rule cannot stop (all of
+    a start-up trial, the warm-up folds of a later one) are submitted
+    concurrently, so their Spark jobs share the executors; the others run one
+    by one, and those after the stopping point never.
     """
     from concurrent.futures import ThreadPoolExecutor
     rng = random.Random(seed)
@@ -130,15 +132,15 @@ def search(panel: DataFrame, n_trials: int, folds: Sequence = K.FOLD_SPEC[:3], m
             return evaluate_fold(panel, params, te, ts, tend, thresholds, reference_date,
                                  context=lambda: context(i))
 
+        sure = 0
         if parallel_folds:
-            with ThreadPoolExecutor(max_workers=len(folds)) as pool:
-                all_w = list(pool.map(run_fold, range(len(folds))))
-        else:
-            all_w = None
+            sure = len(folds) if trial < startup_trials else min(warmup_steps, len(folds))
+        with ThreadPoolExecutor(max_workers=max(1, sure)) as pool:
+            ahead = list(pool.map(run_fold, range(sure)))
         wapes: list[float] = []
         state = "complete"
         for step in range(len(folds)):
-            w = all_w[step] if all_w is not None else run_fold(step)
+            w = ahead[step] if step < sure else run_fold(step)
             wapes.append(w)
             if trial >= startup_trials and step >= warmup_steps:
                 prior = [h[step] for h in history if len(h) > step]

@@ -412,11 +412,10 @@ def named_windows_values() -> str:
 
 @oracle("event_window_wape")
 def _():
-    return _bt(f"""SELECT model, 'overall' AS event, round({WAPE}, 6) AS wape, COUNT(*) AS n_rows FROM bt GROUP BY model
-UNION ALL
-SELECT model, w.event, round({WAPE}, 6) AS wape, COUNT(*) AS n_rows
-FROM bt JOIN ({named_windows_values()}) w ON bt.shipment_date BETWEEN w.ws AND w.we
-GROUP BY model, w.event""")
+    cols = ", ".join(f"round(sum(abs(n_shipments - y_pred)) FILTER (near) / nullif(sum(abs(n_shipments)) FILTER (near), 0), 6) AS {n}"
+                     .replace("near", f"abs(date_diff('day', DATE '{d}', shipment_date)) <= 7")
+                     for n, d in (("black_friday", "2000-11-24"), ("christmas", "2000-12-25"), ("valentine", "2001-06-12")))
+    return _bt(f"SELECT model, round({WAPE}, 6) AS overall, {cols} FROM bt GROUP BY model")
 
 
 @oracle("entity_performance")
@@ -924,21 +923,28 @@ def _():
     return f"WITH {panel_ctes()} " + "\nUNION ALL ".join(parts)
 
 
+# Columns of the given tables.
+TABLE_COLUMNS = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal", "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props", "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label", "pages": "page_id url html", "benchmark": "item_id text",
+    "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
+}
+
+
 @oracle("column_profile")
 def _():
-    spec = {"orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-                       ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
-            "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
-                         ("c_acctbal", "double"), ("c_mktsegment", "string")],
-            "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")]}
-    parts = []
-    for t, cols in spec.items():
-        for c, ty in cols:
-            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{ty}' AS data_type, "
-                         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_nulls, "
-                         f"round(100.0 * COUNT(*) FILTER (WHERE {c} IS NULL) / COUNT(*), 2) AS pct_nulls, "
-                         f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct FROM {t}")
-    return "\nUNION ALL ".join(parts)
+    kinds = ("CASE typeof(min({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+             "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' END")
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, {kinds.format(c=c)} AS data_type, "
+        f"(count(*) - count({c}))::BIGINT AS n_nulls, round(100.0 * (count(*) - count({c})) / nullif(count(*), 0), 2) AS pct_nulls, "
+        f"count(DISTINCT {c})::BIGINT AS n_distinct FROM {t}"
+        for t, columns in TABLE_COLUMNS.items() for c in columns.split())
 
 
 EVENTS_PANEL = """

@@ -248,13 +248,9 @@ def q_wape_near_events(spark, sf_dir):
 
 @query("event_window_wape")
 def q_event_window_wape(spark, sf_dir):
-    """Overall and per named event window WAPE per model."""
-    preds = nation_backtest(spark, sf_dir)
-    overall = preds.groupBy("model").agg(E.M.wape().alias("wape"), F.count(F.lit(1)).alias("n_rows")) \
-        .withColumn("event", F.lit("overall"))
-    named = E.tag_named_windows(preds, K.EVENT_WINDOWS).groupBy("model", "event").agg(
-        E.M.wape().alias("wape"), F.count(F.lit(1)).alias("n_rows"))
-    return _round_cols(overall.unionByName(named), ["wape"])
+    """WAPE per model, overall and within 7 days of each event (a column each,
+    NULL where a window has no rows)."""
+    return _round_cols(E.event_table(nation_backtest(spark, sf_dir), K.EVENT_DAYS), ["overall", *K.EVENT_DAYS])
 
 
 def _holdout_perf(spark, sf_dir):
@@ -574,7 +570,8 @@ def q_table_checks(spark, sf_dir):
 
 @query("column_profile")
 def q_column_profile(spark, sf_dir):
-    parts = [PR.column_profile(S.read_table(spark, sf_dir, t), t) for t in ("orders", "customer", "nation")]
+    """Type, nulls and distinct values of every column of every table."""
+    parts = [PR.column_profile(S.read_table(spark, sf_dir, t), t) for t in S.TABLES]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -11,22 +11,35 @@ from pyspark.sql import functions as F
 def column_profile(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
     """Per column: type, NULL count, NULL %, distinct count.
 
-    One aggregation over the table (``approx=True`` swaps in
-    ``approx_count_distinct`` for very large tables), then ``stack`` to rows.
-    """
-    cols = df.columns
-    dist = F.approx_count_distinct if approx else F.count_distinct
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"__null_{i}"), dist(F.col(c)).alias(f"__dist_{i}")]
-    row = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', '{df.schema[c].dataType.simpleString()}', `__null_{i}`, `__dist_{i}`"
-                      for i, c in enumerate(cols))
-    out = row.selectExpr("__n", f"stack({len(cols)}, {stack}) as (column_name, data_type, n_nulls, n_distinct)")
-    return out.select(F.lit(table).alias("table_name"), "column_name", "data_type",
-                      F.col("n_nulls").cast("long").alias("n_nulls"),
-                      F.round(F.lit(100.0) * F.col("n_nulls") / F.col("__n"), 2).alias("pct_nulls"),
-                      F.col("n_distinct").cast("long").alias("n_distinct"))
+    Each column is counted by value on a scan pruned to it (a partial
+    aggregate, so a frequent value is one row per task); nulls, rows and
+    distinct values follow from the counts. ``approx=True`` takes
+    ``approx_count_distinct`` in one pass over the table instead."""
+    if approx:
+        aggs = [F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
+                                   F.count_if(F.col(c).isNull()).alias("n_nulls"), F.count(F.lit(1)).alias("n"),
+                                   F.approx_count_distinct(c).alias("n_distinct")) for c in df.columns]).alias("x")]
+        parts = df.agg(*aggs).select(F.inline("x"))
+    else:
+        parts = None
+        for c in df.columns:
+            own = (df.select(F.col(c).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+                   .agg(F.coalesce(F.sum(F.when(F.col("x").isNull(), F.col("c"))), F.lit(0)).alias("n_nulls"),
+                        F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("x").alias("n_distinct"))
+                   .select(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
+                           "n_nulls", "n", "n_distinct"))
+            parts = own if parts is None else parts.unionByName(own)
+    return parts.select(F.lit(table).alias("table_name"), "column_name", "data_type",
+                        F.col("n_nulls").cast("long").alias("n_nulls"),
+                        F.round(F.try_divide(F.lit(100.0) * F.col("n_nulls"), F.col("n")), 2).alias("pct_nulls"),
+                        F.col("n_distinct").cast("long").alias("n_distinct"))
+
+
+def sample_rows(df: DataFrame, rows: int = 3) -> DataFrame:
+    """The first ``rows`` values of every column as text, a row per column."""
+    first = df.limit(rows).select(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns]).alias("x"))
+    return first.select(F.inline("x")).groupBy("column_name").agg(F.collect_list("value").alias("sample"))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -215,6 +216,18 @@ def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return df
 
 
+# Load order: referenced tables before those that refer to them.
+def load_raw(spark: SparkSession, csv_dir: str, out_dir: str) -> dict[str, int]:
+    """Read the raw CSV of every table with its schema, write it as a table and
+    return the stored rows per table, in load order."""
+    rows: dict[str, int] = {}
+    for table in RAW_SCHEMAS:
+        target = f"{out_dir.rstrip('/')}/{table}"
+        write_table(read_raw_csv(spark, f"{csv_dir.rstrip('/')}/{table}.csv", table), target)
+        rows[table] = spark.read.parquet(target).count()
+    return rows
+
+
 def products_with_category(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products left-joined to the category translation (unmatched kept).
 
@@ -249,8 +262,10 @@ def read_panel(spark: SparkSession, path: str, date_col: str = DATE_COL,
     """Panel read: the three panel columns (a missing table is a clear error)."""
     try:
         df = spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001
-        raise FileNotFoundError(f"Panel table not found at {path}; build it first") from e
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no panel table at {path}") from e
     return df.select(date_col, entity_col, target_col)
 
 

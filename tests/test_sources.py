@@ -111,3 +111,30 @@ def test_scale_conf_sizes_partitions(spark):
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)
     with pytest.raises(ValueError):
         scale_conf(1, 0)
+
+
+def test_ordered_load_returns_the_rows_of_each_table(spark, tmp_path):
+    """Raw CSVs -> tables, in load order, reconciled against what was stored."""
+    from pyspark.sql import types as T
+
+    from demandgrid.sources import profile as PR
+    from demandgrid.sources import tables as S
+    value = {T.StringType: "a", T.IntegerType: "1", T.LongType: "1", T.DoubleType: "1.5", T.TimestampType: "2018-01-02 03:04:05"}
+    for name, schema in S.RAW_SCHEMAS.items():
+        line = ",".join(value[type(f.dataType)] for f in schema.fields)
+        (tmp_path / f"{name}.csv").write_text("\n".join([",".join(schema.names), *[line] * 3]) + "\n")
+    rows = S.load_raw(spark, str(tmp_path), str(tmp_path / "out"))
+    assert rows == dict.fromkeys(S.RAW_SCHEMAS, 3) and list(rows) == list(S.RAW_SCHEMAS)
+    stored = PR.row_counts({t: spark.read.parquet(str(tmp_path / "out" / t)) for t in rows})
+    assert {r.status for r in PR.reconcile(spark, rows, stored).collect()} == {"ok"}
+
+
+def test_read_panel_names_a_missing_table_only(spark, tmp_path):
+    import pytest
+
+    from demandgrid.sources import tables as S
+    with pytest.raises(FileNotFoundError):
+        S.read_panel(spark, str(tmp_path / "none"))
+    spark.range(2).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(Exception, match="shipment_date"):
+        S.read_panel(spark, str(tmp_path / "other"))
