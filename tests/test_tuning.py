@@ -15,18 +15,17 @@ def test_median_stopping_rule(spark, two_entity_panel, monkeypatch):
 
     folds = TU.K.FOLD_SPEC[:3]
     for parallel in (False, True):
+        calls.clear()
         fake.scores = [0.5, 0.5, 0.5,      # trial 0 (start-up, complete)
-                       0.6, 0.6, 0.6,      # trial 1: worse than median at fold 2 -> pruned
+                       0.6, 0.6,           # trial 1: worse than the median at its second fold -> pruned there
                        0.4, 0.4, 0.4]      # trial 2: better everywhere -> complete
-        if not parallel:
-            # sequential run stops trial 1 after its second fold
-            fake.scores = [0.5, 0.5, 0.5, 0.6, 0.6, 0.4, 0.4, 0.4]
         monkeypatch.setattr(TU, "evaluate_fold", fake)
         trials = {r.trial: r for r in TU.search(two_entity_panel, 3, folds, max_iter=2, startup_trials=1,
                                                  warmup_steps=1, parallel_folds=parallel).collect()}
         assert [trials[i].state for i in range(3)] == ["complete", "pruned", "complete"]
         assert trials[1].fold_wapes == [0.6, 0.6] and trials[1].mean_wape is None
         assert trials[2].mean_wape == pytest.approx(0.4)
+        assert len(calls) == 8             # a pruned trial runs no fold after its stop, in parallel too
         best = TU.summarize(spark.createDataFrame(list(trials.values()))).first()
         assert best.best_trial == 2 and best.n_complete == 2 and best.n_pruned == 1
         assert json.loads(best.best_params)["max_iter"] == 2
