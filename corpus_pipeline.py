@@ -22,8 +22,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; the rule rates are fitted on the
     vote counts of all documents of this stage."""
-    stats = quality_rules.features(docs.select(*COLUMNS), "text")
-    return quality_rules.judge(stats, quality_rules.fit(stats)).where("kept").select(*COLUMNS)
+    model = quality_rules.fit(quality_rules.features(docs.select("text")))
+    return docs.where(quality_rules.keep("text", model)).select(*COLUMNS)
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

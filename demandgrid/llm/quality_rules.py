@@ -22,6 +22,8 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandgrid.llm.common import cut
+
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -59,41 +61,34 @@ def word_count(text_col: str) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(F.col(text_col), F.lit("")), SPACE), "")).cast("long")
 
 
-def features(docs: DataFrame, text_col: str = "text", name: str = "stats") -> DataFrame:
-    """``docs`` with one more struct column ``name`` of text statistics: n_words,
-    word_chars, n_symbols, n_lines (lines with a word), n_dup_lines,
-    n_repeat_words, n_distinct, n_upper (words in capitals), n_same (words equal
-    to the one before), n_marked (words with a symbol), n_shouts (``!!``), all long. A null text has no words."""
+def statistics(text_col: str) -> Column:
+    """Struct of text statistics: n_words, word_chars, n_symbols, n_lines (lines
+    with a word), n_dup_lines, n_repeat_words, n_distinct, n_upper (words in
+    capitals), n_same (words equal to the one before), n_marked (words with a
+    symbol), n_shouts (``!!``), all long. A null text has no words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.array_remove(F.split(text, SPACE), "")
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     symbols = sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c))) for c in SYMBOLS), F.lit(0))
+    shouts = (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("!!")))) / 2
 
-    def of(w: Column) -> Column:
+    def of(w: Column, lines: Column) -> Column:
         upper = F.filter(w, lambda x: (x == F.upper(x)) & (x != F.lower(x)) & (F.length(x) > 1))
         same = F.filter(w, lambda x, i: x == F.get(w, i - 1))
-        return F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            F.size(F.array_distinct(w)).cast("long").alias("n_distinct"),
-            F.size(upper).cast("long").alias("n_upper"),
-            F.size(same).cast("long").alias("n_same"),
-            F.when(symbols > 0, F.size(F.filter(w, lambda x: x.rlike("[" + SYMBOLS + "]")))).otherwise(0).cast("long").alias("n_marked"),
-            let(F.transform(w, lambda x: F.xxhash64(x)), _repeat_words).alias("n_repeat_words"))
-
-    def of_lines(x: Column) -> Column:
-        return F.struct(F.size(x).cast("long").alias("n_lines"),
-                        (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
-
-    w, ln = F.col("__w"), F.col("__l")
-    out = docs.withColumns({"__w": let(words, of), "__l": let(lines, of_lines),
-                            "__s": symbols.cast("long"),
-                            "__x": ((F.octet_length(text) - F.octet_length(F.replace(text, F.lit("!!")))) / 2).cast("long")})
-    stats = F.struct(w["n_words"].alias("n_words"), w["word_chars"].alias("word_chars"), F.col("__s").alias("n_symbols"),
-                     ln["n_lines"].alias("n_lines"), ln["n_dup_lines"].alias("n_dup_lines"),
-                     w["n_repeat_words"].alias("n_repeat_words"), w["n_distinct"].alias("n_distinct"),
-                     w["n_upper"].alias("n_upper"), w["n_same"].alias("n_same"), w["n_marked"].alias("n_marked"), F.col("__x").alias("n_shouts"))
-    return out.withColumn(name, stats).drop("__w", "__l", "__s", "__x")
+        marked = F.when(symbols > 0, F.size(F.filter(w, lambda x: x.rlike("[" + SYMBOLS + "]")))).otherwise(0)
+        values = {"n_words": F.size(w), "word_chars": F.length(F.array_join(w, "")), "n_symbols": symbols,
+                  "n_lines": F.size(lines), "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+                  "n_repeat_words": let(F.transform(w, lambda x: F.xxhash64(x)), _repeat_words),
+                  "n_distinct": F.size(F.array_distinct(w)), "n_upper": F.size(upper), "n_same": F.size(same),
+                  "n_marked": marked, "n_shouts": shouts}
+        return F.struct(*[v.cast("long").alias(n) for n, v in values.items()])
+
+    words = F.array_remove(F.split(text, SPACE), "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return let(words, lambda w: let(lines, lambda x: of(w, x)))
+
+
+def features(docs: DataFrame, text_col: str = "text", name: str = "stats") -> DataFrame:
+    """``docs`` with the :func:`statistics` of its texts as the column ``name``."""
+    return docs.withColumn(name, statistics(text_col))
 
 
 @dataclass(frozen=True)
@@ -116,6 +111,15 @@ class Rule:
         good = "" if self.good is None else f" WHEN {n} {is_good} {self.good} * {d} THEN 1"
         return f"CASE WHEN {prefix}n_words < {self.least} THEN NULL WHEN {n} {is_bad} {self.bad} * {d} THEN 0{good} END"
 
+    def vote(self, s: Column) -> Column:
+        """The same vote from a struct of statistics."""
+        n, d = 100 * s[self.numerator], s[self.denominator]
+        is_bad = n < self.bad * d if self.flip else n >= self.bad * d
+        out = F.when(s["n_words"] < self.least, F.lit(None).cast("int")).when(is_bad, 0)
+        if self.good is not None:
+            out = out.when(n >= self.good * d if self.flip else n < self.good * d, 1)
+        return out
+
 
 RULES = (
     Rule("symbol_characters", "n_symbols", "word_chars", bad=2),
@@ -158,8 +162,8 @@ class Model:
 START = (0.8, (0.6, 0.02), (0.4, 0.3))
 
 
-def votes(stats: DataFrame, rules: tuple[Rule, ...] = RULES, struct: str = "stats") -> list[Column]:
-    return [F.expr(r.sql(f"{struct}.")) for r in rules]
+def votes(rules: tuple[Rule, ...] = RULES, struct: str = "stats") -> list[Column]:
+    return [r.vote(F.col(struct)) for r in rules]
 
 
 def fit(stats: DataFrame, rules: tuple[Rule, ...] = RULES, iterations: int = 20, smoothing: float = 1.0,
@@ -169,28 +173,25 @@ def fit(stats: DataFrame, rules: tuple[Rule, ...] = RULES, iterations: int = 20,
     nothing and is left out; the class balance is a given parameter, as votes
     that abstain on clean texts cannot tell it; without any votes the starting model is returned."""
     names = [f"v{j}" for j in range(len(rules))]
-    patterns = (stats.select(*[v.alias(n) for v, n in zip(votes(stats, rules, struct), names)])
-                .groupBy(*names).agg(F.count("*").alias("n"))
-                .where(F.coalesce(*names).isNotNull()).coalesce(1).persist())
-    try:
-        model = Model.start(len(rules))
-        for _ in range(iterations):
-            p = model.posterior([F.col(x) for x in names])
-            good, bad = F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p"))
-            sums = [F.sum(good).alias("good"), F.sum(bad).alias("bad")]
-            for x in names:
-                for v in (1, 0):
-                    sums += [F.sum(F.when(F.col(x) == v, good)).alias(f"good_{x}_{v}"),
-                             F.sum(F.when(F.col(x) == v, bad)).alias(f"bad_{x}_{v}")]
-            row = patterns.withColumn("p", p).agg(*sums).first().asDict()
-            if row["good"] is None:
-                break
-            rate = lambda c, x: tuple(((row[f"{c}_{x}_{v}"] or 0.0) + smoothing) / (row[c] + 3 * smoothing) for v in (1, 0))
-            model = Model(model.prior,
-                          tuple(rate("good", x) for x in names), tuple(rate("bad", x) for x in names))
-        return model
-    finally:
-        patterns.unpersist()
+    # stored, so that the plans of the iterations are of a few rows
+    patterns = cut(stats.select(*[v.alias(n) for v, n in zip(votes(rules, struct), names)])
+                   .groupBy(*names).agg(F.count("*").alias("n"))
+                   .where(F.coalesce(*names).isNotNull()).coalesce(1))
+    model = Model.start(len(rules))
+    for _ in range(iterations):
+        p = model.posterior([F.col(x) for x in names])
+        # weight on good and on bad texts per rule and vote (rule -1: of all rows)
+        cast = F.array(F.struct(F.lit(-1).alias("j"), F.lit(1).alias("v")),
+                       *[F.struct(F.lit(j).alias("j"), F.col(x).alias("v")) for j, x in enumerate(names)])
+        rows = (patterns.select("n", p.alias("p"), F.explode(cast).alias("c")).where("c.v IS NOT NULL")
+                .groupBy("c.j", "c.v").agg(F.sum(F.col("n") * F.col("p")), F.sum(F.col("n") * (1 - F.col("p")))).collect())
+        weight = {(r[0], r[1]): (r[2], r[3]) for r in rows}
+        if not weight:
+            break
+        total = weight[-1, 1]
+        rate = lambda c, j: tuple((weight.get((j, v), (0.0, 0.0))[c] + smoothing) / (total[c] + 3 * smoothing) for v in (1, 0))
+        model = Model(model.prior, tuple(rate(0, j) for j in range(len(rules))), tuple(rate(1, j) for j in range(len(rules))))
+    return model
 
 
 def judge(stats: DataFrame, model: Model, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5,
@@ -199,11 +200,22 @@ def judge(stats: DataFrame, model: Model, rules: tuple[Rule, ...] = RULES, thres
     words or too many in repeated windows) and ``kept``."""
     s = F.col(struct)
     failed = (s["n_words"] < min_words) | (100 * s["n_repeat_words"] > max_repeat * s["n_words"])
-    return (stats.withColumn("posterior", model.posterior(votes(stats, rules, struct)))
+    return (stats.withColumn("posterior", model.posterior(votes(rules, struct)))
             .withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)))
 
 
+def keep(text_col: str, model: Model, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5, min_words: int = 20,
+         max_repeat: int = 30) -> Column:
+    """Whether a text is kept, as one expression over the text whose statistics
+    are computed once (for filters, which Spark pushes below projections)."""
+    def verdict(s: Column) -> Column:
+        failed = (s["n_words"] < min_words) | (100 * s["n_repeat_words"] > max_repeat * s["n_words"])
+        return ~failed & (model.posterior([r.vote(s) for r in rules]) >= threshold)
+
+    return let(statistics(text_col), verdict)
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", iterations: int = 20) -> DataFrame:
     """One row per row of ``docs``: id, the statistics, ``posterior``,
     ``base_failed``, ``kept``.
@@ -211,7 +223,6 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ite
     A null or blank text has no words: all counts 0, base_failed. A null id and
     repeated rows stay as they are; other columns are ignored; an empty table
     gives no rows. Ties at the threshold are kept."""
-    from demandgrid.llm.common import cut
     stats = cut(features(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
                 .select("id", "stats"))
     out = judge(stats, fit(stats, iterations=iterations))
