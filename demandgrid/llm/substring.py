@@ -2,9 +2,12 @@
 
 Paragraphs (lines) are compared by MinHash banding over five-word shingles:
 bands are tuned for recall at the similarity asked for, colliding paragraphs
-are joined to their band's centre and verified by exact Jaccard similarity,
-members that the centre does not match go on to a centre of their own, and
-verified links form components. Of each component one occurrence stays.
+are joined, compared by a sketch and, where that does not rule them out, verified by
+exact Jaccard similarity, and verified links form components. Of each component one occurrence stays. A bucket's members are
+joined to its ``centres`` smallest ones, which is all pairs in small buckets; in
+larger ones, members that match no centre are banded again with longer keys, so
+that false collisions fall apart, and with more centres for the fewer that are
+left, until none is.
 
 A passage may also sit inside longer paragraphs that differ around it. Every
 run of consecutive word windows of a long paragraph therefore contributes its
@@ -19,19 +22,23 @@ stars, and an occurrence is only ever joined to its group's summary row.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil, log
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandgrid.llm.common import LOWER, connected_components, cut, map_texts
 from demandgrid.llm.subwords import Block, words
 
+# MinHash values of the longest bands.
+LONGEST = 8
 ODD = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
@@ -46,10 +53,16 @@ class Settings:
     min_words: int = 25         # of a paragraph that is compared
     window: int = 20            # words of a sub-paragraph
     run: int = 31               # consecutive windows that contribute one at least
+    centres: int = 8            # members of a bucket that all others are compared with
+    sketch: int = 1024          # MinHash values (a bit each) that a pair is compared by first
+    margin: float = 0.05        # below the similarity, at which a sketched pair is let go (2.6 deviations)
+
+    def bands_of(self, rows: int) -> int:
+        return ceil(log(1 - self.recall) / log(1 - self.similarity ** rows))
 
     @property
     def bands(self) -> int:
-        return ceil(log(1 - self.recall) / log(1 - self.similarity ** self.rows))
+        return self.bands_of(self.rows)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -109,21 +122,36 @@ def shingle_sets(p: Paragraphs, which: np.ndarray, s: Settings) -> list[np.ndarr
     return [np.unique(grams[p.first[k]:max(p.first[k] + 1, p.last[k] - s.shingle + 1)]) for k in which]
 
 
+def band_keys(grams: np.ndarray, begin: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    """Band keys of shingle sets laid out one after the other, a row per set."""
+    keys = np.empty((len(begin), bands), np.uint64)
+    for band in range(bands):
+        key = np.full(len(begin), np.uint64(rows << 16 | band))
+        for row in range(rows):
+            salt = _mix(np.array([rows << 16 | band * rows + row + 1], dtype=np.uint64))[0]
+            key = _mix(key * ODD + np.minimum.reduceat(_mix(grams ^ salt), begin))
+        keys[:, band] = key
+    return keys
+
+
+def sketches(grams: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
+    """The lowest bits of ``n`` MinHash values of each shingle set, 64 in a long:
+    two sets agree in a share (1 + similarity) / 2 of them."""
+    out = np.zeros((len(begin), n // 64), np.uint64)
+    for k in range(n):
+        salt = _mix(np.array([1 << 40 | k], dtype=np.uint64))[0]
+        low = np.minimum.reduceat(_mix(grams ^ salt), begin) & np.uint64(1)
+        out[:, k // 64] |= low << np.uint64(k % 64)
+    return out.view(np.int64)
+
+
 def paragraph_rows(p: Paragraphs, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(paragraph numbers, contents, band keys) of those long enough."""
     which = np.flatnonzero(p.last - p.first >= max(s.min_words, s.shingle))
     if not len(which):
         return which, np.zeros(0, np.uint64), np.zeros((0, s.bands), np.uint64)
-    grams = _gram_codes(p.codes, s.shingle)
     at, begin = _runs(p.first[which], p.last[which] - p.first[which] - s.shingle + 1)
-    g = grams[at]
-    keys = np.empty((len(which), s.bands), np.uint64)
-    for band in range(s.bands):
-        key = np.full(len(which), np.uint64(band + 1))
-        for row in range(s.rows):
-            salt = _mix(np.array([band * s.rows + row + 1], dtype=np.uint64))[0]
-            key = _mix(key * ODD + np.minimum.reduceat(_mix(g ^ salt), begin))
-        keys[:, band] = key
+    keys = band_keys(_gram_codes(p.codes, s.shingle)[at], begin, s.rows, s.bands)
     return which, _contents(p, p.first[which], p.last[which] - p.first[which]), keys
 
 
@@ -175,8 +203,9 @@ def _window_table(docs: DataFrame, s: Settings) -> DataFrame:
 
 
 def _shingles(docs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
-    """``content, grams`` (sorted distinct shingle hashes) of the paragraphs of
-    ``reps`` (id, start, content), read again from their whole texts."""
+    """``content, grams`` (sorted distinct shingle hashes) and ``sketch`` of the
+    paragraphs of ``reps`` (id, start, content), read again from their whole
+    texts."""
     wanted = reps.groupBy("id").agg(F.collect_set("start").alias("starts"))
     texts = docs.join(wanted, "id")
 
@@ -186,43 +215,80 @@ def _shingles(docs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
         which = np.array([k for k in np.flatnonzero(p.last - p.first >= max(s.min_words, s.shingle))
                           if int(p.start[k]) in asked[p.text[k]]], dtype=np.int64)
         content = _contents(p, p.first[which], p.last[which] - p.first[which])
-        sets = [x.view(np.int64).tolist() for x in shingle_sets(p, which, s)]
-        return pa.RecordBatch.from_arrays([pa.array(content.view(np.int64)), pa.array(sets, pa.list_(pa.int64()))], ["content", "grams"])
+        if not len(which):
+            return None
+        sets = shingle_sets(p, which, s)
+        size = np.array([len(x) for x in sets])
+        marks = sketches(np.concatenate(sets), np.cumsum(size) - size, s.sketch)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(content.view(np.int64)), pa.array([x.view(np.int64).tolist() for x in sets], pa.list_(pa.int64())),
+             pa.array(marks.tolist(), pa.list_(pa.int64()))], ["content", "grams", "sketch"])
 
-    found = map_texts(texts, "id", "text", "content long, grams array<long>", block, extra=("starts",))
+    found = map_texts(texts, "id", "text", "content long, grams array<long>, sketch array<long>", block, extra=("starts",))
     return found.dropDuplicates(["content"])
 
 
 def _similar(pairs: DataFrame, grams: DataFrame, s: Settings) -> DataFrame:
+    """The pairs whose shingle sets are similar enough."""
     a = grams.select(F.col("content").alias("a"), F.col("grams").alias("x"))
     b = grams.select(F.col("content").alias("b"), F.col("grams").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     return (pairs.join(a, "a").join(b, "b")
-            .withColumn("ok", shared >= F.lit(s.similarity) * (F.size("x") + F.size("y") - shared))
-            .select("a", "b", "ok"))
+            .where(shared >= F.lit(s.similarity) * (F.size("x") + F.size("y") - shared)).select("a", "b"))
+
+
+def _banded(grams: DataFrame, s: Settings, rows: int) -> DataFrame:
+    """``key, content`` by bands of ``rows`` values."""
+    bands = s.bands_of(rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.asarray(x, dtype=np.int64) for x in batch.column(1).to_pylist()]
+            if sets:
+                size = np.array([len(x) for x in sets])
+                keys = band_keys(np.concatenate(sets).view(np.uint64), np.cumsum(size) - size, rows, bands)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)),
+                                                  pa.array(np.repeat(batch.column(0).to_numpy(), bands))], ["key", "content"])
+
+    return grams.select("content", "grams").mapInArrow(run, "key long, content long")
+
+
+def _shared_keys(keyed: DataFrame) -> DataFrame:
+    """Rows of the keys that more than one content has, with their number ``n``."""
+    sizes = keyed.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high"), F.count("*").alias("n"))
+    return keyed.join(sizes.where("low < high").select("key", "n"), "key")
 
 
-def paragraph_links(docs: DataFrame, contents: DataFrame, s: Settings) -> DataFrame:
-    """Verified links ``a, b`` between distinct paragraph contents. Members of a
-    band bucket meet its centre (its smallest content); those that the centre
-    does not match form the bucket of the next round, until none is left."""
-    keyed = contents.select(F.explode("bands").alias("key"), "content")
-    many = keyed.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).where("low < high")
-    rest = cut(keyed.join(many.select("key"), "key"))
+def paragraph_links(docs: DataFrame, contents: DataFrame, s: Settings) -> list[DataFrame]:
+    """Verified links ``a, b`` between distinct paragraph contents, a frame for
+    each round of banding."""
+    rest = cut(_shared_keys(contents.select(F.explode("bands").alias("key"), "content")))
     reps = rest.select("content").distinct().join(contents.select("content", "rep.id", "rep.start"), "content")
     grams = cut(_shingles(docs, reps, s))
-    found = None
-    while True:
-        centre = rest.groupBy("key").agg(F.min("content").alias("a"))
-        met = cut(rest.join(centre, "key").where(F.col("content") != F.col("a"))
-                  .select("key", "a", F.col("content").alias("b")))
-        if met.isEmpty():
-            break
-        judged = cut(_similar(met.select("a", "b").distinct(), grams, s))
-        good = judged.where("ok").select("a", "b")
-        found = good if found is None else found.unionByName(good)
-        rest = cut(met.join(judged.where("NOT ok"), ["a", "b"]).select("key", F.col("b").alias("content")))
-    return found if found is not None else contents.sparkSession.createDataFrame([], "a long, b long")
+    marks = grams.select("content", "sketch")
+    found, rows, most = [], s.rows, s.centres
+    while not rest.isEmpty():
+        # the limit on the rank is applied in each map task before the shuffle
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("content"))
+        members = rest.join(marks, "content")
+        centres = (rest.withColumn("rank", rank).where(F.col("rank") <= most).join(marks, "content")
+                   .select("key", F.col("content").alias("centre"), F.col("sketch").alias("mark")))
+        differ = F.aggregate(F.zip_with("sketch", "mark", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+        likely = (F.col("content") != F.col("centre")) & (differ <= int((1 - s.similarity + s.margin) / 2 * s.sketch))
+        met = cut(members.join(centres.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & likely)
+                  .select("key", "content", "centre"))
+        pairs = met.select(F.least("content", "centre").alias("a"), F.greatest("content", "centre").alias("b")).distinct()
+        good = cut(_similar(pairs, grams, s))
+        found.append(good)
+        # members of large buckets that are no centre and match none
+        ends = good.unionByName(good.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumnsRenamed({"a": "content", "b": "centre"})
+        done = (met.join(ends, ["content", "centre"], "left_semi").select("key", "content")
+                .unionByName(centres.select("key", F.col("centre").alias("content"))))
+        left = (rest.where(F.col("n") > most).select("key", "content").join(done, ["key", "content"], "left_anti")
+                .select("content").distinct())
+        rows, most = min(2 * rows, LONGEST), 4 * most
+        rest = cut(_shared_keys(_banded(grams.join(left, "content", "left_semi"), s, rows)))
+    return found
 
 
 def repeated(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,7 +308,8 @@ def repeated(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
     contents = paras.groupBy("content").agg(F.min(at).alias("rep"), F.max(at).alias("end"), F.first("bands").alias("bands"))
     contents = contents.persist(StorageLevel.DISK_ONLY)
     links = paragraph_links(docs, contents, s)
-    comps = connected_components(links, "a", "b")
+    none = docs.sparkSession.createDataFrame([], "a long, b long")
+    comps = connected_components(reduce(DataFrame.unionByName, links, none), "a", "b")
     # groups: contents that repeat or that are linked to another one
     named = (contents.join(comps, contents.content == comps.node, "left")
              .where(F.col("component").isNotNull() | (F.col("rep") < F.col("end")))
