@@ -137,11 +137,17 @@ def fit(docs: DataFrame, learn: Column, s: Settings = Settings(), id_col: str =
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).withColumn(text_col, F.lower(text_col))
     n, df = document_frequencies(rows, text_col, s)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    # the per-language limit is applied in each map task before rows are shuffled
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (rows.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"))
-              .withColumn("k", F.row_number().over(order)).where(F.col("k") <= s.per_language)
-              .select("id").distinct())
+    # the first of each language by a hash of the id: first within 64 hash slices
+    # of the language, so that a common language does not meet in one task, then
+    # among what these leave (at most 64 * per_language rows of a language)
+    order = [F.xxhash64("id"), F.col("id")]
+    named = rows.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang")).withColumn(
+        "slice", F.pmod(F.xxhash64("id"), F.lit(64)))
+    slices = named.withColumn("k", F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order)))
+    each = slices.where(F.col("k") <= -(-4 * s.per_language // 64)).drop("k")
+    ranked = each.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    # languages x per_language ids, whatever the corpus
+    chosen = F.broadcast(ranked.where(F.col("k") <= s.per_language).select("id").distinct())
     sample = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).join(chosen, "id")
 
     def block(ids: list, texts: list, langs: list) -> pa.RecordBatch:
