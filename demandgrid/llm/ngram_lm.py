@@ -45,8 +45,8 @@ MESSAGE = "part long, block long, kind int, payload binary"
 class Settings:
     discount: float = 0.75
     growth: float = 0.8
-    block_bytes: int = 16 << 20         # text of a block (a longer text is one of its own)
-    part_bytes: int = 8 << 20           # text for each part
+    block_bytes: int = 6 << 20          # text of a block (a longer text is one of its own)
+    part_bytes: int = 4 << 20           # text for each part
 
 
 def _planes(x: np.ndarray) -> bytes:
