@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandgrid.llm.bytebpe import ByteBPE
-from demandgrid.llm.common import map_texts
+from demandgrid.llm.common import cut, map_texts
 from demandgrid.llm.pretokenize import distinct_words, words
 
 ARRAYS = ("keys", "to", "out", "final", "offset", "ids")
@@ -182,8 +182,10 @@ class Codec:
 
 
 def frequent_words(docs: DataFrame, bpe: ByteBPE, text_col: str, most: int) -> list[bytes]:
-    """The ``most`` most frequent words of all whole texts (ties by the word).
-    Words are counted in each block before they are shuffled."""
+    """The most frequent words of all whole texts: those of the highest classes
+    of frequency (an eighth of a power of two each) that hold ``most`` or fewer
+    together. Words are counted in each block before they are shuffled, and the
+    driver gets the sizes of the classes and the chosen words only."""
     special = list(bpe.special)
     splitter = ByteBPE({}, {}, [], dict.fromkeys(special, 0))
 
@@ -195,8 +197,16 @@ def frequent_words(docs: DataFrame, bpe: ByteBPE, text_col: str, most: int) -> l
         return pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(np.bincount(which, minlength=len(found)))], ["word", "n"])
 
     counts = map_texts(docs.withColumn("__none", F.lit(0)), "__none", text_col, "word binary, n long", block)
-    top = (counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).select("word"))
-    return [bytes(r[0]) for r in top.collect()]
+    total = cut(counts.groupBy("word").agg(F.sum("n").alias("n"))
+                .select("word", F.floor(F.log2("n") * 8).cast("int").alias("rank")))
+    held, lowest = 0, None
+    for r in sorted(total.groupBy("rank").count().collect(), reverse=True):
+        if held + r["count"] > most:
+            break
+        held, lowest = held + r["count"], r["rank"]
+    if lowest is None:
+        return []
+    return [bytes(r[0]) for r in total.where(F.col("rank") >= lowest).select("word").collect()]
 
 
 def ship(spark, lexicon: Lexicon) -> str:
