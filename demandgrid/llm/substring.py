@@ -1,6 +1,7 @@
 """Substring deduplication: passages that repeat across documents.
 
-Paragraphs (lines) are compared by MinHash banding over five-word shingles:
+Paragraphs (lines) are compared by MinHash banding over five-word shingles
+(those of fewer than five words are equal or not):
 bands are tuned for recall at the similarity asked for, colliding paragraphs
 are joined, compared by a sketch and, where that does not rule them out, verified by
 exact Jaccard similarity, and verified links form components. Of each component one occurrence stays. A bucket's members are
@@ -9,12 +10,12 @@ larger ones, members that match no centre are banded again with longer keys, so
 that false collisions fall apart, and with more centres for the fewer that are
 left, until none is.
 
-A passage may also sit inside longer paragraphs that differ around it. Every
-run of consecutive word windows of a long paragraph therefore contributes its
-smallest window as a sub-paragraph, so two paragraphs that share a passage of
-``window + run - 1`` words or more (50 by default) share a sub-paragraph at the
-same place of the passage; these are equal or not, so their one band is their
-whole content.
+A passage may also sit inside longer paragraphs that differ around it, or go
+over line ends that differ. Every run of consecutive word windows of a text,
+whatever its lines, therefore contributes its smallest window as a
+sub-paragraph, so two texts that share a passage of ``window + run - 1`` words
+or more (50 by default) share a sub-paragraph at the same place of the passage;
+these are equal or not, so their one band is their whole content.
 
 Groups of equal content are aggregated before anything is joined, links are
 stars, and an occurrence is only ever joined to its group's summary row.
@@ -50,7 +51,6 @@ class Settings:
     similarity: float = 0.8
     recall: float = 0.98        # of a pair just at the similarity, by at least one band
     rows: int = 2               # MinHash values in a band
-    min_words: int = 25         # of a paragraph that is compared
     window: int = 20            # words of a sub-paragraph
     run: int = 31               # consecutive windows that contribute one at least
     centres: int = 8            # members of a bucket that all others are compared with
@@ -146,27 +146,30 @@ def sketches(grams: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
 
 
 def paragraph_rows(p: Paragraphs, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(paragraph numbers, contents, band keys) of those long enough."""
-    which = np.flatnonzero(p.last - p.first >= max(s.min_words, s.shingle))
+    """(contents of all, numbers of those of a shingle or more, their band keys)."""
+    size = p.last - p.first
+    content = _contents(p, p.first, size)
+    which = np.flatnonzero(size >= s.shingle)
     if not len(which):
-        return which, np.zeros(0, np.uint64), np.zeros((0, s.bands), np.uint64)
-    at, begin = _runs(p.first[which], p.last[which] - p.first[which] - s.shingle + 1)
-    keys = band_keys(_gram_codes(p.codes, s.shingle)[at], begin, s.rows, s.bands)
-    return which, _contents(p, p.first[which], p.last[which] - p.first[which]), keys
+        return content, which, np.zeros((0, s.bands), np.uint64)
+    at, begin = _runs(p.first[which], size[which] - s.shingle + 1)
+    return content, which, band_keys(_gram_codes(p.codes, s.shingle)[at], begin, s.rows, s.bands)
 
 
 def sub_paragraphs(p: Paragraphs, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """(first word in the block, content) of the chosen windows."""
-    size = p.last - p.first - s.window + 1              # windows of a paragraph
+    new = np.flatnonzero(np.r_[True, np.diff(p.text) != 0]) if len(p.text) else np.zeros(0, np.int64)
+    first = p.first[new]                                # of each text that has words
+    size = np.r_[first[1:], len(p.codes)][:len(first)] - first - s.window + 1
     long = np.flatnonzero(size >= s.run)
     if not len(long):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at, begin = _runs(p.first[long], size[long])
+    at, begin = _runs(first[long], size[long])
     content = _contents(p, at, np.full(len(at), s.window))
     order = _mix(content ^ ODD)
     runs = np.lib.stride_tricks.sliding_window_view(order, s.run)
     inside = np.ones(len(runs), bool)
-    for k in range(1, s.run):                           # no run across paragraphs
+    for k in range(1, s.run):                           # no run across texts
         edge = begin[1:] - k
         inside[edge[(edge >= 0) & (edge < len(runs))]] = False
     picks = np.empty(len(runs), np.int64)
@@ -179,11 +182,12 @@ def sub_paragraphs(p: Paragraphs, s: Settings) -> tuple[np.ndarray, np.ndarray]:
 def _paragraph_table(docs: DataFrame, s: Settings) -> DataFrame:
     def block(ids: list, texts: list) -> pa.RecordBatch:
         p = paragraphs(texts)
-        which, content, keys = paragraph_rows(p, s)
-        owner = np.array(ids, dtype=np.int64)[p.text[which]]
-        bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, s.bands), pa.int32()), pa.array(keys.ravel().view(np.int64)))
+        content, which, keys = paragraph_rows(p, s)
+        n = np.zeros(len(content), np.int32)
+        n[which] = s.bands
+        bands = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(keys.ravel().view(np.int64)))
         return pa.RecordBatch.from_arrays(
-            [pa.array(owner), pa.array(p.start[which]), pa.array(p.last[which] - p.first[which]),
+            [pa.array(np.array(ids, dtype=np.int64)[p.text]), pa.array(p.start), pa.array(p.last - p.first),
              pa.array(content.view(np.int64)), bands], ["id", "start", "n_words", "content", "bands"])
 
     return map_texts(docs, "id", "text", "id long, start long, n_words long, content long, bands array<long>", block)
@@ -212,7 +216,7 @@ def _shingles(docs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     def block(ids: list, texts: list, starts: list) -> pa.RecordBatch:
         p = paragraphs(texts)
         asked = [set(x) for x in starts]
-        which = np.array([k for k in np.flatnonzero(p.last - p.first >= max(s.min_words, s.shingle))
+        which = np.array([k for k in np.flatnonzero(p.last - p.first >= s.shingle)
                           if int(p.start[k]) in asked[p.text[k]]], dtype=np.int64)
         content = _contents(p, p.first[which], p.last[which] - p.first[which])
         if not len(which):
@@ -299,7 +303,7 @@ def repeated(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
 
     Of a paragraph component the occurrence with the smallest id and start
     stays; of a passage within paragraphs, those in the document with the
-    smallest id. Null, empty and short texts have no passages; rows with a null
+    smallest id. Null and empty texts have no passages; rows with a null
     id take no part; rows that repeat an id are one document; other columns are
     ignored; an empty table gives no rows."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")

@@ -72,3 +72,16 @@ def test_awkward_rows(spark):
     (b"a b", [(5, 2)], b"a b"), (b"a b c", [(2, 9)], b"a b "), (b"", [(0, 1)], b"")])
 def test_cut_words(text, spans, want):
     assert S.cut_words(text, spans) == want
+
+
+def test_passage_across_line_ends_and_short_lines(spark):
+    rng, words = random.Random(21), vocabulary(3000)
+    passage = [rng.choice(words) for _ in range(54)]
+    wrapped = ["\n".join(" ".join(passage[k:k + n]) for k in range(0, 54, n)) for n in (54, 27, 7, 3)]
+    rows = [(k, prose(rng, words, 40, 60) + " " + x + " " + prose(rng, words, 40, 60)) for k, x in enumerate(wrapped)]
+    nine = " ".join(rng.choice(words) for _ in range(9))
+    rows += [(10 + k, prose(rng, words, 30) + "\n" + line) for k, line in enumerate((nine, nine, "Too short", "too  short"))]
+    out = S.repeated(frame(spark, rows)).collect()
+    assert {r.doc_id for r in out if r.kind == "passage"} == {0, 1, 2, 3}
+    assert {(r.doc_id, r.n_words, r.removed) for r in out if r.kind == "paragraph" and r.doc_id >= 10} == {
+        (10, 9, False), (11, 9, True), (12, 2, False), (13, 2, True)}
