@@ -15,7 +15,12 @@ over line ends that differ. Every run of consecutive word windows of a text,
 whatever its lines, therefore contributes its smallest window as a
 sub-paragraph, so two texts that share a passage of ``window + run - 1`` words
 or more (50 by default) share a sub-paragraph at the same place of the passage;
-these are equal or not, so their one band is their whole content.
+these are equal or not, so their one band is their whole content. Shared ones
+are extended: all windows that start less than ``run`` words from one that two
+texts share are compared in turn, each with the first text that has it there, and
+windows in a row that follow the same first text make up one passage. A shared
+passage of 50 words or more holds a chosen window every ``run`` words at most, so
+every one of its windows is among them and the whole passage is reported.
 
 Groups of equal content are aggregated before anything is joined, links are
 stars, and an occurrence is only ever joined to its group's summary row.
@@ -23,6 +28,7 @@ stars, and an occurrence is only ever joined to its group's summary row.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -42,6 +48,7 @@ from demandgrid.llm.subwords import Block, words
 LONGEST = 8
 ODD = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD6E8FEB86659FD93)
+FIELDS = ["id", "start", "n_words", "low", "low_start"]
 BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
 
 
@@ -156,11 +163,35 @@ def paragraph_rows(p: Paragraphs, s: Settings) -> tuple[np.ndarray, np.ndarray,
     return content, which, band_keys(_gram_codes(p.codes, s.shingle)[at], begin, s.rows, s.bands)
 
 
+def text_windows(p: Paragraphs, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, first word in the block, number of windows) of each text that has
+    words."""
+    new = np.flatnonzero(np.r_[True, np.diff(p.text) != 0]) if len(p.text) else np.zeros(0, np.int64)
+    first = p.first[new]
+    return p.text[new], first, np.r_[first[1:], len(p.codes)][:len(first)] - first - s.window + 1
+
+
+def near_windows(p: Paragraphs, starts: list[list[int]], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start within the text, content) of all windows that start less than
+    ``run`` words from one of the text's ``starts``."""
+    text, first, size = text_windows(p, s)
+    at, owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in np.flatnonzero(size > 0):
+        near = np.zeros(size[k] + 1, np.int64)
+        mid = np.asarray(starts[text[k]], dtype=np.int64)
+        np.add.at(near, np.maximum(mid - s.run + 1, 0), 1)
+        np.add.at(near, np.minimum(mid + s.run, size[k]), -1)
+        at.append(np.flatnonzero(np.cumsum(near)[:-1] > 0) + first[k])
+        owner.append(np.full(len(at[-1]), text[k]))
+    at, owner = np.concatenate(at), np.concatenate(owner)
+    begin = np.zeros(len(starts), np.int64)
+    begin[text] = first
+    return owner, at - begin[owner], _contents(p, at, np.full(len(at), s.window))
+
+
 def sub_paragraphs(p: Paragraphs, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """(first word in the block, content) of the chosen windows."""
-    new = np.flatnonzero(np.r_[True, np.diff(p.text) != 0]) if len(p.text) else np.zeros(0, np.int64)
-    first = p.first[new]                                # of each text that has words
-    size = np.r_[first[1:], len(p.codes)][:len(first)] - first - s.window + 1
+    _, first, size = text_windows(p, s)
     long = np.flatnonzero(size >= s.run)
     if not len(long):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -179,6 +210,13 @@ def sub_paragraphs(p: Paragraphs, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     return at[chosen], content[chosen]
 
 
+def _release(df: DataFrame) -> None:
+    """Let the shuffles of finished steps go from the disk: Spark drops their files
+    once the driver's garbage collector has met their plans."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+
+
 def _paragraph_table(docs: DataFrame, s: Settings) -> DataFrame:
     def block(ids: list, texts: list) -> pa.RecordBatch:
         p = paragraphs(texts)
@@ -206,6 +244,65 @@ def _window_table(docs: DataFrame, s: Settings) -> DataFrame:
     return map_texts(docs, "id", "text", "id long, start long, content long", block)
 
 
+def _near_table(docs: DataFrame, shared: DataFrame, s: Settings) -> DataFrame:
+    """``id, start, content`` of the windows near those of ``shared`` (id, start),
+    from the whole texts."""
+    texts = docs.join(shared.groupBy("id").agg(F.collect_set("start").alias("starts")), "id")
+
+    def block(ids: list, texts: list, starts: list) -> pa.RecordBatch:
+        text, start, content = near_windows(paragraphs(texts), starts, s)
+        return pa.RecordBatch.from_arrays([pa.array(np.array(ids, dtype=np.int64)[text]), pa.array(start), pa.array(content.view(np.int64))],
+                                          ["id", "start", "content"])
+
+    return map_texts(texts, "id", "text", "id long, start long, content long", block, extra=("starts",))
+
+
+def _shared_windows(windows: DataFrame) -> DataFrame:
+    """The windows that more than one id has, with their first occurrence."""
+    at = F.struct("id", "start")
+    shared = (windows.groupBy("content").agg(F.min(at).alias("low"), F.max("id").alias("high")).where("low.id < high")
+              .select("content", "low"))
+    return windows.join(shared, "content")
+
+
+def passages(docs: DataFrame, s: Settings) -> DataFrame:
+    """The passages that an earlier document has too, as long as they go: ``id,
+    start, n_words`` and the first document's ``low, low_start``. Windows in a row
+    are one passage where the first document's are in a row as well."""
+    chosen = cut(_shared_windows(_window_table(docs, s)).select("id", "start"))
+    _release(docs)
+    later = _shared_windows(_near_table(docs, chosen, s)).where("id > low.id").select(
+        "id", "start", F.col("low.id").alias("low"), F.col("low.start").alias("low_start"))
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows come sorted; a passage that two batches share goes on
+        kept = None
+        for batch in batches:
+            rows = np.stack([c.to_numpy() for c in batch.columns])
+            last = np.zeros((4, 0), np.int64) if kept is None else kept[[0, 1, 3, 4]] + np.array([[0], [1], [0], [1]]) * (kept[2] - s.window)
+            rows = rows[:, (np.diff(np.hstack([last, rows])) != 0).any(axis=0)] if kept is not None else (
+                rows[:, np.r_[True, (np.diff(rows) != 0).any(axis=0)][:rows.shape[1]]])     # rows that repeat an id
+            if not rows.size:
+                continue
+            new = np.flatnonzero(np.r_[True, (np.diff(rows) != np.array([[0], [1], [0], [1]])).any(axis=0)])
+            found = np.vstack([rows[:2, new], np.diff(np.r_[new, rows.shape[1]]) + s.window - 1, rows[2:, new]])
+            if kept is not None:
+                after = kept[:, 0] + np.array([0, 1, 0, 0, 1]) * (kept[2, 0] - s.window + 1)
+                if (after[[0, 1, 3, 4]] == found[[0, 1, 3, 4], 0]).all():
+                    found[:, 0] = [kept[0, 0], kept[1, 0], kept[2, 0] + found[2, 0] - s.window + 1, kept[3, 0], kept[4, 0]]
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in kept], FIELDS)
+            if found.shape[1] > 1:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found[:, :-1]], FIELDS)
+            kept = found[:, -1:]
+        if kept is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in kept], FIELDS)
+
+    order = ["id", "start", "low", "low_start"]
+    return (later.repartition("id").sortWithinPartitions("id", "low", F.col("low_start") - F.col("start"), "start").select(*order)
+            .mapInArrow(spans, ", ".join(f"{x} long" for x in FIELDS)))
+
+
 def _shingles(docs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     """``content, grams`` (sorted distinct shingle hashes) and ``sketch`` of the
     paragraphs of ``reps`` (id, start, content), read again from their whole
@@ -302,11 +399,13 @@ def repeated(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
     ``removed``.
 
     Of a paragraph component the occurrence with the smallest id and start
-    stays; of a passage within paragraphs, those in the document with the
-    smallest id. Null and empty texts have no passages; rows with a null
+    stays; of a passage that texts share, as long as it goes, the first one in
+    the document with the smallest id. Null and empty texts have no passages; rows with a null
     id take no part; rows that repeat an id are one document; other columns are
     ignored; an empty table gives no rows."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
+    long = cut(passages(docs, s))
+    _release(docs)
     paras = _paragraph_table(docs, s)
     at = F.struct("id", "start")
     contents = paras.groupBy("content").agg(F.min(at).alias("rep"), F.max(at).alias("end"), F.first("bands").alias("bands"))
@@ -321,16 +420,16 @@ def repeated(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
     first = named.groupBy("component_id").agg(F.min("rep").alias("first"))
     groups = cut(named.join(first, "component_id").select("content", "component_id", "first"))
     contents.unpersist()
+    del links, comps, named, first
+    _release(docs)
     whole = (paras.select("id", "start", "n_words", "content").join(groups, "content")
              .select("id", "start", "n_words", F.lit("paragraph").alias("kind"), "component_id", F.col("first.id").alias("first_doc_id"),
                      (F.struct("id", "start") != F.col("first")).alias("removed")))
-    windows = _window_table(docs, s)
-    shared = (windows.groupBy("content").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-              .select("content", "low"))
-    parts = (windows.join(shared, "content")
-             .select("id", "start", F.lit(s.window).cast("long").alias("n_words"), F.lit("passage").alias("kind"),
-                     F.col("content").alias("component_id"), F.col("low").alias("first_doc_id"),
-                     (F.col("id") != F.col("low")).alias("removed")))
+    named = F.xxhash64("low", "low_start", "n_words")
+    parts = (long.select("id", "start", "n_words", "low", named.alias("component_id"), F.lit(True).alias("removed"))
+             .unionByName(long.select(F.col("low").alias("id"), F.col("low_start").alias("start"), "n_words", "low",
+                                      named.alias("component_id"), F.lit(False).alias("removed")))
+             .select("id", "start", "n_words", F.lit("passage").alias("kind"), "component_id", F.col("low").alias("first_doc_id"), "removed"))
     return (whole.unionByName(parts).distinct()
             .select(F.col("id").alias(id_col), F.col("start").alias("start_word"), "n_words", "kind", "component_id",
                     "first_doc_id", "removed"))

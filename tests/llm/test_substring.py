@@ -85,3 +85,40 @@ def test_passage_across_line_ends_and_short_lines(spark):
     assert {r.doc_id for r in out if r.kind == "passage"} == {0, 1, 2, 3}
     assert {(r.doc_id, r.n_words, r.removed) for r in out if r.kind == "paragraph" and r.doc_id >= 10} == {
         (10, 9, False), (11, 9, True), (12, 2, False), (13, 2, True)}
+
+
+def test_passages_as_long_as_they_go(spark):
+    rng, words = random.Random(33), vocabulary(3000)
+    # of 50 words and more, wherever they stand; earlier documents hold pieces of longer ones
+    rows = [(k, prose(rng, words, 200, 33)) for k in range(12)]
+    for k in range(12, 60):
+        parts = [prose(rng, words, rng.randint(0, 60), 33)]
+        for _ in range(rng.randint(1, 3)):
+            other, n = rng.choice(rows)[1].split(), rng.randint(22, 130)
+            at = rng.randrange(max(1, len(other) - n))
+            parts += [" ".join(other[at:at + n]), prose(rng, words, rng.randint(0, 40), 7)]
+        rows.append((k, " ".join(parts)))
+    rows.append(rows[20])                                  # a row again
+    texts = {i: [x for x in "".join(c.lower() if "A" <= c <= "Z" else c for c in t).encode().split()] for i, t in rows}
+    out = S.repeated(frame(spark, rows)).where("kind = 'passage'").collect()
+    cut = {i: set() for i in texts}
+    kept = {r.component_id: r for r in out if not r.removed}
+    for r in out:
+        first = kept[r.component_id]
+        assert first.doc_id == r.first_doc_id and first.n_words == r.n_words
+        assert texts[r.doc_id][r.start_word:r.start_word + r.n_words] == texts[first.doc_id][first.start_word:first.start_word + r.n_words]
+        if r.removed:
+            assert r.first_doc_id < r.doc_id
+            cut[r.doc_id] |= set(range(r.start_word, r.start_word + r.n_words))
+
+    def repeats(n):
+        found = {i: set() for i in texts}
+        seen = {}
+        for i in sorted(texts):
+            for k in range(len(texts[i]) - n + 1):
+                if seen.setdefault(tuple(texts[i][k:k + n]), i) < i:
+                    found[i] |= set(range(k, k + n))
+        return found
+
+    want, most = repeats(50), repeats(20)
+    assert all(want[i] <= cut[i] <= most[i] for i in texts) and sum(map(len, want.values())) > 2000
