@@ -6,9 +6,9 @@ bands are tuned for recall at the similarity asked for, colliding paragraphs
 are joined, compared by a sketch and, where that does not rule them out, verified by
 exact Jaccard similarity, and verified links form components. Of each component one occurrence stays. A bucket's members are
 joined to its ``centres`` smallest ones, which is all pairs in small buckets; in
-larger ones, members that match no centre are banded again with longer keys, so
-that false collisions fall apart, and with more centres for the fewer that are
-left, until none is.
+larger ones, all other members, matched or not, are banded again with longer keys,
+so that false collisions fall apart, and with more centres, until no bucket holds
+two that were not compared and are not of one component already.
 
 A passage may also sit inside longer paragraphs that differ around it, or go
 over line ends that differ. Every run of consecutive word windows of a text,
@@ -28,10 +28,8 @@ stars, and an occurrence is only ever joined to its group's summary row.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from math import ceil, log
 
 import numpy as np
@@ -210,13 +208,6 @@ def sub_paragraphs(p: Paragraphs, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     return at[chosen], content[chosen]
 
 
-def _release(df: DataFrame) -> None:
-    """Let the shuffles of finished steps go from the disk: Spark drops their files
-    once the driver's garbage collector has met their plans."""
-    gc.collect()
-    df.sparkSession._jvm.System.gc()
-
-
 def _paragraph_table(docs: DataFrame, s: Settings) -> DataFrame:
     def block(ids: list, texts: list) -> pa.RecordBatch:
         p = paragraphs(texts)
@@ -270,7 +261,6 @@ def passages(docs: DataFrame, s: Settings) -> DataFrame:
     start, n_words`` and the first document's ``low, low_start``. Windows in a row
     are one passage where the first document's are in a row as well."""
     chosen = cut(_shared_windows(_window_table(docs, s)).select("id", "start"))
-    _release(docs)
     later = _shared_windows(_near_table(docs, chosen, s)).where("id > low.id").select(
         "id", "start", F.col("low.id").alias("low"), F.col("low.start").alias("low_start"))
 
@@ -339,7 +329,7 @@ def _similar(pairs: DataFrame, grams: DataFrame, s: Settings) -> DataFrame:
 
 
 def _banded(grams: DataFrame, s: Settings, rows: int) -> DataFrame:
-    """``key, content`` by bands of ``rows`` values."""
+    """``key, content, label`` by bands of ``rows`` values."""
     bands = s.bands_of(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,47 +339,47 @@ def _banded(grams: DataFrame, s: Settings, rows: int) -> DataFrame:
                 size = np.array([len(x) for x in sets])
                 keys = band_keys(np.concatenate(sets).view(np.uint64), np.cumsum(size) - size, rows, bands)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)),
-                                                  pa.array(np.repeat(batch.column(0).to_numpy(), bands))], ["key", "content"])
+                                                  pa.array(np.repeat(batch.column(0).to_numpy(), bands)),
+                                                  pa.array(np.repeat(batch.column(2).to_numpy(), bands))], ["key", "content", "label"])
 
-    return grams.select("content", "grams").mapInArrow(run, "key long, content long")
+    return grams.select("content", "grams", "label").mapInArrow(run, "key long, content long, label long")
 
 
 def _shared_keys(keyed: DataFrame) -> DataFrame:
-    """Rows of the keys that more than one content has, with their number ``n``."""
-    sizes = keyed.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high"), F.count("*").alias("n"))
+    """Rows (key, content, label) of the keys that more than one label has, with
+    their number ``n``."""
+    sizes = keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
     return keyed.join(sizes.where("low < high").select("key", "n"), "key")
 
 
-def paragraph_links(docs: DataFrame, contents: DataFrame, s: Settings) -> list[DataFrame]:
-    """Verified links ``a, b`` between distinct paragraph contents, a frame for
-    each round of banding."""
-    rest = cut(_shared_keys(contents.select(F.explode("bands").alias("key"), "content")))
+def paragraph_components(docs: DataFrame, contents: DataFrame, s: Settings) -> DataFrame:
+    """``node, component`` of the distinct paragraph contents that a verified link
+    joins to another one."""
+    rest = cut(_shared_keys(contents.select(F.explode("bands").alias("key"), "content", F.col("content").alias("label"))))
     reps = rest.select("content").distinct().join(contents.select("content", "rep.id", "rep.start"), "content")
     grams = cut(_shingles(docs, reps, s))
     marks = grams.select("content", "sketch")
-    found, rows, most = [], s.rows, s.centres
+    comps, rows, most = docs.sparkSession.createDataFrame([], "node long, component long"), s.rows, s.centres
     while not rest.isEmpty():
         # the limit on the rank is applied in each map task before the shuffle
         rank = F.row_number().over(Window.partitionBy("key").orderBy("content"))
-        members = rest.join(marks, "content")
-        centres = (rest.withColumn("rank", rank).where(F.col("rank") <= most).join(marks, "content")
-                   .select("key", F.col("content").alias("centre"), F.col("sketch").alias("mark")))
+        ranked = rest.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
+        centres = ranked.join(marks, "content").select(F.col("key").alias("k"), F.col("content").alias("centre"),
+                                                       F.col("label").alias("own"), F.col("sketch").alias("mark"))
         differ = F.aggregate(F.zip_with("sketch", "mark", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-        likely = (F.col("content") != F.col("centre")) & (differ <= int((1 - s.similarity + s.margin) / 2 * s.sketch))
-        met = cut(members.join(centres.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & likely)
-                  .select("key", "content", "centre"))
-        pairs = met.select(F.least("content", "centre").alias("a"), F.greatest("content", "centre").alias("b")).distinct()
-        good = cut(_similar(pairs, grams, s))
-        found.append(good)
-        # members of large buckets that are no centre and match none
-        ends = good.unionByName(good.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumnsRenamed({"a": "content", "b": "centre"})
-        done = (met.join(ends, ["content", "centre"], "left_semi").select("key", "content")
-                .unionByName(centres.select("key", F.col("centre").alias("content"))))
-        left = (rest.where(F.col("n") > most).select("key", "content").join(done, ["key", "content"], "left_anti")
-                .select("content").distinct())
+        likely = (F.col("label") != F.col("own")) & (differ <= int((1 - s.similarity + s.margin) / 2 * s.sketch))
+        pairs = (rest.join(marks, "content").join(centres, (F.col("key") == F.col("k")) & likely)
+                 .select(F.least("content", "centre").alias("a"), F.greatest("content", "centre").alias("b")).distinct())
+        good = _similar(pairs, grams, s)
+        comps = cut(connected_components(good.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
+        # members that were not compared with all of their bucket, but for those of one component
+        others = (rest.where(F.col("n") > most).select("key", "content").join(ranked.select("key", "content"), ["key", "content"], "left_anti")
+                  .join(comps.withColumnRenamed("node", "content"), "content", "left")
+                  .select("key", "content", F.coalesce("component", "content").alias("label")))
+        left = _shared_keys(others).groupBy("content").agg(F.min("label").alias("label"))
         rows, most = min(2 * rows, LONGEST), 4 * most
-        rest = cut(_shared_keys(_banded(grams.join(left, "content", "left_semi"), s, rows)))
-    return found
+        rest = cut(_shared_keys(_banded(grams.join(left, "content"), s, rows)))
+    return comps
 
 
 def repeated(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -404,15 +394,11 @@ def repeated(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
     id take no part; rows that repeat an id are one document; other columns are
     ignored; an empty table gives no rows."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
-    long = cut(passages(docs, s))
-    _release(docs)
     paras = _paragraph_table(docs, s)
     at = F.struct("id", "start")
     contents = paras.groupBy("content").agg(F.min(at).alias("rep"), F.max(at).alias("end"), F.first("bands").alias("bands"))
     contents = contents.persist(StorageLevel.DISK_ONLY)
-    links = paragraph_links(docs, contents, s)
-    none = docs.sparkSession.createDataFrame([], "a long, b long")
-    comps = connected_components(reduce(DataFrame.unionByName, links, none), "a", "b")
+    comps = paragraph_components(docs, contents, s)
     # groups: contents that repeat or that are linked to another one
     named = (contents.join(comps, contents.content == comps.node, "left")
              .where(F.col("component").isNotNull() | (F.col("rep") < F.col("end")))
@@ -420,11 +406,10 @@ def repeated(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
     first = named.groupBy("component_id").agg(F.min("rep").alias("first"))
     groups = cut(named.join(first, "component_id").select("content", "component_id", "first"))
     contents.unpersist()
-    del links, comps, named, first
-    _release(docs)
     whole = (paras.select("id", "start", "n_words", "content").join(groups, "content")
              .select("id", "start", "n_words", F.lit("paragraph").alias("kind"), "component_id", F.col("first.id").alias("first_doc_id"),
                      (F.struct("id", "start") != F.col("first")).alias("removed")))
+    long = cut(passages(docs, s))
     named = F.xxhash64("low", "low_start", "n_words")
     parts = (long.select("id", "start", "n_words", "low", named.alias("component_id"), F.lit(True).alias("removed"))
              .unionByName(long.select(F.col("low").alias("id"), F.col("low_start").alias("start"), "n_words", "low",

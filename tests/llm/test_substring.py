@@ -122,3 +122,16 @@ def test_passages_as_long_as_they_go(spark):
 
     want, most = repeats(50), repeats(20)
     assert all(want[i] <= cut[i] <= most[i] for i in texts) and sum(map(len, want.values())) > 2000
+
+
+def test_matched_members_of_large_buckets_are_compared_too(spark):
+    rng, words = random.Random(41), vocabulary(3000)
+    line, lines = [rng.choice(words) for _ in range(100)], []
+    for _ in range(80):                                   # only near neighbours are similar enough
+        line[rng.randrange(len(line))] = rng.choice(words)
+        lines.append(" ".join(line))
+    s = S.Settings(rows=1, centres=1)
+    got = S.repeated(frame(spark, list(enumerate(lines))), s).where("kind = 'paragraph'").collect()
+    sets = [shingles(x) for x in lines]
+    want = components(list(range(len(lines))), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    assert {(r.doc_id, r.first_doc_id) for r in got} == {(i, c) for i, c in want.items() if sum(c == x for x in want.values()) > 1}
