@@ -42,3 +42,17 @@ def test_tree_backtest_baseline_rows_equal_the_checked_backtest(spark):
         assert tree[f].n_rows == base[f].n_rows
         for c in ("wape", "mae", "rmse", "bias"):
             assert (tree[f][c] is None and base[f][c] is None) or abs(tree[f][c] - base[f][c]) < 1e-6
+
+
+def test_a_missing_optional_library_leaves_the_other_queries(monkeypatch):
+    """A library that only the optional queries need may be absent: the entry
+    still imports and offers all the others."""
+    import importlib
+    import sys
+    for name in [m for m in sys.modules if m.startswith(("demandgrid.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    spec = importlib.util.spec_from_file_location("entry_without", entry.__file__)
+    without = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(without)
+    assert set(without.queries()) == set(without.QUERIES) and len(without.queries()) >= 50

@@ -95,10 +95,11 @@ def test_decomposition_contract(spark):
     assert err < 0.05                                  # weekly shape and drift recovered
 
 
-def test_decomposition_equals_a_driver_side_fit(spark):
+@pytest.mark.parametrize("knots,yearly", [(20, 0), (25, 10)])
+def test_decomposition_equals_a_driver_side_fit(spark, knots, yearly):
     """The grouped fit equals a plain numpy ridge fit of each entity's
-    series (brute force on the driver): hinge trend, weekly terms, holiday
-    flag, unpenalised intercept, residual-quantile interval."""
+    series (brute force on the driver): hinge trend, weekly and yearly terms,
+    holiday flag, unpenalised intercept, residual-quantile interval."""
     import numpy as np
     from demandgrid.functions import calendar as cal
     from demandgrid.operators import decomposition as DC
@@ -111,7 +112,7 @@ def test_decomposition_equals_a_driver_side_fit(spark):
     hist = spark.createDataFrame(rows, "shipment_date date, entity string, n_shipments long")
     fut = spark.createDataFrame([(start + dt.timedelta(days=n + j), e) for j in range(h) for e in ("SP", "RJ")],
                                 "shipment_date date, entity string")
-    got = {(r.shipment_date, r.entity): r for r in DC.fit_predict(hist, fut).collect()}
+    got = {(r.shipment_date, r.entity): r for r in DC.fit_predict(hist, fut, n_changepoints=knots, yearly=yearly).collect()}
     days_all = [start + dt.timedelta(days=i) for i in range(n + h)]
     hol = {r.d: r.h for r in spark.createDataFrame([(d,) for d in days_all], "d date")
            .select("d", cal.is_holiday(F.col("d")).cast("int").alias("h")).collect()}
@@ -121,12 +122,14 @@ def test_decomposition_equals_a_driver_side_fit(spark):
         cols = [np.ones_like(t), t] + [np.maximum(t - c, 0) for c in cps]
         for k in (1, 2, 3):
             cols += [np.sin(2 * np.pi * k * t_days / 7), np.cos(2 * np.pi * k * t_days / 7)]
+        for k in range(1, yearly + 1):
+            cols += [np.sin(2 * np.pi * k * t_days / 365.25), np.cos(2 * np.pi * k * t_days / 365.25)]
         return np.column_stack(cols)
 
     for ent in ("SP", "RJ"):
         y = np.array([v for d, e, v in rows if e == ent], float)
         td, tf = np.arange(n, dtype=float), np.arange(n, n + h, dtype=float)
-        span, n_cp = float(n - 1), min(25, n // 10)
+        span, n_cp = float(n - 1), knots
         cps = np.linspace(0, 0.8, n_cp + 2)[1:-1]
         xh = np.column_stack([design(td, span, cps), [hol[d] for d in days_all[:n]]])
         xf = np.column_stack([design(tf, span, cps), [hol[d] for d in days_all[n:]]])
