@@ -19,6 +19,8 @@ from functools import cache
 
 import numpy as np
 
+from demandgrid.llm.subwords import place_keys
+
 OTHER, LETTER, DIGIT, BLANK, SPACE, APOSTROPHE, SINGLE, R_OR_V, L, E, BREAK = range(11)
 NEXT_ELSE, NEXT_SPACE, NEXT_E, NEXT_L, NEXT_END = range(5)
 START, LETTERS, DIGITS, SIGNS, QUOTE, SECOND, DONE, JOINING, ALONE, SPACES = range(10)
@@ -123,9 +125,6 @@ class WordBlock:
     code: np.ndarray            # 64-bit hash of its bytes
 
 
-STEP = np.uint64(0xD6E8FEB86659FD93)
-
-
 def words(segments: list[bytes]) -> WordBlock:
     """Words of UTF-8 segments (no word crosses from one to the next)."""
     joined = b"\0".join(segments) + b"\0"
@@ -142,7 +141,7 @@ def words(segments: list[bytes]) -> WordBlock:
     stop = np.minimum(np.r_[start[1:], len(data)], ends[segment]) if len(start) else start
     if len(start):
         longest = int((stop - start).max())
-        powers = np.cumprod(np.r_[np.uint64(1), np.full(longest, STEP, np.uint64)])
+        powers = place_keys(longest + 1)
         place = np.arange(len(data)) - np.repeat(np.r_[0, start], np.diff(np.r_[0, start, len(data)]))
         term = (data.astype(np.uint64) + np.uint64(1)) * powers[np.minimum(place, longest)]
         term[ends] = 0                                               # breaks belong to no word
@@ -154,7 +153,27 @@ def words(segments: list[bytes]) -> WordBlock:
 
 
 def distinct_words(block: WordBlock) -> tuple[list[bytes], np.ndarray]:
-    """The block's distinct words, and which of them each word is."""
+    """The block's distinct words, and which of them each word is. Words of equal
+    hash are compared byte by byte with the first of them; one that differs (a
+    collision) becomes a word of its own."""
     _, first, inverse = np.unique(block.code, return_index=True, return_inverse=True)
     raw = block.data.tobytes()
-    return [raw[s:e] for s, e in zip(block.start[first].tolist(), block.end[first].tolist())], inverse
+    found = [raw[s:e] for s, e in zip(block.start[first].tolist(), block.end[first].tolist())]
+    size = block.end - block.start
+    model = block.start[first][inverse]
+    same = size == (block.end - block.start)[first][inverse]
+    at = np.flatnonzero(same)
+    if len(at):
+        size = size[at]
+        begin = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(begin, size)
+        equal = block.data[np.repeat(block.start[at], size) + place] == block.data[np.repeat(model[at], size) + place]
+        same[at] = np.logical_and.reduceat(equal, begin)
+    other: dict[bytes, int] = {}
+    for i in np.flatnonzero(~same).tolist():
+        word = raw[block.start[i]:block.end[i]]
+        if word not in other:
+            other[word] = len(found)
+            found.append(word)
+        inverse[i] = other[word]
+    return found, inverse

@@ -49,6 +49,16 @@ def char_ngrams(block: Block, n: int, bits: int) -> tuple[np.ndarray, np.ndarray
     return (h >> np.uint32(32 - bits)).astype(np.int64), ok
 
 
+def place_keys(n: int) -> np.ndarray:
+    """Pseudo-random 64-bit multiplier of each place in a word. Powers of one base
+    would make words of equal letter patterns collide (a Thue-Morse word and its
+    complement, whatever the odd base); multipliers without a relation don't."""
+    x = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 @dataclass
 class Words:
     codes: np.ndarray           # 64-bit hash of each word
@@ -63,7 +73,7 @@ def words(block: Block) -> Words:
     at, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if len(at):
         size = end - at
-        power = np.cumprod(np.r_[np.uint64(1), np.full(int(size.max()), 0x100000001B3, dtype=np.uint64)])
+        power = place_keys(int(size.max()) + 1)
         where = np.arange(len(block.data)) - np.repeat(np.r_[0, at], np.diff(np.r_[0, at, len(block.data)]))
         term = np.where(solid, (block.data.astype(np.uint64) + np.uint64(1)) * power[np.minimum(where, size.max())], np.uint64(0))
         codes = np.add.reduceat(term, at) * np.uint64(0x9E3779B97F4A7C15) ^ size.astype(np.uint64)

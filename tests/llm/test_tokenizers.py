@@ -58,6 +58,31 @@ def test_counts_equal_the_library(library):
     assert got.tolist() == [len(e.ids) for e in library.encode_batch(ts, add_special_tokens=False)]
 
 
+def twins(n, a="a", b="b"):
+    """The Thue-Morse word of n letters and its complement."""
+    bits = [i.bit_count() & 1 for i in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_of_one_letter_pattern_stay_apart(spark, library, n):
+    pair = twins(n)
+    got = token_count.Transducer(ByteBPE.load(PATH)).text_counts([t.encode() for t in pair])
+    assert got.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in pair]
+    out = bpe.digests(frame(spark, list(enumerate(pair))).coalesce(1), PATH, lexicon=50).collect()
+    assert {(r.doc_id, r.decoded_sha256) for r in out} == {(i, hashlib.sha256(t.encode()).hexdigest()) for i, t in enumerate(pair)}
+
+
+def test_words_of_equal_hash_are_compared(monkeypatch):
+    """Whatever the hash, words are told apart by their bytes."""
+    block = pretokenize.words([b"alpha beta alpha gamma beta delta"])
+    raw = block.data.tobytes()
+    want = [raw[s:e] for s, e in zip(block.start, block.end)]
+    block.code[:] = 7
+    found, which = pretokenize.distinct_words(block)
+    assert [found[k] for k in which] == want and len(set(found)) == len(found)
+
+
 def test_counts_after_the_states_were_dropped(library):
     small = token_count.Transducer(ByteBPE.load(PATH), most_states=50)
     for k in range(3):
