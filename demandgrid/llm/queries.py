@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import bpe, classifier, hnsw, langid, ngram_lm, packing, quality_rules, simhash, substring, token_count
+from demandgrid.llm import bpe, classifier, hnsw, langid, ngram_lm, packing, quality_rules, resampling, simhash, substring, token_count
 from demandgrid.llm.common import table
 
 
@@ -59,6 +59,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                               s=resampling.Settings(longest=2, buckets=10_000, share=25, min_words=20, seed=7))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -70,7 +75,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_token_counts": op10_token_counts,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(iterations=20),
+    "op11_importance_resampling": resampling.oracle_sql(),
 }

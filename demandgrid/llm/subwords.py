@@ -91,3 +91,33 @@ def span_sums(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     """Sum of values[first:last] for each span."""
     total = np.r_[0, np.cumsum(values)]
     return total[np.minimum(last, len(values))] - total[np.minimum(first, len(values))]
+
+
+def distinct_spans(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct byte strings among data[start:start + size] (every size at least 1):
+    the index of one span of each, and which of them each span is. Spans of equal
+    hash are compared byte by byte; one that differs becomes a string of its own."""
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begin = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(begin, size)
+    inside = np.repeat(start, size) + place
+    code = np.add.reduceat((data[inside].astype(np.uint64) + np.uint64(1)) * place_keys(int(size.max()))[place], begin)
+    code = (code ^ (code >> np.uint64(31))) + size.astype(np.uint64)
+    _, first, which = np.unique(code, return_index=True, return_inverse=True)
+    model = first[which]
+    same = size == size[model]
+    at = np.flatnonzero(same)
+    part = np.repeat(same, size)
+    model_bytes = data[np.repeat(start[model], size)[part] + place[part]]
+    edge = np.cumsum(size[at]) - size[at]
+    same[at] = np.logical_and.reduceat(data[inside[part]] == model_bytes, edge)
+    other: dict[bytes, int] = {}
+    more = []
+    for i in np.flatnonzero(~same).tolist():
+        word = data[start[i]:start[i] + size[i]].tobytes()
+        if word not in other:
+            other[word] = len(first) + len(more)
+            more.append(i)
+        which[i] = other[word]
+    return np.r_[first, np.array(more, np.int64)], which
