@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import bpe, classifier, hnsw, langid, ngram_lm, packing, quality_rules, resampling, simhash, substring, token_count
+from demandgrid.llm import bpe, classifier, hnsw, langid, ngram_lm, packing, prefix_trie, quality_rules, resampling, simhash, substring, token_count
 from demandgrid.llm.common import table
 
 
@@ -64,6 +64,12 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
                                s=resampling.Settings(longest=2, buckets=10_000, share=25, min_words=20, seed=7))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the conversations rebuilt to share beginnings."""
+    turns = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns, family=5, lent=9), prefix_trie.Settings(container=1 << 16))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -76,8 +82,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_token_counts": op10_token_counts,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(iterations=20),
     "op11_importance_resampling": resampling.oracle_sql(),
+    "op12_prefix_trie": prefix_trie.oracle_sql(),
 }
