@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import bpe, classifier, hnsw, langid, ngram_lm, packing, prefix_trie, quality_rules, resampling, simhash, substring, token_count
+from demandgrid.llm import bpe, classifier, edit_embedding, hnsw, langid, ngram_lm, packing, prefix_trie, quality_rules, resampling, simhash, substring, token_count
 from demandgrid.llm.common import table
 
 
@@ -70,6 +70,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.rebuilt(turns, family=5, lent=9), prefix_trie.Settings(container=1 << 16))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited version, and the group of near
+    duplicates that banding and verification of the fingerprints give."""
+    found = edit_embedding.with_successor(table(spark, sf_dir, "documents"))
+    return edit_embedding.near_duplicates(found).select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -83,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(iterations=20),
