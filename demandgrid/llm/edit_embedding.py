@@ -32,6 +32,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -197,8 +198,9 @@ def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     is the one of the next smaller id (null ids last; rows that repeat an id in the
     order of their texts' hash), after the last the first; a document alone is its own next.
 
-    Texts are range-sorted by id, so a hot id or a long run of ids spreads over
-    tasks, and each task reads its rows as a stream. The last document of a range
+    Texts are range-sorted by id (compressed one by one, as they are most of what
+    is shuffled), so a hot id or a long run of ids spreads over tasks, and each task
+    reads its rows as a stream. The last document of a range
     finds its next in the first of the following one: two rows a range are kept
     with their texts and joined at the end."""
     spark = docs.sparkSession
@@ -206,6 +208,14 @@ def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
     order = [F.col("id").desc_nulls_last(), F.col("hash").asc(), F.col("row").asc()]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = pa.array([press(t) for t in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed, *batch.columns[2:]], ["id", "text", "hash", "row"])
+
+    rows = rows.withColumn("text", F.col("text").cast("binary")).mapInArrow(pack, "id long, text binary, hash long, row long")
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("id", "text")
     fields = ["kind", "part", *[c.split()[0] for c in SUCCESSOR.split(", ")], "text"]
 
@@ -231,11 +241,11 @@ def with_successor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield edge("tail", held[-1], own[-1])
 
         held: list[tuple] = []
-        size, first = 0, True
+        size, first, unpack = 0, True, zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                held.append(row)
-                size += len(row[1])
+            for ident, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                held.append((ident, unpack(packed.as_py()).decode("utf-8", "replace")))
+                size += len(held[-1][1])
                 if size > BLOCK_CHARS and len(held) > 1:
                     yield from block(held, first, False)
                     held, first = held[-1:], False
