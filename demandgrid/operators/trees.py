@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from demandgrid import constants as K
 from demandgrid.functions import args as A
+from demandgrid.operators import boosting as B
 from demandgrid.operators import features as X
 from demandgrid.operators import forecast as FC
 
@@ -94,7 +95,7 @@ def training_table(history: DataFrame, keys: Sequence[str] = (),
 
 @dataclass
 class TreeForecaster:
-    model: GBTRegressionModel
+    model: GBTRegressionModel | B.Boosted
     stats: DataFrame
     thresholds: tuple
     reference_date: dt.date
@@ -141,6 +142,45 @@ def fit(history: DataFrame, params: GBTParams = GBTParams(), thresholds=K.DEFAUL
     return fit_prepared(prepare(history, thresholds, reference_date, validation), params)
 
 
+@dataclass
+class FoldData:
+    """Binned training rows of one or more histories and the inputs that a
+    forecast of each needs besides the model."""
+    blocks: B.Blocks
+    sources: dict[int, TrainingData]
+
+    def forecaster(self, fold: int, model: B.Boosted) -> TreeForecaster:
+        src = self.sources[fold]
+        return TreeForecaster(model, src.stats, src.thresholds, src.reference_date)
+
+
+def prepare_folds(histories: dict[int, tuple[DataFrame, DataFrame | None]], thresholds=K.DEFAULT_TIER_THRESHOLDS,
+                  reference_date=K.TREND_REFERENCE_DATE, bins: int = 64) -> FoldData:
+    """Featurise, bin and store ``{fold: (history, validation or None)}`` for
+    histogram boosting; validation rows (featurised with the history's statistics)
+    only measure the loss that the patience watches."""
+    tables, sources = None, {}
+    for fold, (history, validation) in histories.items():
+        stats = X.volume_stats(history)
+        both = history.withColumn("__val", F.lit(False))
+        if validation is not None:
+            both = both.unionByName(validation.withColumn("__val", F.lit(True)))
+        rows = training_table(both, (), thresholds, reference_date, stats).select(
+            F.lit(fold).alias("__fold"), "__val", K.TARGET_COL, *MODEL_FEATURES)
+        tables = rows if tables is None else tables.unionByName(rows)
+        sources[fold] = TrainingData(rows, stats, thresholds, reference_date, validation is not None)
+    return FoldData(B.pack(tables, MODEL_FEATURES, K.TARGET_COL, "__fold", "__val", bins), sources)
+
+
+def fit_boosted(history: DataFrame, params: B.Params = B.Params(), thresholds=K.DEFAULT_TIER_THRESHOLDS,
+                reference_date=K.TREND_REFERENCE_DATE, validation: DataFrame | None = None) -> TreeForecaster:
+    """Histogram boosting on ``history`` (absolute loss, leaf penalties); with
+    ``validation`` rows it stops when ``params.patience`` rounds bring nothing and
+    keeps the best round (``model.rounds_used``, ``model.rounds_run``)."""
+    data = prepare_folds({0: (history, validation)}, thresholds, reference_date)
+    return data.forecaster(0, B.fit_many(data.blocks, [(0, params)])[0])
+
+
 def tree_table(model: GBTRegressionModel) -> dict:
     """Node arrays of every tree (+ weights), from the fitted model's printed
     form (a tree's lines are its nodes in pre-order; all splits compare a
@@ -266,7 +306,7 @@ def recursive_forecast(fc: TreeForecaster, history: DataFrame, horizon: int,
     and horizon)."""
     A.at_least("horizon", horizon, 1)
     spark = history.sparkSession
-    table = tree_table(fc.model)
+    table = fc.model.table() if isinstance(fc.model, B.Boosted) else tree_table(fc.model)
     feats = inputs if inputs is not None else forecast_inputs(fc, history, horizon, date_col, entity_col,
                                                               target_col)
     fn = _recursive_fn(spark.sparkContext.broadcast(table), MODEL_FEATURES, date_col, entity_col, target_col)
@@ -282,7 +322,7 @@ def recursive_forecast(fc: TreeForecaster, history: DataFrame, horizon: int,
 
 def feature_importance(fc: TreeForecaster, spark: SparkSession) -> DataFrame:
     """Importance per feature and its share of the total, ranked."""
-    imp = fc.model.featureImportances.toArray().tolist()
+    imp = (fc.model.importance(len(MODEL_FEATURES)) if isinstance(fc.model, B.Boosted) else fc.model.featureImportances.toArray()).tolist()
     total = sum(imp) or 1.0
     rows = [(f, float(v), 100.0 * float(v) / total) for f, v in zip(MODEL_FEATURES, imp)]
     return spark.createDataFrame(rows, "feature string, importance double, share_pct double")
