@@ -7,14 +7,16 @@ components on the driver.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandgrid.session import work_folder
+
 # ASCII upper case to lower case, on UTF-8 bytes (other bytes stay).
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -28,13 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable storage:
     a lost executor loses nothing). The folder is the session's
-    ``spark.checkpoint.dir``; one is set here only where that is unset
+    ``spark.checkpoint.dir``; where that is unset, the warehouse's work folder
     (tests, local runs)."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="llm-ckpt-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or work_folder(spark))
     return df.checkpoint(eager=True)
 
 
@@ -46,15 +47,20 @@ def crc_fold(id_col: str, modulus: int) -> Column:
 
 def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str,
               fn: Callable[[list, list[bytes | None]], pa.RecordBatch | None],
-              block_bytes: int = 4 << 20, extra: tuple[str, ...] = ()) -> DataFrame:
+              block_bytes: int = 4 << 20, extra: tuple[str, ...] = (), packed: bool = False) -> DataFrame:
     """Apply ``fn(ids, texts, *extra)`` to blocks of about ``block_bytes`` of
     UTF-8 texts (a longer text is a block of its own), Arrow in and out.
-    Texts are whole; a null text arrives as ``None``."""
+    Texts are whole; a null text arrives as ``None``; ``packed`` texts
+    (:func:`pack_texts`) are unpacked first."""
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"),
                     *[F.col(c).alias(f"x{i}") for i, c in enumerate(extra)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if packed:
+                unpack = zstandard.ZstdDecompressor().decompress
+                whole = pa.array([None if t is None else unpack(t) for t in batch.column(1).to_pylist()], pa.binary())
+                batch = pa.RecordBatch.from_arrays([batch.column(0), whole, *batch.columns[2:]], batch.schema.names)
             n, sizes = batch.num_rows, pc.fill_null(pc.binary_length(batch.column(1)), 0)
             sizes = sizes.to_numpy(zero_copy_only=False)
             at = 0
@@ -72,6 +78,19 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str,
     return src.mapInArrow(run, schema)
 
 
+def pack_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The id and the text compressed by itself, for texts that are shuffled."""
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = pa.array([None if t is None else press(t) for t in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["id", "text"])
+
+    return src.mapInArrow(run, "id long, text binary").select(F.col("id").alias(id_col), F.col("text").alias(text_col))
+
+
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
     return row["n"], row["h"]

@@ -39,7 +39,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandgrid.llm.common import LOWER, connected_components, cut, map_texts
+from demandgrid.llm.common import LOWER, connected_components, cut, map_texts, pack_texts
 from demandgrid.llm.subwords import Block, words
 
 # MinHash values of the longest bands.
@@ -222,6 +222,17 @@ def _paragraph_table(docs: DataFrame, s: Settings) -> DataFrame:
     return map_texts(docs, "id", "text", "id long, start long, n_words long, content long, bands array<long>", block)
 
 
+def _place_table(docs: DataFrame) -> DataFrame:
+    """The paragraphs without their band keys."""
+    def block(ids: list, texts: list) -> pa.RecordBatch:
+        p = paragraphs(texts)
+        size = p.last - p.first
+        return pa.RecordBatch.from_arrays([pa.array(np.array(ids, dtype=np.int64)[p.text]), pa.array(p.start), pa.array(size),
+                                           pa.array(_contents(p, p.first, size).view(np.int64))], ["id", "start", "n_words", "content"])
+
+    return map_texts(docs, "id", "text", "id long, start long, n_words long, content long", block)
+
+
 def _window_table(docs: DataFrame, s: Settings) -> DataFrame:
     def block(ids: list, texts: list) -> pa.RecordBatch:
         p = paragraphs(texts)
@@ -238,22 +249,46 @@ def _window_table(docs: DataFrame, s: Settings) -> DataFrame:
 def _near_table(docs: DataFrame, shared: DataFrame, s: Settings) -> DataFrame:
     """``id, start, content`` of the windows near those of ``shared`` (id, start),
     from the whole texts."""
-    texts = docs.join(shared.groupBy("id").agg(F.collect_set("start").alias("starts")), "id")
+    texts = pack_texts(docs, "id", "text").join(shared.groupBy("id").agg(F.collect_set("start").alias("starts")), "id")
 
     def block(ids: list, texts: list, starts: list) -> pa.RecordBatch:
         text, start, content = near_windows(paragraphs(texts), starts, s)
         return pa.RecordBatch.from_arrays([pa.array(np.array(ids, dtype=np.int64)[text]), pa.array(start), pa.array(content.view(np.int64))],
                                           ["id", "start", "content"])
 
-    return map_texts(texts, "id", "text", "id long, start long, content long", block, extra=("starts",))
+    return map_texts(texts, "id", "text", "id long, start long, content long", block, extra=("starts",), packed=True)
 
 
 def _shared_windows(windows: DataFrame) -> DataFrame:
-    """The windows that more than one id has, with their first occurrence."""
-    at = F.struct("id", "start")
-    shared = (windows.groupBy("content").agg(F.min(at).alias("low"), F.max("id").alias("high")).where("low.id < high")
-              .select("content", "low"))
-    return windows.join(shared, "content")
+    """The windows that more than one id has, with their first occurrence: ``id,
+    start, low, low_start``. One shuffle; each task reads its windows sorted, as a
+    stream, and holds no more of one content than the first id's occurrences."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((3, 0), np.int64)               # of the last content: the first id's windows, not shared so far
+        known = None                                    # or its content, first id and start, once it is shared
+        for batch in batches:
+            rows = np.hstack([held, np.stack([c.to_numpy() for c in batch.columns])])
+            if not rows.shape[1]:
+                continue
+            new = np.flatnonzero(np.r_[True, np.diff(rows[0]) != 0])
+            size = np.diff(np.r_[new, rows.shape[1]])
+            low, low_start = rows[1, new], rows[2, new]
+            goes_on = known is not None and known[0] == rows[0, 0]
+            if goes_on:
+                low[0], low_start[0] = known[1:]
+            shared = rows[1, new + size - 1] != low     # sorted: the last id is another one
+            if goes_on:
+                shared[0] = True
+            here = np.repeat(shared, size)
+            if here.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[here]) for x in (rows[1], rows[2], np.repeat(low, size), np.repeat(low_start, size))],
+                                                 ["id", "start", "low", "low_start"])
+            known = (rows[0, -1], low[-1], low_start[-1]) if shared[-1] else None
+            held = rows[:, :0] if shared[-1] else rows[:, new[-1]:]
+
+    order = ["content", "id", "start"]
+    return (windows.select(*order).repartition("content").sortWithinPartitions(*order)
+            .mapInArrow(run, "id long, start long, low long, low_start long"))
 
 
 def passages(docs: DataFrame, s: Settings) -> DataFrame:
@@ -261,8 +296,7 @@ def passages(docs: DataFrame, s: Settings) -> DataFrame:
     start, n_words`` and the first document's ``low, low_start``. Windows in a row
     are one passage where the first document's are in a row as well."""
     chosen = cut(_shared_windows(_window_table(docs, s)).select("id", "start"))
-    later = _shared_windows(_near_table(docs, chosen, s)).where("id > low.id").select(
-        "id", "start", F.col("low.id").alias("low"), F.col("low.start").alias("low_start"))
+    later = _shared_windows(_near_table(docs, chosen, s)).where("id > low")
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come sorted; a passage that two batches share goes on
@@ -298,7 +332,7 @@ def _shingles(docs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     paragraphs of ``reps`` (id, start, content), read again from their whole
     texts."""
     wanted = reps.groupBy("id").agg(F.collect_set("start").alias("starts"))
-    texts = docs.join(wanted, "id")
+    texts = pack_texts(docs, "id", "text").join(wanted, "id")
 
     def block(ids: list, texts: list, starts: list) -> pa.RecordBatch:
         p = paragraphs(texts)
@@ -315,7 +349,7 @@ def _shingles(docs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
             [pa.array(content.view(np.int64)), pa.array([x.view(np.int64).tolist() for x in sets], pa.list_(pa.int64())),
              pa.array(marks.tolist(), pa.list_(pa.int64()))], ["content", "grams", "sketch"])
 
-    found = map_texts(texts, "id", "text", "content long, grams array<long>, sketch array<long>", block, extra=("starts",))
+    found = map_texts(texts, "id", "text", "content long, grams array<long>, sketch array<long>", block, extra=("starts",), packed=True)
     return found.dropDuplicates(["content"])
 
 
@@ -406,7 +440,7 @@ def repeated(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
     first = named.groupBy("component_id").agg(F.min("rep").alias("first"))
     groups = cut(named.join(first, "component_id").select("content", "component_id", "first"))
     contents.unpersist()
-    whole = (paras.select("id", "start", "n_words", "content").join(groups, "content")
+    whole = (_place_table(docs).join(groups, "content")
              .select("id", "start", "n_words", F.lit("paragraph").alias("kind"), "component_id", F.col("first.id").alias("first_doc_id"),
                      (F.struct("id", "start") != F.col("first")).alias("removed")))
     long = cut(passages(docs, s))
@@ -447,7 +481,10 @@ def without_repeats(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
         return pd.Series([t if t is None or x is None else cut_words(t.encode(), list(zip(x, n))).decode()
                           for t, x, n in zip(texts, starts, sizes)], dtype=object)
 
-    joined = docs.join(spans, docs[id_col] == spans["__id"], "left")
+    names = docs.columns                                # joined under plain numbers: any column name may be there
+    rows = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    own, body = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    joined = rows.join(spans, F.col(own).cast("long") == F.col("__id"), "left")
     marks = F.col("__spans")
-    new = F.when(marks.isNull(), F.col(text_col)).otherwise(cut_out(F.col(text_col), marks["s"], marks["n"]))
-    return joined.withColumn(text_col, new).select(*docs.columns)
+    new = F.when(marks.isNull(), F.col(body)).otherwise(cut_out(F.col(body), marks["s"], marks["n"]))
+    return joined.withColumn(body, new).select(*rows.columns).toDF(*names)

@@ -34,5 +34,5 @@ def test_stages_on_awkward_and_empty_documents(spark):
 
 def test_names():
     assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert len(queries.QUERIES) == 10 and set(queries.ORACLE) <= set(queries.QUERIES)
+    assert len(queries.QUERIES) == 13 and set(queries.ORACLE) <= set(queries.QUERIES)
     assert [n for n, _ in CP.STAGES] == ["quality_rules", "quality_classifier", "simhash_near_dedup", "substring_dedup", "best_fit_packing"]

@@ -124,6 +124,30 @@ def test_passages_as_long_as_they_go(spark):
     assert all(want[i] <= cut[i] <= most[i] for i in texts) and sum(map(len, want.values())) > 2000
 
 
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(k, "the same line of some words here", "x", "y") for k in range(3)], "doc_id long, text string, __id string, __spans string")
+    out = S.without_repeats(docs)
+    assert out.columns == docs.columns and {(r.doc_id, r.text, r["__id"]) for r in out.collect()} == {
+        (0, "the same line of some words here", "x"), (1, "", "x"), (2, "", "x")}
+
+
+def test_shared_windows_in_small_batches(spark):
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 9), rng.randint(0, 50), rng.choice([7] * 30 + list(range(40)))) for _ in range(600)]
+    groups = {}
+    for i, at, c in rows:
+        groups.setdefault(c, []).append((i, at))
+    want = sorted((i, at, *min(g)) for g in groups.values() if len({i for i, _ in g}) > 1 for i, at in g)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for n in ("1", "7", "1000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+        try:
+            got = S._shared_windows(spark.createDataFrame(rows, "id long, start long, content long")).collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        assert sorted(map(tuple, got)) == want
+
+
 def test_matched_members_of_large_buckets_are_compared_too(spark):
     rng, words = random.Random(41), vocabulary(3000)
     line, lines = [rng.choice(words) for _ in range(100)], []
