@@ -4,11 +4,12 @@ Paragraphs (lines) are compared by MinHash banding over five-word shingles
 (those of fewer than five words are equal or not):
 bands are tuned for recall at the similarity asked for, colliding paragraphs
 are joined, compared by a sketch and, where that does not rule them out, verified by
-exact Jaccard similarity, and verified links form components. Of each component one occurrence stays. A bucket's members are
-joined to its ``centres`` smallest ones, which is all pairs in small buckets; in
-larger ones, all other members, matched or not, are banded again with longer keys,
-so that false collisions fall apart, and with more centres, until no bucket holds
-two that were not compared and are not of one component already.
+exact Jaccard similarity, and verified links form components. Of each component one
+occurrence stays. A bucket's members are joined to ``centres`` of them, which is all
+pairs in small buckets. In larger ones where only a few members are outside the
+commonest component so far, these few are compared with all; the others are banded
+again with longer keys, so that false collisions fall apart, and with more centres,
+until no bucket holds two that were not compared and are not of one component already.
 
 A passage may also sit inside longer paragraphs that differ around it, or go
 over line ends that differ. Every run of consecutive word windows of a text,
@@ -381,14 +382,20 @@ def _banded(grams: DataFrame, s: Settings, rows: int) -> DataFrame:
 
 def _shared_keys(keyed: DataFrame) -> DataFrame:
     """Rows (key, content, label) of the keys that more than one label has, with
-    their number ``n``."""
-    sizes = keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
-    return keyed.join(sizes.where("low < high").select("key", "n"), "key")
+    the number of the key's rows of the ``same`` label and of those (``few``) outside
+    its commonest label."""
+    own = keyed.groupBy("key", "label").agg(F.count("*").alias("same"))
+    all_of = own.groupBy("key").agg((F.sum("same") - F.max("same")).alias("few")).where("few > 0")
+    return keyed.join(own.join(all_of, "key"), ["key", "label"]).select("key", "content", "label", "same", "few")
 
 
 def paragraph_components(docs: DataFrame, contents: DataFrame, s: Settings) -> DataFrame:
     """``node, component`` of the distinct paragraph contents that a verified link
-    joins to another one."""
+    joins to another one.
+
+    A bucket is done when all members outside its commonest label (component so
+    far) have been centres: then all pairs of two labels were compared. Where a few
+    are outside, they are the next round's centres; other buckets are banded again."""
     rest = cut(_shared_keys(contents.select(F.explode("bands").alias("key"), "content", F.col("content").alias("label"))))
     reps = rest.select("content").distinct().join(contents.select("content", "rep.id", "rep.start"), "content")
     grams = cut(_shingles(docs, reps, s))
@@ -396,7 +403,7 @@ def paragraph_components(docs: DataFrame, contents: DataFrame, s: Settings) -> D
     comps, rows, most = docs.sparkSession.createDataFrame([], "node long, component long"), s.rows, s.centres
     while not rest.isEmpty():
         # the limit on the rank is applied in each map task before the shuffle
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("content"))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("same", "label", "content"))
         ranked = rest.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
         centres = ranked.join(marks, "content").select(F.col("key").alias("k"), F.col("content").alias("centre"),
                                                        F.col("label").alias("own"), F.col("sketch").alias("mark"))
@@ -406,13 +413,13 @@ def paragraph_components(docs: DataFrame, contents: DataFrame, s: Settings) -> D
                  .select(F.least("content", "centre").alias("a"), F.greatest("content", "centre").alias("b")).distinct())
         good = _similar(pairs, grams, s)
         comps = cut(connected_components(good.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
-        # members that were not compared with all of their bucket, but for those of one component
-        others = (rest.where(F.col("n") > most).select("key", "content").join(ranked.select("key", "content"), ["key", "content"], "left_anti")
-                  .join(comps.withColumnRenamed("node", "content"), "content", "left")
+        undone = (rest.where(F.col("few") > most).select("key", "content").join(comps.withColumnRenamed("node", "content"), "content", "left")
                   .select("key", "content", F.coalesce("component", "content").alias("label")))
-        left = _shared_keys(others).groupBy("content").agg(F.min("label").alias("label"))
         rows, most = min(2 * rows, LONGEST), 4 * most
-        rest = cut(_shared_keys(_banded(grams.join(left, "content"), s, rows)))
+        undone = cut(_shared_keys(undone))
+        left = undone.where(F.col("few") > most).groupBy("content").agg(F.min("label").alias("label"))
+        fresh = _banded(grams.join(left, "content"), s, rows)
+        rest = cut(_shared_keys(undone.where(F.col("few") <= most).select("key", "content", "label").unionByName(fresh).distinct()))
     return comps
 
 
