@@ -32,7 +32,7 @@ HEADLINE = (
     "decomposition_backtest_metrics",    # grouped ridge fits, 4 folds
     "gbt_holdout_eval",          # tree fit + 91-day recursive forecast
     "gbt_gain_by_fold",          # cost analysis: trees vs seasonal naive, 4 folds
-    "gbt_search",                # 2 sampled trials x 3 folds, fold inputs prepared once
+    "gbt_search",                # Parzen search: 6 trials of up to 8 rounds, folds 1-3
 )
 
 
