@@ -22,6 +22,7 @@ from demandgrid.functions import args as A
 from demandgrid.functions.quantiles import exact_quantiles
 from demandgrid.operators import features as X
 from demandgrid.operators import forecast as FC
+from demandgrid.operators import prefix as PX
 
 
 def _last_date(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
@@ -85,6 +86,26 @@ def calibration_residuals(history: DataFrame, calibration_days: int | None = 60,
                          (F.col(target_col) - F.col(f"y_pred_{base}")).alias("residual"))
 
 
+def residuals_by_length(history: DataFrame, lengths: Sequence[int], base: str = "seasonal_naive", season: int = 7,
+                        key_col: str = "calib_days", date_col: str = DATE_COL, entity_col: str = ENTITY_COL,
+                        target_col: str = TARGET_COL) -> DataFrame:
+    """:func:`calibration_residuals` for several calibration lengths at once, as
+    ``(key_col, date, entity, residual)``. The fit part of every length is a
+    prefix of the history (``operators.prefix``), so the history is shuffled
+    once and not copied per length."""
+    A.some("lengths", lengths)
+    A.all_at_least("lengths", lengths, 1)
+    A.among("base", [base], FC.BASELINES)
+
+    def prefixes(end):
+        return [(int(n), F.date_sub(end, int(n)), F.date_sub(end, int(n) - 1), end) for n in lengths]
+
+    scored = PX.score_prefixes(history, prefixes, key_col, season, [base], date_col=date_col,
+                               entity_col=entity_col, target_col=target_col)
+    scored = X.add_holiday_features(scored, date_col).where(F.col("is_operational") == 1)
+    return scored.select(key_col, date_col, entity_col, (F.col(target_col) - F.col(f"y_pred_{base}")).alias("residual"))
+
+
 def tree_calibration_residuals(history: DataFrame, calibration_days: int = 60, params=None,
                                thresholds=None, reference_date=None, date_col: str = DATE_COL,
                                entity_col: str = ENTITY_COL, target_col: str = TARGET_COL) -> DataFrame:

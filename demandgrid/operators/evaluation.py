@@ -9,6 +9,7 @@ is already small.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -19,6 +20,9 @@ from demandgrid.functions import args as A
 from demandgrid.functions import metrics as M
 from demandgrid.operators import folds as FO
 from demandgrid.operators import forecast as FC
+from demandgrid.operators import prefix as PX
+from demandgrid.operators.checks import require_columns
+from demandgrid.session import store
 
 
 def backtest_wide(panel: DataFrame, spec=FOLD_SPEC, season: int = 7,
@@ -27,23 +31,15 @@ def backtest_wide(panel: DataFrame, spec=FOLD_SPEC, season: int = 7,
     """One row per (fold_id, test date, entity): the truth and every
     model's prediction and interval (``y_pred_<model>`` ...).
 
-    Plan: rows are tagged with their folds (narrow), hash-partitioned ONCE
-    on (fold_id, entity); the train side's window + state aggregate and the
-    test side's join reuse that partitioning. Per-fold last training date
-    and horizon (distinct test dates) come from one tiny aggregate that is
-    broadcast. Forecast = test-row scoring, no grid materialised.
+    Every fold trains on a prefix of the panel, so one ordered pass per entity
+    holds the states of all folds (``operators.prefix``): the panel is
+    hash-partitioned by entity once, no row is copied per fold, and test rows
+    are scored in that pass. A fold without train or test days is an error.
     """
-    assigned = FO.assign_folds(panel, spec, date_col=date_col).repartition("fold_id", entity_col)
-    is_train = F.col("split") == "train"
-    train = assigned.where(is_train)
-    test = assigned.where(~is_train).select(
-        "fold_id", date_col, entity_col, F.col(target_col).cast("double").alias(target_col))
-    info = assigned.groupBy("fold_id").agg(
-        F.max(F.when(is_train, F.col(date_col))).alias("last_date"),
-        F.count_distinct(F.when(~is_train, F.col(date_col))).cast("int").alias("horizon"))
-    state = FC.fit_baselines(train, season, ["fold_id"], date_col, entity_col, target_col)
-    return FC.score_rows(test, state, info, season, ["fold_id"], models, date_col=date_col,
-                         entity_col=entity_col)
+    FO.validate_spec(spec)
+    prefixes = [(int(f), F.lit(end), F.lit(first), F.lit(last)) for f, end, first, last, _ in spec]
+    return PX.score_prefixes(panel, prefixes, "fold_id", season, models, date_col=date_col,
+                             entity_col=entity_col, target_col=target_col)
 
 
 def wide_to_long(wide: DataFrame, models: Sequence[str] = FC.BASELINES,
@@ -70,6 +66,7 @@ def backtest(panel: DataFrame, models: Sequence[str] = FC.BASELINES,
 def metrics_by(preds: DataFrame, group_cols: Sequence[str], y: str = TARGET_COL,
                yhat: str = "y_pred") -> DataFrame:
     """WAPE, MAE, RMSE, bias and row count per group."""
+    require_columns(preds, [*group_cols, y, yhat])
     return preds.groupBy(*group_cols).agg(*M.metric_columns(y, yhat))
 
 
@@ -95,6 +92,11 @@ def in_event_windows(df: DataFrame, event_dates: Sequence[dt.date], days_around:
 def wape_in_event_window(df: DataFrame, event_dates: Sequence[dt.date], days_around: int = 3,
                          group_cols: Sequence[str] = (), y: str = TARGET_COL,
                          yhat: str = "y_pred", date_col: str = DATE_COL) -> DataFrame:
+    """WAPE per group near the events; no row in any window is an error."""
+    A.some("event_dates", event_dates)
+    require_columns(df, [date_col, *group_cols, y, yhat])
+    if in_event_windows(df.select(date_col), event_dates, days_around, date_col).isEmpty():
+        raise ValueError(f"event_dates: no row within {days_around} days of {[str(e) for e in event_dates]}")
     return in_event_windows(df, event_dates, days_around, date_col).groupBy(*group_cols).agg(
         M.wape(y, yhat).alias("wape"), F.count(F.lit(1)).alias("n_rows"))
 
@@ -161,30 +163,61 @@ def fold_winner(metrics: DataFrame, model: str, baseline: str, metric: str = "wa
     })
 
 
-def average_rank(df: DataFrame, col: str, out_col: str, slices: int = 256) -> DataFrame:
-    """Rank with ties sharing their average position (1-based; rows with a null
-    value drop).
-
-    Values are counted, approximate quantiles cut them into slices, and running
-    sums over the slices (a row each) and within each slice give every value's
-    place, so no task ranks more than about 1 / slices of the distinct values."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    cuts = counts.agg(F.percentile_approx(F.col("__v").cast("double"), F.array(*[F.lit(i / slices) for i in range(1, slices)]),
-                                          20 * slices)).scalar()
-    dealt = counts.withColumn("__cuts", cuts)
-    dealt = dealt.withColumn("__slice", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
-    sizes = dealt.groupBy("__slice").agg(F.sum("__c").alias("__s"))
-    # at most ``slices`` rows, as one array: no window without a partition
-    sums = sizes.agg(F.map_from_entries(F.collect_list(F.struct("__slice", "__s")))).scalar()
-    before = F.aggregate(F.map_values(F.map_filter("__sums", lambda k, _: k < F.col("__slice"))), F.lit(0).cast("long"), lambda n, x: n + x)
-    inside = F.sum("__c").over(Window.partitionBy("__slice").orderBy("__v"))
-    ranks = (dealt.withColumn("__sums", sums).withColumn("__upto", before + inside)
-             .select("__v", (F.col("__upto") - (F.col("__c") - 1) / 2.0).alias(out_col)))
-    return df.join(ranks, F.col(col) == F.col("__v")).drop("__v")
+def average_ranks(values: DataFrame, slices: int = 256) -> DataFrame:
+    """Ranks with ties sharing their average position (1-based) within each
+    ``name`` of ``values(name, value)``: ``(name, value, rank)``, one row per
+    distinct value.
+
+    Values are counted, approximate quantiles cut each name's distinct values
+    into slices, and running counts over the slices (a row each) and within each
+    slice give every value's place; all names in one pass, and no task ranks more
+    than about 1 / slices of a name's distinct values."""
+    counts = store(values.where(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count(F.lit(1)).alias("c")))
+    cuts = counts.groupBy("name").agg(F.percentile_approx(
+        "value", F.array(*[F.lit(i / slices) for i in range(1, slices)]), 20 * slices).alias("cuts"))
+    dealt = counts.join(cuts, "name").select("name", "value", "c", F.size(F.filter("cuts", lambda q: q < F.col("value"))).alias("slice"))
+    sizes = dealt.groupBy("name", "slice").agg(F.sum("c").alias("s"))
+    earlier = Window.partitionBy("name").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("name", "slice", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("name", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.col("before") + F.sum("c").over(inside)
+    return dealt.join(sizes, ["name", "slice"]).select("name", "value", (upto - (F.col("c") - 1) / 2.0).alias("rank"))
+
+
+def correlation_p_value(r: Column, n: Column, steps: int = 2000) -> Column:
+    """Two-sided p-value of a correlation ``r`` of ``n`` pairs under no
+    association (t distribution with n - 2 degrees of freedom; NULL below 3 pairs).
+
+    With r = sin(a) the null density is proportional to cos(a)^(n-3), so p is the
+    ratio of two integrals of a falling function. Both are taken by Simpson's rule
+    relative to their first ordinate, over the range where it is not vanishing."""
+    power = (n - 3).cast("double")
+    half = F.lit(math.pi / 2)
+    reach = F.lit(12.0) / F.sqrt(F.greatest(power, F.lit(1.0)))
+
+    def integral(lo):
+        width = F.least(half - lo, reach) / steps
+        top = F.ln(F.cos(lo))
+        ordinate = lambda i: F.exp(power * (F.ln(F.greatest(F.cos(lo + i * width), F.lit(1e-300))) - top))
+        weight = lambda i: F.when((i == 0) | (i == steps), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        total = F.aggregate(F.sequence(F.lit(0), F.lit(steps)), F.lit(0.0), lambda acc, i: acc + weight(i) * ordinate(i))
+        return total * width / 3.0
+
+    a = F.asin(F.least(F.abs(r), F.lit(1.0)))
+    share = F.exp(power * F.ln(F.cos(a))) * integral(a) / integral(F.lit(0.0))
+    return F.when(n < 3, F.lit(None).cast("double")).when(F.abs(r) >= 1 - 1e-15, 0.0).otherwise(share)
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Spearman rank correlation = Pearson correlation of average ranks."""
-    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = average_rank(average_rank(both, x, "__rx"), y, "__ry")
-    return ranked.agg(F.corr("__rx", "__ry").alias("spearman"), F.count(F.lit(1)).alias("n"))
+    """Spearman rank correlation (Pearson correlation of average ranks over rows
+    with both values), the number of rows and the two-sided p-value.
+
+    The rows are stored once, both columns are ranked in one pass over them and
+    the ranks are stored, so nothing upstream runs twice."""
+    both = store(df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+                 .select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")))
+    long = both.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in ("x", "y")])).alias("v"))
+    ranks = store(average_ranks(long.select("v.name", "v.value")))
+    side = lambda c: ranks.where(F.col("name") == c).select(F.col("value").alias(c), F.col("rank").alias(f"r{c}"))
+    out = both.join(side("x"), "x").join(side("y"), "y").agg(F.corr("rx", "ry").alias("spearman"), F.count(F.lit(1)).alias("n"))
+    return out.withColumn("p_value", correlation_p_value(F.col("spearman"), F.col("n")))

@@ -296,7 +296,8 @@ def q_wape_pivot(spark, sf_dir):
 
 @query("spearman_volume_wape")
 def q_spearman(spark, sf_dir):
-    return _round_cols(E.spearman(_holdout_perf(spark, sf_dir), "total", "wape"), ["spearman"])
+    """Rank correlation of an entity's volume and its WAPE, with its p-value."""
+    return _round_cols(E.spearman(_holdout_perf(spark, sf_dir), "total", "wape"), ["spearman", "p_value"])
 
 
 # ---------------------------------------------------------------------------
@@ -368,10 +369,7 @@ def q_conformal_coverage(spark, sf_dir):
     """Offsets and holdout coverage for 30/45/60/90/120 calibration days."""
     panel = nation_panel(spark, sf_dir)
     hist = panel.where(F.col("shipment_date") <= F.lit(TRAIN_END))
-    keyed = hist.withColumn("calib_days", F.explode(F.array(*[F.lit(c) for c in K.CALIBRATION_LENGTHS])))
-    offs = CF.conformal_offsets(
-        CF.calibration_residuals(keyed, None, keys=["calib_days"], calib_col="calib_days"),
-        0.1, keys=["calib_days"])
+    offs = CF.conformal_offsets(CF.residuals_by_length(hist, K.CALIBRATION_LENGTHS), 0.1, keys=["calib_days"])
     horizon = (HOLDOUT[1] - HOLDOUT[0]).days + 1
     base = CF.base_fit_predict(hist, horizon, "seasonal_naive", 7, (), "shipment_date", "entity",
                                "n_shipments")
