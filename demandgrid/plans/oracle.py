@@ -58,6 +58,7 @@ def panel_ctes(grain: str = "nation", name: str = "panel") -> str:
 
 
 @oracle("panel_nation")
+@oracle("panel_by_batches")
 def _():
     return f"WITH {panel_ctes('nation')} SELECT * FROM panel"
 

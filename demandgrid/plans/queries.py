@@ -6,15 +6,21 @@ result columns carry the same names as the oracle SQL in ``oracle.py``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 from contextvars import ContextVar
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandgrid.operators import panel as P
+from demandgrid.session import scratch_folder
+from demandgrid.sources import incremental as INC
 from demandgrid.sources import tables as S
 
+BATCH_START = _dt.datetime(1999, 1, 1)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -75,13 +81,23 @@ def q_panel_summary(spark, sf_dir):
     return P.panel_summary(nation_panel(spark, sf_dir))
 
 
+@query("panel_by_batches")
+def q_panel_by_batches(spark, sf_dir):
+    """The nation panel from three loads into a stored panel: orders since
+    ``BATCH_START``, the earlier ones as a late batch (their shipments reach into
+    months that are there), and the first batch once more (changes nothing)."""
+    stored = INC.PanelStore(spark, scratch_folder(spark))
+    orders = S.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    lines = S.read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_shipdate"])
+    early = F.coalesce(F.col("o_orderdate") < F.lit(BATCH_START), F.lit(False))
+    for batch, rows in (("recent", ~early), ("late", early), ("recent", ~early)):
+        stored.load(S.counts_from_facts(spark, sf_dir, lines, orders.where(rows)), batch)
+    return stored.panel()
+
+
 # ---------------------------------------------------------------------------
 # Window and calendar features
 # ---------------------------------------------------------------------------
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
 from demandgrid import constants as K  # noqa: E402
 from demandgrid.operators import features as X  # noqa: E402
 from demandgrid.operators import windows as W  # noqa: E402

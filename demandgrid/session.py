@@ -50,16 +50,23 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/demandgrid-work"
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new name under :func:`work_folder`; what is written there goes when the
+    application ends."""
+    path = f"{work_folder(spark)}/{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def store(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet under :func:`work_folder` and read it back: cuts
     lineage on reliable storage, keeps column pruning and filter pushdown. The
     files go when the application ends."""
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/{uuid.uuid4().hex}"
+    path = scratch_folder(spark)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 

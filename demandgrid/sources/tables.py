@@ -217,13 +217,20 @@ def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 # Load order: referenced tables before those that refer to them.
-def load_raw(spark: SparkSession, csv_dir: str, out_dir: str) -> dict[str, int]:
+def load_raw(spark: SparkSession, csv_dir: str, out_dir: str, batch: str | None = None) -> dict[str, int]:
     """Read the raw CSV of every table with its schema, write it as a table and
-    return the stored rows per table, in load order."""
+    return the stored rows per table, in load order. With ``batch`` the rows are
+    added as that batch (``sources.incremental.append_batch``: loading it again
+    replaces its own rows only), and the batch's rows are counted."""
+    from demandgrid.sources.incremental import append_batch
     rows: dict[str, int] = {}
     for table in RAW_SCHEMAS:
         target = f"{out_dir.rstrip('/')}/{table}"
-        write_table(read_raw_csv(spark, f"{csv_dir.rstrip('/')}/{table}.csv", table), target)
+        raw = read_raw_csv(spark, f"{csv_dir.rstrip('/')}/{table}.csv", table)
+        if batch is not None:
+            rows[table] = append_batch(raw, target, batch)
+            continue
+        write_table(raw, target)
         rows[table] = spark.read.parquet(target).count()
     return rows
 
@@ -270,7 +277,7 @@ def read_panel(spark: SparkSession, path: str, date_col: str = DATE_COL,
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace a table (overwrite; the original appended, see the README)."""
+    """Replace a table (``sources.incremental.append_batch`` adds to one)."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)
