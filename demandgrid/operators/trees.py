@@ -7,12 +7,11 @@ features, ``GBTRegressor(lossType="absolute")`` (distributed training).
 Recursive forecast: every feature is entity-local (own lags / trailing
 stats, own volume) or a calendar function of the date, so entities are
 independent. Calendar, holiday, event, trend and volume columns of the
-future days are computed by Spark; each entity's group then holds only its
-last ``TAIL`` observed days plus the horizon rows (a parameter bound) and
-an ``applyInPandas`` step walks the days: lags and trailing stats from the
-running series, score with the broadcast tree table, 0 on non-operational
-days, clip at 0, append. The tree table (read from the fitted model's printed
-form) is bounded by ``maxIter x 2^(maxDepth+1)`` nodes.
+future days are computed by Spark; the days are then folded per entity over
+an array of its last ``TAIL`` values (``operators.ensemble``): lags and trailing
+stats from the state, the ensemble's sum, 0 on non-operational days, clip at 0,
+append. The node table (read from the fitted model's printed form) is bounded by
+``maxIter x 2^(maxDepth+1)`` nodes.
 """
 
 from __future__ import annotations
@@ -23,7 +22,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,6 +30,7 @@ from pyspark.sql import functions as F
 from demandgrid import constants as K
 from demandgrid.functions import args as A
 from demandgrid.operators import boosting as B
+from demandgrid.operators import ensemble as EN
 from demandgrid.operators import features as X
 from demandgrid.operators import forecast as FC
 
@@ -227,51 +226,6 @@ def score_table(table: dict, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _recursive_fn(table_bc, feature_order: Sequence[str], date_col: str, entity_col: str,
-                  target_col: str):
-    """Per group of entities: walk the forecast days, vectorised over the
-    entities of the group (all share the same future dates). The node
-    table arrives as a broadcast variable (shipped once per executor)."""
-    idx = {c: i for i, c in enumerate(feature_order)}
-    rec = [idx[c] for c in RECURSIVE]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = table_bc.value
-        pdf = pdf.sort_values([entity_col, date_col])
-        hist = pdf[pdf["__future"] == 0]
-        fut = pdf[pdf["__future"] == 1]
-        ents = sorted(fut[entity_col].unique())
-        if not ents:
-            return pd.DataFrame({date_col: [], entity_col: [], "y_pred": []})
-        days = sorted(fut[date_col].unique())
-        n, h = len(ents), len(days)
-        counts = hist.groupby(entity_col).size().reindex(ents).fillna(0)
-        if (counts < TAIL).any():
-            short = counts[counts < TAIL].index[0]
-            raise ValueError(f"entity {short!r} has fewer than {TAIL} days of history")
-        series = hist.groupby(entity_col)[target_col].apply(
-            lambda v: v.to_numpy(float)[-TAIL:]).reindex(ents)
-        series = np.vstack(series.to_list())                       # n x TAIL
-        fut = fut.set_index([entity_col, date_col]).reindex(
-            pd.MultiIndex.from_product([ents, days], names=[entity_col, date_col]))
-        feats = fut[list(feature_order)].to_numpy(float).reshape(n, h, len(feature_order))
-        oper = fut["is_operational"].to_numpy().reshape(n, h) == 1
-        preds = np.zeros((n, h))
-        for t in range(h):
-            x = feats[:, t, :].copy()
-            w = series[:, -7:]
-            x[:, rec[0]] = series[:, -7]
-            x[:, rec[1]] = series[:, -14]
-            x[:, rec[2]] = w.mean(axis=1)
-            x[:, rec[3]] = w.std(axis=1, ddof=1)
-            y = np.where(oper[:, t], np.maximum(score_table(table, x), 0.0), 0.0)
-            preds[:, t] = y
-            series = np.hstack([series, y[:, None]])
-        return pd.DataFrame({date_col: np.tile(np.asarray(days), n), entity_col: np.repeat(ents, h),
-                             "y_pred": preds.reshape(-1)})
-    return run
-
-
 def forecast_inputs(source, history: DataFrame, horizon: int, date_col: str = K.DATE_COL,
                     entity_col: str = K.ENTITY_COL, target_col: str = K.TARGET_COL) -> DataFrame:
     """Each entity's last ``TAIL`` days plus the ``horizon`` future days with
@@ -299,25 +253,15 @@ def forecast_inputs(source, history: DataFrame, horizon: int, date_col: str = K.
 
 def recursive_forecast(fc: TreeForecaster, history: DataFrame, horizon: int,
                        date_col: str = K.DATE_COL, entity_col: str = K.ENTITY_COL,
-                       target_col: str = K.TARGET_COL, buckets: int | None = None,
-                       inputs: DataFrame | None = None) -> DataFrame:
+                       target_col: str = K.TARGET_COL, inputs: DataFrame | None = None) -> DataFrame:
     """``horizon`` days after the last date of ``history`` for every entity
     (``inputs``: a prebuilt :func:`forecast_inputs` frame for this history
     and horizon)."""
     A.at_least("horizon", horizon, 1)
-    spark = history.sparkSession
     table = fc.model.table() if isinstance(fc.model, B.Boosted) else tree_table(fc.model)
     feats = inputs if inputs is not None else forecast_inputs(fc, history, horizon, date_col, entity_col,
                                                               target_col)
-    fn = _recursive_fn(spark.sparkContext.broadcast(table), MODEL_FEATURES, date_col, entity_col, target_col)
-    # Entities are hashed into buckets (one group per bucket): a group holds
-    # about entities / buckets x (TAIL + horizon) rows, bounded by the bucket
-    # count, and each day is scored for the whole bucket at once.
-    n_buckets = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    return (feats.withColumn("__bucket", F.pmod(F.xxhash64(entity_col), F.lit(n_buckets)))
-            .groupBy("__bucket")
-            .applyInPandas(lambda pdf: fn(pdf.drop(columns="__bucket")),
-                           schema=f"{date_col} date, {entity_col} string, y_pred double"))
+    return EN.walk(feats, EN.ensemble_value(history.sparkSession, table), MODEL_FEATURES, TAIL, date_col, entity_col, target_col)
 
 
 def feature_importance(fc: TreeForecaster, spark: SparkSession) -> DataFrame:

@@ -636,9 +636,9 @@ def q_gbt_holdout(spark, sf_dir):
     holdout WAPE / MAE / RMSE rounded to 4 places."""
     fc = holdout_model(spark, sf_dir)
     hist = _history(spark, sf_dir)
-    pred = TR.recursive_forecast(fc, hist, (HOLDOUT[1] - HOLDOUT[0]).days + 1)
+    pred = P.materialize(TR.recursive_forecast(fc, hist, (HOLDOUT[1] - HOLDOUT[0]).days + 1))
     truth = P.date_window(nation_panel(spark, sf_dir), *HOLDOUT)
-    j = pred.join(truth, ["shipment_date", "entity"])
+    j = CH.one_to_one_join(pred, truth, ["shipment_date", "entity"])
     out = j.agg(F.min("shipment_date").alias("window_start"), F.max("shipment_date").alias("window_end"),
                 F.count_distinct("shipment_date").alias("n_days"), F.count(F.lit(1)).alias("n_rows"),
                 *[F.round(c, 4).alias(n) for n, c in (("wape", E.M.wape()), ("mae", E.M.mae()),
