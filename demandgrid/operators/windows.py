@@ -2,7 +2,8 @@
 
 Every function partitions by ``keys + [entity]`` and orders by date, so all
 window columns on one spec share one Exchange + Sort + Window. Frames count
-rows, not days: densify first. ``keys`` carries extra partition keys such as
+rows, not days: densify first, or take the day-based windows of
+``operators.sparse``, which give the same values without a dense panel. ``keys`` carries extra partition keys such as
 ``fold_id`` so that many folds are featurised in one plan without leakage.
 """
 
@@ -75,7 +76,11 @@ def rolling_dev_column(window: int = 7, target_col: str = TARGET_COL, keys: Sequ
     mean square, over k = 2..len(h), of ``h_k - mean(h_1..h_{k-1})``; NULL
     when fewer than 2 previous rows. The frame is bounded by ``window``.
     """
-    h = F.collect_list(target_col).over(spec(keys, entity_col, date_col).rowsBetween(-window, -1))
+    return deviation(F.collect_list(target_col).over(spec(keys, entity_col, date_col).rowsBetween(-window, -1)))
+
+
+def deviation(h: Column) -> Column:
+    """:func:`rolling_dev_column` of the array ``h`` of previous values."""
     n = F.size(h)
     sq = F.aggregate(
         F.sequence(F.lit(1), n - 1), F.lit(0.0),

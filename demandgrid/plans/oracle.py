@@ -176,6 +176,11 @@ def _():
     return f"WITH {panel_ctes()} {sql_feature_select()}"
 
 
+@oracle("features_sparse")
+def _():
+    return f"WITH {panel_ctes()} SELECT * FROM ({sql_feature_select()}) WHERE n_shipments > 0"
+
+
 @oracle("feature_coverage")
 def _():
     return f"""WITH {panel_ctes()}, f AS ({sql_feature_select()})

@@ -100,6 +100,7 @@ def q_panel_by_batches(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from demandgrid import constants as K  # noqa: E402
 from demandgrid.operators import features as X  # noqa: E402
+from demandgrid.operators import sparse as SP  # noqa: E402
 from demandgrid.operators import windows as W  # noqa: E402
 
 TREND_ANCHOR = _dt.date(1995, 1, 1)
@@ -124,6 +125,16 @@ def q_features_sql_table(spark, sf_dir):
                       *[_r6(c) for c in dbl])
 
 
+@query("features_sparse")
+def q_features_sparse(spark, sf_dir):
+    """The same features for the days with a shipment, from the sparse counts by
+    day-based windows: no zero-filled grid is built."""
+    out = SP.sql_feature_table(P.materialize(S.shipment_counts(spark, sf_dir, "nation")))
+    dbl = ["rolling_mean_7", "rolling_mean_14", "rolling_mean_28", "rolling_dev_7"]
+    return out.select("shipment_date", "entity", "n_shipments", "lag_1", "lag_7", "lag_14", "lag_28",
+                      *[_r6(c) for c in dbl])
+
+
 @query("feature_coverage")
 def q_feature_coverage(spark, sf_dir):
     out = W.sql_feature_table(nation_panel(spark, sf_dir))
