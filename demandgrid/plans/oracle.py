@@ -964,6 +964,15 @@ def _():
         for t, columns in TABLE_COLUMNS.items() for c in columns.split())
 
 
+@oracle("table_samples")
+def _():
+    keys = {"lineitem": "l_orderkey, l_linenumber", "conversations": "conv_id, turn"}
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, list(CAST({'len(embedding)' if c == 'embedding' else c} AS VARCHAR) ORDER BY pos) AS sample "
+        f"FROM (SELECT *, row_number() OVER (ORDER BY {keys.get(t, columns.split()[0])}) AS pos FROM {t}) WHERE pos <= 3"
+        for t, columns in TABLE_COLUMNS.items() for c in columns.split())
+
+
 EVENTS_PANEL = """
 ev_raw AS (SELECT CAST(ts AS DATE) AS shipment_date, event_type AS entity, COUNT(*) AS n
            FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL GROUP BY 1, 2),

@@ -603,6 +603,23 @@ def q_column_profile(spark, sf_dir):
     return out
 
 
+SAMPLE_ORDER = {"lineitem": ["l_orderkey", "l_linenumber"], "conversations": ["conv_id", "turn"]}
+
+
+@query("table_samples")
+def q_table_samples(spark, sf_dir):
+    """The first three rows of every table by its key, a row per column (values as
+    text; a vector as its number of components)."""
+    out = None
+    for t in S.TABLES:
+        df = S.read_table(spark, sf_dir, t)
+        lists = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
+        df = df.withColumns({c: F.size(c) for c in lists}) if lists else df
+        own = PR.sample_rows(df, 3, SAMPLE_ORDER.get(t, df.columns[:1])).select(F.lit(t).alias("table_name"), "column_name", "sample")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 @query("events_panel")
 def q_events_panel(spark, sf_dir):
     """Second panel: events per day and event type, dense."""
