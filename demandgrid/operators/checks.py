@@ -40,6 +40,25 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
         .withColumns({"table_name": F.lit(table), "fk": F.lit(f"{child_key}->{parent_key}")})
 
 
+def orphans_many(child: DataFrame, keys: Sequence[tuple[str, DataFrame, str]], table: str) -> DataFrame:
+    """:func:`orphans` for several foreign keys ``(child_key, parent, parent_key)``
+    in one scan of the child: (key number, value) pairs are counted before the
+    shuffle, and one anti join meets the parents' pairs. A row per key, 0 if clean.
+    The keys' types must have a common one."""
+    pairs = child.select(F.posexplode(F.array(*[F.col(k) for k, _, _ in keys])).alias("__at", "__k"))
+    counts = pairs.where(F.col("__k").isNotNull()).groupBy("__at", "__k").agg(F.count(F.lit(1)).alias("__n"))
+    parents = None
+    for i, (_, parent, parent_key) in enumerate(keys):
+        own = parent.select(F.lit(i).alias("__at"), F.col(parent_key).alias("__k"))
+        parents = own if parents is None else parents.unionByName(own)
+    bad = counts.join(parents, ["__at", "__k"], "left_anti").groupBy("__at").agg(F.sum("__n").alias("__n"))
+    found = bad.agg(F.map_from_entries(F.collect_list(F.struct("__at", "__n"))).alias("__found"))
+    names = F.array(*[F.lit(f"{c}->{p}") for c, _, p in keys])
+    return found.select("__found", F.posexplode(names).alias("__at", "fk")).select(
+        F.coalesce(F.try_element_at("__found", F.col("__at")), F.lit(0)).cast("long").alias("n_orphans"),
+        F.lit(table).alias("table_name"), "fk")
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     """Schema-only check, no job."""
     missing = [c for c in columns if c not in df.columns]

@@ -906,10 +906,10 @@ def _():
 
 @oracle("table_checks")
 def _():
-    def nulls(t, cols):
+    def nulls(t, cols, src=None):
         return " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, 'not_null' AS \"check\", '{c}' AS column_name, "
-            f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_violations FROM {t}" for c in cols)
+            f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_violations FROM {src or t}" for c in cols.split())
 
     def rule(t, name, pred, src=None):
         return (f"SELECT '{t}' AS table_name, 'rule' AS \"check\", '{name}' AS column_name, "
@@ -924,8 +924,11 @@ def _():
         return (f"SELECT '{t}' AS table_name, 'foreign_key' AS \"check\", '{ck}->{pk}' AS column_name, "
                 f"CAST(COUNT(*) AS BIGINT) AS n_violations FROM {t} c "
                 f"WHERE c.{ck} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} WHERE {p}.{pk} = c.{ck})")
-    parts = [nulls("lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"]),
-             nulls("orders", ["o_orderkey", "o_custkey", "o_orderstatus"]),
+    parts = [nulls("lineitem", "l_orderkey l_linenumber l_partkey l_suppkey l_quantity l_shipdate"),
+             nulls("orders", "o_orderkey o_custkey o_orderstatus o_orderdate"), nulls("customer", "c_custkey c_nationkey"),
+             nulls("supplier", "s_suppkey s_nationkey"), nulls("part", "p_partkey"),
+             nulls("nation", "n_nationkey n_name n_regionkey"), nulls("region", "r_regionkey r_name"),
+             nulls("panel_nation", "shipment_date entity n_shipments", "panel"),
              rule("lineitem", "l_quantity_positive", "l_quantity > 0"),
              rule("lineitem", "l_discount_0_1", "l_discount BETWEEN 0 AND 1"),
              rule("orders", "o_orderstatus_len_1", "length(o_orderstatus) = 1"),
@@ -936,7 +939,9 @@ def _():
              fk("lineitem", "l_orderkey", "orders", "o_orderkey"),
              fk("lineitem", "l_partkey", "part", "p_partkey"),
              fk("lineitem", "l_suppkey", "supplier", "s_suppkey"),
-             fk("customer", "c_nationkey", "nation", "n_nationkey")]
+             fk("customer", "c_nationkey", "nation", "n_nationkey"),
+             fk("supplier", "s_nationkey", "nation", "n_nationkey"),
+             fk("nation", "n_regionkey", "region", "r_regionkey")]
     return f"WITH {panel_ctes()} " + "\nUNION ALL ".join(parts)
 
 

@@ -559,19 +559,27 @@ def q_row_counts(spark, sf_dir):
     return PR.row_counts({t: S.read_table(spark, sf_dir, t) for t in S.TABLES})
 
 
+REQUIRED = {        # columns that must not be NULL
+    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"], "customer": ["c_custkey", "c_nationkey"],
+    "supplier": ["s_suppkey", "s_nationkey"], "part": ["p_partkey"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"], "region": ["r_regionkey", "r_name"],
+}
+
+
 @query("table_checks")
 def q_table_checks(spark, sf_dir):
-    """NOT NULL, value rules, key uniqueness and foreign keys of the facts."""
+    """NOT NULL, value rules, key uniqueness and foreign keys of facts and
+    dimensions: a table is scanned once for the column rules, once for its key and
+    once for all its foreign keys."""
     rd = lambda t, cols=None: S.read_table(spark, sf_dir, t, cols)
     li, od, cu, na = rd("lineitem"), rd("orders"), rd("customer"), rd("nation")
-    # One aggregation pass per table for NOT NULL and value rules.
-    a = CH.contract_report(li, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"],
-                           {"l_quantity_positive": F.col("l_quantity") > 0,
-                            "l_discount_0_1": F.col("l_discount").between(0, 1)}) \
-        .unionByName(CH.contract_report(od, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"],
-                                        {"o_orderstatus_len_1": F.length("o_orderstatus") == 1})) \
-        .unionByName(CH.contract_report(nation_panel(spark, sf_dir), "panel_nation",
-                                        rules={"n_shipments_nonneg": F.col("n_shipments") >= 0}))
+    rules = {"lineitem": {"l_quantity_positive": F.col("l_quantity") > 0, "l_discount_0_1": F.col("l_discount").between(0, 1)},
+             "orders": {"o_orderstatus_len_1": F.length("o_orderstatus") == 1}}
+    a = CH.contract_report(nation_panel(spark, sf_dir), "panel_nation", ["shipment_date", "entity", "n_shipments"],
+                           {"n_shipments_nonneg": F.col("n_shipments") >= 0})
+    for t, columns in REQUIRED.items():
+        a = a.unionByName(CH.contract_report(rd(t), t, columns, rules.get(t)))
     dups = [CH.duplicate_keys(li, ["l_orderkey", "l_linenumber"], "lineitem"),
             CH.duplicate_keys(od, ["o_orderkey"], "orders"),
             CH.duplicate_keys(cu, ["c_custkey"], "customer")]
@@ -580,11 +588,12 @@ def q_table_checks(spark, sf_dir):
         b = b.unionByName(d)
     b = b.select("table_name", F.lit("primary_key").alias("check"), F.col("key").alias("column_name"),
                  F.col("n_extra_rows").alias("n_violations"))
-    fks = [CH.orphans(od, cu, "o_custkey", "c_custkey", "orders"),
-           CH.orphans(li, od, "l_orderkey", "o_orderkey", "lineitem"),
-           CH.orphans(li, rd("part"), "l_partkey", "p_partkey", "lineitem"),
-           CH.orphans(li, rd("supplier"), "l_suppkey", "s_suppkey", "lineitem"),
-           CH.orphans(cu, na, "c_nationkey", "n_nationkey", "customer")]
+    su, pa, re = rd("supplier"), rd("part"), rd("region")
+    fks = [CH.orphans_many(li, [("l_orderkey", od, "o_orderkey"), ("l_partkey", pa, "p_partkey"), ("l_suppkey", su, "s_suppkey")], "lineitem"),
+           CH.orphans(od, cu, "o_custkey", "c_custkey", "orders"),
+           CH.orphans(cu, na, "c_nationkey", "n_nationkey", "customer"),
+           CH.orphans(su, na, "s_nationkey", "n_nationkey", "supplier"),
+           CH.orphans(na, re, "n_regionkey", "r_regionkey", "nation")]
     c = fks[0]
     for f in fks[1:]:
         c = c.unionByName(f)

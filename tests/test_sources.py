@@ -138,3 +138,14 @@ def test_read_panel_names_a_missing_table_only(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "other"))
     with pytest.raises(Exception, match="shipment_date"):
         S.read_panel(spark, str(tmp_path / "other"))
+
+
+def test_several_foreign_keys_in_one_scan(spark, capsys):
+    from demandgrid.operators import checks as CH
+    child = spark.createDataFrame([(1, 10), (1, 99), (7, None), (None, 98), (8, 99)], "a int, b long")
+    one, two = spark.createDataFrame([(1,), (2,)], "p long"), spark.createDataFrame([(10,)], "q int")
+    keys = [("a", one, "p"), ("b", two, "q"), ("a", child, "a")]
+    out = {r.fk: r.n_orphans for r in CH.orphans_many(child, keys, "t").collect()}
+    assert out == {"a->p": 2, "b->q": 3, "a->a": 0}
+    for c, parent, p in keys:
+        assert out[f"{c}->{p}"] == CH.orphans(child, parent, c, p, "t").first().n_orphans
