@@ -843,7 +843,7 @@ def q_fold_feature_table(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Additive decomposition (grouped numpy fits: rows-only)
+# Additive decomposition (fits from normal equations: rows-only)
 # ---------------------------------------------------------------------------
 from demandgrid.operators import decomposition as DC  # noqa: E402
 
@@ -855,6 +855,13 @@ def q_decomposition_metrics(spark, sf_dir):
     return _round_cols(out, ["wape", "mae", "rmse", "bias"])
 
 
+@query("decomposition_sparse_metrics")
+def q_decomposition_sparse_metrics(spark, sf_dir):
+    """The same with a sparse penalty on the slope changes."""
+    out = E.metrics_by(DC.backtest(nation_panel(spark, sf_dir), knot_penalty=5.0), ["model", "fold_id"])
+    return _round_cols(out, ["wape", "mae", "rmse", "bias"])
+
+
 # ---------------------------------------------------------------------------
 # Model information row
 # ---------------------------------------------------------------------------

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,7 +79,6 @@ def test_folds_expanding_and_leakage(spark):
 
 
 def test_decomposition_contract(spark):
-    import math
     from demandgrid.operators import decomposition as DC
     rows = []
     for i in range(450):
@@ -143,3 +143,48 @@ def test_decomposition_equals_a_driver_side_fit(spark, knots, yearly):
             assert r.y_pred == pytest.approx(yhat, abs=1e-6)
             assert r.y_lower == pytest.approx(max(yhat + lo, 0.0), abs=1e-6)
             assert r.y_upper == pytest.approx(max(yhat + hi, 0.0), abs=1e-6)
+
+
+def test_sparse_knots_from_sufficient_statistics():
+    """The coordinate descent meets the optimality conditions of the penalised
+    fit, equals a proximal gradient descent on the rows, and bends the trend at
+    few knots."""
+    import numpy as np
+    from demandgrid.operators import decomposition as DC
+    rng = np.random.default_rng(3)
+    n, n_knots, lam = 400, 6, 8.0
+    day = np.arange(n, dtype=float)
+    cps = DC.knots(n_knots)
+    x = DC.design(day, np.full(n, n - 1.0), (day % 90 == 0).astype(float), cps, DC._waves(2, 0))
+    y = 10 + 8 * np.maximum(day / (n - 1) - cps[2], 0) + np.sin(2 * np.pi * day / 7) + rng.normal(0, 0.3, n)
+    xx, xy = x.T @ x, x.T @ y
+    b = DC.solve(xx, xy, 1.0, lam, n_knots)
+    k = slice(2, 2 + n_knots)
+    ridge = np.r_[0.0, np.ones(x.shape[1] - 1)]
+    g = xx @ b + ridge * b - xy
+    assert np.abs(np.delete(g, np.arange(2, 2 + n_knots))).max() < 1e-6
+    on = b[k] != 0
+    assert 0 < on.sum() < n_knots
+    assert np.abs(g[k][on] + lam * np.sign(b[k][on])).max() < 1e-5 and np.abs(g[k][~on]).max() <= lam + 1e-6
+    step = 1 / np.linalg.eigvalsh(xx + np.diag(ridge)).max()
+    p = q = np.zeros_like(b)
+    t = 1.0
+    for _ in range(60_000):             # accelerated proximal gradient
+        z = q - step * (xx @ q + ridge * q - xy)
+        z[k] = np.sign(z[k]) * np.maximum(np.abs(z[k]) - step * lam, 0)
+        t, old = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
+        p, q = z, z + (old - 1) / t * (z - p)
+    assert b == pytest.approx(p, abs=1e-4)
+    assert DC.solve(xx, xy, 1.0, 0.0, n_knots) == pytest.approx(np.linalg.solve(xx + np.diag(ridge), xy))
+
+
+def test_decomposition_runs_no_grouped_pandas(spark):
+    from demandgrid.operators import decomposition as DC
+    rows = [(D("2024-01-01") + dt.timedelta(days=i), "SP", i % 7) for i in range(60)]
+    hist = spark.createDataFrame(rows, "shipment_date date, entity string, n_shipments long")
+    fut = spark.createDataFrame([(D("2024-03-01"), "SP"), (D("2024-03-01"), "none")], "shipment_date date, entity string")
+    out = DC.fit_predict(hist, fut, n_changepoints=3, yearly=0, knot_penalty=5.0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "FlatMapGroupsInArrow" not in plan
+    got = out.collect()
+    assert [r.entity for r in got] == ["SP"] and got[0].y_pred == pytest.approx((D("2024-03-01") - rows[0][0]).days % 7, abs=0.5)
