@@ -1070,6 +1070,53 @@ SELECT '1' AS version, g.ltd AS last_train_date, g.ltd AS data_cutoff, 1 AS n_fe
 FROM g CROSS JOIN ev CROSS JOIN offs o"""
 
 
+# Cut-offs of the stored versions and of the siblings, 90 days earlier.
+VERSION_CUTS = {"2000q4": ("2000-12-31", "2000-10-02"), "2001q1": ("2001-03-31", "2000-12-31")}
+
+
+def _at(sql: str, day: str) -> str:
+    """The same query with its history ending on ``day``."""
+    return sql.replace(TRAIN_END_SQL, f"DATE '{day}'")
+
+
+@oracle("training_flow")
+def _():
+    parts = []
+    for version, (cut, sibling) in VERSION_CUTS.items():
+        ev = _at(f"""WITH {panel_ctes()}, {conformal_ctes(calib_lengths_values([60]))}, {full_forecast_ctes(90)}
+  SELECT COUNT(DISTINCT p.shipment_date) AS eval_days,
+         round(sum(abs(p.n_shipments - f.y_pred)) / NULLIF(sum(abs(p.n_shipments)), 0), 6) AS eval_wape,
+         round(avg(abs(p.n_shipments - f.y_pred)), 6) AS eval_mae,
+         round(sqrt(avg(power(p.n_shipments - f.y_pred, 2))), 6) AS eval_rmse
+  FROM fc f JOIN panel p ON p.shipment_date = f.shipment_date AND p.entity = f.entity""", sibling)
+        own = _at(f"""WITH {panel_ctes()}, {conformal_ctes(calib_lengths_values([60]))}
+  SELECT MAX(h.shipment_date) AS data_cutoff, COUNT(DISTINCT h.entity) AS n_entities,
+         COUNT(DISTINCT h.shipment_date) AS n_days, round(max(o.lower_offset), 6) AS lower_offset,
+         round(max(o.upper_offset), 6) AS upper_offset, round(max(o.coverage), 6) AS coverage
+  FROM hist h CROSS JOIN offs o""", cut)
+        parts.append(f"SELECT '{version}' AS version, a.*, b.* FROM ({own}) a CROSS JOIN ({ev}) b")
+    return " UNION ALL ".join(parts)
+
+
+@oracle("model_entities")
+def _():
+    parts = [f"""SELECT '{version}' AS version, entity, COUNT(*) AS n_obs,
+       CAST(max_by(n_shipments, shipment_date) AS DOUBLE) AS last_value, round(stddev_samp(diff), 6) AS resid_std
+FROM (SELECT *, n_shipments - LAG(n_shipments, 7) OVER (PARTITION BY entity ORDER BY shipment_date) AS diff
+      FROM panel WHERE shipment_date <= DATE '{cut}') GROUP BY entity""" for version, (cut, _) in VERSION_CUTS.items()]
+    return f"WITH {panel_ctes()} " + " UNION ALL ".join(parts)
+
+
+@oracle("scoring_by_version")
+def _():
+    # from the earlier cut-off, the last day asked for is 181 days away
+    parts = [_at(f"""SELECT '{version}' AS version, x.* FROM (WITH {panel_ctes()}, {scored_ctes(200)}
+SELECT request_id, date, entity, round(point, 6) AS point, round(lower_90, 6) AS lower_90,
+       round(upper_90, 6) AS upper_90, round(recommended, 6) AS recommended, alpha_used, cost_ratio_used,
+       alpha_source, cost_ratio_source FROM scored) x""", cut) for version, (cut, _) in VERSION_CUTS.items()]
+    return " UNION ALL ".join(parts)
+
+
 @oracle("wape_spread")
 def _():
     return _bt("""SELECT model, fold_id, round(max(wape), 6) AS worst_wape, round(min(wape), 6) AS best_wape,

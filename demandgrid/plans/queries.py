@@ -892,6 +892,51 @@ def q_model_info(spark, sf_dir):
     return ST.model_info(meta, ("lower_offset", "upper_offset")).drop("trained_at")
 
 
+# ---------------------------------------------------------------------------
+# Stored model versions
+# ---------------------------------------------------------------------------
+from demandgrid.operators import serving as SV  # noqa: E402
+from demandgrid.sources.models import ModelStore  # noqa: E402
+
+VERSIONS = {"2000q4": _dt.date(2000, 12, 31), "2001q1": TRAIN_END}
+
+
+def _models(spark, sf_dir):
+    """A store with a version per cut-off, trained in this call."""
+    models = ModelStore(spark, scratch_folder(spark))
+    panel = nation_panel(spark, sf_dir)
+    for version, cutoff in VERSIONS.items():
+        SV.train_version(models, panel, version, cutoff)
+    return models
+
+
+@query("training_flow")
+def q_training_flow(spark, sf_dir):
+    """The training flow at two cut-offs: holdout evaluation of a sibling, size
+    and interval of the published version."""
+    out = _models(spark, sf_dir).versions().select(
+        "version", "data_cutoff", "n_entities", "n_days", "eval_days", "eval_wape", "eval_mae", "eval_rmse",
+        "lower_offset", "upper_offset", "coverage")
+    return _round_cols(out, ["eval_wape", "eval_mae", "eval_rmse", "lower_offset", "upper_offset", "coverage"])
+
+
+@query("model_entities")
+def q_model_entities(spark, sf_dir):
+    """Stored state of both versions, entities as rows."""
+    out = _models(spark, sf_dir).entities().select("version", "entity", "n_obs", F.element_at("season_values", -1).alias("last_value"), "resid_std")
+    return _round_cols(out, ["resid_std"])
+
+
+@query("scoring_by_version")
+def q_scoring_by_version(spark, sf_dir):
+    """The scoring requests served by both stored versions side by side; a request
+    that starts before one version's cut-off can be valid under the other."""
+    models, requests = _models(spark, sf_dir), SC.requests_frame(spark, REQUESTS)
+    parts = [SV.score_version(models, requests, v) for v in VERSIONS]
+    out = parts[0].unionByName(parts[1])
+    return _round_cols(out, ["point", "lower_90", "upper_90", "recommended"])
+
+
 # ---------------------------------------------------------------------------
 # Spreads, ratios and fold labels
 # ---------------------------------------------------------------------------
