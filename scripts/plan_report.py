@@ -83,7 +83,7 @@ def main(argv):
            "reader. Over the order-key bucketed facts the line items are read bucket by bucket and their",
            "exchange disappears (one hash exchange fewer; only the orders-with-nation side is shuffled).",
            "All later queries start from the checkpointed panel (`Scan ExistingRDD`). No plan has a",
-           "row-at-a-time Python UDF; the only pandas node is the grouped decomposition fit. `table_checks`",
+           "row-at-a-time Python UDF; the only Arrow node is the decomposition's solver. `table_checks`",
            "scans each fact table once per check on purpose: every check is one aggregate or one anti join,",
            "and the NOT NULL counts need unfiltered rows.", ""]
     doc += summarize("fact path: shipment_counts (nation grain)", S.shipment_counts(spark, sf_dir, "nation"))
