@@ -22,6 +22,13 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 MAX_LONG = (1 << 63) - 1
 
+# Spark then removes a query's shuffle files when the query ends, not when the
+# driver's memory happens to be collected.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# Small tables are dealt to few tasks: so many, and one more for each of so many rows.
+TASKS, ROWS_A_TASK = 8, 50_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,12 +38,27 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable storage:
     a lost executor loses nothing). The folder is the session's
     ``spark.checkpoint.dir``; where that is unset, the warehouse's work folder
-    (tests, local runs)."""
+    (tests, local runs). The shuffle files that led to the stored rows go at once;
+    the session's setting for other queries stays."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or work_folder(spark))
-    return df.checkpoint(eager=True)
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)      # planned anew: ``df`` keeps its own files
+    finally:
+        if before is None:
+            spark.conf.unset(REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(REMOVE_SHUFFLES, before)
+
+
+def tasks_for(rows: int) -> int:
+    """Tasks for so many narrow rows; to be given to ``coalesce``, which never
+    makes more of them than the plan has."""
+    return TASKS + rows // ROWS_A_TASK
 
 
 def crc_fold(id_col: str, modulus: int) -> Column:
@@ -91,12 +113,12 @@ def pack_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return src.mapInArrow(run, "id long, text binary").select(F.col("id").alias(id_col), F.col("text").alias(text_col))
 
 
-def _all_stars(edges: DataFrame) -> bool:
+def _all_stars(edges: DataFrame, tasks: int) -> bool:
     """Whether every component of ``u, v`` is a star around its smallest node:
     each u has one edge, and no v is a u."""
     ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
         edges.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
-    own = ends.groupBy("n").agg(F.sum("up").alias("ups"), F.max("down").alias("down"))
+    own = ends.groupBy("n").agg(F.sum("up").alias("ups"), F.max("down").alias("down")).coalesce(tasks)
     return own.agg(F.count_if((F.col("ups") > 1) | ((F.col("ups") > 0) & (F.col("down") > 0)))).first()[0] == 0
 
 
@@ -109,23 +131,27 @@ def connected_components(links: DataFrame, a: str, b: str, max_rounds: int = 60)
     repeated links change nothing; no links give no rows.
 
     Rounds go on until all components are stars (``max_rounds`` only stops a run
-    that cannot happen: it raises)."""
+    that cannot happen: it raises). The tasks of a round grow with the links, so a
+    small graph does not write a file for each of the session's shuffle partitions
+    in every step."""
     e = (links.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v"))
          .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct())
     e = cut(e)
     for _ in range(max_rounds):
-        if _all_stars(e):
+        tasks = tasks_for(e.count())
+        e = e.coalesce(tasks)
+        if _all_stars(e, tasks):
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = (both.join(low, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").coalesce(tasks).distinct().coalesce(tasks))
         # every edge now points from the larger to the smaller end
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
+        joined = large.join(low, "u").coalesce(tasks)
         small = (joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = cut(small)
+                 .unionByName(low.select("u", F.col("m").alias("v")).coalesce(tasks)).distinct())
+        e = cut(small.coalesce(tasks))
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -31,7 +31,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil, log
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -40,13 +42,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandgrid.llm.common import LOWER, connected_components, cut, map_texts, pack_texts
+from demandgrid.llm.common import LOWER, connected_components, cut, map_texts, pack_texts, tasks_for
 from demandgrid.llm.subwords import Block, words
 
 # MinHash values of the longest bands.
 LONGEST = 8
 ODD = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD6E8FEB86659FD93)
+# Texts are worked on in blocks of so many bytes: the arrays of a block take a
+# multiple of it in each Python worker.
+BLOCK = 1 << 20
 FIELDS = ["id", "start", "n_words", "low", "low_start"]
 BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
 
@@ -220,7 +225,7 @@ def _paragraph_table(docs: DataFrame, s: Settings) -> DataFrame:
             [pa.array(np.array(ids, dtype=np.int64)[p.text]), pa.array(p.start), pa.array(p.last - p.first),
              pa.array(content.view(np.int64)), bands], ["id", "start", "n_words", "content", "bands"])
 
-    return map_texts(docs, "id", "text", "id long, start long, n_words long, content long, bands array<long>", block)
+    return map_texts(docs, "id", "text", "id long, start long, n_words long, content long, bands array<long>", block, BLOCK)
 
 
 def _place_table(docs: DataFrame) -> DataFrame:
@@ -231,7 +236,7 @@ def _place_table(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.array(ids, dtype=np.int64)[p.text]), pa.array(p.start), pa.array(size),
                                            pa.array(_contents(p, p.first, size).view(np.int64))], ["id", "start", "n_words", "content"])
 
-    return map_texts(docs, "id", "text", "id long, start long, n_words long, content long", block)
+    return map_texts(docs, "id", "text", "id long, start long, n_words long, content long", block, BLOCK)
 
 
 def _window_table(docs: DataFrame, s: Settings) -> DataFrame:
@@ -244,7 +249,7 @@ def _window_table(docs: DataFrame, s: Settings) -> DataFrame:
             [pa.array(owner), pa.array(first - p.first[k] + p.start[k]), pa.array(content.view(np.int64))],
             ["id", "start", "content"])
 
-    return map_texts(docs, "id", "text", "id long, start long, content long", block)
+    return map_texts(docs, "id", "text", "id long, start long, content long", block, BLOCK)
 
 
 def _near_table(docs: DataFrame, shared: DataFrame, s: Settings) -> DataFrame:
@@ -257,7 +262,7 @@ def _near_table(docs: DataFrame, shared: DataFrame, s: Settings) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.array(ids, dtype=np.int64)[text]), pa.array(start), pa.array(content.view(np.int64))],
                                           ["id", "start", "content"])
 
-    return map_texts(texts, "id", "text", "id long, start long, content long", block, extra=("starts",), packed=True)
+    return map_texts(texts, "id", "text", "id long, start long, content long", block, BLOCK, extra=("starts",), packed=True)
 
 
 def _shared_windows(windows: DataFrame) -> DataFrame:
@@ -350,17 +355,23 @@ def _shingles(docs: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
             [pa.array(content.view(np.int64)), pa.array([x.view(np.int64).tolist() for x in sets], pa.list_(pa.int64())),
              pa.array(marks.tolist(), pa.list_(pa.int64()))], ["content", "grams", "sketch"])
 
-    found = map_texts(texts, "id", "text", "content long, grams array<long>, sketch array<long>", block, extra=("starts",), packed=True)
+    found = map_texts(texts, "id", "text", "content long, grams array<long>, sketch array<long>", block, BLOCK, extra=("starts",), packed=True)
     return found.dropDuplicates(["content"])
 
 
-def _similar(pairs: DataFrame, grams: DataFrame, s: Settings) -> DataFrame:
-    """The pairs whose shingle sets are similar enough."""
-    a = grams.select(F.col("content").alias("a"), F.col("grams").alias("x"))
-    b = grams.select(F.col("content").alias("b"), F.col("grams").alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(a, "a").join(b, "b")
-            .where(shared >= F.lit(s.similarity) * (F.size("x") + F.size("y") - shared)).select("a", "b"))
+def _links(rest: DataFrame, centres: DataFrame, grams: DataFrame, s: Settings, tasks: int) -> DataFrame:
+    """``a, b``: the rows of ``rest`` and ``centres`` (key, content, label) with one key
+    and two labels whose shingle sets are similar enough. A pair is compared by its
+    sketches and then exactly while the two sides are joined, so that only links
+    become rows."""
+    x = rest.select("key", "content", "label").join(grams, "content").coalesce(tasks)
+    y = centres.select("content", F.col("key").alias("k"), F.col("label").alias("own")).join(grams, "content").select(
+        "k", F.col("content").alias("centre"), "own", F.col("grams").alias("others"), F.col("sketch").alias("mark")).coalesce(tasks)
+    differ = reduce(add, [F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("mark")[i])) for i in range(s.sketch // 64)])
+    likely = (F.col("label") != F.col("own")) & (differ <= int((1 - s.similarity + s.margin) / 2 * s.sketch))
+    shared = F.size(F.array_intersect("grams", "others"))
+    similar = shared >= F.lit(s.similarity) * (F.size("grams") + F.size("others") - shared)
+    return x.join(y, (F.col("key") == F.col("k")) & likely & similar).select(F.col("content").alias("a"), F.col("centre").alias("b")).coalesce(tasks)
 
 
 def _banded(grams: DataFrame, s: Settings, rows: int) -> DataFrame:
@@ -380,13 +391,14 @@ def _banded(grams: DataFrame, s: Settings, rows: int) -> DataFrame:
     return grams.select("content", "grams", "label").mapInArrow(run, "key long, content long, label long")
 
 
-def _shared_keys(keyed: DataFrame) -> DataFrame:
+def _shared_keys(keyed: DataFrame, tasks: int) -> DataFrame:
     """Rows (key, content, label) of the keys that more than one label has, with
     the number of the key's rows of the ``same`` label and of those (``few``) outside
     its commonest label."""
-    own = keyed.groupBy("key", "label").agg(F.count("*").alias("same"))
+    own = keyed.groupBy("key", "label").agg(F.count("*").alias("same")).coalesce(tasks)
     all_of = own.groupBy("key").agg((F.sum("same") - F.max("same")).alias("few")).where("few > 0")
-    return keyed.join(own.join(all_of, "key"), ["key", "label"]).select("key", "content", "label", "same", "few")
+    return (keyed.join(own.join(all_of, "key").coalesce(tasks), ["key", "label"])
+            .select("key", "content", "label", "same", "few").coalesce(tasks))
 
 
 def paragraph_components(docs: DataFrame, contents: DataFrame, s: Settings) -> DataFrame:
@@ -396,30 +408,32 @@ def paragraph_components(docs: DataFrame, contents: DataFrame, s: Settings) -> D
     A bucket is done when all members outside its commonest label (component so
     far) have been centres: then all pairs of two labels were compared. Where a few
     are outside, they are the next round's centres; other buckets are banded again."""
-    rest = cut(_shared_keys(contents.select(F.explode("bands").alias("key"), "content", F.col("content").alias("label"))))
+    rest = cut(_shared_keys(contents.select(F.explode("bands").alias("key"), "content", F.col("content").alias("label")),
+                            tasks_for(s.bands * contents.count())))
     reps = rest.select("content").distinct().join(contents.select("content", "rep.id", "rep.start"), "content")
     grams = cut(_shingles(docs, reps, s))
-    marks = grams.select("content", "sketch")
+    grams = grams.coalesce(tasks_for(grams.count()))
     comps, rows, most = docs.sparkSession.createDataFrame([], "node long, component long"), s.rows, s.centres
-    while not rest.isEmpty():
+    while n := rest.count():
+        tasks = tasks_for(n)
+        rest = rest.coalesce(tasks)
         # the limit on the rank is applied in each map task before the shuffle
         rank = F.row_number().over(Window.partitionBy("key").orderBy("same", "label", "content"))
-        ranked = rest.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
-        centres = ranked.join(marks, "content").select(F.col("key").alias("k"), F.col("content").alias("centre"),
-                                                       F.col("label").alias("own"), F.col("sketch").alias("mark"))
-        differ = F.aggregate(F.zip_with("sketch", "mark", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-        likely = (F.col("label") != F.col("own")) & (differ <= int((1 - s.similarity + s.margin) / 2 * s.sketch))
-        pairs = (rest.join(marks, "content").join(centres, (F.col("key") == F.col("k")) & likely)
-                 .select(F.least("content", "centre").alias("a"), F.greatest("content", "centre").alias("b")).distinct())
-        good = _similar(pairs, grams, s)
+        centres = rest.withColumn("rank", rank).where(F.col("rank") <= most).coalesce(tasks)
+        good = _links(rest, centres, grams, s, tasks)
         comps = cut(connected_components(good.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b"))
         undone = (rest.where(F.col("few") > most).select("key", "content").join(comps.withColumnRenamed("node", "content"), "content", "left")
-                  .select("key", "content", F.coalesce("component", "content").alias("label")))
-        rows, most = min(2 * rows, LONGEST), 4 * most
-        undone = cut(_shared_keys(undone))
-        left = undone.where(F.col("few") > most).groupBy("content").agg(F.min("label").alias("label"))
-        fresh = _banded(grams.join(left, "content"), s, rows)
-        rest = cut(_shared_keys(undone.where(F.col("few") <= most).select("key", "content", "label").unionByName(fresh).distinct()))
+                  .select("key", "content", F.coalesce("component", "content").alias("label")).coalesce(tasks))
+        most, longest = 4 * most, rows >= LONGEST
+        undone = cut(_shared_keys(undone, tasks))
+        if longest:                 # the same keys again: what is done stays done
+            rest = undone
+            continue
+        rows = min(2 * rows, LONGEST)
+        left = undone.where(F.col("few") > most).groupBy("content").agg(F.min("label").alias("label")).coalesce(tasks)
+        tasks = tasks_for(n * s.bands_of(rows))
+        fresh = _banded(grams.join(left, "content").coalesce(tasks), s, rows)
+        rest = cut(_shared_keys(undone.where(F.col("few") <= most).select("key", "content", "label").unionByName(fresh).distinct().coalesce(tasks), tasks))
     return comps
 
 
